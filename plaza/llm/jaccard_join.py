@@ -8,14 +8,15 @@ A document is the set of its distinct five-word shingles, two documents link whe
    With k = 10 % of the smaller set: a document can have a link only if that many of its
    least shingles (in hash order) are also among another document's. One shuffle of these
    shingles decides; all other documents are alone.
-2. Of the documents left, those with equal sets become one class with a multiplicity.
-3. Classes that share one of their rarest shingles (the prefix that any linked pair must
-   meet in, in order of frequency) fall in one block: the components of that relation.
-4. A block, in order of size, is cut into runs of about ``RUN`` shingles; pairs of runs whose size ranges allow
-   a link are dealt out as tasks. In a task, signature trees over both runs are traversed
-   together: a node has the OR of its members' token bitmaps, its range of sizes and its
-   most bit collisions, and a pair of nodes goes if the largest possible overlap is too
-   small. Pairs of leaf nodes that stay are counted exactly, all members at a time.
+2. Blocks. Of those k common shingles one lies, in order of frequency, before the last k of
+   either document's. Documents that share a shingle of this prefix fall in one block: the
+   components of that relation.
+3. Documents with equal sets become one class with a multiplicity.
+4. A block, in order of size, is cut into runs of about ``RUN`` shingles; pairs of runs whose
+   size ranges allow a link are dealt out as tasks. In a task, signature trees over both runs
+   are traversed together: a node has the OR of its members' token bitmaps, its range of sizes
+   and its most bit collisions, and a pair of nodes goes if the largest possible overlap is
+   too small. Pairs of leaf nodes that stay are counted exactly, all members at a time.
 5. Tasks return link counts and a spanning forest of the links, not the links.
 """
 
@@ -41,6 +42,8 @@ PERCENT = 75
 SCREEN = 35
 #: Shingles to a run, where each class counts as RUN_ROW more.
 RUN, RUN_ROW = 1 << 20, 1 << 10
+#: Slots of the bit filter for ids, whatever the input's size.
+FILTER_SLOTS = 1 << 23
 #: Members of a leaf node, children of a node, bits of a signature.
 LEAF, FANOUT, BITS = 64, 4, 2048
 
@@ -64,41 +67,54 @@ def _surplus(n: int, percent: int) -> int:
 
 
 def sketch(docs: DataFrame, doc: str, text: str, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, need, least): set size, how many of the ``least`` shingles must occur elsewhere."""
+    """(doc_id, need, least): how many of the ``least`` shingles must occur elsewhere; need is 0 for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            n, need, least = [], [], []
+            need, least = [], []
             for raw in raw_texts(part.column(1)):
                 s = shingles_of(raw, words)
                 least_partner = _needed(len(s), percent)
                 taken = min(len(s), len(s) - least_partner + _surplus(len(s), percent))
-                n.append(len(s))
-                need.append(_surplus(least_partner, percent))
+                need.append(_surplus(least_partner, percent) if len(s) else 0)
                 least.append(s[:taken].view(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(need, pa.int32()), lists(least, pa.int64())], names=["doc_id", "n", "need", "least"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(need, pa.int32()), lists(least, pa.int64())], names=["doc_id", "need", "least"])
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("n long, need int, least array<long>").fields])
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("need int, least array<long>").fields])
     return docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def sets(docs: DataFrame, text: str, words: int) -> DataFrame:
-    """(doc_id, d1, d2, shingles): whole sets with a 128-bit digest; empty sets are left out."""
+def digests(docs: DataFrame, doc: str, text: str, words: int) -> DataFrame:
+    """(doc_id, n, d1, d2): size and 128-bit digest of each row's whole set; null digests for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            keys, digests, found = [], [], []
-            for key, raw in zip(part.column(0).to_pylist(), raw_texts(part.column(1))):
-                s = shingles_of(raw, words)
-                if len(s):
-                    keys.append(key)
-                    digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                    found.append(s.view(np.int64))
-            d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, part.column(0).type), pa.array(d[:, 0]), pa.array(d[:, 1]), lists(found, pa.int64())], names=["doc_id", "d1", "d2", "shingles"])
+            found = [shingles_of(raw, words) for raw in raw_texts(part.column(1))]
+            n = np.array([len(s) for s in found], np.int64)
+            d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in found), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(d[:, 0], mask=n == 0), pa.array(d[:, 1], mask=n == 0)], names=["doc_id", "n", "d1", "d2"])
+
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("n long, d1 long, d2 long").fields])
+    return docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, doc: str, text: str, words: int) -> DataFrame:
+    """(rep, d1, d2, shingles) of the documents in ids(rep), and of a few others: ids are looked up in a bit filter of fixed size."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_SLOTS)).cast("int")
+    taken = np.zeros(FILTER_SLOTS, bool)
+    taken[ids.select(slot(F.col("rep")).alias("slot")).distinct().toArrow()["slot"].to_numpy()] = True  # at most FILTER_SLOTS
+    bits = docs.sparkSession.sparkContext.broadcast(np.packbits(taken))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.unpackbits(bits.value).view(bool)
+        for batch in batches:
+            for part in slices([batch.filter(pa.array(own[batch.column(1).to_numpy()]))]):
+                found = [shingles_of(raw, words) for raw in raw_texts(part.column(2))]
+                d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in found), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), lists([s.view(np.int64) for s in found], pa.int64())], names=["rep", "d1", "d2", "shingles"])
 
-    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("d1 long, d2 long, shingles array<long>").fields])
-    return docs.select("doc_id", F.col(text).alias("text")).mapInArrow(run, schema)
+    own_id = F.col(doc).cast("long")
+    return docs.where(F.col(doc).isNotNull()).select(own_id.alias("rep"), slot(own_id).alias("slot"), F.col(text).alias("text")).mapInArrow(run, "rep long, d1 long, d2 long, shingles array<long>")
 
 
 # --- inside a task ---
@@ -216,8 +232,11 @@ def link_runs(ids_a: np.ndarray, copies_a: np.ndarray, sets_a: list[np.ndarray],
 
 
 def _unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    table = table.sort_by([("n", "ascending"), ("rep", "ascending")])
-    return table["rep"].to_numpy(), table["copies"].to_numpy(), [np.asarray(x, np.int64).view(np.uint64) for x in (v.values.to_numpy() for v in table["shingles"])]
+    """(classes, copies, sets) in order of size; a class that came twice counts once."""
+    table = table.sort_by([("n", "ascending"), ("cls", "ascending")])
+    cls = table["cls"].to_numpy()
+    first = np.append(True, cls[1:] != cls[:-1])
+    return cls[first], table["copies"].to_numpy()[first], [v.values.to_numpy().view(np.uint64) for v, own in zip(table["shingles"], first) if own]
 
 
 # --- the join ---
@@ -228,62 +247,56 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", wo
 
     component_id is the least id reachable over links, the own id without links; n_links
     counts the documents linked directly. Documents without words (null, empty) have no
-    shingles and no links. Ids must be integers. Rows that repeat an id count as one
-    document with the union of links for equal sets and as separate texts otherwise, and
-    keep one row each; rows with a null id keep a null component and no links. Other columns
-    aren't read. An empty table gives no rows.
+    shingles and no links. Ids must be integers. Each row is answered for its own text: rows
+    that repeat id and text are one document and get equal answers, rows that share an id but
+    not the text are linked as documents of their own; rows with a null id keep a null
+    component and no links. Other columns aren't read. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    sketches = sketch(docs, doc, text, words, percent)
-    everyone = sketches.select("doc_id", "n")
+    everyone = stored(digests(docs, doc, text, words), "digests")
     # 1. the screen: one shuffle by shingle; a shingle has one row a document, so that none outweighs the rest
-    tokens = sketches.where("n > 0 and doc_id is not null").select("doc_id", "need", F.explode("least").alias("h"))
+    tokens = sketch(docs, doc, text, words, percent).where("need > 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("u"), "need", F.explode("least").alias("h"))
     by_token = Window.partitionBy("h")
-    shared = tokens.withColumn("more", F.min("doc_id").over(by_token) != F.max("doc_id").over(by_token)).where("more")
-    active = stored(shared.groupBy("doc_id", "need").agg(F.count("*").alias("got")).where("got >= need").select("doc_id").distinct(), "active")
-    # 2. classes of equal sets
-    mine = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias(text)).join(active.select(F.col("doc_id").cast("long")), "doc_id", "left_semi")
-    whole = stored(sets(mine, text, words), "sets")
-    member = whole.select("doc_id", "d1", "d2").distinct()
-    classes = stored(member.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    # a class is named by its digest: an id with several texts is in several classes
-    first = whole.join(classes, ["d1", "d2"]).where("doc_id = rep").dropDuplicates(["d1", "d2"])
-    named = stored(first.select(F.xxhash64("d1", "d2").alias("cls"), "rep", "d1", "d2", "copies", F.size("shingles").alias("n"), "shingles"), "named")
-    # 3. blocks: the prefix that linked classes must share, rarest shingles first
-    token = named.select("cls", "n", F.explode("shingles").alias("h"))
-    often = token.groupBy("h").agg(F.count("*").alias("df"), F.min("cls").alias("least"))
-    ranked = token.join(often, "h").withColumn("at", F.row_number().over(Window.partitionBy("cls").orderBy("df", "h")))
-    prefix = ranked.where((F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & (F.col("df") > 1))
-    blocks = components(prefix.select(F.col("cls").alias("u"), F.col("least").alias("v")))
-    # 4. runs of a block, and the pairs of runs that may hold links
-    placed = blocks.select(F.col("node").alias("cls"), F.col("label").alias("block")).join(named.select("cls", "n"), "cls")
+    shared = tokens.select("u", "need", "h", F.min("u").over(by_token).alias("v"), F.max("u").over(by_token).alias("last"), F.count("*").over(by_token).alias("df")).where("v <> last")
+    # 2. blocks over the rarest common shingles
+    by_doc = Window.partitionBy("u", "need")
+    ranked = shared.select("u", "need", "v", F.row_number().over(by_doc.orderBy("df", "h")).alias("at"), F.count("*").over(by_doc).alias("got"))
+    edges = stored(ranked.where("got >= need and at <= got - need + 1").select("u", "v").distinct(), "shared")
+    blocks = components(edges).join(edges.select(F.col("u").alias("node")).distinct(), "node", "left_semi")
+    # 3. classes of equal sets, named by their digest
+    same = everyone.where("n > 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "n", "d1", "d2").distinct()
+    classes = same.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).withColumn("cls", F.xxhash64("d1", "d2"))
+    placed = blocks.select(F.col("node").alias("rep"), F.col("label").alias("block")).join(classes, "rep")
     before = Window.partitionBy("block").orderBy("n", "cls").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("run", F.floor(F.coalesce(F.sum(F.col("n") + RUN_ROW).over(before), F.lit(0)) / RUN).cast("int"))
-    placed = stored(placed, "runs")
-    runs = placed.groupBy("block", "run").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    placed = stored(placed.withColumn("run", F.floor(F.coalesce(F.sum(F.col("n") + RUN_ROW).over(before), F.lit(0)) / RUN).cast("int")), "runs")
+    # 4. the pairs of runs that may hold links, dealt out with their sets
+    crowded = placed.groupBy("block").agg(F.count("*").alias("c")).where("c > 1").select("block")
+    runs = placed.join(crowded, "block", "left_semi").groupBy("block", "run").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
     other = runs.select("block", F.col("run").alias("run_b"), F.col("least_n").alias("least_b"))
     tasks = runs.join(other, "block").where((F.col("run") <= F.col("run_b")) & (100 * F.col("most_n") >= percent * F.col("least_b"))).select("block", F.col("run").alias("run_a"), "run_b")
-    sides = tasks.select("block", "run_a", "run_b", F.explode(F.array_distinct(F.array("run_a", "run_b"))).alias("run"))
-    dealt = sides.join(placed, ["block", "run"]).join(named.select("cls", "copies", "shingles"), "cls").select("block", "run_a", "run_b", "run", F.col("cls").alias("rep"), "copies", "n", "shingles")
+    sides = stored(tasks.select("block", "run_a", "run_b", F.explode(F.array_distinct(F.array("run_a", "run_b"))).alias("run")).join(placed, ["block", "run"]).select("block", "run_a", "run_b", "run", "rep", "d1", "d2", "cls", "copies", "n"), "tasks")
+    dealt = sets_of(docs, sides, doc, text, words).join(sides, ["rep", "d1", "d2"]).select("block", "run_a", "run_b", "run", "cls", "copies", "n", "shingles")
 
     def solve(key: tuple, table: pa.Table) -> pa.Table:
         _, run_a, run_b = (k.as_py() for k in key)
         a = _unpack(table.filter(pc.equal(table["run"], run_a)))
         b = a if run_a == run_b else _unpack(table.filter(pc.equal(table["run"], run_b)))
-        linked, edges = link_runs(*a, *b, run_a == run_b, percent)
-        rows = [(i, None, n) for i, n in linked.items() if n] + [(u, v, 0) for u, v in edges]
+        linked, links = link_runs(*a, *b, run_a == run_b, percent)
+        rows = [(i, None, n) for i, n in linked.items() if n] + [(u, v, 0) for u, v in links]
         return pa.table({"u": pa.array([r[0] for r in rows], pa.int64()), "v": pa.array([r[1] for r in rows], pa.int64()), "n": pa.array([r[2] for r in rows], pa.int64())})
 
     found = stored(dealt.groupBy("block", "run_a", "run_b").applyInArrow(solve, "u long, v long, n long"), "links")
     # 5. components of classes, named by the least id in them
-    labels = components(found.where("v is not null").select("u", "v"))
+    labels = components(found.where("v is not null").select("u", "v")).withColumnRenamed("node", "cls")
     counts = found.where("v is null").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("others"))
-    of_class = named.select("cls", "d1", "d2", "rep", "copies").join(labels.withColumnRenamed("node", "cls"), "cls", "left").join(counts, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    of_class = placed.select("cls", "d1", "d2", "rep", "copies").distinct().join(labels, "cls", "left").join(counts, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = of_class.groupBy("label").agg(F.min("rep").alias("component_id"))
-    class_row = of_class.join(least, "label").select("d1", "d2", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    of_doc = member.select("doc_id", "d1", "d2").join(class_row, ["d1", "d2"]).groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.max("n_links").alias("n_links"))
-    return everyone.join(of_doc.withColumnRenamed("doc_id", "__doc"), everyone["doc_id"].cast("long") == F.col("__doc"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.col("doc_id").cast("long")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    answers = of_class.join(least, "label").select("d1", "d2", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    joined = everyone.join(answers, ["d1", "d2"], "left")
+    return joined.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", F.col("doc_id").cast("long"))).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"),
     )
 
 
