@@ -1,4 +1,451 @@
-"""All queries of the library, and their SQL."""
+"""All queries of the library by name, each with its SQL where SQL can express it."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions import html, replies, text, urls
+from .operators import gate, judge, prescreen, search, sequence, store
+from .plans import migrations
+from .schema import PLATFORM_STANCES, RISKS, duplicate_keys, enum_violations, orphans
+from .views import CTES, Views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None, name: str | None = None) -> Callable:
+    def add(f: Callable[[Views], DataFrame]) -> Callable:
+        key = name or f.__name__
+        QUERIES[key] = lambda spark, sf_dir: f(Views(spark, sf_dir))
+        if sql:
+            SQL[key] = CTES + sql
+        return f
+
+    return add
+
+
+def _ts(value: str):
+    return F.lit(value).cast("timestamp_ntz")
+
+
+# --- scans, filters, joins, aggregates over the star schema ---
+
+RESULT_SQL = "c.content_id, content_type, title, content_text, voteup_count, comment_count, published_at, collected_at, question_id, author, platform_stance, risk_level"
+
+
+@query("select c.content_id, content_type, author, risk_level, platform_stance, collected_at from v_content c join v_analysis a using (content_id) where risk_level in ('高风险', '中风险') and collected_at >= timestamp '2024-01-01 01:00:00' order by collected_at desc, content_id limit 20")
+def alert_rows(v: Views) -> DataFrame:
+    return search.alerts(v.content, v.analysis, _ts("2024-01-01 01:00:00"), ("高风险", "中风险"), 20)
+
+
+@query(f"select {RESULT_SQL} from v_content c left join v_analysis a using (content_id) order by published_at desc nulls first, content_id limit 50 offset 20")
+def search_contents(v: Views) -> DataFrame:
+    return search.search(v.content, v.analysis, v.bridge, sort="published_at", offset=20)
+
+
+SEARCHES = {
+    "search_author": (search.ContentFilter(author="src3"), "author = 'src3'", "left"),
+    "search_risk": (search.ContentFilter(risk="中风险"), "risk_level = '中风险'", "inner"),
+    "search_stance": (search.ContentFilter(platform_stance="抹黑"), "platform_stance = '抹黑'", "inner"),
+    "search_type_dates": (search.ContentFilter(content_type="article", published_from=datetime(2023, 12, 20), published_to=datetime(2024, 1, 1), collected_from=datetime(2024, 1, 1, 1)), "content_type = 'article' and published_at between timestamp '2023-12-20' and timestamp '2024-01-01' and collected_at >= timestamp '2024-01-01 01:00:00'", "left"),
+    "search_event": (search.ContentFilter(event_id=3, event_stance="正向"), "exists (select 1 from v_bridge b where b.content_id = c.content_id and event_id = 3 and stance = '正向')", "left"),
+    "search_all_filters": (search.ContentFilter(None, "有利", "低风险", "answer", datetime(2023, 1, 1), datetime(2025, 1, 1), datetime(2024, 1, 1), None, "中立"), "platform_stance = '有利' and risk_level = '低风险' and content_type = 'answer' and published_at between timestamp '2023-01-01' and timestamp '2025-01-01' and collected_at >= timestamp '2024-01-01' and exists (select 1 from v_bridge b where b.content_id = c.content_id and stance = '中立')", "inner"),
+}
+for _name, (_filter, _where, _join) in SEARCHES.items():
+    query(f"select {RESULT_SQL} from v_content c {_join} join v_analysis a using (content_id) where {_where} order by voteup_count asc nulls last, content_id limit 30", _name)(lambda v, f=_filter: search.search(v.content, v.analysis, v.bridge, f, "voteup_count", False, 30))
+
+
+@query("select count(*) as n from v_content c join v_analysis a using (content_id) where platform_stance = '有利' and exists (select 1 from v_bridge b where b.content_id = c.content_id and event_id = 2)")
+def count_contents(v: Views) -> DataFrame:
+    return search.count(v.content, v.analysis, v.bridge, search.ContentFilter(platform_stance="有利", event_id=2))
+
+
+@query("select risk_level, count(*) as n from v_content join v_analysis using (content_id) where collected_at >= timestamp '2024-01-01 02:00:00' group by 1")
+def count_by_risk(v: Views) -> DataFrame:
+    return search.count_by_risk(v.content, v.analysis, _ts("2024-01-01 02:00:00"))
+
+
+@query("select e.event_id, name, version, count(b.content_id) filter (where stance is not null) as n_contents from v_event e left join v_bridge b using (event_id) group by 1, 2, 3")
+def list_events(v: Views) -> DataFrame:
+    return search.list_events(v.events, v.bridge)
+
+
+@query("select count(*) as n from v_bridge b join v_event e using (event_id) where event_version is distinct from version")
+def count_stale(v: Views) -> DataFrame:
+    return search.stale(v.events, v.bridge).agg(F.count("*").alias("n"))
+
+
+@query("select content_id, event_id, stance, event_version, version as current from v_bridge b join v_event e using (event_id) where event_version is distinct from version")
+def stale_join(v: Views) -> DataFrame:
+    return search.stale(v.events, v.bridge).select("content_id", "event_id", "stance", "event_version", "current")
+
+
+@query("select event_id, name, stance, event_version from v_bridge left join v_event using (event_id) where content_id = 7 order by event_id")
+def event_stances_for(v: Views) -> DataFrame:
+    return v.bridge.where("content_id = 7").join(v.events, "event_id", "left").select("event_id", "name", "stance", "event_version").orderBy("event_id")
+
+
+@query("select * from v_evidence where content_id = 3 order by filed_at desc, evidence_id desc limit 50")
+def evidence_for(v: Views) -> DataFrame:
+    return search.evidence_for(v.evidence, 3)
+
+
+@query("select * from v_question where is_relevant = true and first_seen_at >= timestamp '2024-01-01 10:00:00'")
+def follow_up_questions(v: Views) -> DataFrame:
+    return v.questions.where(F.col("is_relevant") & (F.col("first_seen_at") >= _ts("2024-01-01 10:00:00")))
+
+
+@query("select distinct url from pages")
+def all_urls(v: Views) -> DataFrame:
+    return v.table("pages").select("url").distinct()
+
+
+@query("select * from v_question")
+def all_questions(v: Views) -> DataFrame:
+    return v.questions
+
+
+@query("select * from v_content where content_id = 42")
+def point_lookups(v: Views) -> DataFrame:
+    return v.content.where("content_id = 42")
+
+
+@query("select content_id, event_id from v_bridge b where content_id in (select content_id from v_analysis where risk_level = '高风险')")
+def existing_by_list(v: Views) -> DataFrame:
+    return v.bridge.join(v.analysis.where("risk_level = '高风险'"), "content_id", "left_semi").select("content_id", "event_id")
+
+
+@query("select content_id from v_content where content_id not in (select content_id from v_analysis)")
+def anti_existing(v: Views) -> DataFrame:
+    return v.content.join(v.analysis, "content_id", "left_anti").select("content_id")
+
+
+@query("select content_id, count(*) as n_stances, bool_or(stance = '反向') as any_against from v_bridge group by 1")
+def review_pages(v: Views) -> DataFrame:
+    return v.bridge.groupBy("content_id").agg(F.count("*").alias("n_stances"), F.bool_or(F.col("stance") == "反向").alias("any_against"))
+
+
+@query("select event_id, count(*) filter (where risk_level is not null) as relevant, count(*) as total, count(*) filter (where risk_level is not null and stance = '正向') as n_for, count(*) filter (where risk_level is not null and stance = '反向') as n_against from v_bridge left join v_analysis using (content_id) group by 1")
+def stance_tally_by_event(v: Views) -> DataFrame:
+    rows = v.bridge.join(v.analysis, "content_id", "left").withColumn("ok", F.col("risk_level").isNotNull())
+    return rows.groupBy("event_id").agg(F.count_if("ok").alias("relevant"), F.count("*").alias("total"), F.count_if(F.col("ok") & (F.col("stance") == "正向")).alias("n_for"), F.count_if(F.col("ok") & (F.col("stance") == "反向")).alias("n_against"))
+
+
+@query("select doc_id % 13 as kind, count(*) as n, min(doc_id) as first_at from documents group by 1")
+def kind_counts(v: Views) -> DataFrame:
+    return sequence.kind_counts(v.table("documents").withColumn("kind", F.col("doc_id") % 13), "kind", "doc_id")
+
+
+@query("select count(*) filter (where title is not null) as with_title, count(*) filter (where voteup_count > 0) as with_votes, max(voteup_count) as most_votes from v_content")
+def metadata_coverage(v: Views) -> DataFrame:
+    return v.content.agg(F.count_if(F.col("title").isNotNull()).alias("with_title"), F.count_if(F.col("voteup_count") > 0).alias("with_votes"), F.max("voteup_count").alias("most_votes"))
+
+
+@query("select sum(case when toxic = 1 then 1 else 0 end) * 2 > count(*) or count(*) = 0 as failed from labels")
+def verdict(v: Views) -> DataFrame:
+    return v.table("labels").agg((F.coalesce(F.count_if(F.col("toxic") == 1) * 2 > F.count("*"), F.lit(False)) | (F.count("*") == 0)).alias("failed"))
+
+
+@query("select source, count(distinct lang) as n from documents group by 1 having count(distinct lang) > 1")
+def author_cardinality(v: Views) -> DataFrame:
+    return v.table("documents").groupBy("source").agg(F.count_distinct("lang").alias("n")).where("n > 1")
+
+
+# --- order ---
+
+
+@query("select event_id, event_type, ts from (select *, row_number() over (partition by event_type order by ts desc, event_id desc) as r from events) where r <= 20")
+def recent_samples(v: Views) -> DataFrame:
+    return sequence.last_of(v.log, ["event_type"], ["ts", "event_id"], 20).select("event_id", "event_type", "ts")
+
+
+@query("select user_id, event_id from (select *, row_number() over (partition by user_id order by ts, event_id) as r from events) where r = 1")
+def keep_first(v: Views) -> DataFrame:
+    return sequence.keep_first(v.log, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id")
+
+
+@query(""", e as (select user_id, event_type = 'view' as known, row_number() over (partition by user_id order by ts, event_id) as pos from events),
+i as (select *, sum(case when known then 0 else 1 end) over (partition by user_id order by pos) as island from e),
+r as (select user_id, pos, row_number() over (partition by user_id, island order by pos) as n from i where known)
+select u.user_id, stop_pos - 1 as run_pos, stop_pos from (select distinct user_id from e) u left join (select user_id, min(pos) as stop_pos from r where n = 2 group by 1) s using (user_id)""")
+def known_run(v: Views) -> DataFrame:
+    return sequence.known_run(v.log, ["user_id"], ["ts", "event_id"], F.col("event_type") == "view", 2).select("user_id", F.col("run_pos").cast("long").alias("run_pos"), F.col("stop_pos").cast("long").alias("stop_pos"))
+
+
+@query(""", f as (select user_id, min(event_id % 12) as slice from events group by 1)
+select slice, n_new, cast(sum(n_new) over (order by slice) as bigint) as cumulative from (select s.slice, count(user_id) as n_new from (select distinct event_id % 12 as slice from events) s left join f using (slice) group by 1)""")
+def marginal_new(v: Views) -> DataFrame:
+    return sequence.marginal_new(v.log.select((F.col("event_id") % 12).alias("slice"), "user_id"), "slice", "user_id")
+
+
+@query(""", s as (select distinct event_id % 12 as slice, user_id from events), t as (select count(*) as raw, count(distinct user_id) as united from s)
+select raw, united, raw - united as overlapping, round((raw - united) / cast(raw as double), 9) as ratio, (raw - united) / cast(raw as double) > 0.5 as alarm from t""")
+def overlap_ratio(v: Views) -> DataFrame:
+    return sequence.overlap(v.log.select((F.col("event_id") % 12).alias("slice"), "user_id"), "slice", "user_id")
+
+
+@query("select event_id, event_type from (select *, row_number() over (partition by event_type order by event_id) - 1 as r from events) where r % 4 = 1")
+def round_robin_shard(v: Views) -> DataFrame:
+    return sequence.shard(v.log, ["event_id"], 1, 4, ["event_type"]).select("event_id", "event_type")
+
+
+@query("select conv_id, count(*) as collected, max(conv_id % 7) as declared, count(*) + max(conv_id % 3) as accounted, count(*) + max(conv_id % 3) >= max(conv_id % 7) as complete, greatest(0, max(conv_id % 7) - count(*) - max(conv_id % 3)) as missing from conversations group by 1")
+def completeness(v: Views) -> DataFrame:
+    rows = v.table("conversations").select("conv_id", (F.col("conv_id") % 7).alias("declared"), (F.col("conv_id") % 3).alias("collapsed"))
+    return sequence.completeness(rows, ["conv_id"], "declared", "collapsed")
+
+
+@query("select event_id, coalesce(v = lag(v, 1) over w and v = lag(v, 2) over w and v > 0, false) as ready from (select *, event_id % 2 as v from events) window w as (partition by user_id order by ts, event_id)")
+def stable_reads(v: Views) -> DataFrame:
+    return sequence.stable_reads(v.log.withColumn("v", F.col("event_id") % 2), ["user_id"], ["ts", "event_id"], "v").select("event_id", "ready")
+
+
+@query("select user_id, batch, count(*) as n from (select user_id, (row_number() over (partition by user_id order by event_id) - 1) // 20 as batch from events) group by 1, 2")
+def micro_batch_check(v: Views) -> DataFrame:
+    return sequence.micro_batches(v.log, ["event_id"], 20, ["user_id"]).groupBy("user_id", "batch").agg(F.count("*").alias("n"))
+
+
+@query("select conv_id, turn, role, lag(turn) over (partition by conv_id order by turn) as parent_turn from conversations")
+def threads(v: Views) -> DataFrame:
+    return v.table("conversations").select("conv_id", "turn", "role", F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn")).alias("parent_turn"))
+
+
+def _sets(v: Views) -> tuple[DataFrame, DataFrame]:
+    return v.log.where("event_id % 2 = 0").select("user_id"), v.log.where("event_id % 60 = 1").select("user_id")
+
+
+@query("select user_id from events where event_id % 2 = 0 union select user_id from events where event_id % 60 = 1")
+def union_dedup(v: Views) -> DataFrame:
+    a, b = _sets(v)
+    return a.unionByName(b).distinct()
+
+
+@query("select user_id from events where event_id % 2 = 0 except select user_id from events where event_id % 60 = 1")
+def difference(v: Views) -> DataFrame:
+    a, b = _sets(v)
+    return a.subtract(b)
+
+
+@query("select user_id from events where event_id % 2 = 0 intersect select user_id from events where event_id % 60 = 1")
+def intersection(v: Views) -> DataFrame:
+    a, b = _sets(v)
+    return a.intersect(b)
+
+
+# --- functions ---
+
+PAGES = urls.Site(hosts=("example.com", "example.net", "example.org"), home="example.com", article_host="example.com", paths=(("article", r"^/[a-z]+/(\d+)(?:\.html)?$"),), profile=r"^/user/([^/]+)$")
+
+
+@query("""select page_id, regexp_extract(rtrim(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/'), '([0-9]+)', 1) as platform_id,
+lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)) as host from pages""")
+def normalize_url(v: Views) -> DataFrame:
+    host = F.lower(F.regexp_extract("url", r"^https?://([^/?#:]*)", 1))
+    site = urls.Site(hosts=PAGES.hosts, home=PAGES.home, article_host=PAGES.article_host, paths=(("article", r"^.*?(\d+).*$"),), profile=PAGES.profile)
+    plain = F.regexp_replace("url", r"^(https?)://[^/?#]*", "$1://example.com")
+    return v.table("pages").select("page_id", F.coalesce(urls.normalize_url(plain, site)["id"], F.lit("")).alias("platform_id"), host.alias("host"))
+
+
+@query("select doc_id, 'https://www.zhihu.com/question/' || doc_id || '/answer/' || (doc_id + 1) as url, 'answer' as content_type, cast(doc_id + 1 as varchar) as id, cast(doc_id as varchar) as question_id from documents where doc_id % 3 <> 2")
+def recognised_urls(v: Views) -> DataFrame:
+    i = F.col("doc_id")
+    raw = F.when(i % 3 == 0, F.concat(F.lit("//m.ZHIHU.com/question/"), i, F.lit("/answer/"), i + 1, F.lit("/?utm=x y#top"))).when(i % 3 == 1, F.concat(F.lit(" /question/"), i, F.lit("/answer/"), i + 1)).otherwise(F.concat(F.lit("https://other.org/question/"), i))
+    return v.table("documents").select("doc_id", urls.normalize_url(raw).alias("u")).where("u is not null").select("doc_id", "u.*")
+
+
+@query("select doc_id, cast(floor(case doc_id % 3 when 0 then (doc_id + 0.5) * 10000 when 1 then doc_id * 1000 else doc_id end) as bigint) as n, case when doc_id % 2 = 0 then doc_id else null end as comments from documents")
+def parse_count(v: Views) -> DataFrame:
+    i = F.col("doc_id")
+    said = F.when(i % 3 == 0, F.concat(F.lit("赞同 "), i, F.lit(".5 万"))).when(i % 3 == 1, F.concat(i, F.lit("k"))).otherwise(F.concat(F.lit("votes: "), i))
+    comments = F.when(i % 2 == 0, F.concat(F.lit("​"), i, F.lit("  条评论 "))).otherwise(F.concat(F.lit("点开 "), i, F.lit(" 条评论")))
+    return v.table("documents").select("doc_id", text.parse_count(said).alias("n"), text.comment_total(comments).alias("comments"))
+
+
+@query("select doc_id, case when doc_id % 5 <> 4 then make_timestamp(2000 + doc_id % 25, 1 + doc_id % 12, 1 + doc_id % 28, doc_id % 24, doc_id % 60, 0) end as at from documents")
+def parse_datetime(v: Views) -> DataFrame:
+    i = F.col("doc_id")
+    said = F.when(i % 5 == 4, F.concat(i, F.lit(" 小时前"))).otherwise(F.concat(F.lit("发布于 "), 2000 + i % 25, F.lit("年"), 1 + i % 12, F.lit("月"), 1 + i % 28, F.lit("日 "), i % 24, F.lit(":"), F.lpad((i % 60).cast("string"), 2, "0")))
+    return v.table("documents").select("doc_id", text.parse_datetime(said).cast("timestamp_ntz").alias("at"))
+
+
+@query("select doc_id, sha256(text) as content_hash, 'c-' || substr(sha256(text), 1, 16) as comment_id from documents where text is not null and trim(text) <> ''")
+def content_hash(v: Views) -> DataFrame:
+    d = v.table("documents").where(text.has_body(F.col("text")))
+    return d.select("doc_id", text.content_hash(F.col("text"), F.lit(None).cast("string")).alias("content_hash"), text.comment_identity(F.lit(""), F.col("text")).alias("comment_id"))
+
+
+@query("select doc_id, length(text) > 500 as offloaded, case when length(text) <= 500 then text end as content_text, case when length(text) > 500 then 'content/' || source || '/' || doc_id || '/text.txt.gz' end as storage_path from documents")
+def store_body(v: Views) -> DataFrame:
+    long = F.length("text") > 500
+    return v.table("documents").select("doc_id", long.alias("offloaded"), F.when(~long, F.col("text")).alias("content_text"), F.when(long, urls.storage_key(F.col("source"), F.col("doc_id").cast("string"), "text.txt.gz")).alias("storage_path"))
+
+
+@query("select doc_id, left(source, 5) || case when length(source) > 5 then '…' else '' end as excerpt, source || chr(10) || lang as message from documents")
+def excerpt_and_message(v: Views) -> DataFrame:
+    return v.table("documents").select("doc_id", text.excerpt_flat(F.col("source"), 5).alias("excerpt"), text.message(F.col("source"), F.lit(" "), F.lit(None).cast("string"), F.col("lang")).alias("message"))
+
+
+def _replies(v: Views) -> DataFrame:
+    """Replies of all sorts: plain, fenced, chatty, a list, a missing field, wrong types, out of range, a bad choice."""
+    good = '{"is_relevant": true, "platform_stance": "有利", "stance_confidence": 0.8, "n": 3, "ai_summary": " s "}'
+    kinds = (good, f"```json\n{good}\n```", f"Sure! {good} Bye", "[1]", '{"platform_stance": "有利"}', '{"is_relevant": 1, "platform_stance": 2, "stance_confidence": "0.8", "n": true}', '{"is_relevant": false, "platform_stance": "中立", "stance_confidence": 1.5, "n": -1}', '{"is_relevant": true, "platform_stance": "x", "stance_confidence": null}')
+    raw = F.element_at(F.array(*map(F.lit, kinds)), (F.col("doc_id") % 8 + 1).cast("int"))
+    return v.table("documents").select("doc_id", replies.parse_reply(raw).alias("r"))
+
+
+@query("""select doc_id, doc_id % 8 <> 3 as is_object, case when doc_id % 8 in (0, 1, 2, 7) then true when doc_id % 8 = 6 then false end as is_relevant,
+case when doc_id % 8 in (0, 1, 2, 4) then '有利' when doc_id % 8 = 6 then '中立' end as platform_stance, case when doc_id % 8 < 3 then 0.8 end::double as confidence,
+case when doc_id % 8 < 3 then 3 end::bigint as n, case when doc_id % 8 < 3 then 's' end as summary from documents""")
+def parse_reply(v: Views) -> DataFrame:
+    r = F.col("r")
+    return _replies(v).select("doc_id", r.isNotNull().alias("is_object"), replies.require_bool(r, "is_relevant").alias("is_relevant"), replies.require_choice(r, "platform_stance", PLATFORM_STANCES).alias("platform_stance"), replies.optional_float(r, "stance_confidence").alias("confidence"), replies.whole_number(r, "n").alias("n"), replies.optional_str(r, "ai_summary").alias("summary"))
+
+
+@query()
+def html_to_text(v: Views) -> DataFrame:
+    return v.table("pages").select("page_id", html.html_to_text("html").alias("text"))
+
+
+@query()
+def prescreen_topk(v: Views) -> DataFrame:
+    return prescreen.prescreen(v.content, ["the nation", "station"], ["title", "content_text"], _ts("2024-01-01 00:30:00"), 0.5, 50)
+
+
+# --- gate, sinks and checks ---
+
+
+def _records(v: Views) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    i = F.col("content_id")
+    records = v.content.select(i.cast("string").alias("url"), F.when(i % 17 == 0, "question").otherwise(F.col("content_type")).alias("content_type"), F.when(F.col("question_id").isNotNull(), F.col("question_id") + i % 2 * 30).alias("question_id"))
+    judgments = v.analysis.select(i.cast("string").alias("url"), F.when(i % 6 != 0, i % 2 == 0).alias("is_relevant"), "platform_stance")
+    return records, judgments, v.questions.where("is_relevant").select("question_id"), v.questions.select("question_id")
+
+
+GATE_SQL = """, r as (select cast(content_id as varchar) as url, case when content_id % 17 = 0 then 'question' else content_type end as content_type, question_id + content_id % 2 * 30 as question_id from v_content),
+j as (select cast(content_id as varchar) as url, content_id % 6 <> 0 and content_id % 2 = 0 as relevant, platform_stance from v_analysis),
+d as (select r.url, r.content_type, r.question_id, j.platform_stance, case when content_type = 'question' then 'rejected_question' when j.url is null then 'unjudged' when relevant then 'kept' when r.question_id is null then 'dropped_irrelevant'
+  when q.is_relevant then 'kept_by_parent' when q.question_id is null then 'dropped_unknown_parent' else 'dropped_irrelevant' end as disposition
+  from r left join j using (url) left join v_question q on q.question_id = r.question_id) """
+
+
+@query(GATE_SQL + "select url, disposition, coalesce(disposition = 'kept_by_parent' and platform_stance <> '不相关', false) as stance_conflict from d")
+def content_gate(v: Views) -> DataFrame:
+    return gate.content_disposition(*_records(v)).select("url", "disposition", "stance_conflict")
+
+
+@query(GATE_SQL + "select disposition, count(*) as n from d group by 1")
+def gate_report(v: Views) -> DataFrame:
+    return gate.report(gate.content_disposition(*_records(v)))
+
+
+def _event_judgments(v: Views) -> DataFrame:
+    i, e = F.col("content_id"), F.col("event_id")
+    return v.bridge.select("content_id", F.when(i % 13 == 0, "x").otherwise((e + i % 2 * 5).cast("string")).alias("event_id"), F.when(i % 7 != 0, i % 3 != 0).alias("is_relevant"), "stance", (1 + e % 3).alias("event_version"))
+
+
+@query(""", j as (select content_id, case when content_id % 13 = 0 then null else event_id + content_id % 2 * 5 end as eid, content_id % 7 <> 0 and content_id % 3 <> 0 as relevant, stance, 1 + event_id % 3 as event_version from v_bridge)
+select case when not relevant then 'skipped_irrelevant' when a.content_id is null then 'orphaned' when e.event_id is null then 'unknown_event' when j.event_version is distinct from e.version then 'version_mismatch'
+when stance is null then 'bad_stance' else 'saved' end as disposition, count(*) as n from j left join v_analysis a using (content_id) left join v_event e on e.event_id = j.eid group by 1""")
+def event_report(v: Views) -> DataFrame:
+    return gate.report(gate.event_disposition(_event_judgments(v), v.analysis, v.events))
+
+
+def _batch(v: Views) -> DataFrame:
+    i = F.col("doc_id")
+    return v.table("documents").select(i.alias("ord"), (i % 900).cast("string").alias("url"), F.when(i % 2 == 0, "answer").otherwise("comment").alias("content_type"), (i % 300).cast("string").alias("platform_id"), F.when(i % 5 == 0, "answer").alias("parent_type"), F.when(i % 5 == 0, (i % 170).cast("string")).alias("parent_platform_id"), i.alias("content_id"))
+
+
+@query(""", b as (select doc_id as ord, cast(doc_id % 900 as varchar) as url, case when doc_id % 2 = 0 then 'answer' else 'comment' end as content_type, cast(doc_id % 300 as varchar) as platform_id,
+  case when doc_id % 5 = 0 then cast(doc_id % 170 as varchar) end as pid, doc_id >= 100 and row_number() over (partition by doc_id % 900 order by doc_id) = 1 and doc_id % 900 >= 100 as inserted from documents)
+select c.ord, inserted, (select p.ord from b p where p.inserted and p.platform_id = c.pid and p.ord < c.ord order by p.content_type = 'answer' desc, p.ord desc limit 1) as parent_content_id from b c""")
+def resolve_parent(v: Views) -> DataFrame:
+    existing = v.spark.range(100).select(F.col("id").cast("string").alias("url"))
+    return gate.resolve_parents(gate.new_rows(_batch(v), existing, "url", "ord")).select("ord", "inserted", "parent_content_id")
+
+
+def _authors(v: Views) -> tuple[DataFrame, DataFrame]:
+    now = v.table("customer").where("c_custkey <= 100").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.lit("note").alias("note"), F.lit(1).cast("long").alias("version"))
+    i = F.col("doc_id")
+    changes = v.table("documents").select(i.alias("ord"), (i % 150).alias("k"), F.when(i % 4 != 0, F.col("source")).alias("name"), F.when(i % 3 == 0, F.concat(F.lit("n"), i)).alias("note"), i.alias("version"))
+    return now, changes
+
+
+AUTHORS_SQL = """, t as (select c_custkey::bigint as k, c_name as name, 'note' as note, 1::bigint as version from customer where c_custkey <= 100),
+c as (select doc_id as ord, doc_id % 150 as k, case when doc_id % 4 <> 0 then source end as name, case when doc_id % 3 = 0 then 'n' || doc_id end as note, doc_id as version from documents) """
+
+
+@query(AUTHORS_SQL + ", f as (select * from (select *, row_number() over (partition by k order by ord) as r from c) where r = 1) select k, name, note, version from t union all select k, name, note, version from f where k not in (select k from t)")
+def insert_ignore(v: Views) -> DataFrame:
+    return store.insert_ignore(*_authors(v), ["k"], "ord")[0]
+
+
+@query(AUTHORS_SQL + ", f as (select * from (select *, row_number() over (partition by k order by ord desc) as r from c) where r = 1) select k, case when f.k is null then t.name else f.name end as name, case when f.k is null then t.note else f.note end as note, coalesce(t.version, f.version) as version from t full join f using (k)")
+def ensure_author(v: Views) -> DataFrame:
+    return store.replace(*_authors(v), ["k"], "ord", keep=("version",))
+
+
+@query(AUTHORS_SQL + ", f as (select k, arg_max(name, ord) filter (where name is not null) as name, arg_max(note, ord) filter (where note is not null) as note from c group by 1) select k, coalesce(f.name, t.name) as name, coalesce(f.note, t.note) as note, case when f.k is null then t.version else 0 end as version from t full join f using (k)")
+def human_patch(v: Views) -> DataFrame:
+    return store.patch(*_authors(v), ["k"], "ord", ["name", "note"], {"version": F.lit(0).cast("long")})
+
+
+@query("select question_id, follow_up_done or question_id % 5 = 0 as follow_up_done, question_id % 5 = 0 and not follow_up_done as won from v_question")
+def mark_follow_up(v: Views) -> DataFrame:
+    after, won = store.compare_and_set(v.questions, v.spark.range(0, 90, 5).withColumnRenamed("id", "question_id"), "question_id", "follow_up_done")
+    return after.select("question_id", "follow_up_done").join(won.withColumn("w", F.lit(True)), "question_id", "left").select("question_id", "follow_up_done", F.coalesce("w", F.lit(False)).alias("won"))
+
+
+@query("select doc_id, substr(sha256(source), 1, 8) || '-' || substr(sha256(source), 9, 4) || '-' || substr(sha256(source), 13, 4) || '-' || substr(sha256(source), 17, 4) || '-' || substr(sha256(source), 21, 12) as content_id from documents")
+def content_id(v: Views) -> DataFrame:
+    return v.table("documents").select("doc_id", store.content_id(F.col("source")).alias("content_id"))
+
+
+@query("select content_id, 'risk_level' as violated from v_analysis where risk_level = '高风险'")
+def enum_checks(v: Views) -> DataFrame:
+    return enum_violations(v.analysis, {"risk_level": RISKS[:2], "platform_stance": PLATFORM_STANCES}).select("content_id", "violated")
+
+
+@query("select text, count(*) as n from documents group by 1 having count(*) > 1")
+def uniques(v: Views) -> DataFrame:
+    return duplicate_keys(v.table("documents"), ("text",))
+
+
+@query("select content_id from v_content where content_id not in (select doc_id from labels)")
+def foreign_keys(v: Views) -> DataFrame:
+    return orphans(v.content.select("content_id"), "content_id", v.table("labels"), "doc_id")
+
+
+@query("select doc_id, case when doc_id % 5 = 0 then 'no_id' when doc_id % 7 = 0 then 'no_url' when doc_id % 3 = 0 then 'bad_type' end as reject_reason from documents")
+def buildable(v: Views) -> DataFrame:
+    i = F.col("doc_id")
+    docs = v.table("documents").select("doc_id", F.when(i % 5 != 0, i.cast("string")).alias("platform_id"), F.when(i % 7 == 0, "").otherwise("u").alias("url"), F.when(i % 3 == 0, "question").otherwise("answer").alias("content_type"))
+    return gate.buildable(docs).select("doc_id", "reject_reason")
+
+
+@query("select doc_id, case when contains(text, 'idiot') then '高风险' when contains(text, 'nation') then '中风险' else '低风险' end as risk_level from documents")
+def rule_judge(v: Views) -> DataFrame:
+    verdict_ = judge.rule_judge(F.col("text"), [("idiot", True, "抹黑", "高风险"), ("nation", True, "中立", "中风险")], (False, "不相关", "低风险"))
+    return v.table("documents").select("doc_id", verdict_["risk_level"].alias("risk_level"))
+
+
+@query("select count(*) filter (where trim(text) <> '') as done, count(*) filter (where text is null or trim(text) = '') as failed, count(*) as total from documents")
+def concurrent_judge(v: Views) -> DataFrame:
+    return judge.batch_report(judge.judge_each(v.table("documents"), "doc_id", "text", lambda t: t[:10]))
+
+
+@query("select p_partkey::bigint as version, case when p_partkey > 150 then 'pending' when p_partkey <= 10 then 'drifted' else 'applied' end as status, p_partkey <= 10 as blocked from part where p_partkey <= 200 union all select 100000 + i, 'orphaned', true from range(5) t(i)")
+def migration_plan(v: Views) -> DataFrame:
+    k = F.col("p_partkey").cast("long")
+    parts = v.table("part").where("p_partkey <= 200").select(k.alias("version"), F.lit("a").alias("checksum"))
+    applied = parts.where("version <= 150").select("version", F.when(F.col("version") <= 10, "b").otherwise("a").alias("checksum")).unionByName(v.spark.range(5).select((100_000 + F.col("id")).alias("version"), F.lit("a").alias("checksum")))
+    return migrations.migration_plan(parts, applied)
+
+
+@query("select r_name as keyword, count(*) as n from region, range(12) group by 1")
+def backfill_matrix(v: Views) -> DataFrame:
+    return migrations.backfill_matrix(v.table("region").select(F.col("r_name").alias("keyword"))).groupBy("keyword").agg(F.count("*").alias("n"))
