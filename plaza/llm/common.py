@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import gc
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -13,8 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of a batch that are turned into Python objects at a time.
-SLICE_ROWS = 256
+#: Rows of an Arrow batch, and of the part of it that is turned into Python objects at a time.
+BATCH_ROWS, SLICE_ROWS = 1000, 250
+
+_LIBC = ctypes.CDLL(ctypes.util.find_library("c") or "libc.so.6") if sys.platform == "linux" else None
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,8 +32,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session have at most BATCH_ROWS rows: texts are long, and several workers share an executor."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
+def tidy() -> None:
+    """Gives back what a finished task leaves in its worker, which other tasks use again."""
+    MEMO.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _LIBC:
+        _LIBC.malloc_trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
+    bounded_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/plaza-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -40,13 +63,16 @@ def raw_texts(column: pa.Array) -> list[bytes]:
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of SLICE_ROWS; the worker is tidied at their end."""
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE_ROWS):
             yield batch.slice(at, SLICE_ROWS)
+    tidy()
 
 
 def with_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable[[list[bytes]], list[pa.Array]]) -> DataFrame:
     """df with columns computed from the bytes of its texts; columns of df with the same names are replaced."""
+    bounded_batches(df.sparkSession)
     kept = df.drop(*(f.name for f in fields if f.name != text))
     names = [*kept.columns, *(f.name for f in fields)]
 
@@ -60,7 +86,7 @@ def with_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Ca
 class WordHashes(dict):
     """Memo of word -> 64-bit hash. It is emptied when full, which changes no result."""
 
-    full = 300_000
+    full = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.full:

@@ -107,11 +107,10 @@ def sets_of(docs: DataFrame, ids: DataFrame, doc: str, text: str, words: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.unpackbits(bits.value).view(bool)
-        for batch in batches:
-            for part in slices([batch.filter(pa.array(own[batch.column(1).to_numpy()]))]):
-                found = [shingles_of(raw, words) for raw in raw_texts(part.column(2))]
-                d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in found), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), lists([s.view(np.int64) for s in found], pa.int64())], names=["rep", "d1", "d2", "shingles"])
+        for part in slices(batch.filter(pa.array(own[batch.column(1).to_numpy()])) for batch in batches):
+            found = [shingles_of(raw, words) for raw in raw_texts(part.column(2))]
+            d = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in found), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(d[:, 0]), pa.array(d[:, 1]), lists([s.view(np.int64) for s in found], pa.int64())], names=["rep", "d1", "d2", "shingles"])
 
     own_id = F.col(doc).cast("long")
     return docs.where(F.col(doc).isNotNull()).select(own_id.alias("rep"), slot(own_id).alias("slot"), F.col(text).alias("text")).mapInArrow(run, "rep long, d1 long, d2 long, shingles array<long>")

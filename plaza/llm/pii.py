@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, with_columns
+from .common import bounded_batches, slices, with_columns
 
 #: Kinds in the order in which spans of one start are listed; the first four have base rules.
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -199,6 +199,7 @@ def pattern_counts(docs: DataFrame, text: str = "text") -> Counter:
         keys = [",".join(map(str, k)) for k in seen]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(list(seen.values()), pa.int64())], names=["key", "n"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(text).mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()
     out: Counter = Counter()
     for r in rows:
@@ -312,6 +313,7 @@ def find(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 def mask(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """docs with each span of its texts replaced by its kind in angle brackets; where spans overlap, the first and then the longest counts. Null stays null; all other columns stay."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     at = names.index(text)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mixed, raw_texts, slices
+from .common import bounded_batches, mixed, raw_texts, slices
 
 #: A chunk has 2 ** CUT_BITS words on average.
 CUT_BITS = 2
@@ -80,6 +80,7 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words:
             )
 
     schema = T.StructType([*T.StructType.fromDDL("d1 long, d2 int").fields, T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("first_word int, end_word int").fields])
+    bounded_batches(docs.sparkSession)
     rows = docs.where(F.col(doc).isNotNull()).select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
     shared = rows.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "first_word")).alias("one"), F.max("doc_id").alias("other")).where("one.doc_id <> other").select("d1", "d2", "one")
     return rows.join(shared, ["d1", "d2"]).select("doc_id", "first_word", "end_word", ((F.col("doc_id") == F.col("one.doc_id")) & (F.col("first_word") == F.col("one.first_word"))).alias("kept"))
