@@ -82,8 +82,10 @@ def repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words:
     schema = T.StructType([*T.StructType.fromDDL("d1 long, d2 int").fields, T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("first_word int, end_word int").fields])
     bounded_batches(docs.sparkSession)
     rows = docs.where(F.col(doc).isNotNull()).select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
-    shared = rows.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "first_word")).alias("one"), F.max("doc_id").alias("other")).where("one.doc_id <> other").select("d1", "d2", "one")
-    return rows.join(shared, ["d1", "d2"]).select("doc_id", "first_word", "end_word", ((F.col("doc_id") == F.col("one.doc_id")) & (F.col("first_word") == F.col("one.first_word"))).alias("kept"))
+    # one shuffle; a run has one row for each place, so that none outweighs the rest
+    by = Window.partitionBy("d1", "d2")
+    seen = rows.withColumn("one", F.min(F.struct("doc_id", "first_word")).over(by)).withColumn("other", F.max("doc_id").over(by)).where("one.doc_id <> other")
+    return seen.select("doc_id", "first_word", "end_word", ((F.col("doc_id") == F.col("one.doc_id")) & (F.col("first_word") == F.col("one.first_word"))).alias("kept"))
 
 
 def find_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
