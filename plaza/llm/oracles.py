@@ -1,3 +1,24 @@
 """DuckDB SQL with the results of the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _LOWER + r", '[0-9a-z\x{80}-\x{10FFFF}]+')"
+
+SQL: dict[str, str] = {
+    "op5_chat_format": r"""with r as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(15 + length(role) + 2 * length(text) - length(replace(replace(replace(text, '\', ''), '<', ''), '>', ''))) as bigint) as formatted_chars
+from r group by conv_id""",
+    "op10_decontaminate": f"""with d as (select doc_id, {_WORDS} as w from documents),
+i as (select cast(item_id as varchar) as item_id, w, least(10, len(w)) as k from (select item_id, {_WORDS} as w from benchmark) where len(w) > 0),
+iw as (select distinct item_id, k, array_to_string(list_slice(w, s, s + k - 1), ' ') as win from (select item_id, w, k, unnest(range(1, len(w) - k + 2)) as s from i)),
+dw as (select doc_id, s, k, array_to_string(list_slice(w, s, s + k - 1), ' ') as win from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as s from d, (select distinct k from iw) where len(w) >= k)),
+h as (select doc_id, s, k, item_id from dw join iw using (k, win)),
+n as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + k)) as p from h) group by 1),
+t as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items from (select distinct doc_id, item_id from h) group by 1)
+select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join n using (doc_id) left join t using (doc_id)""",
+}
