@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import html, replies, text, urls
-from .operators import gate, judge, prescreen, search, sequence, store
+from .functions import cards, html, replies, text, urls
+from .operators import collection, gate, judge, prescreen, search, sequence, store
 from .plans import migrations
 from .schema import PLATFORM_STANCES, RISKS, duplicate_keys, enum_violations, orphans
 from .views import CTES, Views
@@ -449,3 +449,107 @@ def migration_plan(v: Views) -> DataFrame:
 @query("select r_name as keyword, count(*) as n from region, range(12) group by 1")
 def backfill_matrix(v: Views) -> DataFrame:
     return migrations.backfill_matrix(v.table("region").select(F.col("r_name").alias("keyword"))).groupBy("keyword").agg(F.count("*").alias("n"))
+
+
+# --- collection rounds, targets and envelopes ---
+
+
+@query("select doc_id, case when doc_id % 3 = 0 then '最多赞同' when doc_id % 2 = 0 then '综合排序' else '最新发布' end as sort, case when doc_id % 2 = 0 then '不限时间' else '一天内' end as time, '不限类型' as type from documents")
+def spec_defaults(v: Views) -> DataFrame:
+    i, none = F.col("doc_id"), F.lit(None).cast("string")
+    specs = v.table("documents").select("doc_id", F.when(i % 2 == 0, "backfill").otherwise("update").alias("mode"), F.when(i % 3 == 0, "最多赞同").alias("sort"), none.alias("time"), none.alias("type"))
+    return collection.spec_defaults(specs).drop("mode")
+
+
+@query(""", f as (select user_id, min(event_id % 12) as slice from events group by 1),
+m as (select s.slice, count(user_id) as n_new from (select distinct event_id % 12 as slice from events) s left join f using (slice) group by 1),
+t as (select count(*) as n_slices, cast(coalesce(sum(n_new) filter (where r <= 2), 0) as bigint) as tail_new, cast(sum(n_new) as bigint) as united from (select *, row_number() over (order by slice desc) as r from m))
+select *, case when n_slices >= 4 then case when tail_new = 0 then 'full' when tail_new > united * 0.2 then 'short' else 'enough' end end as verdict from t""")
+def tail_yield(v: Views) -> DataFrame:
+    return collection.tail_yield(sequence.marginal_new(v.log.select((F.col("event_id") % 12).alias("slice"), "user_id"), "slice", "user_id"))
+
+
+@query("select user_id, count(*) as n_rounds, cast(sum(event_id % 2) as bigint) as collected, count(*) filter (where event_id % 2 = 0) as stalled, arg_max(event_type, (ts, event_id)) = 'view' as complete from events group by 1")
+def slice_metrics(v: Views) -> DataFrame:
+    return collection.slice_metrics(v.log.withColumn("new", F.col("event_id") % 2), ["user_id"], ["ts", "event_id"], "new", "event_type", "view")
+
+
+@query("select doc_id, coalesce(doc_id % 5 >= case when doc_id % 4 <> 0 then doc_id % 7 end, false) as reached from documents")
+def declared_reached(v: Views) -> DataFrame:
+    i = F.col("doc_id")
+    return v.table("documents").select("doc_id", collection.declared_reached(F.when(i % 4 != 0, i % 7), i % 5).alias("reached"))
+
+
+@query("select conv_id, turn from (select conv_id, turn, count(*) over (partition by conv_id) as n from conversations where role = 'assistant') where n = 1")
+def exactly_one(v: Views) -> DataFrame:
+    return collection.exactly_one(v.table("conversations"), ["conv_id"], F.col("role") == "assistant").select("conv_id", "turn")
+
+
+@query(""", b as (select cast(doc_id % 300 as varchar) as url, 0 as rank, source as keyword from documents where doc_id % 2 = 0 union all select cast(doc_id % 500 as varchar), 1, lang from documents)
+select url, rank, keyword from (select *, row_number() over (partition by url order by rank, keyword nulls first) as r from b) where r = 1""")
+def targets(v: Views) -> DataFrame:
+    d = v.table("documents")
+    explicit = d.where("doc_id % 2 = 0").select((F.col("doc_id") % 300).cast("string").alias("url"), F.col("source").alias("keyword"))
+    return collection.targets(explicit, d.select((F.col("doc_id") % 500).cast("string").alias("url"), F.col("lang").alias("keyword")))
+
+
+@query("select question_id from v_question where is_relevant")
+def relevant_set(v: Views) -> DataFrame:
+    return collection.relevant_set(v.questions, "question_id")
+
+
+@query("select content_id, event_id from v_content, v_event where (content_id, event_id) not in (select content_id, event_id from v_bridge)")
+def content_x_event(v: Views) -> DataFrame:
+    return collection.missing_pairs(v.content, v.events, v.bridge.select("content_id", "event_id"))
+
+
+def _prompts(v: Views) -> DataFrame:
+    return v.table("region").select(F.col("r_regionkey").cast("long").alias("version"), F.col("r_name").alias("body"), (F.col("r_regionkey") == 2).alias("is_active"))
+
+
+@query("select r_regionkey::bigint as version, r_name as body, false as is_active from region union all select 100, 'new', true")
+def push_prompt(v: Views) -> DataFrame:
+    return collection.push_prompt(_prompts(v), v.spark.range(100, 101).select(F.col("id").alias("version"), F.lit("new").alias("body")))
+
+
+@query("select r_regionkey::bigint as version, r_name as body, true as is_active from region where r_regionkey = 2")
+def active_prompt(v: Views) -> DataFrame:
+    return collection.active_prompt(_prompts(v))
+
+
+@query("select doc_id, case when doc_id % 4 = 0 then 'hi' end as message, case doc_id % 4 when 1 then 'wrong_shape' when 2 then 'not_json' when 3 then 'wrong_shape' end as error from documents")
+def reply_envelope(v: Views) -> DataFrame:
+    kinds = ('{"choices": [{"message": {"content": "hi"}}]}', '{"choices": []}', "Bad gateway", '{"choices": [{"message": {"content": 5}}]}')
+    message, error = collection.reply_envelope(F.element_at(F.array(*map(F.lit, kinds)), (F.col("doc_id") % 4 + 1).cast("int")))
+    return v.table("documents").select("doc_id", message.alias("message"), error.alias("error"))
+
+
+@query(""", x as (select content_id, content_type in ('answer', 'article') and content_id % 3 <> 0 as checked, content_id % 11 = 0 as flagged, voteup_count as dom, case when content_id % 13 <> 0 then voteup_count + content_id % 500 end as js from v_content)
+select content_id, checked, case when checked and flagged then false when checked then dom + 200 >= js * 0.95::double end as agree from x""")
+def cross_check_json(v: Views) -> DataFrame:
+    i, dom = F.col("content_id"), F.col("voteup_count")
+    checked, agree = collection.cross_check(F.col("content_type"), ("question", "answer", "article"), i % 3 != 0, i % 11 == 0, dom, F.when(i % 13 != 0, dom + i % 500))
+    return v.content.select("content_id", checked.alias("checked"), agree.alias("agree"))
+
+
+@query("select case page_id % 3 when 0 then 'no_link' when 1 then 'not_content' else 'kept' end as fate, count(*) as n from pages group by 1")
+def search_card(v: Views) -> DataFrame:
+    i = F.col("page_id")
+    card = F.concat(F.lit("<div class='card'>"), F.when(i % 3 == 1, "<a href='/people/x'>x</a>").when(i % 3 == 2, F.concat(F.lit("<a class='t' href='//www.zhihu.com/question/"), i, F.lit("?a=1'>q</a>"))).otherwise("<a name='x'>x</a>"), F.lit("</div>"))
+    link = cards.css_pick(card, cards.Selector("a", "t", "href"), cards.Selector("a", attribute="href"))
+    return v.table("pages").select(cards.card_fate(link["href"]).alias("fate")).groupBy("fate").agg(F.count("*").alias("n"))
+
+
+@query()
+def page_heading(v: Views) -> DataFrame:
+    return v.table("pages").select("page_id", cards.css_pick(F.col("html"), cards.Selector("h1"), cards.Selector("title"))["text"].alias("heading"))
+
+
+@query("select content_id from v_content where content_text is null and title is null")
+def body_present(v: Views) -> DataFrame:
+    return v.content.where(F.col("content_text").isNull() & F.col("title").isNull()).select("content_id")
+
+
+@query("select doc_id, case when doc_id * 1000 - 50000 >= 0 then doc_id * 1000 - 50000 end as at from documents")
+def asked_at(v: Views) -> DataFrame:
+    return v.table("documents").select("doc_id", F.unix_seconds(text.asked_at(F.col("doc_id") * 1000 - 50000)).alias("at"))

@@ -137,3 +137,25 @@ def test_early_stop_stream_equals_batch(spark, tmp_path):
     q.awaitTermination()
     batch = sequence.known_run(df, ["user"], ["pos"], F.col("known"), 3).where("stop_pos is not null")
     assert {(r.user, r.stop_pos) for r in spark.table("stops").collect()} == {(r.user, r.stop_pos) for r in batch.collect()}
+
+
+def test_pick_element_takes_the_first_selector_that_matches():
+    from plaza.functions.cards import Selector, pick_element
+
+    page = "<div><meta itemprop=u content=' 5 '><p class='a b'>x<br> <b>y</b></p><a href=' /q '>z</a><p class=b>w</div>"
+    assert pick_element(page, (Selector("h1"), Selector("p", "b"))) == ("xy", None)
+    assert pick_element(page, (Selector("meta", attribute="itemprop"),)) == ("5", None)
+    assert pick_element(page, (Selector("a", attribute="href"),)) == ("z", "/q")
+    assert pick_element(page, (Selector("h1"),)) is None and pick_element(None, (Selector("a"),)) is None
+
+
+def test_push_prompt_and_narrowing_refuse(spark):
+    import pytest
+    from plaza.operators import collection
+
+    prompts = spark.sql("select 1L as version, 'a' as body, true as is_active")
+    with pytest.raises(ValueError):
+        collection.push_prompt(prompts, prompts.drop("is_active"))
+    with pytest.raises(ValueError):
+        collection.narrowed(spark.sql("select 'a' as type, 'b' as time"), types=("x",))
+    assert collection.narrowed(spark.sql("select 'a' as type, 'b' as time"), types=("a",)).count() == 1
