@@ -7,14 +7,15 @@ bigram that was kept, weighted with its smoothed log-probability, and a failure
 root, weighted with the log of the mass left for all other words. A document is one walk
 from left to right that carries state and adds up weights.
 
-Histories and their continuations are words with at least ``MIN_SHARE`` of all training
-tokens (so at most 1 / MIN_SHARE words, which bounds what is broadcast); of their pairs those
-seen ``MIN_PAIR`` times are kept. Counts of words and pairs cover all training documents.
-
-Neither vocabulary nor pairs are ever in one place. They are counted where the documents lie
-and summed by a shuffle. For the walk, documents are dealt into blocks of about
-``BLOCK_CHARS``; a block asks for each of its distinct words and pairs once, builds the part
-of the automaton that its documents can reach from the answers, and walks them.
+Every word is a history, and every pair of words seen ``MIN_PAIR`` times has an arc, at every
+size of the input (unless the caller sets ``min_share``). Counts of words and pairs cover all
+training documents.
+
+Neither vocabulary nor pairs nor histories' masses are ever in one place, and none is
+broadcast. They are counted by 64-bit names where the documents lie and summed by a shuffle.
+For the walk, documents are dealt into blocks of about ``BLOCK_CHARS``; a block asks for each
+of its distinct words and pairs once, builds the part of the automaton that its documents can
+reach from the answers, and walks them.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import raw_texts, slices, stored, tidy
+from .common import longs, raw_texts, slices, stored, tidy, windows, word_hashes
 
 ALPHA = 0.1
 DISCOUNT = 0.75
-MIN_SHARE = 1e-5
+#: Least share of all training tokens that makes a word a state; 0: all words are.
+MIN_SHARE = 0.0
 MIN_PAIR = 2
 BLOCK_CHARS = 6_000_000
 #: Entries that a task holds while counting.
@@ -86,25 +88,14 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _pairs_of(ids: list[int], size: int) -> np.ndarray:
-    """history * size + word for neighbours that are both states; -1 stands for other words."""
-    a = np.asarray(ids, np.int64)
-    h, w = a[:-1], a[1:]
-    ok = (h >= 0) & (w >= 0)
-    return h[ok] * size + w[ok]
+#: The end token's name; no token follows it in its document.
+_END = np.uint64(xxhash.xxh3_64_intdigest(END))
 
 
-class Vocabulary(dict):
-    """word -> state number, or -1; looked up by the word's 64-bit name. Emptied when full."""
-
-    def __init__(self, keys: np.ndarray) -> None:
-        self.states = dict(zip(keys.tolist(), range(len(keys))))
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = out = self.states.get(_key(word), -1)
-        return out
+def _pairs_of(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit names of the pairs of neighbours in texts laid end to end, and the places of their histories."""
+    at = np.flatnonzero(names[:-1] != _END)
+    return windows(names, 2)[at], at
 
 
 class Numbers(dict):
@@ -126,45 +117,17 @@ def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.fromiter(map(_key, numbers), np.int64, len(numbers)), np.concatenate(parts), starts
 
 
-def _places(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """The place of each key in a sorted array, or -1."""
-    if not len(among):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
-    return np.where(among[at] == keys, at, -1)
-
-
-def _carried(states: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The state in which each token finds the automaton: its predecessor's, or the root (-1) where a text begins."""
-    before = np.empty_like(states)
-    before[1:] = states[:-1]
-    before[starts] = -1
-    return before
+def _asked(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(words, pairs, word of each token, pair of each pair's token, places of the pairs' histories, starts).
 
-
-class Automaton:
-    """The states, arcs and failure arcs that a block needs. State -1 is the root.
-
-    arcs: history * size + word of each arc, sorted, with the arcs' weights; failure: a weight for each state.
+    words and pairs are the sorted distinct names, so a block numbers them alike whatever the order of its rows.
     """
-
-    def __init__(self, size: int, arcs: np.ndarray, weights: np.ndarray, failure: np.ndarray) -> None:
-        self.size, self.arcs, self.weights, self.failure = size, arcs, weights, failure
-
-    def walk(self, states: np.ndarray, alone: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 probabilities of texts laid end to end: their tokens' states (-1: none) and unigram log-probabilities.
-
-        A token leads to its own state whichever arc it took, so the state carried into each step
-        is known beforehand, and the steps of a walk are taken as arrays.
-        """
-        before = _carried(states, starts)
-        step = alone.copy()
-        inside = np.flatnonzero(before >= 0)
-        step[inside] += self.failure[before[inside]]
-        inside = inside[states[inside] >= 0]
-        at = _places(before[inside] * self.size + states[inside], self.arcs)
-        step[inside[at >= 0]] = self.weights[at[at >= 0]]
-        return np.add.reduceat(step, starts)
+    names, ids, starts = _numbered(texts)
+    names = names.view(np.uint64)
+    words, number = np.unique(names, return_inverse=True)
+    pair, at = _pairs_of(names[ids])
+    pairs, pair_number = np.unique(pair, return_inverse=True)
+    return words, pairs, number[ids], pair_number, at, starts
 
 
 def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "text", alpha: float = ALPHA, discount: float = DISCOUNT, min_share: float = MIN_SHARE, min_pair: int = MIN_PAIR) -> DataFrame:
@@ -181,73 +144,73 @@ def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "t
     total = counts.agg(F.count("*"), F.sum("c")).first()
     v, n = total[0], total[1] or 0
     floor = -math.log10(n + alpha * (v + 1))  # log10 P = log10(c + alpha) + floor
-    # states: words with a share that bounds their number
-    states = counts.where(F.col("c") >= max(1, math.ceil(min_share * n))).orderBy("word").toArrow()
-    state_counts = states["c"].to_numpy()
-    size = len(state_counts) + 1
-    shared = spark.sparkContext.broadcast(states["word"].to_numpy())
-
-    def pairs_of(vocabulary: Vocabulary, raw: bytes) -> np.ndarray:
-        return _pairs_of(list(map(vocabulary.__getitem__, tokens_of(raw))), size)
+    least = max(1, math.ceil(min_share * n))
+    # only by a caller's min_share: at most 1 / min_share words
+    states = spark.sparkContext.broadcast(counts.where(F.col("c") >= least).select("word").toArrow()["word"].to_numpy().view(np.uint64)) if least > 1 else None
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        waiting: list[np.ndarray] = []
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
 
         def summed() -> pa.RecordBatch:
-            pair, m = np.unique(np.concatenate(waiting or [np.empty(0, np.int64)]), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), pa.array(m, pa.int64())], names=["pair", "n"])
+            pair, history = map(np.concatenate, zip(*waiting)) if waiting else (np.empty(0, np.uint64),) * 2
+            waiting.clear()
+            pair, first, m = np.unique(pair, return_index=True, return_counts=True)
+            history = history[first]
+            order = np.argsort(history)
+            return pa.RecordBatch.from_arrays([longs(pair[order]), longs(history[order]), pa.array(m[order], pa.int64())], names=["pair", "history", "n"])
 
         for part in slices(batches):
-            waiting += [pairs_of(vocabulary, raw) for raw in raw_texts(part.column(0))]
-            if sum(map(len, waiting)) >= 4 * FLUSH:
+            names = word_hashes([w for raw in raw_texts(part.column(0)) for w in tokens_of(raw)])
+            pair, at = _pairs_of(names)
+            if states:
+                ok = np.isin(names, states.value)
+                ok = ok[at] & ok[at + 1]
+                pair, at = pair[ok], at[ok]
+            waiting.append((pair, names[at]))
+            if sum(len(x) for x, _ in waiting) >= 4 * FLUSH:
                 yield summed()
-                waiting.clear()
         yield summed()
 
-    kept = stored(train_texts.mapInArrow(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("c")).where(F.col("c") >= min_pair), "pairs")
-    # the mass that a history's arcs take: at most 1 / min_share rows
-    mass = kept.groupBy(F.expr(f"cast(pair div {size} as int)").alias("h")).agg(F.sum(F.col("c") - F.lit(discount)).alias("taken")).toArrow()
-    weights = spark.sparkContext.broadcast((mass["h"].to_numpy(), mass["taken"].to_numpy(), state_counts))
+    pairs = train_texts.mapInArrow(count_pairs, "pair long, history long, n long").groupBy("pair", "history").agg(F.sum("n").alias("c"))
+    kept = stored(pairs.where(F.col("c") >= min_pair), "pairs")
+    # the mass that a history's arcs take
+    mass = kept.groupBy(F.col("history").alias("word")).agg(F.sum(F.col("c") - F.lit(discount)).alias("taken"))
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:
-        words, ids, starts = _numbered(raw_texts(table["text"].combine_chunks()))
-        states = _places(words, shared.value)[ids]
-        before = _carried(states, starts)
-        inside = (before >= 0) & (states >= 0)
-        pair = np.unique(before[inside] * size + states[inside])
-        keys = np.concatenate([words, pair])
-        return pa.table({"block": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "is_word": np.arange(len(keys)) < len(words), "key": keys})
+        words, pairs, *_ = _asked(raw_texts(table["text"].combine_chunks()))
+        keys = np.concatenate([words, pairs])
+        return pa.table({"block": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "place": np.arange(len(keys), dtype=np.int32), "is_word": np.arange(len(keys)) < len(words), "key": longs(keys)})
 
     dealt = blocks(docs, doc, text, training)
-    known = counts.select(F.lit(True).alias("is_word"), F.col("word").alias("key"), "c").unionByName(kept.select(F.lit(False).alias("is_word"), F.col("pair").alias("key"), "c"))
-    answers = dealt.groupBy("block").applyInArrow(ask, "block int, is_word boolean, key long").join(known, ["is_word", "key"]).select("block", "is_word", "key", "c")
+    known = (
+        counts.join(mass, "word", "left").select(F.lit(True).alias("is_word"), F.col("word").alias("key"), "c", F.coalesce("taken", F.lit(0.0)).alias("taken"))
+        .unionByName(kept.select(F.lit(False).alias("is_word"), F.col("pair").alias("key"), "c", F.lit(0.0).alias("taken")))
+    )
+    answers = dealt.groupBy("block").applyInArrow(ask, "block int, place int, is_word boolean, key long").join(known, ["is_word", "key"]).select("block", "place", "c", "taken")
 
     def walk_block(key: tuple, texts: pa.Table, model: pa.Table) -> pa.Table:
-        words, ids, starts = _numbered(raw_texts(texts["text"].combine_chunks()))
-        key, c = (model[x].to_numpy() for x in ("key", "c"))
-        order = np.argsort(key)
-        of_word = model["is_word"].to_numpy()[order]
-        key, c = key[order], c[order]
-        at = _places(words, key[of_word])
-        word_c = np.append(c[of_word], 0)[at]  # -1, an unknown word, reads the 0
+        words, pairs, ids, pair_ids, at, starts = _asked(raw_texts(texts["text"].combine_chunks()))
+        place = model["place"].to_numpy()
+        c, taken = np.zeros(len(words) + len(pairs)), np.zeros(len(words) + len(pairs))
+        c[place], taken[place] = model["c"].to_numpy(), model["taken"].to_numpy()
+        word_c, pair_c = c[: len(words)], c[len(words) :]
         alone = (np.log10(word_c + alpha) + floor)[ids]
-        taken_h, taken, c_of = weights.value
-        left = np.ones(len(c_of))
-        left[taken_h] = 1 - taken / c_of[taken_h]  # back-off mass of each history
-        arcs, arc_c = key[~of_word], c[~of_word]
-        h, w = arcs // size, arcs % size
-        p = (arc_c - discount) / c_of[h] + left[h] * (c_of[w] + alpha) * 10**floor
-        automaton = Automaton(size, arcs, np.log10(p), np.log10(left))
-        total = automaton.walk(_places(words, shared.value)[ids], alone, starts)
+        left = 1 - taken[: len(words)] / np.maximum(word_c, 1)  # back-off mass of each history
+        # a token leads to its own state whichever arc it took, so the steps of a walk are taken as arrays
+        steps = alone.copy()
+        steps[at + 1] += np.log10(left)[ids[at]]
+        arc = np.flatnonzero(pair_c[pair_ids] > 0)
+        h, w = ids[at[arc]], ids[at[arc] + 1]
+        steps[at[arc] + 1] = np.log10((pair_c[pair_ids[arc]] - discount) / word_c[h] + left[h] * (word_c[w] + alpha) * 10**floor)
+        total = np.add.reduceat(steps, starts)
         ends = np.append(starts[1:], len(ids))
         base = [math.fsum(alone[a:b].tolist()) for a, b in zip(starts, ends)]
-        known = np.add.reduceat((at >= 0)[ids].astype(np.int64), starts)
+        known = np.add.reduceat((word_c > 0)[ids].astype(np.int64), starts)
         out = pa.Table.from_arrays(
             [texts["doc_id"], texts["train"], pa.array(ends - starts, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(starts), n, np.int64)), pa.array(base, pa.float64()), pa.array(total, pa.float64())],
             names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
-        del words, ids, alone, automaton
+        del words, pairs, ids, pair_ids, at, alone, steps
         tidy()
         return out
 

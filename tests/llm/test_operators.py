@@ -421,6 +421,15 @@ def test_lm_score_with_few_states_and_blocks(spark, small, table, monkeypatch):
     assert all(got[i].score == pytest.approx(w[4], rel=1e-9) for i, w in want.items())
 
 
+def test_lm_score_counts_rare_words_pairs_at_any_size(spark):
+    # 210,000 tokens: words seen twice have less than 1e-5 of them
+    rows = [(i, " ".join(f"f{k % 500}" for k in range(1500)), True) for i in range(140)] + [(140 + i, "a rare pair of words f1", True) for i in range(2)] + [(200, "a rare pair of f1", False)]
+    want = brute_lm(rows, 0)
+    got = by_id(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string, t boolean"), F.col("t")))
+    assert got[200].train_tokens > 200_000
+    assert all(got[i].score == pytest.approx(w[4], rel=1e-9) for i, w in want.items())
+
+
 def test_lm_score_odd_rows(odd, empty):
     got = lm_score.score(odd, F.lit(True)).collect()
     assert len(got) == odd.count() and all(r.n_tokens == 1 for r in got if r.doc_id in (3, 4, 5))
