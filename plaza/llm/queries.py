@@ -58,16 +58,18 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def train_quality(docs: DataFrame, labels: DataFrame):
-    """Log-ratios between documents labelled good and not toxic, and all documents."""
-    sample = quality.trusted_sample(docs, labels.where("quality = 1 and toxic = 0"))
-    return quality.log_ratios(quality.bucket_counts(sample), quality.bucket_counts(docs))
+def train_quality(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Ratios of three quarters of the documents labelled good and not toxic, thresholds from the fourth."""
+    clean = "quality = 1 and toxic = 0"
+    for_threshold = bucket_of_id(of=4) == 3
+    return quality.fit(docs, labels.where(clean).where(~for_threshold), labels.where("toxic = 1"), labels.where(clean).where(for_threshold))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality.judge(docs, train_quality(docs, load(spark, sf_dir, "labels")))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("quality_score").alias("score"), F.col("quality_kept").alias("kept"))
+    model = train_quality(docs, load(spark, sf_dir, "labels"))
+    judged = quality.judge(docs, model.ratios, threshold=model.threshold, toxic=model.toxic, toxic_threshold=model.toxic_threshold)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.col("quality_score").alias("score"), F.col("quality_kept").alias("kept"), F.col("quality_toxicity").alias("toxicity"), F.col("quality_toxic").alias("toxic"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,6 +279,18 @@ def test_quality_rules(spark, medium, table):
     assert np.mean([r.score for r in good]) > np.mean([r.score for r in bad])
 
 
+def test_quality_on_labels_not_used_for_the_fit(spark, medium, table):
+    docs, labels = (spark.read.parquet(f"{medium}/{n}.parquet") for n in ("documents", "labels"))
+    unused = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    m = queries.train_quality(docs, labels.where(~unused))
+    got = by_id(quality.judge(docs.join(labels.where(unused).select("doc_id"), "doc_id", "left_semi"), m.ratios, threshold=m.threshold, toxic=m.toxic, toxic_threshold=m.toxic_threshold).where("not base_failed"))
+    of = {k: [got[x["doc_id"]] for x in table(medium, "labels") if x["doc_id"] in got and (x["quality"], x["toxic"]) == k] for k in [(1, 0), (0, 0), (1, 1)]}
+    assert np.mean([r.quality_kept for r in of[1, 0]]) > 0.95 and np.mean([r.quality_kept for r in of[0, 0]]) < 0.1
+    # about 0.37 of the documents labelled toxic, none of them English, have no word that tells them from clean ones
+    english = [r for r in of[1, 1] if r.lang == "en"]
+    assert english and np.mean([r.quality_toxic for r in english]) > 0.7 and np.mean([r.quality_toxic for r in of[1, 0]]) < 0.06
+
+
 def test_quality_scores_equal_plain_counts(spark, small, table):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     counts = quality.bucket_counts(docs)
