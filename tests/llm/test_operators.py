@@ -494,6 +494,12 @@ def test_pii_base_spans_of_hard_texts(text):
     assert [s[:3] for s in pii.candidates(text) if s[3]] == brute_spans(text)
 
 
+@pytest.mark.parametrize("length", [20, 512, 513, 4096])
+def test_pii_secrets_of_any_length(length):
+    key = "".join(hashlib.sha512(str(i).encode()).hexdigest() for i in range(length // 128 + 1))[:length]
+    assert ("secret", 7, 7 + length, False) in pii.candidates(f"token: {key} end")
+
+
 def test_pii_learns_reliabilities_and_masks(spark, odd, empty):
     rows = [(i, f"call me +49 30 12345{i:03d} or mail u{i}@x.com, token = \"{hashlib.sha1(str(i).encode()).hexdigest()}\"") for i in range(200)] + [(1000 + i, f"commit {hashlib.sha1(str(i).encode()).hexdigest()} page 123456789") for i in range(50)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
