@@ -52,7 +52,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written to the shared folder and read again: lineage ends here, and a lost executor loses nothing."""
     bounded_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/plaza-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,44 +3,50 @@
 Tokens are words, lower-cased from A-Z, and one end token a document. The model is a bigram
 model with absolute discounting that backs off to an add-``ALPHA`` unigram model. As an
 automaton it has a root state and one for each history word; a state has an arc for each
-bigram that was kept, weighted with its smoothed log-probability, and a failure arc to the
-root, weighted with the log of the mass left for all other words. A document is one walk
-from left to right that carries state and adds up weights.
-
-Every word is a history, and every pair of words seen ``MIN_PAIR`` times has an arc, at every
-size of the input (unless the caller sets ``min_share``). Counts of words and pairs cover all
-training documents.
-
-Neither vocabulary nor pairs nor histories' masses are ever in one place, and none is
-broadcast. They are counted by 64-bit names where the documents lie and summed by a shuffle.
-For the walk, documents are dealt into blocks of about ``BLOCK_CHARS``; a block asks for each
-of its distinct words and pairs once, builds the part of the automaton that its documents can
-reach from the answers, and walks them.
+bigram of the training documents, weighted with its smoothed log-probability, and a failure
+arc to the root, weighted with the log of the mass left for all other words. A document is
+one walk from left to right that carries state and adds up weights. Nothing is cut: every
+word is a history and every pair of neighbours an arc, at every size of the input.
+
+Neither vocabulary nor pairs are ever in one place. Documents are laid in blocks of about
+``BLOCK_TOKENS`` where they are read (``encoded``: each token is the number of its word in the
+block). A block asks for each of its distinct words and pairs once, and tells how often it has
+them itself: one packed request to each of the parts in which words are dealt by 64-bit name.
+A part adds up what it was told and answers all who asked (``asked``, ``answered``), in the
+order of the request, so that answers need no names. The block then builds its automaton and
+walks its documents (``walked``). So a corpus is tokenised once, its pairs are shuffled once,
+as about six bytes for each block that has them, and a frequent word costs a part one entry
+a block. Words with a large share of all tokens (at most ``2 * HOT`` of them) have their pairs
+dealt to parts of their own by the second word's name.
+
+In a part, a pair is told apart by its first word's name and 48 bits of the second's.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Callable, Iterator
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import longs, raw_texts, slices, stored, tidy, windows, word_hashes
+from .common import bounded_batches, mixed, raw_texts, slices, stored, tidy
 
 ALPHA = 0.1
 DISCOUNT = 0.75
-#: Least share of all training tokens that makes a word a state; 0: all words are.
-MIN_SHARE = 0.0
-MIN_PAIR = 2
-BLOCK_CHARS = 6_000_000
-#: Entries that a task holds while counting.
-FLUSH = 300_000
+#: Tokens of a block, about.
+BLOCK_TOKENS = 2_000_000
+#: Words and pairs that a part adds up, about: each block counts what it has once.
+PART_ENTRIES = 3_000_000
+#: Words with more than one in HOT of all tokens are dealt out by the word after them, too.
+HOT = 1000
 #: The end token; no word is empty.
 END = b""
 
@@ -51,51 +57,35 @@ def tokens_of(raw: bytes) -> list[bytes]:
     return out
 
 
-def _key(word: bytes) -> int:
-    """64-bit name of a word, as a signed number."""
-    h = xxhash.xxh3_64_intdigest(word)
-    return h - (1 << 64) if h >> 63 else h
+# --- packed numbers ---
 
 
-def blocks(docs: DataFrame, doc: str, text: str, training: Column) -> DataFrame:
-    """(block, doc_id, train, text): docs in blocks of about BLOCK_CHARS."""
-    rows = docs.select(F.col(doc).alias("doc_id"), F.coalesce(training, F.lit(False)).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(chars / BLOCK_CHARS))
-    block = F.pmod(F.xxhash64(F.col("doc_id"), F.octet_length("text")), F.lit(n)).cast("int")
-    return rows.withColumn("block", block).select("block", "doc_id", "train", "text").repartition("block")
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as planes of bytes, lowest first, without the planes that are all zero."""
+    values = np.ascontiguousarray(values, "<u8")
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<BQ", width, len(values)) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _flushed(add: Callable[[Counter, bytes], None], to_arrays: Callable[[Counter], list[pa.Array]], names: list[str]) -> Callable:
-    """A mapInArrow function that counts over texts; its counter is passed on whenever it has FLUSH entries."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for part in slices(batches):
-            for raw in raw_texts(part.column(0)):
-                add(seen, raw)
-                if len(seen) >= FLUSH:
-                    yield pa.RecordBatch.from_arrays(to_arrays(seen), names=names)
-                    seen.clear()
-        yield pa.RecordBatch.from_arrays(to_arrays(seen), names=names)
-
-    return run
+def unpacked(data: bytes) -> np.ndarray:
+    width, n = struct.unpack_from("<BQ", data)
+    out = np.zeros((n, 8), np.uint8)
+    if width:
+        out[:, :width] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[9:]), np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, c): training tokens by 64-bit name."""
-    run = _flushed(lambda seen, raw: seen.update(tokens_of(raw)), lambda seen: [pa.array(map(_key, seen), pa.int64()), pa.array(seen.values(), pa.int64())], ["word", "n"])
-    return texts.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
+def packed_names(names: np.ndarray) -> bytes:
+    """Names in ascending order, as packed differences."""
+    return packed(np.diff(names, prepend=np.uint64(0)))
 
 
-#: The end token's name; no token follows it in its document.
-_END = np.uint64(xxhash.xxh3_64_intdigest(END))
+def unpacked_names(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
 
 
-def _pairs_of(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit names of the pairs of neighbours in texts laid end to end, and the places of their histories."""
-    at = np.flatnonzero(names[:-1] != _END)
-    return windows(names, 2)[at], at
+# --- blocks ---
 
 
 class Numbers(dict):
@@ -106,113 +96,222 @@ class Numbers(dict):
         return out
 
 
-def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The names of the distinct words of texts, the number of each token's word, and where each text begins."""
-    numbers = Numbers()
-    parts = []
-    for raw in texts:
-        tokens = tokens_of(raw)
-        parts.append(np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens)))
-    starts = np.cumsum([0, *map(len, parts)])[:-1]
-    return np.fromiter(map(_key, numbers), np.int64, len(numbers)), np.concatenate(parts), starts
+def _block(name: int, ids: list, train: list, numbers: Numbers, docs: list[np.ndarray], doc_type: pa.DataType) -> pa.RecordBatch:
+    """One row: a block's documents, its words by name, and its tokens as places in the words."""
+    names = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
+    words, place = np.unique(names, return_inverse=True)
+    tokens = place[np.concatenate(docs)]
+    sums = np.bincount(tokens, minlength=len(words))
+    heavy = np.flatnonzero(sums * HOT > len(tokens))
+    pairs = len(np.unique(tokens[:-1] * len(words) + tokens[1:])) if len(tokens) > 1 else 0
+    columns = [
+        pa.array([name], pa.int64()), pa.array([ids], pa.list_(doc_type)), pa.array([train], pa.list_(pa.bool_())), pa.array([packed(np.array([len(d) for d in docs]))], pa.binary()),
+        pa.array([packed_names(words)], pa.binary()), pa.array([packed(tokens)], pa.binary()), pa.array([len(words) + pairs], pa.int64()), pa.array([len(tokens)], pa.int64()),
+        pa.array([[{"word": w, "n": n} for w, n in zip(words[heavy].view(np.int64).tolist(), sums[heavy].tolist())]], pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "train", "lengths", "words", "tokens", "entries", "size", "heavy"])
 
 
-def _asked(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(words, pairs, word of each token, pair of each pair's token, places of the pairs' histories, starts).
+def encoded(docs: DataFrame, training: Column, doc: str, text: str) -> DataFrame:
+    """One row for each block of documents; blocks are made where the documents are read."""
+    rows = docs.select(F.col(doc).alias("doc_id"), F.coalesce(training, F.lit(False)).alias("train"), F.col(text).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, made = TaskContext.get().partitionId() << 32, 0
+        numbers, found, ids, train, size = Numbers(), [], [], [], 0
+        kind = None
+        for part in slices(batches):
+            kind = part.column(0).type
+            for key, own, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), raw_texts(part.column(2))):
+                tokens = tokens_of(raw)
+                found.append(np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens)))
+                ids.append(key)
+                train.append(own)
+                size += len(tokens)
+                if size >= BLOCK_TOKENS:
+                    yield _block(first + made, ids, train, numbers, found, kind)
+                    made, size = made + 1, 0
+                    numbers, found, ids, train = Numbers(), [], [], []
+        if found:
+            yield _block(first + made, ids, train, numbers, found, kind)
+
+    schema = T.StructType(
+        [T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema[doc].dataType))]
+        + T.StructType.fromDDL("train array<boolean>, lengths binary, words binary, tokens binary, entries long, size long, heavy array<struct<word: long, n: long>>").fields
+    )
+    return rows.mapInArrow(run, schema)
+
+
+class Block:
+    """A block's words and distinct pairs in ascending order of names, and where its tokens find theirs."""
+
+    def __init__(self, row: dict) -> None:
+        self.lengths = unpacked(row["lengths"]).astype(np.int64)
+        self.words = unpacked_names(row["words"])
+        self.tokens = unpacked(row["tokens"]).astype(np.int64)
+        ends = np.cumsum(self.lengths) - 1
+        inner = np.ones(len(self.tokens), bool)
+        inner[ends] = False
+        self.starts = ends + 1 - self.lengths
+        self.at = np.flatnonzero(inner)  # places of the pairs' histories
+        pairs, self.pair = np.unique(self.tokens[self.at] * len(self.words) + self.tokens[self.at + 1], return_inverse=True)
+        self.history, self.next = np.divmod(pairs, len(self.words))
+
+    def is_hot(self, hot: np.ndarray) -> np.ndarray:
+        """Of each pair, whether its history is among the hot words."""
+        return np.isin(self.words, hot)[self.history]
 
-    words and pairs are the sorted distinct names, so a block numbers them alike whatever the order of its rows.
-    """
-    names, ids, starts = _numbered(texts)
-    names = names.view(np.uint64)
-    words, number = np.unique(names, return_inverse=True)
-    pair, at = _pairs_of(names[ids])
-    pairs, pair_number = np.unique(pair, return_inverse=True)
-    return words, pairs, number[ids], pair_number, at, starts
 
+def bounds(parts: int) -> np.ndarray:
+    """Where the names of each part but the first begin."""
+    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
-def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "text", alpha: float = ALPHA, discount: float = DISCOUNT, min_share: float = MIN_SHARE, min_pair: int = MIN_PAIR) -> DataFrame:
+
+# --- requests and answers ---
+
+_REQUEST = ["part", "block", "words", "word_n", "fan", "codes", "pair_n"]
+
+
+def _requests(row: dict, parts: int, hot: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+    """What a block asks: (part, block, words, their numbers of training tokens, pairs of each word, codes of the pairs, their numbers in training).
+
+    Parts from first[j] on are those of the hot word j alone; their requests have pairs only.
+    """
+    b = Block(row)
+    own = np.repeat(np.array(row["train"], bool), b.lengths)
+    word_n = np.bincount(b.tokens[own], minlength=len(b.words))
+    pair_n = np.bincount(b.pair[own[b.at]], minlength=len(b.history))
+    codes = b.words[b.next] >> np.uint64(16)
+    hot_pair = b.is_hot(hot)
+    history, rest_codes, rest_n = b.history[~hot_pair], codes[~hot_pair], pair_n[~hot_pair]
+    cut = np.concatenate([[0], np.searchsorted(b.words, bounds(parts)), [len(b.words)]])
+    edge = np.searchsorted(history, cut)
+    for part in range(parts):
+        a, z, p, q = cut[part], cut[part + 1], edge[part], edge[part + 1]
+        if z > a:
+            fan = np.bincount(history[p:q] - a, minlength=z - a)
+            yield part, row["block"], packed_names(b.words[a:z]), packed(word_n[a:z]), packed(fan), packed(rest_codes[p:q]), packed(rest_n[p:q])
+    for j, word in enumerate(hot):
+        at = np.searchsorted(b.words, word)
+        p, q = np.searchsorted(b.history, [at, at + 1]) if at < len(b.words) and b.words[at] == word else (0, 0)
+        if q > p:
+            inside = p + np.concatenate([[0], np.searchsorted(codes[p:q], bounds(int(first[j + 1] - first[j])) >> np.uint64(16)), [q - p]])
+            for s, (x, y) in enumerate(zip(inside[:-1], inside[1:])):
+                if y > x:
+                    yield int(first[j]) + s, row["block"], None, None, None, packed(codes[x:y]), packed(pair_n[x:y])
+
+
+def _added(table: pa.Table, hot_word: int) -> pa.Table:
+    """The answers of one part, of a hot word or none (-1), and in its first row the part's sums: distinct training words, training tokens, arcs."""
+    hot_part = hot_word >= 0
+    names = ("words", "word_n", "fan", "codes", "pair_n")
+    rows = list(zip(*(table[n].to_pylist() for n in names)))
+    codes, pair_n = (np.concatenate([unpacked(r[i]) for r in rows]) for i in (3, 4))
+    sizes = [struct.unpack_from("<BQ", r[3])[1] for r in rows]
+    if hot_part:
+        word_sizes, inverse, c, t = [0] * len(rows), np.empty(0, np.int64), np.empty(0), np.empty(0)
+        keys = codes
+    else:
+        word_sizes = [struct.unpack_from("<BQ", r[0])[1] for r in rows]
+        words, inverse = np.unique(np.concatenate([unpacked_names(r[0]) for r in rows]), return_inverse=True)
+        c = np.bincount(inverse, np.concatenate([unpacked(r[1]) for r in rows]), len(words))
+        owner = np.repeat(inverse, np.concatenate([unpacked(r[2]) for r in rows]).astype(np.int64))
+        keys = mixed(words[owner] * np.uint64(0x9E3779B97F4A7C15) + codes)
+    distinct, one, pair_inverse = np.unique(keys, return_index=True, return_inverse=True)
+    pair_c = np.bincount(pair_inverse, pair_n, len(distinct)) if len(distinct) else np.empty(0)
+    if not hot_part:
+        t = np.bincount(owner[one[pair_c > 0]], minlength=len(words))
+    a, p, out = 0, 0, []
+    for words_here, pairs_here in zip(word_sizes, sizes):
+        mine = inverse[a : a + words_here]
+        out.append((packed(c[mine]), packed(t[mine]), packed(pair_c[pair_inverse[p : p + pairs_here]])))
+        a, p = a + words_here, p + pairs_here
+    sums = [int((c > 0).sum()), int(c.sum()), int((pair_c > 0).sum())]
+    columns = {"block": table["block"], "part": table["part"], "hot": np.full(len(rows), hot_word, np.int64)}
+    columns |= {n: pa.array([o[i] for o in out], pa.binary()) for i, n in enumerate(("c", "t", "pair_c"))}
+    columns |= {n: pa.array([s] + [0] * (len(rows) - 1), pa.int64()) for n, s in zip(("v", "n", "arcs"), sums)}
+    return pa.table(columns)
+
+
+def _walk(row: dict, answers: list[dict], parts: int, hot: np.ndarray, hot_arcs: np.ndarray, v: int, n: int, alpha: float, discount: float) -> tuple[np.ndarray, ...]:
+    """(tokens, known tokens, base score, score) of each document of a block."""
+    b = Block(row)
+    answers = sorted(answers, key=lambda r: r["part"])
+    empty = [np.empty(0, np.uint64)]
+    plain, own = [r for r in answers if r["part"] < parts], [r for r in answers if r["part"] >= parts]
+    c, arcs = (np.concatenate([unpacked(r[k]) for r in plain] or empty).astype(float) for k in ("c", "t"))
+    hot_pair = b.is_hot(hot)
+    pair_c = np.empty(len(b.history))
+    pair_c[~hot_pair] = np.concatenate([unpacked(r["pair_c"]) for r in plain] or empty)
+    pair_c[hot_pair] = np.concatenate([unpacked(r["pair_c"]) for r in own] or empty)
+    here = np.isin(b.words, hot)
+    arcs[here] = hot_arcs[np.searchsorted(hot, b.words[here])]
+    # the automaton: the root's arcs, each state's failure arc, each state's own arcs
+    root = np.log10(c + alpha) - math.log10(n + alpha * (v + 1))
+    left = np.where(c > 0, discount * arcs / np.maximum(c, 1), 1.0)
+    with np.errstate(divide="ignore"):
+        failure = np.where(arcs > 0, np.log10(left), 0.0)
+        arc = np.log10(np.maximum(pair_c - discount, 0) / np.maximum(c[b.history], 1) + left[b.history] * 10.0 ** root[b.next])
+    weight = np.where(pair_c > 0, arc, failure[b.history] + root[b.next])
+    # a token leads to its own state whichever arc it took, so the steps of a walk are taken as arrays
+    alone = root[b.tokens]
+    steps = alone.copy()
+    steps[b.at + 1] = weight[b.pair]
+    ends = b.starts + b.lengths
+    base = np.array([math.fsum(alone[x:y].tolist()) for x, y in zip(b.starts.tolist(), ends.tolist())])
+    return b.lengths, np.add.reduceat((c > 0)[b.tokens].astype(np.int64), b.starts), base, np.add.reduceat(steps, b.starts)
+
+
+def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "text", alpha: float = ALPHA, discount: float = DISCOUNT) -> DataFrame:
     """(doc_id, train, n_tokens, n_known, train_tokens, base_score, score), one row for each row of docs.
 
     training: a boolean column, null counts as false. base_score is the unigram model's log10
     probability, score the automaton's; the probabilities of all known words and one unknown
     word sum to 1 in each state. Null and empty texts are an end token alone. Repeated rows are
-    scored, and counted, one by one. Without training documents all words are unknown.
+    scored, and counted, one by one. Without training documents all words are unknown. An empty
+    table gives no rows; other columns aren't read.
     """
     spark = docs.sparkSession
-    train_texts = docs.where(training).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    counts = stored(word_counts(train_texts), "words")
-    total = counts.agg(F.count("*"), F.sum("c")).first()
-    v, n = total[0], total[1] or 0
-    floor = -math.log10(n + alpha * (v + 1))  # log10 P = log10(c + alpha) + floor
-    least = max(1, math.ceil(min_share * n))
-    # only by a caller's min_share: at most 1 / min_share words
-    states = spark.sparkContext.broadcast(counts.where(F.col("c") >= least).select("word").toArrow()["word"].to_numpy().view(np.uint64)) if least > 1 else None
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def summed() -> pa.RecordBatch:
-            pair, history = map(np.concatenate, zip(*waiting)) if waiting else (np.empty(0, np.uint64),) * 2
-            waiting.clear()
-            pair, first, m = np.unique(pair, return_index=True, return_counts=True)
-            history = history[first]
-            order = np.argsort(history)
-            return pa.RecordBatch.from_arrays([longs(pair[order]), longs(history[order]), pa.array(m[order], pa.int64())], names=["pair", "history", "n"])
+    bounded_batches(spark)
+    blocks = stored(encoded(docs, training, doc, text), "blocks")
+    entries, size = blocks.agg(F.sum("entries"), F.sum("size")).first()
+    parts = max(1, math.ceil((entries or 0) / PART_ENTRIES))
+    heavy = blocks.select(F.explode("heavy").alias("h")).groupBy("h.word").agg(F.sum("h.n").alias("n")).where(F.col("n") * 2 * HOT > (size or 0)).collect()  # at most 2 * HOT
+    heavy = sorted((r.word % (1 << 64), r.n) for r in heavy)
+    hot = np.array([w for w, _ in heavy], np.uint64)
+    first = np.cumsum([parts, *(math.ceil(2 * parts * n / size) for _, n in heavy)])
+    names = ("block", "train", "lengths", "words", "tokens")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                asked = list(zip(*_requests({n: batch.column(n)[i].as_py() for n in names}, parts, hot, first)))
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(asked, kinds)], names=_REQUEST)
+        tidy()
 
-        for part in slices(batches):
-            names = word_hashes([w for raw in raw_texts(part.column(0)) for w in tokens_of(raw)])
-            pair, at = _pairs_of(names)
-            if states:
-                ok = np.isin(names, states.value)
-                ok = ok[at] & ok[at + 1]
-                pair, at = pair[ok], at[ok]
-            waiting.append((pair, names[at]))
-            if sum(len(x) for x, _ in waiting) >= 4 * FLUSH:
-                yield summed()
-        yield summed()
-
-    pairs = train_texts.mapInArrow(count_pairs, "pair long, history long, n long").groupBy("pair", "history").agg(F.sum("n").alias("c"))
-    kept = stored(pairs.where(F.col("c") >= min_pair), "pairs")
-    # the mass that a history's arcs take
-    mass = kept.groupBy(F.col("history").alias("word")).agg(F.sum(F.col("c") - F.lit(discount)).alias("taken"))
-
-    def ask(key: tuple, table: pa.Table) -> pa.Table:
-        words, pairs, *_ = _asked(raw_texts(table["text"].combine_chunks()))
-        keys = np.concatenate([words, pairs])
-        return pa.table({"block": pa.array(np.full(len(keys), key[0].as_py(), np.int32)), "place": np.arange(len(keys), dtype=np.int32), "is_word": np.arange(len(keys)) < len(words), "key": longs(keys)})
-
-    dealt = blocks(docs, doc, text, training)
-    known = (
-        counts.join(mass, "word", "left").select(F.lit(True).alias("is_word"), F.col("word").alias("key"), "c", F.coalesce("taken", F.lit(0.0)).alias("taken"))
-        .unionByName(kept.select(F.lit(False).alias("is_word"), F.col("pair").alias("key"), "c", F.lit(0.0).alias("taken")))
-    )
-    answers = dealt.groupBy("block").applyInArrow(ask, "block int, place int, is_word boolean, key long").join(known, ["is_word", "key"]).select("block", "place", "c", "taken")
-
-    def walk_block(key: tuple, texts: pa.Table, model: pa.Table) -> pa.Table:
-        words, pairs, ids, pair_ids, at, starts = _asked(raw_texts(texts["text"].combine_chunks()))
-        place = model["place"].to_numpy()
-        c, taken = np.zeros(len(words) + len(pairs)), np.zeros(len(words) + len(pairs))
-        c[place], taken[place] = model["c"].to_numpy(), model["taken"].to_numpy()
-        word_c, pair_c = c[: len(words)], c[len(words) :]
-        alone = (np.log10(word_c + alpha) + floor)[ids]
-        left = 1 - taken[: len(words)] / np.maximum(word_c, 1)  # back-off mass of each history
-        # a token leads to its own state whichever arc it took, so the steps of a walk are taken as arrays
-        steps = alone.copy()
-        steps[at + 1] += np.log10(left)[ids[at]]
-        arc = np.flatnonzero(pair_c[pair_ids] > 0)
-        h, w = ids[at[arc]], ids[at[arc] + 1]
-        steps[at[arc] + 1] = np.log10((pair_c[pair_ids[arc]] - discount) / word_c[h] + left[h] * (word_c[w] + alpha) * 10**floor)
-        total = np.add.reduceat(steps, starts)
-        ends = np.append(starts[1:], len(ids))
-        base = [math.fsum(alone[a:b].tolist()) for a, b in zip(starts, ends)]
-        known = np.add.reduceat((word_c > 0)[ids].astype(np.int64), starts)
-        out = pa.Table.from_arrays(
-            [texts["doc_id"], texts["train"], pa.array(ends - starts, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(starts), n, np.int64)), pa.array(base, pa.float64()), pa.array(total, pa.float64())],
-            names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-        )
-        del words, pairs, ids, pair_ids, at, alone, steps
+    def answer(key: tuple, table: pa.Table) -> pa.Table:
+        out = _added(table, int(np.searchsorted(first, key[0].as_py(), "right")) - 1)
+        tidy()
+        return out
+
+    asked = blocks.select(*names).mapInArrow(ask, "part long, block long, words binary, word_n binary, fan binary, codes binary, pair_n binary")
+    answers = stored(asked.groupBy("part").applyInArrow(answer, "block long, part long, hot long, c binary, t binary, pair_c binary, v long, n long, arcs long"), "answers")
+    totals = answers.agg(F.sum("v"), F.sum("n")).first()
+    v, n = totals[0] or 0, totals[1] or 0
+    hot_arcs = np.zeros(len(hot))
+    for r in answers.where("hot >= 0").groupBy("hot").agg(F.sum("arcs").alias("arcs")).collect():  # as many rows as hot words
+        hot_arcs[r.hot] = r.arcs
+
+    def walk_block(key: tuple, block: pa.Table, answered: pa.Table) -> pa.Table:
+        row = {k: block[k][0].as_py() for k in names}
+        lengths, known, base, total = _walk(row, answered.select(["part", "c", "t", "pair_c"]).to_pylist(), parts, hot, hot_arcs, v, n, alpha, discount)
+        out = pa.table({
+            "doc_id": block["ids"].combine_chunks().flatten(), "train": block["train"].combine_chunks().flatten(), "n_tokens": lengths, "n_known": known,
+            "train_tokens": np.full(len(lengths), n, np.int64), "base_score": base, "score": total,
+        })
         tidy()
         return out
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk_block, schema)
+    return blocks.select(*names, "ids").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk_block, schema)

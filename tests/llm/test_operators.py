@@ -379,29 +379,22 @@ def test_mixing_odd_rows(odd, empty):
 # --- 8 ---
 
 
-def brute_lm(rows, share, discount=lm_score.DISCOUNT, alpha=lm_score.ALPHA, least=lm_score.MIN_PAIR):
+def brute_lm(rows, discount=lm_score.DISCOUNT, alpha=lm_score.ALPHA):
     toks = lambda t: WORD.findall(lower(t)) + [""]
-    c, pair = Counter(), Counter()
-    for _, t, train in rows:
-        if train:
-            c.update(toks(t))
-    n, v = sum(c.values()), len(c)
-    states = {w for w, k in c.items() if k >= max(1, math.ceil(share * n))}
+    c, arcs = Counter(), defaultdict(Counter)
     for _, t, train in rows:
         if train:
             w = toks(t)
-            pair.update(p for p in zip(w, w[1:]) if p[0] in states and p[1] in states)
-    arcs = defaultdict(dict)
-    for (h, w), k in pair.items():
-        if k >= least:
-            arcs[h][w] = k
+            c.update(w)
+            for h, x in zip(w, w[1:]):
+                arcs[h][x] += 1
+    n, v = sum(c.values()), len(c)
     uni = lambda w: (c[w] + alpha) / (n + alpha * (v + 1))
 
     def prob(h, w):
         if h not in arcs:
             return uni(w)
-        left = 1 - sum(k - discount for k in arcs[h].values()) / c[h]
-        return left * uni(w) + (max(0, arcs[h].get(w, 0) - discount) / c[h] if w in arcs[h] else 0)
+        return max(0, arcs[h][w] - discount if w in arcs[h] else 0) / c[h] + discount * len(arcs[h]) / c[h] * uni(w)
 
     out = {}
     for i, t, _ in rows:
@@ -409,14 +402,15 @@ def brute_lm(rows, share, discount=lm_score.DISCOUNT, alpha=lm_score.ALPHA, leas
         out[i] = (len(w), sum(x in c for x in w), n, sum(math.log10(uni(x)) for x in w), sum(math.log10(prob(h, x)) for h, x in zip([None, *w], w)))
     # proper in every state: known words and one unknown sum to 1
     for h in [None, *list(arcs)[:5]]:
-        assert abs(sum(prob(h, w) for w in c) + prob(h, object()) - 1) < 1e-9
+        assert abs(sum(prob(h, w) for w in list(c)) + prob(h, object()) - 1) < 1e-9
     return out
 
 
-def test_lm_score_equals_brute_force(spark, small, table):
-    rows = [(d["doc_id"], d["text"], crc(d["doc_id"], 10) != 0) for d in table(small, "documents")]
-    want = brute_lm(rows, lm_score.MIN_SHARE)
-    got = by_id(queries.op8_lm_score(spark, small))
+@pytest.mark.parametrize("size", ["small", "medium"])
+def test_lm_score_equals_brute_force(spark, size, table, request):
+    folder = request.getfixturevalue(size)
+    want = brute_lm([(d["doc_id"], d["text"], crc(d["doc_id"], 10) != 0) for d in table(folder, "documents")])
+    got = by_id(queries.op8_lm_score(spark, folder))
     assert set(got) == set(want)
     for i, w in want.items():
         r = got[i]
@@ -424,24 +418,33 @@ def test_lm_score_equals_brute_force(spark, small, table):
         assert r.base_score == pytest.approx(w[3], rel=1e-9) and r.score == pytest.approx(w[4], rel=1e-9)
 
 
-def test_lm_score_with_few_states_and_blocks(spark, small, table, monkeypatch):
-    monkeypatch.setattr(lm_score, "BLOCK_CHARS", 50_000)
-    monkeypatch.setattr(lm_score, "FLUSH", 100)
+@pytest.mark.parametrize("hot", [1, 20, 1000])
+def test_lm_score_in_many_blocks_and_parts(spark, small, table, monkeypatch, hot):
+    monkeypatch.setattr(lm_score, "BLOCK_TOKENS", 3000)
+    monkeypatch.setattr(lm_score, "PART_ENTRIES", 2500)
+    monkeypatch.setattr(lm_score, "HOT", hot)
     rows = [(d["doc_id"], d["text"], crc(d["doc_id"], 10) != 0) for d in table(small, "documents")]
-    want = brute_lm(rows, 0.002)
-    got = by_id(lm_score.score(spark.read.parquet(f"{small}/documents.parquet"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0, min_share=0.002))
-    assert all(got[i].score == pytest.approx(w[4], rel=1e-9) for i, w in want.items())
+    rows += [(10_000 + i, "the " * (i + 1) + f"the w{i} the", i % 3 > 0) for i in range(300)]
+    want = brute_lm(rows)
+    got = by_id(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string, t boolean").repartition(5), F.col("t")))
+    assert all((got[i].n_tokens, got[i].n_known, got[i].train_tokens) == w[:3] for i, w in want.items())
+    assert all(got[i].base_score == pytest.approx(w[3], rel=1e-9) and got[i].score == pytest.approx(w[4], rel=1e-9) for i, w in want.items())
 
 
-def test_lm_score_counts_rare_words_pairs_at_any_size(spark):
-    # 210,000 tokens: words seen twice have less than 1e-5 of them
+def test_lm_score_counts_rare_pairs_at_any_size(spark):
     rows = [(i, " ".join(f"f{k % 500}" for k in range(1500)), True) for i in range(140)] + [(140 + i, "a rare pair of words f1", True) for i in range(2)] + [(200, "a rare pair of f1", False)]
-    want = brute_lm(rows, 0)
+    want = brute_lm(rows)
     got = by_id(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string, t boolean"), F.col("t")))
     assert got[200].train_tokens > 200_000
     assert all(got[i].score == pytest.approx(w[4], rel=1e-9) for i, w in want.items())
 
 
+@pytest.mark.parametrize("values", [[], [0], [0, 0, 0], [1, 255, 256, 1 << 40], [(1 << 64) - 1, 0]])
+def test_lm_score_packed_numbers(values):
+    assert lm_score.unpacked(lm_score.packed(np.array(values, np.uint64))).tolist() == values
+    assert lm_score.unpacked_names(lm_score.packed_names(np.sort(np.array(values, np.uint64)))).tolist() == sorted(values)
+
+
 def test_lm_score_odd_rows(odd, empty):
     got = lm_score.score(odd, F.lit(True)).collect()
     assert len(got) == odd.count() and all(r.n_tokens == 1 for r in got if r.doc_id in (3, 4, 5))
