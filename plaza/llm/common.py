@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import ctypes.util
 import gc
+import struct
 import sys
 import tempfile
 import uuid
@@ -13,6 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,10 +26,12 @@ _LIBC = ctypes.CDLL(ctypes.util.find_library("c") or "libc.so.6") if sys.platfor
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset a local session gets one of its own, a cluster an error."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="plaza-shared-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="plaza-shared-")  # one machine: everyone sees it
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
@@ -132,6 +136,43 @@ def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
+# --- packed numbers ---
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers as planes of bytes, lowest first, without the planes that are all zero."""
+    values = np.ascontiguousarray(values, "<u8")
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<BQ", width, len(values)) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    width, n = struct.unpack_from("<BQ", data)
+    out = np.zeros((n, 8), np.uint8)
+    if width:
+        out[:, :width] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[9:]), np.uint8).reshape(width, n).T
+    return out.view("<u8").ravel()
+
+
+def packed_count(data: bytes) -> int:
+    return struct.unpack_from("<BQ", data)[1]
+
+
+def packed_names(names: np.ndarray) -> bytes:
+    """Names in ascending order, as packed differences."""
+    return packed(np.diff(names, prepend=np.uint64(0)))
+
+
+def unpacked_names(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
+
+
+def bounds(parts: int) -> np.ndarray:
+    """Where the names of each part but the first begin."""
+    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+
+
 def bucket_of_id(key: str = "doc_id", of: int = 4) -> Column:
     """crc32 of the id as text, modulo ``of``; null for a null id."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % of

@@ -25,19 +25,17 @@ In a part, a pair is told apart by its first word's name and 48 bits of the seco
 from __future__ import annotations
 
 import math
-import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, mixed, raw_texts, slices, stored, tidy
+from .common import bounded_batches, bounds, mixed, packed, packed_count, packed_names, raw_texts, slices, stored, tidy, unpacked, unpacked_names
 
 ALPHA = 0.1
 DISCOUNT = 0.75
@@ -57,34 +55,6 @@ def tokens_of(raw: bytes) -> list[bytes]:
     return out
 
 
-# --- packed numbers ---
-
-
-def packed(values: np.ndarray) -> bytes:
-    """Whole numbers as planes of bytes, lowest first, without the planes that are all zero."""
-    values = np.ascontiguousarray(values, "<u8")
-    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
-    return struct.pack("<BQ", width, len(values)) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    width, n = struct.unpack_from("<BQ", data)
-    out = np.zeros((n, 8), np.uint8)
-    if width:
-        out[:, :width] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[9:]), np.uint8).reshape(width, n).T
-    return out.view("<u8").ravel()
-
-
-def packed_names(names: np.ndarray) -> bytes:
-    """Names in ascending order, as packed differences."""
-    return packed(np.diff(names, prepend=np.uint64(0)))
-
-
-def unpacked_names(data: bytes) -> np.ndarray:
-    return np.cumsum(unpacked(data), dtype=np.uint64)
-
-
 # --- blocks ---
 
 
@@ -162,11 +132,6 @@ class Block:
         return np.isin(self.words, hot)[self.history]
 
 
-def bounds(parts: int) -> np.ndarray:
-    """Where the names of each part but the first begin."""
-    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
-
-
 # --- requests and answers ---
 
 _REQUEST = ["part", "block", "words", "word_n", "fan", "codes", "pair_n"]
@@ -207,12 +172,12 @@ def _added(table: pa.Table, hot_word: int) -> pa.Table:
     names = ("words", "word_n", "fan", "codes", "pair_n")
     rows = list(zip(*(table[n].to_pylist() for n in names)))
     codes, pair_n = (np.concatenate([unpacked(r[i]) for r in rows]) for i in (3, 4))
-    sizes = [struct.unpack_from("<BQ", r[3])[1] for r in rows]
+    sizes = [packed_count(r[3]) for r in rows]
     if hot_part:
         word_sizes, inverse, c, t = [0] * len(rows), np.empty(0, np.int64), np.empty(0), np.empty(0)
         keys = codes
     else:
-        word_sizes = [struct.unpack_from("<BQ", r[0])[1] for r in rows]
+        word_sizes = [packed_count(r[0]) for r in rows]
         words, inverse = np.unique(np.concatenate([unpacked_names(r[0]) for r in rows]), return_inverse=True)
         c = np.bincount(inverse, np.concatenate([unpacked(r[1]) for r in rows]), len(words))
         owner = np.repeat(inverse, np.concatenate([unpacked(r[2]) for r in rows]).astype(np.int64))

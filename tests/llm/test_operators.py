@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from plaza.llm import chat_format, components, decontaminate, jaccard_join, language_id, lm_score, mixing, pii, quality, queries, substring_dedup, token_counts
+from plaza.llm import asking, chat_format, components, decontaminate, jaccard_join, language_id, lm_score, mixing, pii, quality, queries, substring_dedup, token_counts
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -101,44 +101,95 @@ def test_substring_dedup_finds_planted_passages(spark):
     word = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n))
     passages = [word(60) for _ in range(20)]
     rows = [(i, f"{word(int(rng.integers(5, 200)))} {passages[i % 20]} {word(40)}") for i in range(60)] + [(100 + i, word(300)) for i in range(40)]
+    rows += [(200, f"{word(30)} {(own := word(70))} {word(9)} {own} {word(20)}")]
     got = by_id(substring_dedup.find_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
-    assert set(got) == set(range(60))
-    assert all(30 <= got[i].repeated_words <= 60 for i in got)
-    assert all(got[i].removed_words == 0 if i < 20 else got[i].removed_words >= 30 for i in got)
+    assert set(got) == {*range(60), 200}
+    assert all(30 <= got[i].repeated_words <= 60 for i in range(60))
+    assert all(got[i].removed_words == 0 if i < 20 else got[i].removed_words >= 30 for i in range(60))
+    assert got[200].removed_words >= 40 and got[200].repeated_words == 2 * got[200].removed_words  # a repeat within one document
     left = by_id(substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
     assert all(len(left[i].text.split()) == len(t.split()) - (got[i].removed_words if i in got else 0) for i, t in rows)
 
 
-def test_substring_dedup_equals_brute_force(spark, small, table):
-    docs = {d["doc_id"]: d["text"] or "" for d in table(small, "documents")}
-    runs = defaultdict(set)
-    for i, t in docs.items():
-        for d, a, b in zip(*substring_dedup.runs_of(t.encode())):
-            runs[bytes(d)].add((i, int(a), int(b)))
-    shared, gone = defaultdict(set), defaultdict(set)
-    for places in runs.values():
-        if len({p[0] for p in places}) > 1:
-            first = min(places)
-            for i, a, b in places:
-                shared[i].update(range(a, b))
-                if (i, a) != first[:2]:
-                    gone[i].update(range(a, b))
-    got = by_id(substring_dedup.find_repeats(spark.read.parquet(f"{small}/documents.parquet")))
-    assert {i: (r.repeated_words, r.removed_words) for i, r in got.items()} == {i: (len(s), len(gone[i])) for i, s in shared.items()}
-
-
-def test_gear_hash_by_doubling_is_the_rolling_one():
-    data = np.frombuffer(b"some text to roll over, longer than the window of 32 bytes", np.uint8)
-    h, out = 0, []
-    for b in data.tolist():
-        h = ((h << 1) + int(substring_dedup.GEAR[b])) & 0xFFFFFFFF
-        out.append(h)
-    assert substring_dedup.gear_hashes(data).tolist() == out
+def test_substring_dedup_recall_by_length(spark):
+    rng = np.random.default_rng(6)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), int(rng.integers(2, 9)))) for _ in range(n))
+    rows, lengths = [], (30, 40, 51, 60, 80)
+    for k in range(200 * len(lengths)):
+        passage = word(lengths[k % 5])
+        rows += [(2 * k + i, f"{word(60)} {passage} {word(60)}") for i in range(2)]
+    got = by_id(substring_dedup.find_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    for j, (length, found, covered) in enumerate(zip(lengths, (0.4, 0.9, 0.985, 0.985, 0.985), (0.3, 0.65, 0.74, 0.78, 0.83))):
+        words = [got[2 * k + 1].removed_words if 2 * k + 1 in got else 0 for k in range(j, 1000, 5)]
+        assert np.mean([w > 0 for w in words]) >= found and np.mean(words) / length >= covered, length
+
+
+def brute_chunks(text, reach=substring_dedup.REACH):
+    """(chunk, first word, end word) by the definition: gear hashes rolled byte by byte, each word end compared with its neighbours."""
+    data, h, hashes, ends = text.encode(), 0, [], []
+    blank = b" \t\n\r\x0b\x0c"
+    for i, b in enumerate(data):
+        h = ((h << 2) + int(substring_dedup.GEAR[b])) & 0xFFFFFFFF
+        if b not in blank and (i + 1 == len(data) or data[i + 1] in blank):
+            hashes.append(h)
+            ends.append(i + 1)
+    cuts = [k for k in range(len(ends) - 1) if all(hashes[k] > x for x in hashes[max(0, k - reach) : k]) and all(hashes[k] >= x for x in hashes[k + 1 : k + 1 + reach])]
+    out, byte, word = [], 0, 0
+    for k in [*cuts, len(ends) - 1] if ends else ():
+        out.append((data[byte : ends[k]].strip(), word, k + 1))
+        byte, word = ends[k], k + 1
+    return out
+
+
+def brute_passages(marked, chunks):
+    out, run = [], []
+    for m, (_, a, b) in [*zip(marked, chunks), (False, (b"", 0, 0))]:
+        if m:
+            run += [a, b]
+        else:
+            if run and run[-1] - run[0] >= substring_dedup.MIN_WORDS:
+                out.append((run[0], run[-1]))
+            run = []
+    return out
+
+
+def brute_repeats(docs):
+    """docs: id -> text."""
+    chunks = {i: brute_chunks(t) for i, t in docs.items()}
+    places = defaultdict(list)
+    for i in sorted(chunks):
+        for c, a, _ in chunks[i]:
+            places[c].append((i, a))
+    out = {}
+    for i, own in chunks.items():
+        twice = [len(places[c]) > 1 for c, _, _ in own]
+        if spans := brute_passages(twice, own):
+            out[i] = (spans, brute_passages([t and (i, a) != places[c][0] for t, (c, a, _) in zip(twice, own)], own))
+    return out
+
+
+@pytest.mark.parametrize("block", [substring_dedup.BLOCK_BYTES, 20_000])
+def test_substring_dedup_equals_brute_force(spark, small, table, monkeypatch, block):
+    monkeypatch.setattr(substring_dedup, "BLOCK_BYTES", block)
+    monkeypatch.setattr(asking, "PART_ENTRIES", block // 40)
+    want = brute_repeats({d["doc_id"]: d["text"] or "" for d in table(small, "documents")})
+    got = by_id(queries.op3_substring_dedup(spark, small))
+    written = lambda spans: ",".join(f"{a}:{b}" for a, b in spans)
+    words = lambda spans: sum(b - a for a, b in spans)
+    assert {i: tuple(r)[1:] for i, r in got.items()} == {i: (words(s), words(r), written(s), written(r)) for i, (s, r) in want.items()}
+    assert len(want) > 20
+
+
+def test_substring_dedup_chunks_equal_the_definition(small, table):
+    texts = [d["text"] or "" for d in table(small, "documents")[:80]] + ["", " ", "a", " a b ", "x " * 50]
+    for t in texts:
+        starts, words = substring_dedup.chunks_of(t.encode())
+        assert [(t.encode()[a:b].strip(), p, q) for a, b, p, q in zip(starts, starts[1:], words, words[1:])] == brute_chunks(t)
 
 
 def test_substring_dedup_odd_rows(spark, odd, empty):
     got = by_id(substring_dedup.find_repeats(odd))
-    assert not got  # 13 words are no passage; the null id isn't looked at
+    assert set(got) <= {6}  # 13 words are no passage; the null id isn't looked at
     assert substring_dedup.find_repeats(empty).count() == 0
     assert substring_dedup.remove_repeats(odd).count() == odd.count()
 
@@ -202,6 +253,31 @@ def test_jaccard_join_near_the_threshold(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(comp.values()))
 
 
+def test_signatures_prune_most_of_what_sizes_leave(medium, table):
+    """All distinct sets of a table in one task: leaf pairs that sizes alone allow, and of those the ones that signatures allow."""
+    sets_ = {s.tobytes(): s for d in table(medium, "documents") if len(s := jaccard_join.shingles_of((d["text"] or "").encode()))}
+    tokens = sorted(sets_.values(), key=lambda s: (s[0], len(s)))
+    side, _, n = jaccard_join.sides(tokens, None)
+    tree = jaccard_join.Tree(side, jaccard_join.bits_for(side, n))
+    leaves = tree.levels[0]
+    by_size = [(x, y) for i, x in enumerate(leaves) for y in leaves[i:] if jaccard_join.sizes_allow(x, y, 75)]
+    left = sum(jaccard_join.signatures_allow(x, y, 75) for x, y in by_size)
+    assert len(by_size) > 500 and left < 0.5 * len(by_size)
+    visited = list(jaccard_join.traverse(tree, tree, True, 75))
+    assert len(visited) == len(set(visited)) == left
+
+
+def test_jaccard_join_of_texts_that_share_an_id(spark):
+    words = [f"w{k}" for k in range(40)]
+    near = lambda i: " ".join([*words[:39], f"x{i}"])
+    rows = [(5, near(1)), (5, near(2)), (6, near(3)), (6, "a text of its own, not like any of the others"), (7, near(3)), (7, near(3)), (8, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard_join.near_duplicates(docs).collect())
+    assert got == Counter([(5, 36, 5, 3), (5, 36, 5, 3), (6, 36, 5, 3), (6, 7, 6, 0), (7, 36, 5, 3), (7, 36, 5, 3), (8, 1, 8, 0)])
+    kept = Counter(tuple(r) for r in jaccard_join.keep_first(docs).collect())
+    assert kept[6, rows[3][1]] == kept[8, "short"] == 1 and sum(kept.values()) == 3 and sum(n for (i, _), n in kept.items() if i == 5) == 1
+
+
 def test_jaccard_join_odd_rows(spark, odd, empty):
     got = jaccard_join.near_duplicates(odd).collect()
     assert len(got) == odd.count()
