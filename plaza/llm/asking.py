@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import bounds, packed, packed_count, packed_names, stored, tidy, unpacked, unpacked_names
 
-PART_ENTRIES = 3_000_000
+PART_ENTRIES = 1_500_000
 
 #: (place of each entry's name among the part's distinct names, how many these are, the numbers told) -> one answer an entry.
 Answer = Callable[[np.ndarray, int, list[np.ndarray]], np.ndarray]
