@@ -20,8 +20,8 @@ from .common import with_columns
 
 #: The label of texts without a letter.
 UNDETERMINED = "und"
-#: Bounds of the training sample: rows read for each language, bytes of each dictionary, number of languages.
-ROWS_PER_LANGUAGE, DICTIONARY_BYTES, MAX_LANGUAGES = 256, 32_768, 256
+#: Bounds of the training sample: rows read for each language, bytes of each dictionary.
+ROWS_PER_LANGUAGE, DICTIONARY_BYTES = 256, 32_768
 #: Bytes compressed at a time.
 BLOCK = 4096
 LEVEL, MIN_MATCH = 6, 3
@@ -29,7 +29,20 @@ LEVEL, MIN_MATCH = 6, 3
 MIN_MARGIN = 0.01
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(rb"[A-Za-z]")
+#: Texts of up to so many bytes are compressed in as many rotations, whose bytes are summed: one compression of a few words ties in whole bytes.
+SHORT, ROTATIONS = 512, 16
+
+
+def has_letter(raw: bytes) -> bool:
+    return bool(_LETTER.search(raw)) or not raw.isascii() and any(map(str.isalpha, raw.decode("utf-8", "replace")))
+
+
+def rotations(text: bytes) -> list[bytes]:
+    """A short folded text, begun anew at ROTATIONS of its words, or at each if it has fewer."""
+    words = text.split()
+    step = max(1, len(words) // ROTATIONS)
+    return [b" ".join(words[at:] + words[:at]) for at in range(0, len(words), step)]
 
 
 def folded(raw: bytes) -> bytes:
@@ -38,19 +51,19 @@ def folded(raw: bytes) -> bytes:
     return b" ".join(text.translate(_FOLD).split())
 
 
-def train_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_language: int = ROWS_PER_LANGUAGE, dictionary_bytes: int = DICTIONARY_BYTES, max_languages: int = MAX_LANGUAGES) -> list[tuple[str, bytes]]:
+def train_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_language: int = ROWS_PER_LANGUAGE, dictionary_bytes: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """A raw-content dictionary for each language, most frequent language first.
 
-    The fit is bounded by its three parameters: the ``rows_per_language`` rows with the
+    All languages are learned. Each is bounded by the two parameters: the ``rows_per_language`` rows with the
     least hash of the key are read, their distinct segments (at most 512 characters) are
     dealt into the dictionary by hash until it has ``dictionary_bytes``. Rows with a null
     language or key don't count. No rows: no languages.
     """
     spark = labelled.sparkSession
     rows = labelled.select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text")).where("lang is not null and key is not null")
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
+    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]  # a row a language
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
-    ids = rows.where(F.col("lang").isin(langs)).select("lang", "key").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).select("lang", "key").distinct().collect()
+    ids = rows.select("lang", "key").withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows_per_language).select("lang", "key").distinct().collect()
     picked = spark.createDataFrame([tuple(r) for r in ids], T.StructType([rows.schema["lang"], rows.schema["key"]]))
     segments = (
         rows.join(F.broadcast(picked), ["lang", "key"], "left_semi")
@@ -84,10 +97,10 @@ def _compressors(dictionaries: list[tuple[str, bytes]]) -> list:
 
 def classify(raw: bytes, names: list[str], compress: list, min_margin: float) -> tuple[str, float, bool]:
     """(language, margin from 0 to 1, rejected) of one text."""
-    if not names or not _LETTER.search(raw.decode("utf-8", "replace")):
+    if not names or not has_letter(raw):
         return UNDETERMINED, 0.0, True
     text = folded(raw)
-    blocks = [text[at : at + BLOCK] for at in range(0, len(text), BLOCK)]
+    blocks = rotations(text) if len(text) <= SHORT else [text[at : at + BLOCK] for at in range(0, len(text), BLOCK)]
     sizes = [sum(len(f(b)) for b in blocks) for f in compress]
     best = min(range(len(names)), key=sizes.__getitem__)  # at a tie the more frequent language
     if len(names) == 1:

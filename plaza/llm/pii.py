@@ -43,7 +43,7 @@ _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SECRET = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{20,}+={0,2}(?![A-Za-z0-9_+/=-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])")
-_SPACED_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]{1,63}+(?:\x20?(?:\.|[(\[]dot[)\]])\x20?[A-Za-z0-9-]{1,63}+){1,4}", re.IGNORECASE)
+_SPACED_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[(\[]dot[)\]])\x20?[A-Za-z0-9-]++)+", re.IGNORECASE)
 _AT = re.compile(r"[(\[]at[)\]]", re.IGNORECASE)
 _DIGIT = re.compile(r"[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")

@@ -325,6 +325,18 @@ def test_reply_trees_rank_branches(spark):
     assert chat_format.format_trees(df.limit(0)).count() == 0
 
 
+def test_long_threads_and_repeated_turns(spark):
+    """A thread of 5,000 turns, ties in turn, repeated rows, null turns and roles, an extra column named like an output."""
+    rows = [(1, k, "user" if k % 2 else "assistant", f"t{k} <", "x") for k in range(5000)] + [(2, 0, "user", "a", "x")] * 3 + [(2, 0, "assistant", "b", "x"), (2, None, None, None, "x"), (2, 1, "assistant", "", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, formatted string")
+    nodes = chat_format.threads(df)
+    got = by_id(chat_format.format_trees(nodes).select("tree", "n_turns", "formatted", "loss", chat_format.read_back(F.col("formatted")).alias("back"), chat_format.read_loss(F.col("formatted"), F.col("loss")).alias("said")), "tree")
+    assert [tuple(t) for t in got[1].back] == [(r, t) for _, _, r, t, _ in rows[:5000]]
+    assert got[1].said == "".join(f"t{k} <" for k in range(0, 5000, 2)) and len(got[1].loss) == 2500
+    assert [tuple(t) for t in got[2].back] == [("", ""), ("assistant", "b"), ("user", "a"), ("user", "a"), ("user", "a"), ("assistant", "")]
+    assert all(len(t.columns) == 6 for t in chat_format.ascents(nodes))  # a row is as wide however long the thread
+
+
 # --- 6 ---
 
 
@@ -627,6 +639,23 @@ def test_decontamination_equals_brute_force(spark, medium, table):
     assert any(w[4] for w in want.values())
 
 
+@pytest.mark.parametrize("local", [0, 5, 60])
+def test_decontamination_with_more_windows_than_are_compared_in_the_scan(spark, small, table, local):
+    want = brute_hits([(d["doc_id"], d["text"]) for d in table(small, "documents")], [(d["item_id"], d["text"]) for d in table(small, "benchmark")])
+    docs, items = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "benchmark"))
+    got = by_id(decontaminate.contamination(docs, items, local_windows=local))
+    assert {i: (r.n_words, r.n_hit, r.n_items, sha(",".join(r["items"])), r.contaminated) for i, r in got.items()} == want
+
+
+def test_decontamination_of_texts_that_share_an_id(spark):
+    rows = [(1, "a b c x y"), (1, "a b q x y"), (1, "a b c x y"), (None, "q r"), (None, "b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(9, "b c")], "item_id long, text string")
+    got = Counter((r.doc_id, r.n_words, r.n_hit) for r in decontaminate.contamination(docs, items).collect())
+    assert got == Counter([(1, 5, 2), (1, 5, 0), (None, 2, 0), (None, 2, 2)])
+    assert sorted(r.text for r in decontaminate.without_contaminated(docs, items).collect()) == ["a b q x y", "q r"]
+
+
 def test_decontamination_of_short_and_repeating_items(spark, odd, empty):
     items = [(1, "Fox jumps"), (2, "x x x x x x x x x x x x"), (3, None), (4, "..."), (5, "the quick brown fox jumps over the lazy dog near the river"), (6, "日本語"), (7, "Fox  jumps!"), (8, "end")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
@@ -637,4 +666,4 @@ def test_decontamination_of_short_and_repeating_items(spark, odd, empty):
     assert sum(r[0] is None for r in rows) == 2
     assert not any(r.contaminated for r in decontaminate.contamination(odd, benchmark.limit(0)).collect())
     assert decontaminate.contamination(empty, benchmark).count() == 0
-    assert sorted(r.doc_id or 0 for r in decontaminate.without_contaminated(odd, benchmark).collect()) == [3, 4, 5, 7, 8, 10]
+    assert sorted(r.doc_id or 0 for r in decontaminate.without_contaminated(odd, benchmark).collect()) == [0, 3, 4, 5, 7, 8, 10]
