@@ -1,8 +1,8 @@
 """A corpus pipeline: five stages, each written as Parquet and read again by the next.
 
 run(spark, sf_dir) applies STAGES to the table documents. All stages but the last return the
-columns of documents; the last returns, for each time a document is drawn into the mixture,
-its id and source with block and order (texts are joined by doc_id when the mixture is read).
+columns of documents; the last returns these columns, text masked, and mix_block, mix_order
+and mix_tokens: a row for each time a document is drawn into the mixture.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The draws of a mixture that repeats no source more than the limit."""
-    return mixing.mix(docs.select("doc_id", "source", "text")).select("doc_id", "source", "mix_block", "mix_order", "mix_tokens")
+    return mixing.mix(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -52,7 +52,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mix_sources),
 ]
 
-#: Compression, labelers and their EM can't be expressed in SQL; the tests run the stages by brute force.
+#: Compression, labelers and their EM can't be expressed in SQL; tests/llm/test_pipeline.py runs the stages by brute force.
 ORACLE_SQL = None
 
 
