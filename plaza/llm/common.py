@@ -9,6 +9,7 @@ import struct
 import sys
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,7 +58,43 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     bounded_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/plaza-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+#: Where the stored tables of this process lie that haven't been discarded.
+_PATHS: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables. Nothing that is still to be computed may read them."""
+    for t in tables:
+        ref, path = _PATHS.pop(id(t), (None, ""))
+        if ref and ref() is t:
+            spark = t.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: Slots of the filter by which ``without_rows`` finds rows that may go.
+GONE_SLOTS = 1 << 20
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, doc: str, text: str) -> DataFrame:
+    """docs without the rows whose id (null is one) and hash of the text are in gone(id, key).
+
+    Texts aren't shuffled but for those of rows that may go: these are found by a broadcast of
+    the slots, at most GONE_SLOTS, that the rows of gone fall in, and then joined.
+    """
+    slot = lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(GONE_SLOTS)).cast("int")
+    slots = stored(gone.select(slot(F.col("id"), F.col("key")).alias("__slot")).distinct(), "slots")
+    keyed = docs.withColumn("__key", F.xxhash64(docs[text])).withColumn("__at", slot(docs[doc], F.col("__key")))
+    here = keyed["__at"] == slots["__slot"]
+    may = keyed.join(F.broadcast(slots), here, "left_semi")
+    gone = gone.select(F.col("id").alias("__id"), F.col("key").alias("__gone"))
+    stay = may.join(gone, may[doc].eqNullSafe(gone["__id"]) & (may["__key"] == gone["__gone"]), "left_anti")
+    return keyed.join(F.broadcast(slots), here, "left_anti").unionByName(stay).select(docs.columns)
 
 
 def raw_texts(column: pa.Array) -> list[bytes]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -27,7 +27,8 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     for _ in range(most_rounds):
-        now = stored(_star(_star(now, True), False), "edges")
+        last, now = now, stored(_star(_star(now, True), False), "edges")
+        discard(last)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break

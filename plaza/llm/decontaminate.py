@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import longs, raw_texts, slices, stored, windows, word_hashes
+from .common import longs, raw_texts, slices, stored, windows, without_rows, word_hashes
 
 WINDOW = 10
 SHINGLE = 3
@@ -196,5 +196,5 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text:
 
 def without_contaminated(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "text", **names) -> DataFrame:
     """The rows of docs whose text isn't contaminated; clean texts stay, whatever other rows have the same id or a null one."""
-    bad = stored(contamination(docs, items, doc, text, **names).where("contaminated").select(F.col("doc_id").alias("__bad"), F.col("text_key").alias("__key")).distinct(), "contaminated")
-    return docs.join(bad, docs[doc].eqNullSafe(bad["__bad"]) & (F.xxhash64(docs[text]) == bad["__key"]), "left_anti")
+    bad = contamination(docs, items, doc, text, **names).where("contaminated").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).distinct()
+    return without_rows(docs, stored(bad, "contaminated"), doc, text)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .asking import answered, together
-from .common import bounded_batches, lists, packed, packed_names, raw_texts, slices, stored, tidy, unpacked, unpacked_names, windows, word_hashes
+from .common import bounded_batches, discard, lists, packed, packed_names, raw_texts, slices, stored, tidy, unpacked, unpacked_names, windows, without_rows, word_hashes
 from .components import components
 
 WORDS = 5
@@ -124,8 +124,8 @@ def sketched(docs: DataFrame, doc: str, text: str, words: int, percent: int) ->
     return rows.mapInArrow(run, schema)
 
 
-def screened(blocks: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, d1, d2, home, prefix) of the documents that may have links: their least shared shingle, and their rarest shared ones."""
+def screened(blocks: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What the blocks were answered, and (doc_id, d1, d2, home, prefix) of the documents that may have links: their least shared shingle, and their rarest shared ones."""
     answers = answered(blocks, ["n"], lambda inverse, size, told: np.bincount(inverse, told[0], size)[inverse])
 
     def judge(_: tuple, block: pa.Table, answers_: pa.Table) -> pa.Table:
@@ -147,7 +147,7 @@ def screened(blocks: DataFrame, percent: int) -> DataFrame:
         return out
 
     needed = blocks.select("block", "ids", "sizes", "d1", "d2", "least", "taken")
-    return needed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, "doc_id long, d1 long, d2 long, home long, prefix array<long>")
+    return answers, needed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, "doc_id long, d1 long, d2 long, home long, prefix array<long>")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, doc: str, text: str, words: int) -> DataFrame:
@@ -345,17 +345,20 @@ def _classes_linked(docs: DataFrame, doc: str, text: str, words: int, percent: i
     """(doc_id, key, n, d1, d2) of each row, and (d1, d2, component_id, n_links, stays) of each class of equal sets that has a link or a copy."""
     spark = docs.sparkSession
     blocks = stored(sketched(docs, doc, text, words, percent), "sketches")
-    rows = blocks.select(F.explode(F.arrays_zip("ids", "keys", "sizes", "d1", "d2")).alias("r")).select(F.col("r.ids").alias("doc_id"), F.col("r.keys").alias("key"), F.col("r.sizes").alias("n"), "r.d1", "r.d2")
+    rows = stored(blocks.select(F.explode(F.arrays_zip("ids", "keys", "sizes", "d1", "d2")).alias("r")).select(F.col("r.ids").alias("doc_id"), F.col("r.keys").alias("key"), F.col("r.sizes").alias("n"), "r.d1", "r.d2"), "rows")
     same = rows.where("n > 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "n", "d1", "d2").distinct()
     classes = same.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).withColumn("cls", F.xxhash64("d1", "d2"))
     # runs: by the least shared shingle, and by the class where one run would be too large
-    placed = stored(screened(blocks, percent).withColumnRenamed("doc_id", "rep").join(classes, ["rep", "d1", "d2"]), "placed")
+    answers, passed = screened(blocks, percent)
+    placed = stored(passed.withColumnRenamed("doc_id", "rep").join(classes, ["rep", "d1", "d2"]), "placed")
+    discard(blocks, answers)
     weight = F.col("n") + RUN_ROW
     total = placed.agg(F.sum(weight)).first()[0] or 0
     spread = F.pmod(F.col("home"), F.lit(max(1, math.ceil(total / RUN))))
     crowd = placed.groupBy(spread.alias("spot")).agg(F.ceil(F.sum(weight) / (2 * RUN)).alias("among"))
     dealt = placed.join(crowd, spread == F.col("spot")).withColumn("run", F.col("spot") * RUNS_OF_ONE + F.pmod(F.xxhash64("cls"), F.col("among")))
     dealt = stored(dealt.select("cls", "d1", "d2", "rep", "copies", "n", "home", "run", "prefix"), "dealt")
+    discard(placed)
     # which runs a shingle of the prefix occurs in: near copies mostly have the same ones, so that lists of runs are few
     tokens = dealt.select("cls", "run", F.explode("prefix").alias("h"))
     held = tokens.groupBy("h").agg(F.min("cls").alias("least"), F.max("cls").alias("most"), F.sort_array(F.collect_set("run")).alias("runs")).where("least <> most")
@@ -376,6 +379,7 @@ def _classes_linked(docs: DataFrame, doc: str, text: str, words: int, percent: i
         return out
 
     found = stored(work.groupBy("task").applyInArrow(solve, "u long, v long, n long"), "links")
+    discard(dealt, meets, runs, sides_)
     # components of classes, named by the least id in them
     labels = components(found.where("v is not null").select("u", "v")).withColumnRenamed("node", "cls")
     counts = found.where("v is null").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("others"))
@@ -415,5 +419,4 @@ def keep_first(docs: DataFrame, doc: str = "doc_id", text: str = "text", **param
     """
     rows, answers = _classes_linked(docs, doc, text, **({"words": WORDS, "percent": PERCENT} | parameters))
     gone = rows.where("n > 0 and doc_id is not null").join(answers, ["d1", "d2"]).where(~F.col("stays") | (F.col("doc_id") != F.col("component_id")))
-    gone = stored(gone.select(F.col("doc_id").alias("__gone"), F.col("key").alias("__key")).distinct(), "gone")
-    return docs.join(gone, (docs[doc] == gone["__gone"]) & (F.xxhash64(docs[text]) == gone["__key"]), "left_anti")
+    return without_rows(docs, stored(gone.select(F.col("doc_id").alias("id"), "key").distinct(), "gone"), doc, text)
