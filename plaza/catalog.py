@@ -8,10 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import schema
 from .functions import cards, html, replies, text, urls
 from .operators import collection, gate, judge, prescreen, search, sequence, store
 from .plans import migrations
-from .schema import PLATFORM_STANCES, RISKS, duplicate_keys, enum_violations, orphans
+from .schema import PLATFORM_STANCES
 from .views import CTES, Views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,21 +36,23 @@ def _ts(value: str):
 
 # --- scans, filters, joins, aggregates over the star schema ---
 
-RESULT_SQL = "c.content_id, content_type, title, content_text, voteup_count, comment_count, published_at, collected_at, question_id, author, platform_stance, risk_level"
+RESULT_SQL = """c.content_id, content_type, platform_id, url, title, c.author_id, nickname as author_name, platform_user_id as author_platform_id, published_at, collected_at, voteup_count, comment_count,
+ai_summary, platform_stance, stance_confidence, risk_level, risk_reasoning, analyzed_by"""
+AUTHOR_SQL = "left join v_author w on w.author_id = c.author_id"
 
 
-@query("select c.content_id, content_type, author, risk_level, platform_stance, collected_at from v_content c join v_analysis a using (content_id) where risk_level in ('高风险', '中风险') and collected_at >= timestamp '2024-01-01 01:00:00' order by collected_at desc, content_id limit 20")
+@query(f"select {RESULT_SQL} from v_content c join v_analysis a using (content_id) {AUTHOR_SQL} where risk_level in ('高风险', '中风险') and collected_at >= timestamp '2024-01-01 01:00:00' order by collected_at desc, content_id limit 20")
 def alert_rows(v: Views) -> DataFrame:
-    return search.alerts(v.content, v.analysis, _ts("2024-01-01 01:00:00"), ("高风险", "中风险"), 20)
+    return search.alerts(v.content, v.analysis, v.authors, _ts("2024-01-01 01:00:00"), ("高风险", "中风险"), 20)
 
 
-@query(f"select {RESULT_SQL} from v_content c left join v_analysis a using (content_id) order by published_at desc nulls first, content_id limit 50 offset 20")
+@query(f"select {RESULT_SQL} from v_content c left join v_analysis a using (content_id) {AUTHOR_SQL} order by published_at desc nulls first, content_id limit 50 offset 20")
 def search_contents(v: Views) -> DataFrame:
-    return search.search(v.content, v.analysis, v.bridge, sort="published_at", offset=20)
+    return search.search(v.content, v.analysis, v.authors, v.bridge, sort="published_at", offset=20)
 
 
 SEARCHES = {
-    "search_author": (search.ContentFilter(author="src3"), "author = 'src3'", "left"),
+    "search_author": (search.ContentFilter(author="u3"), "platform_user_id = 'u3'", "left"),
     "search_risk": (search.ContentFilter(risk="中风险"), "risk_level = '中风险'", "inner"),
     "search_stance": (search.ContentFilter(platform_stance="抹黑"), "platform_stance = '抹黑'", "inner"),
     "search_type_dates": (search.ContentFilter(content_type="article", published_from=datetime(2023, 12, 20), published_to=datetime(2024, 1, 1), collected_from=datetime(2024, 1, 1, 1)), "content_type = 'article' and published_at between timestamp '2023-12-20' and timestamp '2024-01-01' and collected_at >= timestamp '2024-01-01 01:00:00'", "left"),
@@ -57,12 +60,12 @@ SEARCHES = {
     "search_all_filters": (search.ContentFilter(None, "有利", "低风险", "answer", datetime(2023, 1, 1), datetime(2025, 1, 1), datetime(2024, 1, 1), None, "中立"), "platform_stance = '有利' and risk_level = '低风险' and content_type = 'answer' and published_at between timestamp '2023-01-01' and timestamp '2025-01-01' and collected_at >= timestamp '2024-01-01' and exists (select 1 from v_bridge b where b.content_id = c.content_id and stance = '中立')", "inner"),
 }
 for _name, (_filter, _where, _join) in SEARCHES.items():
-    query(f"select {RESULT_SQL} from v_content c {_join} join v_analysis a using (content_id) where {_where} order by voteup_count asc nulls last, content_id limit 30", _name)(lambda v, f=_filter: search.search(v.content, v.analysis, v.bridge, f, "voteup_count", False, 30))
+    query(f"select {RESULT_SQL} from v_content c {_join} join v_analysis a using (content_id) {AUTHOR_SQL} where {_where} order by voteup_count asc nulls last, content_id limit 30", _name)(lambda v, f=_filter: search.search(v.content, v.analysis, v.authors, v.bridge, f, "voteup_count", False, 30))
 
 
 @query("select count(*) as n from v_content c join v_analysis a using (content_id) where platform_stance = '有利' and exists (select 1 from v_bridge b where b.content_id = c.content_id and event_id = 2)")
 def count_contents(v: Views) -> DataFrame:
-    return search.count(v.content, v.analysis, v.bridge, search.ContentFilter(platform_stance="有利", event_id=2))
+    return search.count(v.content, v.analysis, v.authors, v.bridge, search.ContentFilter(platform_stance="有利", event_id=2))
 
 
 @query("select risk_level, count(*) as n from v_content join v_analysis using (content_id) where collected_at >= timestamp '2024-01-01 02:00:00' group by 1")
@@ -125,9 +128,6 @@ def anti_existing(v: Views) -> DataFrame:
     return v.content.join(v.analysis, "content_id", "left_anti").select("content_id")
 
 
-@query("select content_id, count(*) as n_stances, bool_or(stance = '反向') as any_against from v_bridge group by 1")
-def review_pages(v: Views) -> DataFrame:
-    return v.bridge.groupBy("content_id").agg(F.count("*").alias("n_stances"), F.bool_or(F.col("stance") == "反向").alias("any_against"))
 
 
 @query("select event_id, count(*) filter (where risk_level is not null) as relevant, count(*) as total, count(*) filter (where risk_level is not null and stance = '正向') as n_for, count(*) filter (where risk_level is not null and stance = '反向') as n_against from v_bridge left join v_analysis using (content_id) group by 1")
@@ -189,9 +189,9 @@ def overlap_ratio(v: Views) -> DataFrame:
     return sequence.overlap(v.log.select((F.col("event_id") % 12).alias("slice"), "user_id"), "slice", "user_id")
 
 
-@query("select event_id, event_type from (select *, row_number() over (partition by event_type order by event_id) - 1 as r from events) where r % 4 = 1")
+@query("select event_id, event_type from (select *, row_number() over (order by event_id) - 1 as r from events) where r % 4 = 1")
 def round_robin_shard(v: Views) -> DataFrame:
-    return sequence.shard(v.log, ["event_id"], 1, 4, ["event_type"]).select("event_id", "event_type")
+    return sequence.shard(v.log, ["event_id"], 1, 4).select("event_id", "event_type")
 
 
 @query("select conv_id, count(*) as collected, max(conv_id % 7) as declared, count(*) + max(conv_id % 3) as accounted, count(*) + max(conv_id % 3) >= max(conv_id % 7) as complete, greatest(0, max(conv_id % 7) - count(*) - max(conv_id % 3)) as missing from conversations group by 1")
@@ -216,25 +216,28 @@ def threads(v: Views) -> DataFrame:
 
 
 def _sets(v: Views) -> tuple[DataFrame, DataFrame]:
-    return v.log.where("event_id % 2 = 0").select("user_id"), v.log.where("event_id % 60 = 1").select("user_id")
+    """All pages of the log's events by the end of their id, and all documents by theirs."""
+    return v.log.select((F.col("event_id") % 7919).alias("item_id"), F.lit("log").alias("origin")), v.table("documents").select((F.col("doc_id") * 3).alias("item_id"), F.lit("documents").alias("origin"))
 
 
-@query("select user_id from events where event_id % 2 = 0 union select user_id from events where event_id % 60 = 1")
+@query("select item_id, min(origin) as origin from (select event_id % 7919 as item_id, '2' as origin from events union all select doc_id * 3, '1' from documents) group by 1")
 def union_dedup(v: Views) -> DataFrame:
-    a, b = _sets(v)
-    return a.unionByName(b).distinct()
+    """Keep-first: an id that the documents have comes from them."""
+    log, docs = _sets(v)
+    first = sequence.union_first([docs, log], ["item_id"], ["origin"])
+    return first.select("item_id", F.when(F.col("origin") == "documents", "1").otherwise("2").alias("origin"))
 
 
-@query("select user_id from events where event_id % 2 = 0 except select user_id from events where event_id % 60 = 1")
+@query("select event_id % 7919 as item_id from events except select doc_id * 3 from documents")
 def difference(v: Views) -> DataFrame:
     a, b = _sets(v)
-    return a.subtract(b)
+    return a.select("item_id").subtract(b.select("item_id"))
 
 
-@query("select user_id from events where event_id % 2 = 0 intersect select user_id from events where event_id % 60 = 1")
+@query("select event_id % 7919 as item_id from events intersect select doc_id * 3 from documents")
 def intersection(v: Views) -> DataFrame:
     a, b = _sets(v)
-    return a.intersect(b)
+    return a.select("item_id").intersect(b.select("item_id"))
 
 
 # --- functions ---
@@ -313,7 +316,7 @@ def html_to_text(v: Views) -> DataFrame:
 
 @query()
 def prescreen_topk(v: Views) -> DataFrame:
-    return prescreen.prescreen(v.content, ["the nation", "station"], ["title", "content_text"], _ts("2024-01-01 00:30:00"), 0.5, 50)
+    return prescreen.prescreen(v.content, v.analysis, ["the nation", "station"], ["title", "content_text", "ai_summary"], _ts("2024-01-01 00:30:00"), 0.5, 50)
 
 
 # --- gate, sinks and checks ---
@@ -322,25 +325,26 @@ def prescreen_topk(v: Views) -> DataFrame:
 def _records(v: Views) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     i = F.col("content_id")
     records = v.content.select(i.cast("string").alias("url"), F.when(i % 17 == 0, "question").otherwise(F.col("content_type")).alias("content_type"), F.when(F.col("question_id").isNotNull(), F.col("question_id") + i % 2 * 30).alias("question_id"))
-    judgments = v.analysis.select(i.cast("string").alias("url"), F.when(i % 6 != 0, i % 2 == 0).alias("is_relevant"), "platform_stance")
+    last = v.analysis.select(i.cast("string").alias("url"), F.when(i % 6 != 0, i % 2 == 0).alias("is_relevant"), F.when(i % 10 != 0, F.col("platform_stance")).alias("platform_stance"), F.lit(2).alias("ord"))
+    judgments = last.unionByName(last.select("url", F.lit(True).alias("is_relevant"), F.lit("不相关").alias("platform_stance"), F.lit(1).alias("ord")))  # an earlier judgment of each
     return records, judgments, v.questions.where("is_relevant").select("question_id"), v.questions.select("question_id")
 
 
 GATE_SQL = """, r as (select cast(content_id as varchar) as url, case when content_id % 17 = 0 then 'question' else content_type end as content_type, question_id + content_id % 2 * 30 as question_id from v_content),
-j as (select cast(content_id as varchar) as url, content_id % 6 <> 0 and content_id % 2 = 0 as relevant, platform_stance from v_analysis),
+j as (select cast(content_id as varchar) as url, content_id % 6 <> 0 and content_id % 2 = 0 as relevant, case when content_id % 10 <> 0 then platform_stance end as platform_stance from v_analysis),
 d as (select r.url, r.content_type, r.question_id, j.platform_stance, case when content_type = 'question' then 'rejected_question' when j.url is null then 'unjudged' when relevant then 'kept' when r.question_id is null then 'dropped_irrelevant'
   when q.is_relevant then 'kept_by_parent' when q.question_id is null then 'dropped_unknown_parent' else 'dropped_irrelevant' end as disposition
   from r left join j using (url) left join v_question q on q.question_id = r.question_id) """
 
 
-@query(GATE_SQL + "select url, disposition, coalesce(disposition = 'kept_by_parent' and platform_stance <> '不相关', false) as stance_conflict from d")
+@query(GATE_SQL + "select url, disposition, disposition = 'kept_by_parent' and platform_stance is distinct from '不相关' as stance_conflict from d")
 def content_gate(v: Views) -> DataFrame:
-    return gate.content_disposition(*_records(v)).select("url", "disposition", "stance_conflict")
+    return gate.content_disposition(*_records(v), order="ord").select("url", "disposition", "stance_conflict")
 
 
 @query(GATE_SQL + "select disposition, count(*) as n from d group by 1")
 def gate_report(v: Views) -> DataFrame:
-    return gate.report(gate.content_disposition(*_records(v)))
+    return gate.report(gate.content_disposition(*_records(v), order="ord"))
 
 
 def _event_judgments(v: Views) -> DataFrame:
@@ -356,27 +360,32 @@ def event_report(v: Views) -> DataFrame:
 
 
 def _batch(v: Views) -> DataFrame:
+    """A batch whose ids clash between types."""
     i = F.col("doc_id")
-    return v.table("documents").select(i.alias("ord"), (i % 900).cast("string").alias("url"), F.when(i % 2 == 0, "answer").otherwise("comment").alias("content_type"), (i % 300).cast("string").alias("platform_id"), F.when(i % 5 == 0, "answer").alias("parent_type"), F.when(i % 5 == 0, (i % 170).cast("string")).alias("parent_platform_id"), i.alias("content_id"))
+    kind = F.element_at(F.array(*map(F.lit, ("answer", "article", "comment"))), (i % 3 + 1).cast("int"))
+    return v.table("documents").select(i.alias("ord"), (i % 900).cast("string").alias("url"), kind.alias("content_type"), (i * 7 % 50).cast("string").alias("platform_id"), F.when(i % 5 == 0, (i % 55).cast("string")).alias("parent_platform_id"), i.alias("content_id"))
 
 
-@query(""", b as (select doc_id as ord, cast(doc_id % 900 as varchar) as url, case when doc_id % 2 = 0 then 'answer' else 'comment' end as content_type, cast(doc_id % 300 as varchar) as platform_id,
-  case when doc_id % 5 = 0 then cast(doc_id % 170 as varchar) end as pid, doc_id >= 100 and row_number() over (partition by doc_id % 900 order by doc_id) = 1 and doc_id % 900 >= 100 as inserted from documents)
-select c.ord, inserted, (select p.ord from b p where p.inserted and p.platform_id = c.pid and p.ord < c.ord order by p.content_type = 'answer' desc, p.ord desc limit 1) as parent_content_id from b c""")
+@query(""", b as (select doc_id as ord, case doc_id % 3 when 0 then 'answer' when 1 then 'article' else 'comment' end as content_type, cast(doc_id * 7 % 50 as varchar) as platform_id,
+  case when doc_id % 5 = 0 then cast(doc_id % 55 as varchar) end as pid, doc_id >= 100 and row_number() over (partition by doc_id % 900 order by doc_id) = 1 and doc_id % 900 >= 100 as inserted from documents),
+own as (select c.ord, max(p.ord) as parent from b c join b p on p.inserted and p.platform_id = c.pid and p.ord < c.ord and p.content_type = c.content_type group by 1),
+first as (select c.ord, arg_min(p.content_type, p.ord) as kind from b c join b p on p.inserted and p.platform_id = c.pid and p.ord < c.ord group by 1),
+other as (select c.ord, max(p.ord) as parent from b c join first f using (ord) join b p on p.inserted and p.platform_id = c.pid and p.ord < c.ord and p.content_type = f.kind group by 1)
+select b.ord, inserted, coalesce(own.parent, other.parent) as parent_content_id from b left join own using (ord) left join other using (ord)""")
 def resolve_parent(v: Views) -> DataFrame:
     existing = v.spark.range(100).select(F.col("id").cast("string").alias("url"))
     return gate.resolve_parents(gate.new_rows(_batch(v), existing, "url", "ord")).select("ord", "inserted", "parent_content_id")
 
 
 def _authors(v: Views) -> tuple[DataFrame, DataFrame]:
-    now = v.table("customer").where("c_custkey <= 100").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.lit("note").alias("note"), F.lit(1).cast("long").alias("version"))
+    now = v.table("customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.lit("note").alias("note"), F.lit(1).cast("long").alias("version"))
     i = F.col("doc_id")
-    changes = v.table("documents").select(i.alias("ord"), (i % 150).alias("k"), F.when(i % 4 != 0, F.col("source")).alias("name"), F.when(i % 3 == 0, F.concat(F.lit("n"), i)).alias("note"), i.alias("version"))
+    changes = v.table("documents").select(i.alias("ord"), (i * 2).alias("k"), F.when(i % 4 != 0, F.col("source")).alias("name"), F.when(i % 3 == 0, F.concat(F.lit("n"), i)).alias("note"), i.alias("version"))
     return now, changes
 
 
-AUTHORS_SQL = """, t as (select c_custkey::bigint as k, c_name as name, 'note' as note, 1::bigint as version from customer where c_custkey <= 100),
-c as (select doc_id as ord, doc_id % 150 as k, case when doc_id % 4 <> 0 then source end as name, case when doc_id % 3 = 0 then 'n' || doc_id end as note, doc_id as version from documents) """
+AUTHORS_SQL = """, t as (select c_custkey::bigint as k, c_name as name, 'note' as note, 1::bigint as version from customer),
+c as (select doc_id as ord, doc_id * 2 as k, case when doc_id % 4 <> 0 then source end as name, case when doc_id % 3 = 0 then 'n' || doc_id end as note, doc_id as version from documents) """
 
 
 @query(AUTHORS_SQL + ", f as (select * from (select *, row_number() over (partition by k order by ord) as r from c) where r = 1) select k, name, note, version from t union all select k, name, note, version from f where k not in (select k from t)")
@@ -405,19 +414,35 @@ def content_id(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", store.content_id(F.col("source")).alias("content_id"))
 
 
-@query("select content_id, 'risk_level' as violated from v_analysis where risk_level = '高风险'")
+def _star(v: Views) -> dict[str, DataFrame]:
+    """The tables of the schema that the views fill, with values that break their rules now and then."""
+    i = F.col("content_id")
+    return {
+        "dim_author": v.authors.withColumn("stance", F.when(F.col("author_id") % 4 == 0, "敌对").otherwise("中立")),
+        "fact_content": v.content.withColumn("status", F.when(i % 31 == 0, "gone").otherwise("active")).withColumn("url", F.concat(F.lit("u"), i % 700)).withColumn("storage_path", F.when(i % 3 == 0, "key")),
+        "fact_analysis": v.analysis.withColumn("risk_level", F.when(i % 29 == 0, "极高").otherwise(F.col("risk_level"))),
+        "fact_content_event": v.bridge.withColumn("event_id", F.col("event_id") + F.when(i % 50 == 1, 100).otherwise(0)),
+        "dim_event": v.events,
+    }
+
+
+@query("""select 'dim_author' as tbl, 'stance' as violated, count(*) as n from v_author where author_id % 4 = 0 having count(*) > 0
+union all select 'fact_content', 'status', count(*) from v_content where content_id % 31 = 0 having count(*) > 0
+union all select 'fact_analysis', 'risk_level', count(*) from v_analysis where content_id % 29 = 0 having count(*) > 0""")
 def enum_checks(v: Views) -> DataFrame:
-    return enum_violations(v.analysis, {"risk_level": RISKS[:2], "platform_stance": PLATFORM_STANCES}).select("content_id", "violated")
+    return schema.all_violations(_star(v))
 
 
-@query("select text, count(*) as n from documents group by 1 having count(*) > 1")
+@query("select 'fact_content' as tbl, 'url' as key, 'u' || (content_id % 700) as value, count(*) as n from v_content group by 3 having count(*) > 1")
 def uniques(v: Views) -> DataFrame:
-    return duplicate_keys(v.table("documents"), ("text",))
+    return schema.all_duplicates(_star(v))
 
 
-@query("select content_id from v_content where content_id not in (select doc_id from labels)")
+@query("""select 'fact_content' as tbl, 'author_id' as reference, cast(author_id as varchar) as value, count(*) as n from v_content where author_id not in (select author_id from v_author) group by 3
+union all select 'fact_analysis', 'content_id', cast(content_id as varchar), count(*) from v_analysis where content_id not in (select content_id from v_content) group by 3
+union all select 'fact_content_event', 'event_id', cast(event_id + case when content_id % 50 = 1 then 100 else 0 end as varchar), count(*) from v_bridge where event_id + case when content_id % 50 = 1 then 100 else 0 end not in (select event_id from v_event) group by 3""")
 def foreign_keys(v: Views) -> DataFrame:
-    return orphans(v.content.select("content_id"), "content_id", v.table("labels"), "doc_id")
+    return schema.all_orphans(_star(v))
 
 
 @query("select doc_id, case when doc_id % 5 = 0 then 'no_id' when doc_id % 7 = 0 then 'no_url' when doc_id % 3 = 0 then 'bad_type' end as reject_reason from documents")
@@ -438,12 +463,14 @@ def concurrent_judge(v: Views) -> DataFrame:
     return judge.batch_report(judge.judge_each(v.table("documents"), "doc_id", "text", lambda t: t[:10]))
 
 
-@query("select p_partkey::bigint as version, case when p_partkey > 150 then 'pending' when p_partkey <= 10 then 'drifted' else 'applied' end as status, p_partkey <= 10 as blocked from part where p_partkey <= 200 union all select 100000 + i, 'orphaned', true from range(5) t(i)")
+@query("""select p_partkey::bigint as version, case when p_partkey % 4 = 0 then 'pending' when p_partkey % 17 = 0 then 'drifted' else 'applied' end as status, p_partkey % 4 <> 0 and p_partkey % 17 = 0 as blocked from part
+union all select -1 - s_suppkey, 'orphaned', true from supplier""")
 def migration_plan(v: Views) -> DataFrame:
     k = F.col("p_partkey").cast("long")
-    parts = v.table("part").where("p_partkey <= 200").select(k.alias("version"), F.lit("a").alias("checksum"))
-    applied = parts.where("version <= 150").select("version", F.when(F.col("version") <= 10, "b").otherwise("a").alias("checksum")).unionByName(v.spark.range(5).select((100_000 + F.col("id")).alias("version"), F.lit("a").alias("checksum")))
-    return migrations.migration_plan(parts, applied)
+    parts = v.table("part").select(k.alias("version"), F.lit("a").alias("checksum"))
+    applied = parts.where("version % 4 <> 0").select("version", F.when(F.col("version") % 17 == 0, "b").otherwise("a").alias("checksum"))
+    gone = v.table("supplier").select((-1 - F.col("s_suppkey")).cast("long").alias("version"), F.lit("a").alias("checksum"))
+    return migrations.migration_plan(parts, applied.unionByName(gone))
 
 
 @query("select r_name as keyword, count(*) as n from region, range(12) group by 1")
@@ -498,7 +525,7 @@ def relevant_set(v: Views) -> DataFrame:
     return collection.relevant_set(v.questions, "question_id")
 
 
-@query("select content_id, event_id from v_content, v_event where (content_id, event_id) not in (select content_id, event_id from v_bridge)")
+@query("select distinct content_id, event_id from v_content, v_event where (content_id, event_id) not in (select content_id, event_id from v_bridge)")
 def content_x_event(v: Views) -> DataFrame:
     return collection.missing_pairs(v.content, v.events, v.bridge.select("content_id", "event_id"))
 
@@ -545,9 +572,9 @@ def page_heading(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", cards.css_pick(F.col("html"), cards.Selector("h1"), cards.Selector("title"))["text"].alias("heading"))
 
 
-@query("select content_id from v_content where content_text is null and title is null")
+@query("select content_id from v_content where content_text is null and content_id % 3 <> 0")
 def body_present(v: Views) -> DataFrame:
-    return v.content.where(F.col("content_text").isNull() & F.col("title").isNull()).select("content_id")
+    return schema.body_missing(_star(v)["fact_content"]).select("content_id")
 
 
 @query("select doc_id, case when doc_id * 1000 - 50000 >= 0 then doc_id * 1000 - 50000 end as at from documents")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The search page's options that apply where a spec names none.
 SORT = {"backfill": "综合排序", "update": "最新发布"}
@@ -73,9 +74,14 @@ def relevant_set(judgments: DataFrame, key: str) -> DataFrame:
 
 
 def missing_pairs(contents: DataFrame, events: DataFrame, judged: DataFrame) -> DataFrame:
-    """(content_id, event_id) still to be judged. The events of a round are a short list that a person keeps."""
-    pairs = contents.select("content_id").crossJoin(events.select("event_id"))
-    return pairs.join(judged, ["content_id", "event_id"], "left_anti")
+    """(content_id, event_id) still to be judged: of each content, the events without those that it has.
+
+    The events of a round are a short list that a person keeps; they go to the contents as one array.
+    """
+    all_ = events.agg(F.sort_array(F.collect_set("event_id")).alias("__all"))  # one row
+    own = judged.groupBy("content_id").agg(F.collect_set("event_id").alias("__own"))
+    left = F.array_except("__all", F.coalesce("__own", F.array().cast(T.ArrayType(events.schema["event_id"].dataType))))
+    return contents.select("content_id").distinct().join(own, "content_id", "left").crossJoin(F.broadcast(all_)).select("content_id", F.explode(left).alias("event_id"))
 
 
 def push_prompt(prompts: DataFrame, new: DataFrame) -> DataFrame:

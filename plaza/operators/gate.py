@@ -9,26 +9,32 @@ from ..schema import CONTENT_TYPES, EVENT_STANCES, UNRELATED
 
 
 def resolve_parents(batch: DataFrame) -> DataFrame:
-    """batch(ord, content_type, platform_id, parent_type, parent_platform_id, inserted, content_id) with parent_content_id.
+    """batch(ord, content_type, platform_id, parent_platform_id, inserted, content_id) with parent_content_id.
 
-    A parent is a row of this batch that was inserted before its child; one of the parent's type
-    is preferred, then the latest that carries the id.
+    A parent is a row of this batch that was inserted before its child and carries the id. The
+    latest of the child's own type is taken; if that type has none, the latest of the type
+    that had the id first.
     """
-    child = batch.where("parent_platform_id is not null").select("ord", "parent_type", F.col("parent_platform_id").alias("pid"))
-    parent = batch.where("inserted").select(F.col("ord").alias("p_ord"), F.col("content_type").alias("p_type"), F.col("platform_id").alias("p_id"), F.col("content_id").alias("parent_content_id"))
+    child = batch.where("parent_platform_id is not null").select("ord", F.col("content_type").alias("own"), F.col("parent_platform_id").alias("pid"))
+    parent = batch.where("inserted").select(F.col("ord").alias("p_ord"), F.col("content_type").alias("p_type"), F.col("platform_id").alias("p_id"), F.col("content_id").alias("parent"))
     pairs = child.join(parent, (F.col("pid") == F.col("p_id")) & (F.col("p_ord") < F.col("ord")))
-    best = pairs.groupBy("ord").agg(F.max_by("parent_content_id", F.struct(F.coalesce(F.col("p_type") == F.col("parent_type"), F.lit(False)), "p_ord")).alias("parent_content_id"))
+    by_type = pairs.groupBy("ord", "own", "p_type").agg(F.min("p_ord").alias("first"), F.max_by("parent", "p_ord").alias("parent"))
+    best = by_type.groupBy("ord").agg(F.min_by("parent", F.struct(F.col("p_type") != F.col("own"), "first")).alias("parent_content_id"))
     return batch.join(best, "ord", "left")
 
 
-def content_disposition(records: DataFrame, judgments: DataFrame, relevant_questions: DataFrame, known_questions: DataFrame) -> DataFrame:
+def content_disposition(records: DataFrame, judgments: DataFrame, relevant_questions: DataFrame, known_questions: DataFrame, order: str | None = None) -> DataFrame:
     """records(url, content_type, question_id) with disposition and stance_conflict.
 
     In this order: rejected_question, unjudged, kept, dropped_irrelevant (no question above),
     kept_by_parent (its question is relevant this round), dropped_unknown_parent (its question
-    isn't known), dropped_irrelevant. An undecided relevance counts as not relevant.
+    isn't known), dropped_irrelevant. An undecided relevance counts as not relevant. Of several
+    judgments of a url the last by ``order`` counts. stance_conflict: kept by its question, but
+    its stance is anything but unrelated, null included.
     """
-    verdict = judgments.select("url", F.coalesce("is_relevant", F.lit(False)).alias("relevant"), "platform_stance", F.lit(True).alias("judged"))
+    last = judgments.select("url", "is_relevant", "platform_stance", (F.col(order) if order else F.lit(0)).alias("at"))
+    last = last.groupBy("url").agg(F.max_by(F.struct("is_relevant", "platform_stance"), "at").alias("j")).select("url", "j.*")
+    verdict = last.select("url", F.coalesce("is_relevant", F.lit(False)).alias("relevant"), "platform_stance", F.lit(True).alias("judged"))
     now = relevant_questions.select("question_id").distinct().withColumn("q_relevant", F.lit(True))
     known = known_questions.select("question_id").distinct().withColumn("q_known", F.lit(True))
     rows = records.join(verdict, "url", "left").join(now, "question_id", "left").join(known, "question_id", "left")
@@ -37,8 +43,8 @@ def content_disposition(records: DataFrame, judgments: DataFrame, relevant_quest
         .when(F.col("question_id").isNull(), "dropped_irrelevant").when(F.col("q_relevant"), "kept_by_parent").when(F.col("q_known").isNull(), "dropped_unknown_parent").otherwise("dropped_irrelevant")
     )
     rows = rows.withColumn("disposition", disposition)
-    conflict = (F.col("disposition") == "kept_by_parent") & (F.col("platform_stance") != UNRELATED)
-    return rows.withColumn("stance_conflict", F.coalesce(conflict, F.lit(False))).drop("judged", "q_relevant", "q_known")
+    conflict = (F.col("disposition") == "kept_by_parent") & ~F.col("platform_stance").eqNullSafe(UNRELATED)
+    return rows.withColumn("stance_conflict", conflict).drop("judged", "q_relevant", "q_known")
 
 
 def event_disposition(judgments: DataFrame, inserted: DataFrame, events: DataFrame) -> DataFrame:

@@ -27,17 +27,22 @@ class ContentFilter:
 
 #: Columns that results can be sorted by.
 SORTS = ("collected_at", "published_at", "voteup_count", "comment_count")
-RESULT = ("content_id", "content_type", "title", "content_text", "voteup_count", "comment_count", "published_at", "collected_at", "question_id", "author", "platform_stance", "risk_level")
+RESULT = ("content_id", "content_type", "platform_id", "url", "title", "author_id", "author_name", "author_platform_id", "published_at", "collected_at", "voteup_count", "comment_count", "ai_summary", "platform_stance", "stance_confidence", "risk_level", "risk_reasoning", "analyzed_by")
 
 
 def _when_set(value: object, condition: Column) -> list[Column]:
     return [] if value is None else [condition]
 
 
-def matching(content: DataFrame, analysis: DataFrame, bridge: DataFrame, flt: ContentFilter) -> DataFrame:
-    """Contents that pass, with their analysis. The analysis is joined inner if it is filtered on, else left; events are a semi-join, so nothing is doubled."""
+def named(authors: DataFrame) -> DataFrame:
+    """The authors as results show them; at most one row an author_id."""
+    return authors.select("author_id", F.col("nickname").alias("author_name"), F.col("platform_user_id").alias("author_platform_id"))
+
+
+def matching(content: DataFrame, analysis: DataFrame, authors: DataFrame, bridge: DataFrame, flt: ContentFilter) -> DataFrame:
+    """Contents that pass, with their analysis and author. Either is joined inner if it is filtered on, else left; events are a semi-join, so nothing is doubled."""
     where = [
-        *_when_set(flt.author, F.col("author") == flt.author), *_when_set(flt.content_type, F.col("content_type") == flt.content_type),
+        *_when_set(flt.content_type, F.col("content_type") == flt.content_type),
         *_when_set(flt.published_from, F.col("published_at") >= F.lit(flt.published_from)), *_when_set(flt.published_to, F.col("published_at") <= F.lit(flt.published_to)),
         *_when_set(flt.collected_from, F.col("collected_at") >= F.lit(flt.collected_from)),
     ]
@@ -47,25 +52,28 @@ def matching(content: DataFrame, analysis: DataFrame, bridge: DataFrame, flt: Co
         rows = rows.join(bridge.where(reduce(lambda a, b: a & b, both)), "content_id", "left_semi")
     judged = [*_when_set(flt.platform_stance, F.col("platform_stance") == flt.platform_stance), *_when_set(flt.risk, F.col("risk_level") == flt.risk)]
     own = analysis.where(reduce(lambda a, b: a & b, judged)) if judged else analysis
-    return rows.join(own, "content_id", "inner" if judged else "left")
+    rows = rows.join(own, "content_id", "inner" if judged else "left")
+    if flt.author is None:
+        return rows.join(named(authors), "author_id", "left")
+    return rows.join(named(authors).where(F.col("author_platform_id") == flt.author), "author_id")
 
 
-def search(content: DataFrame, analysis: DataFrame, bridge: DataFrame, flt: ContentFilter = ContentFilter(), sort: str = "collected_at", descending: bool = True, limit: int = 50, offset: int = 0) -> DataFrame:
+def search(content: DataFrame, analysis: DataFrame, authors: DataFrame, bridge: DataFrame, flt: ContentFilter = ContentFilter(), sort: str = "collected_at", descending: bool = True, limit: int = 50, offset: int = 0) -> DataFrame:
     """A page of results; nulls come first when descending and last when ascending, ties by id."""
     if sort not in SORTS:
         raise ValueError(f"can't sort by {sort!r}; one of {SORTS}")
     order = F.col(sort).desc_nulls_first() if descending else F.col(sort).asc_nulls_last()
-    return matching(content, analysis, bridge, flt).select(*RESULT).orderBy(order, "content_id").offset(offset).limit(limit)
+    return matching(content, analysis, authors, bridge, flt).select(*RESULT).orderBy(order, "content_id").offset(offset).limit(limit)
 
 
-def count(content: DataFrame, analysis: DataFrame, bridge: DataFrame, flt: ContentFilter = ContentFilter()) -> DataFrame:
-    return matching(content, analysis, bridge, flt).agg(F.count("*").alias("n"))
+def count(content: DataFrame, analysis: DataFrame, authors: DataFrame, bridge: DataFrame, flt: ContentFilter = ContentFilter()) -> DataFrame:
+    return matching(content, analysis, authors, bridge, flt).agg(F.count("*").alias("n"))
 
 
-def alerts(content: DataFrame, analysis: DataFrame, since: Column, risks: tuple[str, ...], limit: int = 20) -> DataFrame:
+def alerts(content: DataFrame, analysis: DataFrame, authors: DataFrame, since: Column, risks: tuple[str, ...], limit: int = 20) -> DataFrame:
     """Newest contents of the given risks collected since a time."""
     rows = content.where(F.col("collected_at") >= since).join(analysis.where(F.col("risk_level").isin(*risks)), "content_id")
-    return rows.select("content_id", "content_type", "author", "risk_level", "platform_stance", "collected_at").orderBy(F.desc("collected_at"), "content_id").limit(limit)
+    return rows.join(named(authors), "author_id", "left").select(*RESULT).orderBy(F.desc("collected_at"), "content_id").limit(limit)
 
 
 def count_by_risk(content: DataFrame, analysis: DataFrame, since: Column) -> DataFrame:

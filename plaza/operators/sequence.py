@@ -6,6 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with their number from 0 on in a total order of the whole table.
+
+    Rows are dealt by ranges of the order, sorted and counted; each range's number of rows is
+    added up over the ranges before it, so no task sees the whole table.
+    """
+    part, at = F.spark_partition_id().alias("__part"), F.monotonically_increasing_id()
+    ranged = rows.repartitionByRange(*(F.col(c) for c in order)).sortWithinPartitions(*order)
+    placed = ranged.select("*", part, (at % (1 << 33)).alias("__in"))
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))  # a row a partition
+    before = counts.select(F.col("__part").alias("__of"), (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    return placed.join(F.broadcast(before), F.col("__part") == F.col("__of")).withColumn(name, F.col("__before") + F.col("__in")).drop("__part", "__in", "__of", "__before")
+
+
 def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key."""
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__n = 1").drop("__n")
@@ -44,8 +58,8 @@ def shard(rows: DataFrame, order: list[str], index: int, count: int, within: lis
     """Every count-th row, from the index-th on."""
     if count < 1 or not 0 <= index < count:
         raise ValueError("index must be from 0 to count - 1")
-    at = F.row_number().over(Window.partitionBy(*(within or [])).orderBy(*order)) - 1
-    return rows.withColumn("__at", at).where(F.col("__at") % count == index).drop("__at")
+    at = rows.withColumn("__at", F.row_number().over(Window.partitionBy(*within).orderBy(*order)) - 1) if within else numbered(rows, order, "__at")
+    return at.where(F.col("__at") % count == index).drop("__at")
 
 
 def completeness(rows: DataFrame, keys: list[str], declared: str, collapsed: str) -> DataFrame:
@@ -68,4 +82,16 @@ def stable_reads(rows: DataFrame, keys: list[str], order: list[str], value: str)
 
 
 def micro_batches(rows: DataFrame, order: list[str], size: int = 20, within: list[str] | None = None) -> DataFrame:
-    return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*(within or [])).orderBy(*order)) - 1) / size))
+    """rows with batch: the number of the group of ``size`` that they fall in, in order."""
+    if within:
+        return rows.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*within).orderBy(*order)) - 1) / size))
+    return numbered(rows, order, "__at").withColumn("batch", F.floor(F.col("__at") / size)).drop("__at")
+
+
+def union_first(baselines: list[DataFrame], keys: list[str], order: list[str]) -> DataFrame:
+    """Rows of all baselines, of each key the first: of the earliest baseline that has it, then by order."""
+    parts = [b.withColumn("__rank", F.lit(i)) for i, b in enumerate(baselines)]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return keep_first(both, keys, ["__rank", *order]).drop("__rank")

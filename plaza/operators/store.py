@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sequence import numbered
+
 
 def insert_ignore(current: DataFrame, changes: DataFrame, keys: list[str], order: str) -> tuple[DataFrame, DataFrame]:
     """(next version, inserted rows): the first change of each key that isn't there."""
@@ -54,9 +56,9 @@ def compare_and_set(current: DataFrame, ids: DataFrame, key: str, flag: str) ->
 
 
 def with_ids(rows: DataFrame, current: DataFrame, key: str, order: str) -> DataFrame:
-    """rows with surrogate ids that continue the table's."""
-    top = current.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
-    return rows.crossJoin(F.broadcast(top)).withColumn(key, F.col("__top") + F.row_number().over(Window.orderBy(order))).drop("__top")
+    """rows with surrogate ids that continue the table's, in order."""
+    top = current.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))  # one row
+    return numbered(rows, [order], key).crossJoin(F.broadcast(top)).withColumn(key, F.col("__top") + F.col(key) + 1).drop("__top")
 
 
 def content_id(url: Column) -> Column:
@@ -66,18 +68,28 @@ def content_id(url: Column) -> Column:
 
 
 class Store:
-    """Versioned tables under a root that driver and executors share."""
+    """Versioned tables under a root that driver and executors share.
+
+    A version is a folder of Parquet and a mark, a file of a rising number that names the
+    folder. Marks are renamed into place and never replaced, the greatest is the current one:
+    a reader always finds a whole version, and a crash before the rename leaves the last one.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _pointer(self, table: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/CURRENT")
+    def _path(self, *parts: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def marks(self, table: str) -> list[str]:
+        """The marks of a table's versions, oldest first."""
+        path, fs = self._path(table, "marks")
+        return sorted(f.getPath().getName() for f in fs.listStatus(path) if not f.getPath().getName().startswith(".")) if fs.exists(path) else []
+
     def version(self, table: str) -> str | None:
-        path, fs = self._pointer(table)
-        return self.spark.read.text(path.toString(), wholetext=True).first()[0].strip() if fs.exists(path) else None
+        names = self.marks(table)
+        return names[-1].split("-", 1)[1] if names else None
 
     def read(self, table: str, schema: T.StructType) -> DataFrame:
         """The current version; an empty table if there is none."""
@@ -85,16 +97,12 @@ class Store:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{now}") if now else self.spark.createDataFrame([], schema)
 
     def commit(self, table: str, rows: DataFrame) -> str:
-        """Writes the next version and moves the pointer to it by renaming."""
-        name = f"v-{uuid.uuid4().hex}"
+        """Writes the next version, then its mark."""
+        name = f"v_{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.root}/{table}/{name}")
-        path, fs = self._pointer(table)
-        fresh = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}/.next-{name}")
-        out = fs.create(fresh, True)
-        out.write(bytearray(name, "utf-8"))
-        out.close()
-        if fs.exists(path):
-            fs.delete(path, False)
-        if not fs.rename(fresh, path):
-            raise OSError(f"can't move the pointer of {table}")
+        number = len(self.marks(table)) + 1
+        fresh, fs = self._path(table, "marks", f".{name}")
+        fs.create(fresh, True).close()
+        if not fs.rename(fresh, self._path(table, "marks", f"{number:012d}-{name}")[0]):
+            raise OSError(f"can't mark the version of {table}")
         return name

@@ -70,3 +70,44 @@ def orphans(df: DataFrame, column: str, parents: DataFrame, parent: str) -> Data
 
 def body_missing(df: DataFrame) -> DataFrame:
     return df.where("content_text is null and storage_path is null")
+
+
+# --- the rules of all tables at once ---
+
+
+def _united(parts: list[DataFrame], spark_of: DataFrame, ddl: str) -> DataFrame:
+    out = spark_of.sparkSession.createDataFrame([], ddl)
+    for p in parts:
+        out = out.unionByName(p)
+    return out
+
+
+def all_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(tbl, violated, n): values outside their domain, in the columns that are there; an unknown table name raises."""
+    parts = []
+    for name, df in tables.items():
+        allowed = {c: v for c, v in TABLES[name].allowed.items() if c in df.columns}
+        if allowed:
+            parts.append(enum_violations(df, allowed).groupBy("violated").agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "violated", "n"))
+    return _united(parts, next(iter(tables.values())), "tbl string, violated string, n long")
+
+
+def all_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
+    """(tbl, key, value, n): keys and unique columns that repeat; the parts of a key are joined by commas."""
+    parts = []
+    for name, df in tables.items():
+        for key in (TABLES[name].key, *TABLES[name].unique):
+            if set(key) <= set(df.columns):
+                parts.append(duplicate_keys(df, key).select(F.lit(name).alias("tbl"), F.lit(",".join(key)).alias("key"), F.concat_ws(",", *(F.col(k).cast("string") for k in key)).alias("value"), "n"))
+    return _united(parts, next(iter(tables.values())), "tbl string, key string, value string, n long")
+
+
+def all_orphans(tables: dict[str, DataFrame]) -> DataFrame:
+    """(tbl, reference, value, n): references that point nowhere, where both tables are there."""
+    parts = []
+    for name, df in tables.items():
+        for column, (other, parent) in TABLES[name].references.items():
+            if column in df.columns and other in tables and parent in tables[other].columns:
+                lost = orphans(df.select(column), column, tables[other].select(parent), parent).groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("n"))
+                parts.append(lost.select(F.lit(name).alias("tbl"), F.lit(column).alias("reference"), "value", "n"))
+    return _united(parts, next(iter(tables.values())), "tbl string, reference string, value string, n long")

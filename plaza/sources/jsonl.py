@@ -13,23 +13,47 @@ SAMPLES = columns("at string, keyword string, kind string, result_count int, pag
 LOGS = {"urls": URLS, "contents": CONTENTS, "answers": CONTENTS, "runs": SAMPLES}
 
 
-def scan_log(spark: SparkSession, run: str, name: str) -> DataFrame:
-    """Objects of a run's log; half-written lines and other values than objects are dropped. An unknown name raises, a missing file is empty."""
+#: Logs whose rows may have no other keys than their columns, and the keys that they must have.
+STRICT = {"urls": ("url",), "runs": ("at", "keyword", "kind", "result_count")}
+
+
+def scan_lines(spark: SparkSession, run: str, name: str) -> DataFrame:
+    """(line_no, row, fate) of a log's lines that aren't blank, in order. fate: kept, broken (no JSON object), unexpected or incomplete (keys of a strict log).
+
+    The log is a file, or the folder that ``append_log`` writes. An unknown name raises, a missing log is empty.
+    """
     schema = LOGS[name]
     path = f"{run.rstrip('/')}/{name}.jsonl"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    there = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    text = spark.read.text(path) if there else spark.createDataFrame([], "value string").withColumn("_metadata", F.struct(F.lit("").alias("file_path"), F.lit(0).cast("long").alias("file_block_start")))
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = text.select(place.alias("line_no"), F.trim("value").alias("line")).where("line <> ''")
+    keys = F.json_object_keys("line")
+    names = F.array(*(F.lit(f.name) for f in schema))
+    fate = F.when(F.try_parse_json("line").isNull() | keys.isNull(), "broken")
+    if name in STRICT:
+        fate = fate.when(F.size(F.array_except(keys, names)) > 0, "unexpected").when(F.size(F.array_except(F.array(*map(F.lit, STRICT[name])), keys)) > 0, "incomplete")
+    return lines.select("line_no", F.from_json("line", schema).alias("row"), fate.otherwise("kept").alias("fate"))
+
+
+def scan_log(spark: SparkSession, run: str, name: str) -> DataFrame:
+    """The rows of a run's log that are kept; see ``scan_lines``, which tells what became of the others."""
+    return scan_lines(spark, run, name).where("fate = 'kept'").select("row.*")
+
+
+def dropped(spark: SparkSession, run: str, name: str) -> DataFrame:
+    """(fate, n): lines of a log by what became of them."""
+    return scan_lines(spark, run, name).groupBy("fate").agg(F.count("*").alias("n"))
 
 
 def scan_bodies(spark: SparkSession, run: str) -> DataFrame:
-    """Bodies of a run, answers before contents, with their order as ``file_rank``."""
-    parts = [scan_log(spark, run, name).withColumn("file_rank", F.lit(i)) for i, name in enumerate(("answers", "contents"))]
+    """Bodies of a run, answers before contents, in the order (file_rank, line_no)."""
+    parts = [scan_lines(spark, run, name).where("fate = 'kept'").select(F.lit(i).alias("file_rank"), "line_no", "row.*") for i, name in enumerate(("answers", "contents"))]
     return parts[0].unionByName(parts[1])
 
 
 def append_log(rows: DataFrame, run: str, name: str) -> None:
-    """Appends to a log directory that stream readers follow."""
+    """Appends to a log's folder, which ``scan_log`` and stream readers follow. Nulls are written, so that rows keep their keys."""
     LOGS[name]
-    rows.write.mode("append").json(f"{run.rstrip('/')}/{name}")
+    rows.write.mode("append").option("ignoreNullFields", "false").json(f"{run.rstrip('/')}/{name}.jsonl")

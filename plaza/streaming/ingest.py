@@ -6,22 +6,30 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.sequence import keep_first
+
 
 def follow_log(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def ingest_new(stream: DataFrame, key: str, existing: Callable[[], DataFrame | None], sink: str, checkpoint: str) -> StreamingQuery:
-    """Writes rows whose key is neither in ``existing()`` nor earlier in their batch; a restarted query goes on where it stopped."""
+def ingest_new(stream: DataFrame, key: str, existing: Callable[[], DataFrame | None], sink: str, checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
+    """Writes rows whose key is neither in ``existing()`` nor earlier in their batch, the first by ``order``; a restarted query goes on where it stopped.
+
+    ``existing`` may read the sink: what a batch wrote itself, told by the column ``batch``, is
+    left out, so a batch that is replayed writes the same rows again. Only its key is read.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        fresh = batch.dropDuplicates([key])
+        fresh = keep_first(batch, [key], order) if order else batch.dropDuplicates([key])
         known = existing()
         if known is not None:
-            fresh = fresh.join(known.select(key).distinct(), key, "left_anti")
+            others = known.where(F.col("batch") != number) if "batch" in known.columns else known
+            fresh = fresh.join(others.select(key), key, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{sink}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

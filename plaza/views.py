@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 START = "2024-01-01 00:00:00"
 
 
+def author_id(source: Column) -> Column:
+    """The number in a source's name; null if there is none."""
+    return F.regexp_extract(source, r"([0-9]+)", 1).try_cast("long")
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
@@ -21,7 +26,7 @@ class Views:
         collected = F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("doc_id"))
         return d.select(
             F.col("doc_id").alias("content_id"), F.element_at(F.array(*map(F.lit, ("answer", "article", "thought", "comment"))), (F.col("doc_id") % 4 + 1).cast("int")).alias("content_type"),
-            F.col("source").alias("author"), F.when((F.col("doc_id") % 4).isin(0, 3), F.col("doc_id") % 50).alias("question_id"), F.when(F.col("doc_id") % 4 == 1, F.substring("text", 1, 40)).alias("title"),
+            F.col("doc_id").cast("string").alias("platform_id"), F.concat(F.lit("https://example.org/c/"), F.col("doc_id")).alias("url"), author_id(F.col("source")).alias("author_id"), F.when((F.col("doc_id") % 4).isin(0, 3), F.col("doc_id") % 50).alias("question_id"), F.when(F.col("doc_id") % 4 == 1, F.substring("text", 1, 40)).alias("title"),
             F.when(F.length("text") <= 500, F.col("text")).alias("content_text"), (F.col("n_chars") % 1000).alias("voteup_count"), (F.col("doc_id") % 97).alias("comment_count"), collected.alias("collected_at"),
             F.when(F.col("doc_id") % 10 != 0, collected - F.make_dt_interval(hours=F.col("doc_id") % 500)).alias("published_at"),
         )
@@ -30,7 +35,18 @@ class Views:
     def analysis(self) -> DataFrame:
         risk = F.when(F.col("toxic") == 1, "高风险").when(F.col("quality") == 0, "中风险").otherwise("低风险")
         stance = F.when(F.col("toxic") == 1, "抹黑").when(F.col("quality") == 1, "有利").otherwise("中立")
-        return self.table("labels").select(F.col("doc_id").alias("content_id"), risk.alias("risk_level"), stance.alias("platform_stance"))
+        i = F.col("doc_id")
+        return self.table("labels").select(
+            i.alias("content_id"), risk.alias("risk_level"), stance.alias("platform_stance"), F.when(i % 3 != 0, F.concat(F.lit("summary of "), i)).alias("ai_summary"), (i % 100 / F.lit(100.0)).alias("stance_confidence"),
+            F.when(F.col("toxic") == 1, "abuse").alias("risk_reasoning"), F.when(i % 9 == 0, "human").otherwise("ai").alias("analyzed_by"),
+        )
+
+    @property
+    def authors(self) -> DataFrame:
+        """An author for each source but every seventh."""
+        own = self.table("documents").where("source is not null").select("source").distinct().withColumn("author_id", author_id(F.col("source")))
+        known = own.groupBy("author_id").agg(F.min("source").alias("nickname")).where("author_id % 7 <> 6")
+        return known.select("author_id", F.concat(F.lit("u"), F.col("author_id")).alias("platform_user_id"), "nickname", (F.col("author_id") % 5 == 0).alias("is_watched"))
 
     @property
     def events(self) -> DataFrame:
@@ -60,7 +76,8 @@ class Views:
 
 
 CTES = """with v_content as (
-  select doc_id as content_id, case doc_id % 4 when 0 then 'answer' when 1 then 'article' when 2 then 'thought' else 'comment' end as content_type, source as author,
+  select doc_id as content_id, case doc_id % 4 when 0 then 'answer' when 1 then 'article' when 2 then 'thought' else 'comment' end as content_type, cast(doc_id as varchar) as platform_id, 'https://example.org/c/' || doc_id as url,
+    try_cast(regexp_extract(source, '([0-9]+)', 1) as bigint) as author_id,
     case when doc_id % 4 in (0, 3) then doc_id % 50 end as question_id, case when doc_id % 4 = 1 then substr(text, 1, 40) end as title,
     case when length(text) <= 500 then text end as content_text, n_chars % 1000 as voteup_count, doc_id % 97 as comment_count,
     timestamp '2024-01-01' + interval 1 minute * doc_id as collected_at,
@@ -68,7 +85,12 @@ CTES = """with v_content as (
   from documents),
 v_analysis as (
   select doc_id as content_id, case when toxic = 1 then '高风险' when quality = 0 then '中风险' else '低风险' end as risk_level,
-    case when toxic = 1 then '抹黑' when quality = 1 then '有利' else '中立' end as platform_stance from labels),
+    case when toxic = 1 then '抹黑' when quality = 1 then '有利' else '中立' end as platform_stance,
+    case when doc_id % 3 <> 0 then 'summary of ' || doc_id end as ai_summary, (doc_id % 100) / 100.0::double as stance_confidence, case when toxic = 1 then 'abuse' end as risk_reasoning,
+    case when doc_id % 9 = 0 then 'human' else 'ai' end as analyzed_by from labels),
+v_author as (
+  select author_id, 'u' || author_id as platform_user_id, min(source) as nickname, author_id % 5 = 0 as is_watched
+  from (select distinct source, try_cast(regexp_extract(source, '([0-9]+)', 1) as bigint) as author_id from documents where source is not null) where author_id % 7 <> 6 group by author_id),
 v_event as (select item_id as event_id, 'event-' || cast(item_id as varchar) as name, 1 + item_id % 3 as version from benchmark where item_id < 10),
 v_bridge as (
   select doc_id as content_id, event_id, case when doc_id % 11 <> 0 then case (doc_id + event_id) % 3 when 0 then '正向' when 1 then '反向' else '中立' end end as stance, 1 + doc_id % 3 as event_version

@@ -90,15 +90,16 @@ def test_store_versions_and_changes(spark, tmp_path):
 
 def test_search_refuses_unknown_sorts(spark):
     with pytest.raises(ValueError):
-        search.search(None, None, None, sort="title; drop table")
+        search.search(None, None, None, None, sort="title; drop table")
     with pytest.raises(ValueError):
         sequence.shard(spark.range(3), ["id"], 3, 3)
 
 
 def test_logs_drop_broken_lines(spark, tmp_path):
-    lines = [json.dumps({"url": "u1", "voteup_count": 3}), '{"url": "half', "[1]", "", json.dumps({"url": "u2", "extra": 1})]
+    lines = [json.dumps({"url": "u1", "voteup_count": 3}), '{"url": "half', "[1]", "", json.dumps({"url": "u2", "extra": 1}), json.dumps({"title": "no address"}), json.dumps({"url": "u3"})]
     (tmp_path / "urls.jsonl").write_text("\n".join(lines))
-    assert {r.url for r in jsonl.scan_log(spark, str(tmp_path), "urls").collect()} == {"u1", "u2"}
+    assert [r.url for r in jsonl.scan_log(spark, str(tmp_path), "urls").collect()] == ["u1", "u3"]
+    assert {r.fate: r.n for r in jsonl.dropped(spark, str(tmp_path), "urls").collect()} == {"kept": 2, "broken": 2, "unexpected": 1, "incomplete": 1}
     assert jsonl.scan_log(spark, str(tmp_path), "runs").count() == 0
     with pytest.raises(KeyError):
         jsonl.scan_log(spark, str(tmp_path), "other")
@@ -118,14 +119,21 @@ def test_stream_equals_batch(spark, tmp_path):
 
     def known():
         try:
-            return spark.read.schema(schema).parquet(sink)
+            return spark.read.parquet(sink)
         except Exception:  # noqa: BLE001  nothing written yet
             return None
 
     for part in (rows.where("voteup_count < 10"), rows.where("voteup_count >= 10")):
         part.write.mode("append").json(str(log))
-        ingest.ingest_new(ingest.follow_log(spark, str(log), schema), "url", known, sink, f"{tmp_path}/cp").awaitTermination()
-    assert sorted(r.url for r in spark.read.parquet(sink).collect()) == [f"u{i}" for i in range(7)]
+        ingest.ingest_new(ingest.follow_log(spark, str(log), schema), "url", known, sink, f"{tmp_path}/cp", ["voteup_count"]).awaitTermination()
+    want = sorted((f"u{i}", i) for i in range(7))
+    assert sorted((r.url, r.voteup_count) for r in spark.read.parquet(sink).collect()) == want
+    # a batch that is replayed writes its rows again
+    commits = sorted((tmp_path / "cp" / "commits").glob("[0-9]*"))
+    for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        f.unlink(missing_ok=True)
+    ingest.ingest_new(ingest.follow_log(spark, str(log), schema), "url", known, sink, f"{tmp_path}/cp", ["voteup_count"]).awaitTermination()
+    assert sorted((r.url, r.voteup_count) for r in spark.read.parquet(sink).collect()) == want
 
 
 def test_early_stop_stream_equals_batch(spark, tmp_path):
@@ -159,3 +167,69 @@ def test_push_prompt_and_narrowing_refuse(spark):
     with pytest.raises(ValueError):
         collection.narrowed(spark.sql("select 'a' as type, 'b' as time"), types=("x",))
     assert collection.narrowed(spark.sql("select 'a' as type, 'b' as time"), types=("a",)).count() == 1
+
+
+def test_append_log_is_read_by_scan_log(spark, tmp_path):
+    rows = spark.createDataFrame([("u1", None, 3), ("u2", "t", 4)], "url string, title string, voteup_count int")
+    for _ in range(2):
+        jsonl.append_log(rows, f"file://{tmp_path}", "urls")
+    got = jsonl.scan_log(spark, f"file://{tmp_path}", "urls").select("url", "title", "voteup_count").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("u1", None, 3), ("u2", "t", 4)] * 2, key=str)
+
+
+def test_bodies_come_in_order(spark, tmp_path):
+    for name, ids in (("contents", "cd"), ("answers", "ab")):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(json.dumps({"url": u, "content_type": "answer"}) for u in ids))
+    assert [r.url for r in jsonl.scan_bodies(spark, str(tmp_path)).orderBy("file_rank", "line_no").collect()] == ["a", "b", "c", "d"]
+
+
+def test_parents_of_ids_that_clash(spark):
+    from plaza.operators import gate
+
+    def parents(*rows):
+        df = spark.createDataFrame([(i, t, p, q, True, 100 + i) for i, (t, p, q) in enumerate(rows)], "ord long, content_type string, platform_id string, parent_platform_id string, inserted boolean, content_id long")
+        return {r.ord: r.parent_content_id for r in gate.resolve_parents(df).collect()}
+
+    assert parents(("x", "1", None), ("answer", "9", None), ("article", "9", None), ("comment", "5", "9"))[3] == 101  # no comment 9: the type that had the id first
+    assert parents(("x", "1", None), ("comment", "9", None), ("answer", "9", None), ("comment", "5", "9"))[3] == 101  # its own type
+    assert parents(("comment", "5", "9"), ("answer", "9", None))[0] is None  # not before its parent
+    assert parents(("answer", "9", None), ("article", "9", None), ("answer", "9", None), ("comment", "5", "9"))[3] == 102  # the latest of that type
+
+
+def test_the_last_judgment_counts(spark):
+    from plaza.operators import gate
+
+    records = spark.createDataFrame([("u", "answer", 1)], "url string, content_type string, question_id long")
+    judgments = spark.createDataFrame([("u", True, "中立", 1), ("u", False, None, 2)], "url string, is_relevant boolean, platform_stance string, ord int")
+    questions = spark.createDataFrame([(1,)], "question_id long")
+    out = gate.content_disposition(records, judgments, questions, questions, "ord").collect()
+    assert [(r.disposition, r.stance_conflict) for r in out] == [("kept_by_parent", True)]  # a null stance is a conflict
+
+
+def test_a_crash_during_commit_leaves_the_last_version(spark, tmp_path, monkeypatch):
+    s = store.Store(spark, f"file://{tmp_path}")
+    schema = T.StructType.fromDDL("k long")
+    s.commit("t", spark.createDataFrame([(1,)], schema))
+    with monkeypatch.context() as m:
+        m.setattr(store.Store, "marks", lambda self, table: 1 / 0)  # dies between data and mark
+        with pytest.raises(ZeroDivisionError):
+            s.commit("t", spark.createDataFrame([(2,)], schema))
+    assert [r.k for r in s.read("t", schema).collect()] == [1]
+    s.commit("t", spark.createDataFrame([(3,)], schema))
+    assert [r.k for r in s.read("t", schema).collect()] == [3]
+
+
+def test_numbering_by_ranges(spark):
+    rows = spark.range(1000).selectExpr("(id * 7919) % 1000 as k")
+    got = sequence.numbered(rows, ["k"], "n").collect()
+    assert all(r.k == r.n for r in got) and len(got) == 1000
+    assert sequence.numbered(rows.limit(0), ["k"], "n").count() == 0
+
+
+def test_prescreen_wants_a_judgment(spark):
+    from plaza.operators import prescreen
+
+    content = spark.createDataFrame([(1, "a station"), (2, "a station"), (3, "nothing")], "content_id long, title string")
+    analysis = spark.createDataFrame([(1, None), (3, "the station")], "content_id long, ai_summary string")
+    got = prescreen.prescreen(content, analysis, ["station"], ["title", "ai_summary"]).collect()
+    assert [tuple(r) for r in got] == [(1, "station", 1.0), (3, "station", 1.0)]
