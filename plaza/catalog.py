@@ -2,33 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import schema
 from .functions import cards, html, replies, text, urls
 from .operators import collection, gate, judge, prescreen, search, sequence, store
 from .plans import migrations
+from .registry import QUERIES, SQL, query
 from .schema import PLATFORM_STANCES
-from .views import CTES, Views
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None, name: str | None = None) -> Callable:
-    def add(f: Callable[[Views], DataFrame]) -> Callable:
-        key = name or f.__name__
-        QUERIES[key] = lambda spark, sf_dir: f(Views(spark, sf_dir))
-        if sql:
-            SQL[key] = CTES + sql
-        return f
-
-    return add
+from .views import Views
 
+__all__ = ["QUERIES", "SQL"]
 
 def _ts(value: str):
     return F.lit(value).cast("timestamp_ntz")
@@ -580,3 +567,6 @@ def body_present(v: Views) -> DataFrame:
 @query("select doc_id, case when doc_id * 1000 - 50000 >= 0 then doc_id * 1000 - 50000 end as at from documents")
 def asked_at(v: Views) -> DataFrame:
     return v.table("documents").select("doc_id", F.unix_seconds(text.asked_at(F.col("doc_id") * 1000 - 50000)).alias("at"))
+
+
+from . import record_queries  # noqa: E402, F401  registers the queries over records and mutations

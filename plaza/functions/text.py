@@ -7,14 +7,22 @@ from pyspark.sql import functions as F
 
 from .urls import stripped
 
-# Patterns of the collected pages.
-NUMBER = r"(\d+(?:\.\d+)?)\s*(万|千|k|K)?"
-DATE = r"(\d{4})[-年/](\d{1,2})[-月/](\d{1,2})日?(?:\s+(\d{1,2}):(\d{2}))?"
-ANSWERS = r"([\d,]+)\s*个回答"
-COLLAPSED = r"([\d,]+)\s*个回答被折叠"
-COMMENTS = r"([\d,]+)\s*条评论"
-COMMENTS_IN_TEXT = r"[\d,.]+\s*[万千kK]?\s*条评论"
-ZERO_WIDTH = r"[​-‍﻿]"
+# Units of counts, words of the collected pages, and what stands between the parts of a date.
+UNITS = {"万": 10_000.0, "千": 1_000.0, "k": 1_000.0, "K": 1_000.0}
+ANSWERS_SAID, FOLDED_SAID, COMMENTS_SAID = "个回答", "个回答被折叠", "条评论"
+AFTER_YEAR, AFTER_MONTH, AFTER_DAY = "-/年", "-/月", "日"
+INVISIBLE = "\u200b\u200c\u200d\ufeff"
+
+_UNIT = "[" + "".join(UNITS) + "]?"
+#: A number with its unit, perhaps none.
+NUMBER = "([0-9]+(?:[.][0-9]+)?)[ \\t]*(" + _UNIT + ")"
+#: Year, month, day, and hour and minute if they are told.
+DATE = f"([0-9]{{4}})[{AFTER_YEAR}]([0-9]{{1,2}})[{AFTER_MONTH}]([0-9]{{1,2}})(?:{AFTER_DAY})?(?:\\s+([0-9]{{1,2}}):([0-9]{{2}}))?"
+
+
+def _grouped(said: str) -> str:
+    """A whole number, with commas perhaps, before a word."""
+    return "([0-9][0-9,]*)\\s*" + said
 
 
 def _found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -25,28 +33,30 @@ def parse_count(text: Column) -> Column:
     """The first number with its unit, cut to a whole; 0 if there is none."""
     clean = F.regexp_replace(text, "[, ]", "")
     unit = F.regexp_extract(clean, NUMBER, 2)
-    factor = F.when(unit == "万", 10_000.0).when(unit.isin("千", "k", "K"), 1_000.0).otherwise(1.0)
+    factor = F.lit(1.0)
+    for name, times in UNITS.items():
+        factor = F.when(unit == name, times).otherwise(factor)
     return F.coalesce(F.floor(_found(clean, NUMBER).cast("double") * factor), F.lit(0)).cast("long")
 
 
 def count_in_text(text: Column) -> Column:
     """The number that stands with the word for comments; 0 if there is none."""
-    return parse_count(F.regexp_extract(text, COMMENTS_IN_TEXT, 0))
+    return parse_count(F.regexp_extract(text, "[0-9][0-9,.]*[ \\t]*" + _UNIT + "\\s*" + COMMENTS_SAID, 0))
 
 
 def comment_total(text: Column) -> Column:
     """The declared number of comments, if that is all the text says; else null."""
-    clean = stripped(F.regexp_replace(F.regexp_replace(text, ZERO_WIDTH, ""), r"\s+", " "))
-    return F.replace(_found(clean, f"^{COMMENTS}$"), F.lit(","), F.lit("")).cast("long")
+    clean = stripped(F.regexp_replace(F.regexp_replace(text, f"[{INVISIBLE}]", ""), r"\s+", " "))
+    return F.replace(_found(clean, f"^{_grouped(COMMENTS_SAID)}$"), F.lit(","), F.lit("")).cast("long")
 
 
 def question_total(text: Column) -> Column:
-    return F.replace(_found(text, ANSWERS), F.lit(","), F.lit("")).cast("long")
+    return F.replace(_found(text, _grouped(ANSWERS_SAID)), F.lit(","), F.lit("")).cast("long")
 
 
 def collapsed_count(text: Column) -> Column:
     """A lower bound: 0 if nothing is said."""
-    return F.coalesce(F.replace(_found(text, COLLAPSED), F.lit(","), F.lit("")).cast("long"), F.lit(0))
+    return F.coalesce(F.replace(_found(text, _grouped(FOLDED_SAID)), F.lit(","), F.lit("")).cast("long"), F.lit(0))
 
 
 def parse_datetime(text: Column) -> Column:
