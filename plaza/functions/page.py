@@ -61,16 +61,20 @@ def question_detail(url: Column, html: Column, site: Site = QA_SITE) -> Column:
     reason: not_a_question, no_data, not_in_data or no_title; null if there is a detail. A blank
     description is one.
     """
-    address = normalize_url(url, site)
-    state = initial_state(html)
-    own = entity(state, F.lit("question"), address["id"])
-    title = F.trim(F.coalesce(_string(own, "title"), F.lit("")))
-    reason = F.when(~F.coalesce(address["content_type"] == "question", F.lit(False)), "not_a_question").when(state.isNull(), "no_data").when(own.isNull(), "not_in_data").when(title == "", "no_title")
-    detail = F.struct(
-        address["id"].alias("platform_qid"), address["url"].alias("url"), title.alias("title"), html_to_text(F.coalesce(_string(own, "detail"), F.lit(""))).alias("description"),
-        _whole(own, "followerCount").alias("follower_count"), _whole(own, "visitCount").alias("view_count"), _whole(own, "answerCount").alias("answer_count"), F.timestamp_seconds(_whole(own, "created")).alias("asked_at"),
-    )
-    return F.struct(F.when(reason.isNull(), detail).alias("detail"), reason.alias("reason"))
+
+    def judged(x: Column) -> Column:
+        address, state, own = x["address"], x["state"], x["own"]
+        reason = F.when(~F.coalesce(address["content_type"] == "question", F.lit(False)), "not_a_question").when(state.isNull(), "no_data").when(own.isNull(), "not_in_data").when(x["title"] == "", "no_title")
+        detail = F.struct(
+            address["id"].alias("platform_qid"), address["url"].alias("url"), x["title"].alias("title"), x["description"].alias("description"), _whole(own, "followerCount").alias("follower_count"),
+            _whole(own, "visitCount").alias("view_count"), _whole(own, "answerCount").alias("answer_count"), F.timestamp_seconds(_whole(own, "created")).alias("asked_at"),
+        )
+        return once(reason, lambda why: F.struct(F.when(why.isNull(), detail).alias("detail"), why.alias("reason")))
+
+    found = once(F.struct(normalize_url(url, site).alias("address"), initial_state(html).alias("state")), lambda x: F.struct(x["address"].alias("address"), x["state"].alias("state"), entity(x["state"], F.lit("question"), x["address"]["id"]).alias("own")))
+    title = F.trim(F.coalesce(_string(found["own"], "title"), F.lit("")))
+    description = html_to_text(F.coalesce(_string(found["own"], "detail"), F.lit("")))  # Python: not inside a lambda
+    return once(F.struct(found["address"].alias("address"), found["state"].alias("state"), found["own"].alias("own"), title.alias("title"), description.alias("description")), judged)
 
 
 def parse_iso(text: Column) -> Column:
