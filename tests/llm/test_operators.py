@@ -68,6 +68,17 @@ def test_token_counts_share_prefixes_and_survive_clearing(monkeypatch):
     assert [tight.count(w) for w in words * 2] == [plain(w) for w in words * 2]
 
 
+def test_token_counts_of_odd_rows(odd, empty):
+    pieces = {token_counts.MARK: -3.0, "x": -2.0, "the": -2.5, token_counts.MARK + "the": -2.2}
+    got = token_counts.count_tokens(odd, pieces).collect()
+    assert len(got) == odd.count() and "clash" in {r.score for r in got}
+    assert all(r.n_pretokens == len(WORD.findall(r.text or "")) for r in got)
+    assert all((r.n_tokens == 0) == (r.n_pretokens == 0) for r in got)
+    long = next(r for r in got if r.doc_id == 6)
+    assert long.n_tokens == 60_000 * 2 + 4  # mark and x each; the mark and three bytes of "end"
+    assert token_counts.count_tokens(empty, pieces).count() == 0
+
+
 # --- 2 ---
 
 
@@ -388,6 +399,32 @@ def test_quality_scores_equal_plain_counts(spark, small, table):
     assert (counts == plain).all()
 
 
+def test_quality_verdicts_equal_plain_sums(spark, small, table):
+    """score and kept recomputed text by text: n-grams hashed one by one, ratios from plain counts, the threshold as a sorted list's place."""
+    docs = {d["doc_id"]: d["text"] or "" for d in table(small, "documents")}
+    labels = table(small, "labels")
+    token = re.compile(r"[a-z0-9\x80-\U0010ffff]+|[^a-z0-9\x80-\U0010ffff\x20\x09-\x0d]+")
+
+    def grams(text):
+        h = quality.word_hashes([w.encode() for w in token.findall(lower(text))])
+        one, two = quality.mixed(h), quality.windows(h, 2)
+        return [int(x) % quality.BUCKETS for x in [*one.tolist(), *two.tolist()]]
+
+    own = {i: grams(t) for i, t in docs.items()}
+    clean = [x["doc_id"] for x in labels if x["quality"] == 1 and x["toxic"] == 0 and x["doc_id"] in docs]
+    raw, target = (Counter(g for i in ids for g in own[i]) for ids in (docs, [i for i in clean if crc(i, 4) != 3]))
+    a, b = sum(target.values()) + quality.SMOOTHING * quality.BUCKETS, sum(raw.values()) + quality.SMOOTHING * quality.BUCKETS
+    ratio = lambda g: math.log((target[g] + quality.SMOOTHING) / a) - math.log((raw[g] + quality.SMOOTHING) / b)
+    score = {i: sum(map(ratio, g)) / len(g) if g else 0.0 for i, g in own.items()}
+    fit = sorted(score[i] for i in clean if crc(i, 4) == 3 and not brute_base(docs[i])[-1])
+    threshold = fit[int((1 - quality.KEEP_CLEAN) * (len(fit) - 1))]
+    got = by_id(queries.op6_quality_rules(spark, small))
+    for i, want in score.items():
+        assert got[i].score == pytest.approx(want, abs=2e-6)
+        if abs(want - threshold) > 1e-5:
+            assert got[i].kept == (not brute_base(docs[i])[-1] and want > threshold)
+
+
 def test_quality_odd_rows(odd, empty):
     got = quality.judge(odd, np.zeros(quality.BUCKETS, np.float32)).collect()
     assert len(got) == odd.count() and all(tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == brute_base(r.text) for r in got)
@@ -585,6 +622,38 @@ def test_pii_base_spans_of_hard_texts(text):
     assert [s[:3] for s in pii.candidates(text) if s[3]] == brute_spans(text)
 
 
+def test_pii_added_spans_equal_a_plain_fit(spark, small, table):
+    """All spans recomputed: votes of each candidate, EM candidate by candidate, and the classifier from the labelled candidates."""
+    docs = {d["doc_id"]: d["text"] or "" for d in table(small, "documents")}
+    found = {i: pii.candidates(t) for i, t in docs.items()}
+    votes = [pii.pattern(docs[i], k, a, b) for i, spans in found.items() for k, a, b, _ in spans]
+    soft = {}
+    for kind in pii.KINDS:
+        own = [v for v in votes if v[0] == kind]
+        theta, prior = pii.START.copy(), 0.5
+        pseudo = pii.START * max(1.0, 0.05 * len(own))
+        for _ in range(pii.ROUNDS if own else 0):
+            belief = []
+            for v in own:
+                no, yes = 1 - prior, prior
+                for j, x in enumerate(v[1 : 1 + pii.LABELERS]):
+                    no, yes = no * theta[j, 0, x + 1], yes * theta[j, 1, x + 1]
+                belief.append(yes / (no + yes))
+            prior = (sum(belief) + 1) / (len(own) + 2)
+            theta = pseudo.copy()
+            for v, p in zip(own, belief):
+                for j, x in enumerate(v[1 : 1 + pii.LABELERS]):
+                    theta[j, 0, x + 1] += 1 - p
+                    theta[j, 1, x + 1] += p
+            theta /= theta.sum(2, keepdims=True)
+        soft.update(zip(own, belief if own else ()))
+    model = pii.Model({}, pii.train_classifier(Counter(votes), soft))
+    got = by_id(queries.op9_pii(spark, small))
+    for i, spans in found.items():
+        sure = [(k, a, b) for k, a, b, base in spans if base or abs(model.probability(pii.pattern(docs[i], k, a, b)) - pii.ACCEPT) > 1e-4 and model.probability(pii.pattern(docs[i], k, a, b)) > pii.ACCEPT]
+        assert got[i].spans == ",".join(f"{k}:{a}:{b}" for k, a, b in sure)
+
+
 @pytest.mark.parametrize("length", [20, 512, 513, 4096])
 def test_pii_secrets_of_any_length(length):
     key = "".join(hashlib.sha512(str(i).encode()).hexdigest() for i in range(length // 128 + 1))[:length]
