@@ -269,7 +269,7 @@ def question_detail(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", got["reason"].alias("reason"), got["detail"]["title"].alias("title"), got["detail"]["description"].alias("description"), got["detail"]["view_count"].alias("view_count"))
 
 
-@query("""select page_id, 'https://www.zhihu.com/question/' || (page_id + 1) || '/answer/' || page_id as url, 'body' as text, 'w' as author_name, page_id % 100 as voteup_count, case when page_id % 2 = 0 then 12 else 0 end as comment_count from pages where page_id % 4 <> 3""")
+@query("""select page_id, 'https://www.zhihu.com/question/' || (page_id + 1) || '/answer/' || page_id as url, 'body' as text, 'w' as author_name, page_id % 100 as voteup_count, case when page_id % 2 = 0 then 12 else 0 end::bigint as comment_count from pages where page_id % 4 <> 3""")
 def answer_cards(v: Views) -> DataFrame:
     """Cards whose address is told by a meta element, a link, or only by their id."""
     i = F.col("page_id").cast("string")
@@ -327,7 +327,7 @@ def read_back(v: Views) -> DataFrame:
     return checks.read_back(v.content, known, v.authors, v.bridge, wanted, v.questions)
 
 
-@query("select 'fact_content' as tbl, (select count(*) from v_content) as n, 1000 as expected, (select count(*) from v_content) = 1000 as ok union all select 'dim_event', (select count(*) from v_event), 10, (select count(*) from v_event) = 10")
+@query("select 'fact_content' as tbl, (select count(*) from v_content) as n, 1000::bigint as expected, (select count(*) from v_content) = 1000 as ok union all select 'dim_event', (select count(*) from v_event), 10, (select count(*) from v_event) = 10")
 def tally_expected(v: Views) -> DataFrame:
     return checks.tally({"fact_content": v.content, "dim_event": v.events}, {"fact_content": 1000, "dim_event": 10})
 
