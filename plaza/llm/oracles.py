@@ -1,9 +1,17 @@
 """DuckDB SQL with the results of the queries that SQL can express."""
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"'[^\x20\x09-\x0D]+'"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[0-9a-z\x{80}-\x{10FFFF}]+')"
 
 SQL: dict[str, str] = {
+    "op4_jaccard_join": f"""with recursive d as (select doc_id, regexp_extract_all({_LOWER}, {_SPACED}) as w from documents),
+sh as (select distinct doc_id, array_to_string(list_slice(w, s, s + k - 1), ' ') as h from (select doc_id, w, least(5, len(w)) as k, unnest(range(1, len(w) - least(5, len(w)) + 2)) as s from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from sh group by 1),
+links as (select x, y from (select a.doc_id as x, b.doc_id as y, count(*) as c from sh a join sh b using (h) where a.doc_id <> b.doc_id group by 1, 2) join n u on u.doc_id = x join n v on v.doc_id = y where 100 * c >= 75 * (u.n + v.n - c)),
+reach as (select doc_id as x, doc_id as y from d union select reach.x, links.y from reach join links on reach.y = links.x)
+select d.doc_id, coalesce(n, 0) as n_shingles, component_id, coalesce(n_links, 0) as n_links
+from d left join n using (doc_id) left join (select x as doc_id, min(y) as component_id from reach group by 1) using (doc_id) left join (select x as doc_id, count(*) as n_links from links group by 1) using (doc_id)""",
     "op5_chat_format": r"""with r as (
   select conv_id, turn, role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
@@ -12,6 +20,19 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
   cast(sum(15 + length(role) + 2 * length(text) - length(replace(replace(replace(text, '\', ''), '<', ''), '>', ''))) as bigint) as formatted_chars
 from r group by conv_id""",
+    "op7_mixing": f"""with recursive t as (select doc_id, source, coalesce(len(regexp_extract_all(text, {_SPACED})), 0) as tokens, md5(coalesce(text, '')) as digest from documents),
+s as (select source, cast(sum(tokens) as bigint) as tokens from t group by 1 having sum(tokens) > 0),
+l as (select list(tokens) as tk, sum(tokens)::double as budget from s),
+b as (select 0 as step, 0::double as low, 1::double as high
+  union all select step + 1, case when ok then low else mid end, case when ok then mid else high end
+  from (select *, (select list_max(list_transform(tk, lambda x: pow(x / budget, mid) * budget / x)) <= 2 * list_sum(list_transform(tk, lambda x: pow(x / budget, mid))) from l) as ok from (select *, (low + high) / 2 as mid from b where step < 36))),
+q as (select source, tokens, cast(round(pow(tokens / budget, e) / sum(pow(tokens / budget, e)) over () * budget) as bigint) as quota from s, l, (select high as e from b where step = 36)),
+p as (select *, (quota + tokens - 1) // tokens - 1 as last from q where quota > 0),
+drawn as (select *, ('0x' || left(md5(concat_ws(':', '0', block, coalesce(doc_id::varchar, ''), digest)), 12))::bigint / 281474976710656::double as place
+  from (select doc_id, t.source, t.tokens as n, digest, p.tokens, quota, last, unnest(range(0, last + 1)) as block from t join p on t.source is not distinct from p.source)),
+c as (select source, min(place) as cut from (select *, sum(n) over (partition by source order by place) as reached from drawn where block = last) where reached >= quota - last * tokens group by 1)
+select doc_id, drawn.source, block, round(least((block + place) * tokens / greatest(quota, (last + cut) * tokens), 1), 6) as mix_order, n as n_tokens
+from drawn join c on drawn.source is not distinct from c.source where block < last or place <= cut""",
     "op10_decontaminate": f"""with d as (select doc_id, {_WORDS} as w from documents),
 i as (select cast(item_id as varchar) as item_id, w, least(10, len(w)) as k from (select item_id, {_WORDS} as w from benchmark) where len(w) > 0),
 iw as (select distinct item_id, k, array_to_string(list_slice(w, s, s + k - 1), ' ') as win from (select item_id, w, k, unnest(range(1, len(w) - k + 2)) as s from i)),
