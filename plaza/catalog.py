@@ -460,6 +460,14 @@ def migration_plan(v: Views) -> DataFrame:
     return migrations.migration_plan(parts, applied.unionByName(gone))
 
 
+@query("""select p_partkey::bigint as version, case when p_partkey % 17 <> 0 or p_partkey % 2 = 1 then p_name end as applied_sql from part""")
+def migration_texts(v: Views) -> DataFrame:
+    files = v.table("part").select(F.col("p_partkey").cast("long").alias("version"), F.col("p_name").alias("sql"), text.file_checksum(F.col("p_name")).alias("checksum"))
+    k = F.col("version")
+    applied = files.select("version", F.when(k % 17 == 0, "other").otherwise(F.col("checksum")).alias("checksum"), F.when(k % 2 == 1, F.col("sql")).alias("applied_sql"))
+    return migrations.with_texts(files, applied).select("version", "applied_sql")
+
+
 @query("select r_name as keyword, count(*) as n from region, range(12) group by 1")
 def backfill_matrix(v: Views) -> DataFrame:
     return migrations.backfill_matrix(v.table("region").select(F.col("r_name").alias("keyword"))).groupBy("keyword").agg(F.count("*").alias("n"))
@@ -468,6 +476,13 @@ def backfill_matrix(v: Views) -> DataFrame:
 # --- collection rounds, targets and envelopes ---
 
 
+@query("select doc_id, concat_ws(',', case when doc_id % 3 = 0 then 'sort' end, case when source <> '一天内' then 'time' end, case when doc_id % 5 = 0 then 'type' end) as wrong from documents where doc_id % 3 = 0 or source <> '一天内' or doc_id % 5 = 0")
+def wrong_options(v: Views) -> DataFrame:
+    i = F.col("doc_id")
+    specs = v.table("documents").select("doc_id", F.when(i % 3 == 0, "最新").when(i % 3 == 1, "最新发布").alias("sort"), F.col("source").alias("time"), F.when(i % 5 == 0, "回答").otherwise("只看回答").alias("type"))
+    return collection.wrong_options(specs).select("doc_id", "wrong")
+
+
 @query("select doc_id, case when doc_id % 3 = 0 then '最多赞同' when doc_id % 2 = 0 then '综合排序' else '最新发布' end as sort, case when doc_id % 2 = 0 then '不限时间' else '一天内' end as time, '不限类型' as type from documents")
 def spec_defaults(v: Views) -> DataFrame:
     i, none = F.col("doc_id"), F.lit(None).cast("string")

@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 SORT = {"backfill": "综合排序", "update": "最新发布"}
 TIME = {"backfill": "不限时间", "update": "一天内"}
 TYPE = "不限类型"
+OPTIONS = {
+    "sort": ("综合排序", "最多赞同", "最新发布"),
+    "time": ("不限时间", "一天内", "一周内", "一月内", "三月内", "半年内", "一年内"),
+    "type": ("不限类型", "只看回答", "只看文章", "只看视频"),
+}
 
 
 def spec_defaults(specs: DataFrame) -> DataFrame:
@@ -21,6 +26,19 @@ def spec_defaults(specs: DataFrame) -> DataFrame:
     return specs.withColumns({"sort": F.coalesce("sort", by_mode(SORT)), "time": F.coalesce("time", by_mode(TIME)), "type": F.coalesce("type", F.lit(TYPE))})
 
 
+def wrong_options(specs: DataFrame) -> DataFrame:
+    """specs that name an option that the page doesn't have, with ``wrong``: the names of these columns. Null options are none named."""
+    wrong = F.concat_ws(",", *(F.when(~F.col(c).isin(*options), c) for c, options in OPTIONS.items()))
+    return specs.withColumn("wrong", wrong).where("wrong <> ''")
+
+
+def checked_specs(specs: DataFrame) -> DataFrame:
+    """specs as they are; any wrong option is an error, before a round begins."""
+    if found := wrong_options(specs).select("wrong", *OPTIONS).limit(5).collect():
+        raise ValueError(f"no such options: {[r.asDict() for r in found]}")
+    return specs
+
+
 def narrowed(specs: DataFrame, types: tuple[str, ...] = (), times: tuple[str, ...] = ()) -> DataFrame:
     """The specs of the given types and times (none given: all). No spec left is an error."""
     out = specs

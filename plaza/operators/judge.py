@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -42,5 +43,35 @@ def judge_each(rows: DataFrame, key: str, text: str, judge: Callable[[str], str]
     return chosen.mapInPandas(run, T.StructType([rows.schema[key], *T.StructType.fromDDL("ok boolean, reply string, error string").fields]))
 
 
+class Status(Exception):
+    """A reply other than success; ``code`` is its status."""
+
+    def __init__(self, code: int, text: str = "") -> None:
+        super().__init__(f"status {code}: {text[:200]}")
+        self.code = code
+
+
+def patient(judge: Callable[[str], str], attempts: int = 3, base: float = 1.5, wait: Callable[[float], None] = time.sleep) -> Callable[[str], str]:
+    """judge, asked up to ``attempts`` times, with ``base ** n`` seconds after the n-th.
+
+    It is asked again where waiting may help: status 429, 500 and above, or no connection
+    (OSError, time-outs included). Other statuses and errors are raised at once, the last
+    failure after the last attempt.
+    """
+
+    def ask(text: str) -> str:
+        for n in range(1, attempts + 1):
+            try:
+                return judge(text)
+            except (Status, OSError) as e:
+                lasting = isinstance(e, Status) and e.code != 429 and e.code < 500
+                if lasting or n == attempts:
+                    raise
+                wait(base**n)
+        raise ValueError("no attempts")
+
+    return ask
+
+
 def batch_report(judged: DataFrame) -> DataFrame:
     return judged.agg(F.count_if("ok").alias("done"), F.count_if(~F.col("ok")).alias("failed"), F.count("*").alias("total"))

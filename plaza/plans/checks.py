@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,21 @@ from ..operators import gate, judge, store
 from ..operators.sequence import keep_first
 
 
+# Fixed value: how a selector starts that is a guess yet.
+GUESS = "TODO-"
+
+
+def uncalibrated(selectors: Mapping[str, str], pending: Collection[str] = ()) -> list[str]:
+    """Names of selectors that are guesses, and of pending ones without a value, in order."""
+    return sorted({n for n, s in selectors.items() if s.startswith(GUESS)} | {n for n in pending if not selectors.get(n)})
+
+
+def require_calibrated(selectors: Mapping[str, str], names: Collection[str], pending: Collection[str] = ()) -> None:
+    """An error if any of names isn't calibrated: a guess matches nothing and would lose rows silently."""
+    if found := [n for n in uncalibrated(selectors, pending) if n in names]:
+        raise ValueError(f"not calibrated: {found}")
+
+
 def _findings(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import re
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Iterable, Mapping
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ddl import columns
+from .jsonl import SAMPLES, append_log
 
 STATE = columns("run_id string, mode string, status string, cursor map<string,string>, note string")
 MIGRATION = re.compile(r"^([0-9]{4})_[A-Za-z0-9_]+\.sql$")
@@ -20,17 +24,22 @@ def _file(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file(spark, path)
+    return fs.exists(p)
+
+
 def _read(spark: SparkSession, path: str) -> str | None:
     p, fs = _file(spark, path)
     return spark.read.text(path, wholetext=True).first()[0] if fs.exists(p) else None
 
 
-def _write(spark: SparkSession, path: str, text: str) -> None:
+def _write(spark: SparkSession, path: str, content: str | bytes) -> None:
     """Writes beside the file and moves it into place, so that no reader sees a part."""
     p, fs = _file(spark, path)
     fresh, _ = _file(spark, f"{path}.next")
     out = fs.create(fresh, True)
-    out.write(bytearray(text, "utf-8"))
+    out.write(bytearray(content.encode() if isinstance(content, str) else content))
     out.close()
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()) if p.toUri().getScheme() else spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(spark._jsc.hadoopConfiguration())
     option = spark._jvm.org.apache.hadoop.fs.Options.Rename
@@ -95,6 +104,58 @@ def load_shard(spark: SparkSession, run: str, who: str) -> list[str]:
         return []
 
 
+def packed_text(text: str) -> bytes:
+    """gzip without a time or a name, so that equal texts are equal bytes."""
+    return gzip.compress(text.encode(), mtime=0)
+
+
+def save_snapshot(spark: SparkSession, path: str, text: str) -> str | None:
+    """Writes a text as ``<path>.gz`` and returns that path; null if it can't be written, which fails no batch."""
+    try:
+        _write(spark, f"{path}.gz", packed_text(text))
+    except Exception:  # noqa: BLE001  the record is kept with a null path
+        return None
+    return f"{path}.gz"
+
+
+def one_by_one[X, Y](items: Iterable[X], run: Callable[[X], Y], pause: float = 0) -> tuple[list[Y], BaseException | None]:
+    """What run gave for the items in order, up to the first that failed, and its error: the caller reports first and raises then."""
+    done: list[Y] = []
+    try:
+        for item in items:
+            done.append(run(item))
+            time.sleep(pause)
+    except BaseException as e:  # noqa: BLE001  an interrupt must not lose what is done
+        return done, e
+    return done, None
+
+
+def collect_keywords(spark: SparkSession, root: str, run_id: str, keywords: Iterable[str], collect: Callable[[str], int], pause: float = 0) -> int:
+    """Collects keywords one by one and returns the rows found.
+
+    Blank keywords are skipped, none at all is an error. A sample is logged and the cursor moved
+    after each; the run's status is running, then done, or failed, with the error raised.
+    """
+    wanted = [k.strip() for k in keywords if k.strip()]
+    if not wanted:
+        raise ValueError("no keywords")
+    save_state(spark, root, {**(resume_run(spark, root, run_id) or {"run_id": run_id}), "status": "running"})
+
+    def one(numbered: tuple[int, str]) -> int:
+        i, keyword = numbered
+        n = collect(keyword)
+        at = datetime.now(UTC).isoformat(timespec="seconds")
+        append_log(spark.createDataFrame([(at, keyword, "search", n, None, None)], SAMPLES), f"{root}/{run_id}", "runs")
+        advance(spark, root, run_id, keyword_index=str(i))
+        return n
+
+    found, error = one_by_one(enumerate(wanted, 1), one, pause)
+    save_state(spark, root, {**(resume_run(spark, root, run_id) or {}), "run_id": run_id, "status": "failed" if error else "done"})
+    if error:
+        raise error
+    return sum(found)
+
+
 def run_status(spark: SparkSession, root: str, keywords: str, latest: int = 5) -> DataFrame:
     """(run_id, mode, status, n_keywords) of the latest runs."""
     n = load_keywords(spark, keywords).agg(F.count("*").alias("n_keywords"))  # one row

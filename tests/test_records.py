@@ -5,8 +5,10 @@ import random
 
 import pytest
 from plaza.functions import page, prompts
-from plaza.operators import judgments, mutations, rounds
+from plaza.operators import collection, judge, judgments, mutations, rounds
+from plaza.plans import checks, migrations
 from plaza.sources import jsonl, runs
+from pyspark.sql import functions as F
 
 
 def test_prompt_bundles():
@@ -112,7 +114,78 @@ def test_state_of_a_page(spark):
     pages = [f'<script id="js-initialData">{t}</script>' for t in (ok, "[1]", '{"initialState": 3}', "{")] + [None]
     df = spark.createDataFrame([(p,) for p in pages], "html string")
     state = page.initial_state(df.html)
-    from pyspark.sql import functions as F
-
     assert [r[0] for r in df.select(state.isNotNull()).collect()] == [True, False, False, False, False]
     assert [r[0] for r in df.select(page.entity(state, F.lit("thought"), F.lit("7")).isNotNull()).collect()][0]
+
+
+def test_requests_are_repeated_where_waiting_may_help():
+    def failing(*errors):
+        left = list(errors)
+
+        def ask(text):
+            if left:
+                raise left.pop(0)
+            return text
+
+        return ask
+
+    waits = []
+    assert judge.patient(failing(judge.Status(429), TimeoutError()), wait=waits.append)("x") == "x" and waits == [1.5, 2.25]
+    for errors, kind, n in [((judge.Status(503),) * 3, judge.Status, 2), ((judge.Status(401),), judge.Status, 0), ((ValueError(),), ValueError, 0)]:
+        waits.clear()
+        with pytest.raises(kind):
+            judge.patient(failing(*errors), wait=waits.append)("x")
+        assert len(waits) == n
+
+
+def test_keywords_are_collected_one_by_one(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    assert runs.collect_keywords(spark, root, "r", ["a ", " ", "b"], len) == 2
+    state = runs.resume_run(spark, root, "r")
+    assert (state["status"], state["cursor"]) == ("done", {"keyword_index": "2"})
+    assert sorted((r.keyword, r.result_count) for r in jsonl.scan_log(spark, f"{root}/r", "runs").collect()) == [("a", 1), ("b", 1)]
+    with pytest.raises(ZeroDivisionError):
+        runs.collect_keywords(spark, root, "s", ["a", "b"], lambda k: 1 // (k == "a"))
+    state = runs.resume_run(spark, root, "s")
+    assert (state["status"], state["cursor"]) == ("failed", {"keyword_index": "1"})
+    with pytest.raises(ValueError):
+        runs.collect_keywords(spark, root, "t", [" "], len)
+    done, error = runs.one_by_one([1, 0, 2], lambda x: 1 // x)
+    assert done == [1] and isinstance(error, ZeroDivisionError)
+
+
+def test_snapshots_of_equal_texts_are_equal_bytes(spark, tmp_path):
+    paths = [runs.save_snapshot(spark, f"file://{tmp_path}/{n}.html", "<p>é</p>") for n in "ab"]
+    assert (tmp_path / "a.html.gz").read_bytes() == (tmp_path / "b.html.gz").read_bytes() == runs.packed_text("<p>é</p>")
+    assert paths[0].endswith("a.html.gz") and runs.save_snapshot(spark, "nowhere://x/y", "z") is None
+
+
+def test_selectors_and_specs_are_checked_before_a_round(spark):
+    selectors = {"card": ".card", "title": "TODO-.title", "date": ""}
+    assert checks.uncalibrated(selectors, ["date", "votes", "card"]) == ["date", "title", "votes"]
+    checks.require_calibrated(selectors, ["card"], ["date"])
+    with pytest.raises(ValueError):
+        checks.require_calibrated(selectors, ["card", "title"])
+    fine = spark.createDataFrame([("综合排序", None, "只看视频")], "sort string, time string, type string")
+    assert collection.checked_specs(fine) is fine
+    with pytest.raises(ValueError):
+        collection.checked_specs(fine.withColumn("time", F.lit("三个月内")))
+
+
+def test_drift_is_shown_and_accepted_with_a_note(spark, tmp_path):
+    path = f"file://{tmp_path}/applied"
+    assert migrations.tracking_state(spark, path).count() == 0
+    spark.createDataFrame([(1, "x"), (2, "y")], "version int, checksum string").write.parquet(path)
+    assert sorted(map(tuple, migrations.tracking_state(spark, path).collect())) == [(1, "x", None), (2, "y", None)]
+    files = spark.createDataFrame([(1, "x", "one"), (2, "z", "a\nc"), (3, "w", "three")], "version int, checksum string, sql string")
+    stored = migrations.with_texts(files, migrations.tracking_state(spark, path))
+    assert sorted((r.version, r.applied_sql) for r in stored.collect()) == [(1, "one"), (2, None)]
+    known = spark.createDataFrame([(1, "x", "one"), (2, "y", "a\nb")], "version int, checksum string, applied_sql string")
+    [found] = migrations.drift(files, known).collect()
+    assert found.version == 2 and found.diff.split("\n")[-2:] == ["-b", "+c"]
+    after = migrations.accept_drift(files, known, 2, " typo ")
+    assert sorted(map(tuple, after.collect())) == [(1, "x", "one", None), (2, "z", "a\nc", "typo")]
+    assert migrations.migration_plan(files, after).where("blocked").isEmpty()
+    for version, note in ((2, " "), (1, "n"), (3, "n")):
+        with pytest.raises(ValueError):
+            migrations.accept_drift(files, known, version, note)
