@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import written
+
 
 def numbered(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     """rows with their number from 0 on in a total order of the whole table.
 
     Rows are dealt by ranges of the order, sorted and counted; each range's number of rows is
-    added up over the ranges before it, so no task sees the whole table.
+    added up over the ranges before it, so no task sees the whole table. The numbers inside the
+    ranges are written once: counted from the plan again, ranges could be sampled or joined
+    together in another way.
     """
     part, at = F.spark_partition_id().alias("__part"), F.monotonically_increasing_id()
     ranged = rows.repartitionByRange(*(F.col(c) for c in order)).sortWithinPartitions(*order)
-    placed = ranged.select("*", part, (at % (1 << 33)).alias("__in"))
+    placed = written(ranged.select("*", part, (at % (1 << 33)).alias("__in")), "numbered")
     counts = placed.groupBy("__part").agg(F.count("*").alias("__n"))  # a row a partition
     before = counts.select(F.col("__part").alias("__of"), (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
     return placed.join(F.broadcast(before), F.col("__part") == F.col("__of")).withColumn(name, F.col("__before") + F.col("__in")).drop("__part", "__in", "__of", "__before")

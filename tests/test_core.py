@@ -7,6 +7,7 @@ from plaza.functions import html, similarity, text, urls
 from plaza.operators import judge, search, sequence, store
 from plaza.sources import jsonl
 from plaza.streaming import ingest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -234,3 +235,20 @@ def test_prescreen_wants_a_judgment(spark):
     analysis = spark.createDataFrame([(1, None), (3, "the station")], "content_id long, ai_summary string")
     got = prescreen.prescreen(content, analysis, ["station"], ["title", "ai_summary"]).collect()
     assert [tuple(r) for r in got] == [(1, "station", 1.0), (3, "station", 1.0)]
+
+
+def test_numbers_are_a_permutation_whatever_the_partitions(spark):
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, value in settings.items():
+            spark.conf.set(k, value)
+        rows = spark.range(200_000).select(F.xxhash64("id").alias("k"), F.concat(F.lit("x" * 40), F.col("id")).alias("wide"))
+        got = sequence.numbered(rows, ["k"], "n")
+        assert got.agg(F.count("*"), F.count_distinct("n"), F.min("n"), F.max("n")).first() == (200_000, 200_000, 0, 199_999)
+        out_of_order = got.withColumn("next", F.lead("k").over(Window.orderBy("n"))).where("next <= k")
+        assert out_of_order.isEmpty()
+        assert sum(sequence.shard(rows, ["k"], i, 3).count() for i in range(3)) == 200_000
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
