@@ -33,8 +33,8 @@ def replace(current: DataFrame, changes: DataFrame, keys: list[str], order: str,
 
 def patch(current: DataFrame, changes: DataFrame, keys: list[str], order: str, fields: list[str], forced: dict[str, Column] | None = None, insert_missing: bool = True) -> DataFrame:
     """Upsert of given fields: the last non-null value of each wins, as if the patches were applied one after another; ``forced`` columns are set on every row hit."""
-    by = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    folded = changes.select(*keys, *(F.last(c, ignorenulls=True).over(by).alias(f"__{c}") for c in fields)).distinct().withColumn("__hit", F.lit(True))
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"__{c}") for c in fields]  # combined before the shuffle
+    folded = changes.groupBy(*keys).agg(*latest, F.lit(True).alias("__hit"))
     both = current.join(folded, keys, "full" if insert_missing else "left")
     forced = forced or {}
 
