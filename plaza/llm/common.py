@@ -97,6 +97,26 @@ def without_rows(docs: DataFrame, gone: DataFrame, doc: str, text: str) -> DataF
     return keyed.join(F.broadcast(slots), here, "left_anti").unionByName(stay).select(docs.columns)
 
 
+#: A key with more rows is dealt to SALTS tasks.
+HOT_ROWS, SALTS = 4096, 64
+
+
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], by: str, how: str = "inner") -> DataFrame:
+    """many joined with one, which has a row a key and, in the column n, how many rows of many have it.
+
+    Rows of keys with more than HOT_ROWS are dealt to SALTS tasks by the column ``by``, and
+    their row of one is sent to each. Hot keys are told by a broadcast of the slots, at most
+    GONE_SLOTS, that they fall in; a key that shares a slot with one is dealt out, too.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(GONE_SLOTS)).cast("int")
+    hot = F.broadcast(one.where(F.col("n") > HOT_ROWS).select(slot.alias("__hot")).distinct())
+    is_hot, here = F.col("__hot").isNotNull(), F.col("__slot") == F.col("__hot")
+    salted = many.withColumn("__slot", slot).join(hot, here, "left").withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)).drop("__slot", "__hot")
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    sent = one.drop("n").withColumn("__slot", slot).join(hot, here, "left").withColumn("__salt", F.explode(salts)).drop("__slot", "__hot")
+    return salted.join(sent, [*keys, "__salt"], how).drop("__salt")
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

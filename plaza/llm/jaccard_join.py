@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .asking import answered, together
-from .common import bounded_batches, discard, lists, packed, packed_names, raw_texts, slices, stored, tidy, unpacked, unpacked_names, windows, without_rows, word_hashes
+from .common import bounded_batches, discard, lists, packed, packed_names, raw_texts, slices, spread_join, stored, tidy, unpacked, unpacked_names, windows, without_rows, word_hashes
 from .components import components
 
 WORDS = 5
@@ -342,7 +342,7 @@ def _solve(table: pa.Table, percent: int) -> pa.Table:
 
 
 def _classes_linked(docs: DataFrame, doc: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, key, n, d1, d2) of each row, and (d1, d2, component_id, n_links, stays) of each class of equal sets that has a link or a copy."""
+    """(doc_id, key, n, d1, d2) of each row, and (d1, d2, component_id, n_links, stays, n) of each class of equal sets that has a link or a copy; n are its documents."""
     spark = docs.sparkSession
     blocks = stored(sketched(docs, doc, text, words, percent), "sketches")
     rows = stored(blocks.select(F.explode(F.arrays_zip("ids", "keys", "sizes", "d1", "d2")).alias("r")).select(F.col("r.ids").alias("doc_id"), F.col("r.keys").alias("key"), F.col("r.sizes").alias("n"), "r.d1", "r.d2"), "rows")
@@ -384,9 +384,10 @@ def _classes_linked(docs: DataFrame, doc: str, text: str, words: int, percent: i
     labels = components(found.where("v is not null").select("u", "v")).withColumnRenamed("node", "cls")
     counts = found.where("v is null").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("others"))
     of_class = classes.join(labels, "cls", "left").join(counts, "cls", "left").where("label is not null or copies > 1").withColumn("label", F.coalesce("label", "cls"))
-    least = of_class.groupBy("label").agg(F.min(F.struct("rep", "d1", "d2")).alias("first"))
+    least = of_class.groupBy("label").agg(F.min(F.struct("rep", "d1", "d2")).alias("first"), F.count("*").alias("n"))
     stays = (F.col("d1") == F.col("first.d1")) & (F.col("d2") == F.col("first.d2"))
-    return rows, of_class.join(least, "label").select("d1", "d2", F.col("first.rep").alias("component_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), stays.alias("stays"))
+    answers = spread_join(of_class.drop("n"), least, ["label"], "cls")
+    return rows, answers.select("d1", "d2", F.col("first.rep").alias("component_id"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), stays.alias("stays"), F.col("copies").alias("n"))
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -401,7 +402,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", wo
     gives no rows.
     """
     rows, answers = _classes_linked(docs, doc, text, words, percent)
-    joined = rows.join(answers, ["d1", "d2"], "left")
+    joined = spread_join(rows, answers, ["d1", "d2"], "doc_id", "left")
     has = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     return joined.select(
         "doc_id",
@@ -418,5 +419,5 @@ def keep_first(docs: DataFrame, doc: str = "doc_id", text: str = "text", **param
     Rows that repeat a document that stays, stay; so do those with a null id or without words.
     """
     rows, answers = _classes_linked(docs, doc, text, **({"words": WORDS, "percent": PERCENT} | parameters))
-    gone = rows.where("n > 0 and doc_id is not null").join(answers, ["d1", "d2"]).where(~F.col("stays") | (F.col("doc_id") != F.col("component_id")))
+    gone = spread_join(rows.where("n > 0 and doc_id is not null"), answers, ["d1", "d2"], "doc_id").where(~F.col("stays") | (F.col("doc_id") != F.col("component_id")))
     return without_rows(docs, stored(gone.select(F.col("doc_id").alias("id"), "key").distinct(), "gone"), doc, text)

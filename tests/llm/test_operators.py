@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from plaza.llm import asking, chat_format, components, decontaminate, jaccard_join, language_id, lm_score, mixing, pii, quality, queries, substring_dedup, token_counts
+from plaza.llm import asking, chat_format, common, components, decontaminate, jaccard_join, language_id, lm_score, mixing, pii, quality, queries, substring_dedup, token_counts
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -307,6 +307,24 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_around_nodes_with_many_edges(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    edges = [(5000, i) for i in range(300)] + [(300 + i, 5001) for i in range(200)] + [(7000, 7001)] + [(299, 300)]
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**dict.fromkeys([*range(500), 5000, 5001], 0), 7000: 7000, 7001: 7000}
+
+
+def test_jaccard_join_with_many_copies_of_a_text(spark, small, table, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    docs = [(d["doc_id"], d["text"]) for d in table(small, "documents")]
+    docs += [(10_000 + i, docs[0][1]) for i in range(100)] + [(20_000 + i, docs[1][1] + f" end {i}") for i in range(30)]
+    links, comp = brute_links(brute_sets(docs))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = by_id(jaccard_join.near_duplicates(df))
+    assert {i: (r.component_id, r.n_links) for i, r in got.items()} == {i: (comp[i], len(links[i])) for i, _ in docs}
+    assert sorted(r.doc_id for r in jaccard_join.keep_first(df).collect()) == sorted(i for i, c in comp.items() if i == c)
+
+
 # --- 5 ---
 
 
