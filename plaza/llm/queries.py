@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, jaccard_join, language_id, lm_score, mixing, pii, quality, substring_dedup, token_counts
+from . import chat_format, decontaminate, jaccard_join, language_id, lm_score, mixing, piece_codec, pii, quality, substring_dedup, token_counts
 from .common import bucket_of_id, load
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -99,7 +99,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op13_piece_codec(spark: SparkSession, sf_dir: str, pieces: str = PIECES) -> DataFrame:
+    model = piece_codec.load_model(pieces)
+    coded = piece_codec.decode(piece_codec.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    return coded.select("doc_id", F.size("piece_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("piece_ids", ","), 256).alias("ids_sha256"), F.sha2("piece_text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_language_id, op3_substring_dedup, op4_jaccard_join, op5_chat_format, op6_quality_rules, op7_mixing, op8_lm_score, op9_pii, op10_decontaminate)
+    for f in (op1_token_counts, op2_language_id, op3_substring_dedup, op4_jaccard_join, op5_chat_format, op6_quality_rules, op7_mixing, op8_lm_score, op9_pii, op10_decontaminate, op13_piece_codec)
 }
