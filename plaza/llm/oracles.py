@@ -42,4 +42,12 @@ n as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(rang
 t as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items from (select distinct doc_id, item_id from h) group by 1)
 select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join n using (doc_id) left join t using (doc_id)""",
+    "op11_fill_in_middle": r"""with t as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u, sha256('42:' || coalesce(doc_id::varchar, '')) as h from documents),
+d as (select *, len(u) as n, list_transform([0, 1, 2, 3], lambda k: ('0x' || substr(h, 8 * k + 1, 8))::bigint) as r from t),
+f as (select *, least(r[1] % (n + 1), r[2] % (n + 1)) as a, greatest(r[1] % (n + 1), r[2] % (n + 1)) as b,
+  case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or r[3] % 100 >= 50 then 'plain' when r[4] % 100 < 80 then 'spm' else 'psm' end as form from d),
+p as (select *, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1:b], '') as mid, array_to_string(u[b + 1:n], '') as suf from f)
+select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256, sha256(text) as restored_sha256
+from p""",
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, jaccard_join, language_id, lm_score, mixing, piece_codec, pii, quality, substring_dedup, token_counts
+from . import chat_format, decontaminate, fill_in_middle, jaccard_join, language_id, lm_score, mixing, piece_codec, pii, quality, substring_dedup, token_counts
 from .common import bucket_of_id, load
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -99,6 +99,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = fill_in_middle.restored(F.col("fim_text"), F.col("fim_form"))
+    return made.select(
+        "doc_id", F.col("fim_units").alias("n"), F.col("fim_form").alias("form"), F.col("fim_prefix_chars").alias("prefix_chars"), F.col("fim_middle_chars").alias("middle_chars"),
+        F.sha2("fim_text", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"),
+    )
+
+
 def op13_piece_codec(spark: SparkSession, sf_dir: str, pieces: str = PIECES) -> DataFrame:
     model = piece_codec.load_model(pieces)
     coded = piece_codec.decode(piece_codec.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
@@ -107,5 +116,5 @@ def op13_piece_codec(spark: SparkSession, sf_dir: str, pieces: str = PIECES) ->
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_language_id, op3_substring_dedup, op4_jaccard_join, op5_chat_format, op6_quality_rules, op7_mixing, op8_lm_score, op9_pii, op10_decontaminate, op13_piece_codec)
+    for f in (op1_token_counts, op2_language_id, op3_substring_dedup, op4_jaccard_join, op5_chat_format, op6_quality_rules, op7_mixing, op8_lm_score, op9_pii, op10_decontaminate, op11_fill_in_middle, op13_piece_codec)
 }
