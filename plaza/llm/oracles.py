@@ -50,4 +50,16 @@ p as (select *, array_to_string(u[1:a], '') as pre, array_to_string(u[a + 1:b],
 select doc_id, n, form, case when form <> 'plain' then length(pre) end as prefix_chars, case when form <> 'plain' then length(mid) end as middle_chars,
   sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256, sha256(text) as restored_sha256
 from p""",
+    "op12_view_maintenance": """with tab as (select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+named as (select *, xor(list_reduce([4294967295] || list_transform(string_split(name, ''), lambda x: ascii(x)::bigint), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h from tab, (
+  select 'c' || client_id as name from clients union select 's' || sale_id from sales union select 'l' || sale_id || ':' || line_no from sale_lines)),
+life as (select name, case when h % 7 < h // 7 % 7 then h % 7 else 0 end as a, case when h % 7 < h // 7 % 7 then h // 7 % 7 else 7 end as d from named),
+joined as (select c.client_id, i.item_id, cn.n_regionkey as region, date_diff('day', date '1970-01-01', s.sold_at::date) as part,
+    floor(100 * i.amount + 0.5)::bigint * (100 - floor(100 * i.discount + 0.5)::bigint) as revenue, greatest(coalesce(lc.a, 0), coalesce(ls.a, 0), coalesce(ll.a, 0)) as a, least(coalesce(lc.d, 7), coalesce(ls.d, 7), coalesce(ll.d, 7)) as d
+  from sale_lines i join sales s using (sale_id) join clients c on c.client_id = s.client_id join vendors v using (vendor_id)
+    join nation cn on cn.n_nationkey = c.nation_id join nation vn on vn.n_nationkey = v.nation_id and vn.n_regionkey = cn.n_regionkey
+    left join life lc on lc.name = 'c' || c.client_id left join life ls on ls.name = 's' || s.sale_id left join life ll on ll.name = 'l' || i.sale_id || ':' || i.line_no
+  where i.amount is not null and s.sold_at is not null)
+select batch::integer as batch, region, part, count(*) as n_lines, sum(revenue)::bigint as revenue, min(revenue) as min_revenue, count(distinct client_id) as n_clients, count(distinct item_id) as n_items
+from joined join (select unnest(range(7)) as batch) on a <= batch and batch < d group by 1, 2, 3""",
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, fill_in_middle, jaccard_join, language_id, lm_score, mixing, piece_codec, pii, quality, substring_dedup, token_counts
+from . import chat_format, decontaminate, fill_in_middle, jaccard_join, language_id, lm_score, mixing, piece_codec, pii, quality, substring_dedup, token_counts, view_maintenance
 from .common import bucket_of_id, load
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -108,6 +108,15 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_view_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view_maintenance.shop_rows(*(load(spark, sf_dir, t) for t in ("clients", "sales", "sale_lines", "vendors", "nation")))
+    group, ids = ["region", "part"], ["client_id", "item_id"]
+    view = view_maintenance.view_after_batches(view_maintenance.lifetime_cube(rows, group, "revenue", ids), group, ids)
+    return view.select(
+        "batch", F.col("region").cast("int").alias("region"), "part", F.col("n").alias("n_lines"), F.col("total").alias("revenue"), F.col("least").alias("min_revenue"), F.col("n_client_id").alias("n_clients"), F.col("n_item_id").alias("n_items"),
+    )
+
+
 def op13_piece_codec(spark: SparkSession, sf_dir: str, pieces: str = PIECES) -> DataFrame:
     model = piece_codec.load_model(pieces)
     coded = piece_codec.decode(piece_codec.encode(load(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
@@ -116,5 +125,5 @@ def op13_piece_codec(spark: SparkSession, sf_dir: str, pieces: str = PIECES) ->
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_counts, op2_language_id, op3_substring_dedup, op4_jaccard_join, op5_chat_format, op6_quality_rules, op7_mixing, op8_lm_score, op9_pii, op10_decontaminate, op11_fill_in_middle, op13_piece_codec)
+    for f in (op1_token_counts, op2_language_id, op3_substring_dedup, op4_jaccard_join, op5_chat_format, op6_quality_rules, op7_mixing, op8_lm_score, op9_pii, op10_decontaminate, op11_fill_in_middle, op12_view_maintenance, op13_piece_codec)
 }

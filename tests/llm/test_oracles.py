@@ -8,7 +8,7 @@ from plaza.llm import oracles, queries
 @pytest.mark.parametrize("name", list(oracles.SQL))
 def test_query_equals_its_sql(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "clients", "sales", "sale_lines", "vendors", "nation"):
         con.execute(f"create view {t} as select * from '{small}/{t}.parquet'")
     out = con.execute(oracles.SQL[name])
     names = [d[0] for d in out.description]
