@@ -1,68 +1,128 @@
-"""Counts, dates, hashes and messages from page text, as column functions."""
+"""Counts, dates, hashes and messages from page text, as column functions.
+
+A text is taken apart into runs of digits and what stands between them; numbers and dates are
+read from neighbouring runs.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .urls import stripped
+from .urls import once, stripped
 
 # Units of counts, words of the collected pages, and what stands between the parts of a date.
-UNITS = {"万": 10_000.0, "千": 1_000.0, "k": 1_000.0, "K": 1_000.0}
+UNITS = {"万": 10_000, "千": 1_000, "k": 1_000, "K": 1_000}
 ANSWERS_SAID, FOLDED_SAID, COMMENTS_SAID = "个回答", "个回答被折叠", "条评论"
-AFTER_YEAR, AFTER_MONTH, AFTER_DAY = "-/年", "-/月", "日"
+AFTER_YEAR, AFTER_MONTH, AFTER_DAY = ["-", "/", "年"], ["-", "/", "月"], "日"
 INVISIBLE = "\u200b\u200c\u200d\ufeff"
 
-_UNIT = "[" + "".join(UNITS) + "]?"
-#: A number with its unit, perhaps none.
-NUMBER = "([0-9]+(?:[.][0-9]+)?)[ \\t]*(" + _UNIT + ")"
-#: Year, month, day, and hour and minute if they are told.
-DATE = f"([0-9]{{4}})[{AFTER_YEAR}]([0-9]{{1,2}})[{AFTER_MONTH}]([0-9]{{1,2}})(?:{AFTER_DAY})?(?:\\s+([0-9]{{1,2}}):([0-9]{{2}}))?"
+DIGITS = "0123456789"
+
+
+def _runs(text: Column) -> Column:
+    """Runs of digits and of other characters, in turn."""
+    return F.split(text, "(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])")
+
+
+def _at(runs: Column, i: Column | int) -> Column:
+    """The i-th run from 0, empty beyond the last."""
+    return F.coalesce(F.get(runs, i if isinstance(i, Column) else F.lit(i)), F.lit(""))
+
+
+def _is_number(run: Column) -> Column:
+    return (run != "") & (F.translate(run, DIGITS, "") == "")
 
 
-def _grouped(said: str) -> str:
-    """A whole number, with commas perhaps, before a word."""
-    return "([0-9][0-9,]*)\\s*" + said
+def _first_number(runs: Column) -> Column:
+    """The place of the first run of digits, 0 or 1."""
+    return F.when(_is_number(_at(runs, 0)), 0).otherwise(1)
 
 
-def _found(text: Column, pattern: str, group: int = 1) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+def _times(unit: Column) -> Column:
+    return reduce(lambda out, u: F.when(unit == u, float(UNITS[u])).otherwise(out), UNITS, F.lit(1.0))
 
 
 def parse_count(text: Column) -> Column:
-    """The first number with its unit, cut to a whole; 0 if there is none."""
-    clean = F.regexp_replace(text, "[, ]", "")
-    unit = F.regexp_extract(clean, NUMBER, 2)
-    factor = F.lit(1.0)
-    for name, times in UNITS.items():
-        factor = F.when(unit == name, times).otherwise(factor)
-    return F.coalesce(F.floor(_found(clean, NUMBER).cast("double") * factor), F.lit(0)).cast("long")
+    """The first number with its unit, cut to a whole; 0 if there is none. Commas and blanks inside don't count."""
+
+    def read(runs: Column) -> Column:
+        i = _first_number(runs)
+        decimal = (_at(runs, i + 1) == ".") & _is_number(_at(runs, i + 2))
+        number = F.when(decimal, F.concat(_at(runs, i), F.lit("."), _at(runs, i + 2))).otherwise(_at(runs, i))
+        behind = stripped(F.when(decimal, _at(runs, i + 3)).otherwise(_at(runs, i + 1)))
+        return F.floor(number.try_cast("double") * _times(F.left(behind, F.lit(1))))
+
+    return F.coalesce(once(_runs(F.translate(text, ", ", "")), read), F.lit(0)).cast("long")
+
+
+def _numbers_before(text: Column, said: str) -> Column:
+    """For each place of a phrase the digits and commas right before it, blanks between allowed; null where there are none."""
+    before = F.split(text, said)
+    tail = lambda piece: F.element_at(F.split(stripped(piece), f"[^{DIGITS},]"), -1)
+    return F.transform(F.slice(before, F.lit(1), F.size(before) - 1), lambda p: F.translate(tail(p), ",", "").try_cast("long"))
+
+
+def _first_said(text: Column, said: str) -> Column:
+    return F.get(F.filter(_numbers_before(text, said), lambda n: n.isNotNull()), 0)
 
 
 def count_in_text(text: Column) -> Column:
-    """The number that stands with the word for comments; 0 if there is none."""
-    return parse_count(F.regexp_extract(text, "[0-9][0-9,.]*[ \\t]*" + _UNIT + "\\s*" + COMMENTS_SAID, 0))
+    """The number, perhaps with a unit, that stands with the word for comments; 0 if there is none."""
+
+    def tail(piece: Column) -> Column:
+        flat = stripped(piece)
+        unit = F.right(flat, F.lit(1))
+        number = stripped(F.when(unit.isin(*UNITS), F.left(flat, F.length(flat) - 1)).otherwise(flat))
+        return F.when(F.right(number, F.lit(1)).isin(*DIGITS), F.concat(F.element_at(F.split(number, f"[^{DIGITS},.]"), -1), F.when(unit.isin(*UNITS), unit).otherwise("")))
+
+    before = F.split(text, COMMENTS_SAID)
+    said = F.transform(F.slice(before, F.lit(1), F.size(before) - 1), tail)
+    return parse_count(F.get(F.filter(said, lambda x: x.isNotNull()), 0))
 
 
 def comment_total(text: Column) -> Column:
     """The declared number of comments, if that is all the text says; else null."""
-    clean = stripped(F.regexp_replace(F.regexp_replace(text, f"[{INVISIBLE}]", ""), r"\s+", " "))
-    return F.replace(_found(clean, f"^{_grouped(COMMENTS_SAID)}$"), F.lit(","), F.lit("")).cast("long")
+    clean = stripped(F.translate(text, INVISIBLE, ""))
+    number = F.when(F.endswith(clean, F.lit(COMMENTS_SAID)), stripped(F.left(clean, F.length(clean) - len(COMMENTS_SAID))))
+    return F.when(F.translate(number, DIGITS + ",", "") == "", F.translate(number, ",", "").try_cast("long"))
 
 
 def question_total(text: Column) -> Column:
-    return F.replace(_found(text, _grouped(ANSWERS_SAID)), F.lit(","), F.lit("")).cast("long")
+    """The number of answers that a page declares; null if it says none."""
+    return _first_said(text, ANSWERS_SAID)
 
 
 def collapsed_count(text: Column) -> Column:
     """A lower bound: 0 if nothing is said."""
-    return F.coalesce(F.replace(_found(text, _grouped(FOLDED_SAID)), F.lit(","), F.lit("")).cast("long"), F.lit(0))
+    return F.coalesce(_first_said(text, FOLDED_SAID), F.lit(0))
 
 
 def parse_datetime(text: Column) -> Column:
-    """An absolute date, with a time if there is one, taken as UTC; null for relative, yearless or impossible dates."""
-    part = [_found(text, DATE, i).cast("int") for i in range(1, 6)]
-    return F.try_make_timestamp(*part[:3], F.coalesce(part[3], F.lit(0)), F.coalesce(part[4], F.lit(0)), F.lit(0))
+    """An absolute date, with a time if there is one, taken as UTC; null for relative, yearless or impossible dates.
+
+    The first place counts where a run of digits that ends a year, a month and a day follow each
+    other with a separator between.
+    """
+
+    def read(runs: Column) -> Column:
+        short = lambda run: _is_number(run) & (F.length(run) <= 2)
+        begins = lambda i: (
+            _is_number(_at(runs, i)) & (F.length(_at(runs, i)) >= 4) & _at(runs, i + 1).isin(AFTER_YEAR) & short(_at(runs, i + 2)) & _at(runs, i + 3).isin(AFTER_MONTH) & _is_number(_at(runs, i + 4))
+        )
+        return once(F.get(F.filter(F.sequence(F.lit(0), F.size(runs)), begins), 0), lambda i: F.when(i.isNotNull(), moment(runs, i)))
+
+    def moment(runs: Column, i: Column) -> Column:
+        day, between = _at(runs, i + 4), _at(runs, i + 5)
+        gap = F.when(F.startswith(between, F.lit(AFTER_DAY)), F.substring(between, 2, 1_000)).otherwise(between)
+        timed = (F.length(day) <= 2) & (gap != "") & (stripped(gap) == "") & _is_number(_at(runs, i + 6)) & (F.length(_at(runs, i + 6)) <= 2) & (_at(runs, i + 7) == ":") & (F.length(_at(runs, i + 8)) >= 2)
+        number = lambda x: x.try_cast("int")
+        time = lambda x: F.when(timed, number(x)).otherwise(0)
+        return F.try_make_timestamp(number(F.right(_at(runs, i), F.lit(4))), number(_at(runs, i + 2)), number(F.left(day, F.lit(2))), time(_at(runs, i + 6)), time(F.left(_at(runs, i + 8), F.lit(2))), F.lit(0))
+
+    return once(_runs(text), read)
 
 
 def asked_at(seconds: Column) -> Column:

@@ -243,6 +243,18 @@ def event_background(v: Views) -> DataFrame:
     return v.table("benchmark").select("item_id", made.alias("background"))
 
 
+@query("""select b.version, substr(sha256('{' || string_agg('"' || m || '": ' || coalesce(to_json(body)::varchar, '""'), ', ' order by n) || '}'), 1, 16) as prompt_version,
+  count(*) filter (where body is null) as n_missing, coalesce(string_agg(trim(body), chr(10) || chr(10) order by n) filter (where n <= 7), '') as content_prompt
+from (select distinct item_id // 15 as version from benchmark) b cross join (select unnest(["""
+  + ", ".join(f"'{m}'" for m, *_ in prompts.MODULES) + """]) as m, unnest(range(1, 16)) as n)
+left join (select item_id // 15 as version, item_id % 15 + 1 as n, nullif(trim(text), '') as body from benchmark) using (version, n) group by b.version""")
+def prompt_versions(v: Views) -> DataFrame:
+    i = F.col("item_id")
+    rows = v.table("benchmark").select(F.floor(i / 15).alias("version"), F.element_at(F.array(*(F.lit(m) for m, *_ in prompts.MODULES)), (i % 15 + 1).cast("int")).alias("module"), F.trim("text").alias("body"), i.alias("ord"))
+    b = F.col("bodies")
+    return prompts.bundles(rows, "version", "ord").select("version", prompts.prompt_hash(b).alias("prompt_version"), F.size(prompts.missing_modules(b)).cast("long").alias("n_missing"), prompts.assemble(b, "content").alias("content_prompt"))
+
+
 @query("""select doc_id, case when doc_id % 3 = 0 then 1714979289::bigint when doc_id % 3 = 1 then 1714972089 end as iso, case doc_id % 4 when 0 then doc_id when 1 then 5 when 2 then 7 else 0 end as votes from documents""")
 def page_values(v: Views) -> DataFrame:
     i = F.col("doc_id")

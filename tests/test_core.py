@@ -37,26 +37,53 @@ def test_profile_and_search_urls(spark):
     assert one(spark, lambda c: urls.search_url("https://x/s?q=", c), "a b/中~*") == "https://x/s?q=a%20b/%E4%B8%AD~%2A"
 
 
-@pytest.mark.parametrize(("said", "n"), [("3.5 万", 35000), ("7,001 次", 7001), ("共 42", 42), ("9k", 9000), ("6 千", 6000), ("", 0), (None, 0), ("没有", 0), ("4.06万", int(4.06 * 10_000)), ("12 34", 1234)])
-def test_parse_count(spark, said, n):
-    assert one(spark, text.parse_count, said) == n
-
-
-def test_counts_in_phrases(spark):
-    assert one(spark, text.count_in_text, "收藏 52   7 条评论 03-02") == 7
-    assert one(spark, text.count_in_text, "2.5 万 条评论") == 25000
-    assert one(spark, text.comment_total, "\u200b 20,480  条评论 ") == 20480
-    assert one(spark, text.comment_total, "展开 204 条评论") is None
-    assert one(spark, text.question_total, "全部 3,004 个回答") == 3004
-    assert one(spark, text.question_total, "?") is None
-    assert one(spark, text.collapsed_count, "还有 8 个回答被折叠") == 8
-    assert one(spark, text.collapsed_count, "?") == 0
-
-
-@pytest.mark.parametrize(("said", "want"), [("写于 2021-11-05 06:07 后改", "2021-11-05 06:07:00"), ("2020年9月8日", "2020-09-08 00:00:00"), ("2019/10/11", "2019-10-11 00:00:00"), ("11-30", None), ("两天前", None), ("2022-19-77", None)])
-def test_parse_datetime(spark, said, want):
-    got = one(spark, lambda c: text.parse_datetime(c).cast("string"), said)
-    assert got == want
+def said_counts():
+    """(text, count): each unit with numbers, blanks and surroundings of all sorts."""
+    for unit, times in {"": 1, "万": 10_000, "千": 1_000, "k": 1_000, "K": 1_000}.items():
+        for number, value in {"7": 7, "12": 12, "8,765": 8765, "0": 0, "2.5": 2.5, "0.3": 0.3}.items():
+            for blank in ("", " ", "  ") if unit else ("",):
+                for before, after in (("", ""), ("x ", " 次"), ("共", "。"), ("", " 19")):
+                    if unit or not after.strip()[:1].isdigit():
+                        yield f"{before}{number}{blank}{unit}{after}", int(value * times)
+
+
+def test_parse_count(spark):
+    rows = [*said_counts(), ("", 0), (None, 0), ("无", 0), (".", 0), ("x.5", 5), ("1..5", 1), ("3 4", 34), ("9.", 9)]
+    got = spark.createDataFrame(rows, "said string, n long").withColumn("got", text.parse_count(F.col("said"))).collect()
+    assert not [(r.said, r.n, r.got) for r in got if r.n != r.got]
+
+
+@pytest.mark.parametrize("blank", ["", " ", " \t ", "\u3000"])
+@pytest.mark.parametrize(("number", "value"), [("0", 0), ("5", 5), ("6,543", 6543), ("1,000,000", 1_000_000)])
+def test_counts_in_phrases(spark, number, value, blank):
+    comments, answers, folded = (f"{number}{blank}{x}" for x in ("条评论", "个回答", "个回答被折叠"))
+    assert one(spark, text.comment_total, f"\ufeff {comments}\u200b ") == value
+    assert one(spark, text.comment_total, f"x {comments}") is one(spark, text.comment_total, f"{comments} x") is one(spark, text.comment_total, f"x{number}") is None
+    assert one(spark, text.question_total, f"1 x {answers}, 99 个回答") == value and one(spark, text.question_total, number) is None
+    assert one(spark, text.collapsed_count, f"2 个回答 {folded} x") == value and one(spark, text.collapsed_count, answers) == 0
+    assert one(spark, text.count_in_text, f"赞 8 {comments} 02-03") == value and one(spark, text.count_in_text, number) == 0
+
+
+def test_counts_in_phrases_with_units(spark):
+    for unit, times in text.UNITS.items():
+        assert one(spark, text.count_in_text, f"条评论 4 3.5 {unit} 条评论 7 条评论") == int(3.5 * times)
+
+
+def said_dates():
+    """(text, moment): years, months and days with each separator, times and surroundings."""
+    for y, m in (("-", "-"), ("/", "/"), ("年", "月"), ("-", "/")):
+        for day in ("", "日"):
+            for before, after in (("", ""), ("于 ", " 改"), ("3.", "，")):
+                yield f"{before}2023{y}4{m}5{day}{after}", "2023-04-05 00:00:00"
+                yield f"{before}2023{y}04{m}15{day}  7:08{after}", "2023-04-15 07:08:00"
+                yield f"{before}2023{y}4{m}5{day}7:08{after}" if day else f"{before}2023{y}4{m}5 7:8{after}", "2023-04-05 00:00:00"
+
+
+def test_parse_datetime(spark):
+    none = ["02-28", "3 小时前", "2023-13-01", "2023-02-30", "2023-1", "2023:1-2", "23-1-2", "2023-111-2", "", None, "2023年1日2"]
+    rows = [*said_dates(), *((x, None) for x in none), ("92023-1-234 5:06", "2023-01-23 00:00:00"), ("1-2 2023-1-2 25:00", None), ("2023-1-2 3:045", "2023-01-02 03:04:00")]
+    got = spark.createDataFrame(rows, "said string, at string").withColumn("got", text.parse_datetime(F.col("said")).cast("string")).collect()
+    assert not [(r.said, r.at, r.got) for r in got if r.at != r.got]
 
 
 def test_word_similarity_value_and_bounds():

@@ -1,5 +1,6 @@
 """Prompts, runs, judgments and pages on small rows."""
 
+import hashlib
 import json
 import random
 
@@ -11,18 +12,19 @@ from plaza.sources import jsonl, runs
 from pyspark.sql import functions as F
 
 
-def test_prompt_bundles():
-    modules = {m: f" {m} " for m in prompts.ORDER} | {"b_subject": " "}
-    assert prompts.assemble(modules, "question").split("\n\n") == ["a_role", "question_tasks", "question_rubric", "question_schema", "question_examples", "g_guardrails"]
-    assert prompts.missing_modules(modules) == prompts.missing_modules(modules, "event") == ["b_subject"]
-    assert prompts.prompt_hash(modules) == prompts.prompt_hash(dict(reversed(modules.items()))) != prompts.prompt_hash({})
-    assert prompts.loaded(prompts.dumped(modules)) == modules
-    assert prompts.loaded("{") is None and prompts.loaded('{"hash": "x", "modules": {}}') is None
+def test_prompt_bundles(spark):
+    rows = [("v", m, f" {m} ", 0) for m in prompts.modules_of()] + [("v", "b_subject", " ", 1), ("v", "other", "x", 0), ("w", "c_tasks", 'say "ü\\"\n\t\x01', 3), ("w", "c_tasks", "old", 2), ("w", "a_role", None, 2)]
+    for shuffled in (rows, rows[::-1]):
+        made = prompts.bundles(spark.createDataFrame(shuffled, "key string, module string, body string, ord int"), "key", "ord")
+        got = {r.key: r for r in made.select("key", prompts.prompt_hash(F.col("bodies")).alias("hash"), *(prompts.assemble(F.col("bodies"), t).alias(t) for t in ("content", "question", "event")), prompts.missing_modules(F.col("bodies")).alias("missing"), prompts.missing_modules(F.col("bodies"), "event").alias("of_event")).collect()}
+        assert got["v"].question.split("\n\n") == ["a_role", "question_tasks", "question_rubric", "question_schema", "question_examples", "g_guardrails"]
+        assert got["v"].missing == got["v"].of_event == ["b_subject"] and len(got["w"].missing) == 14 and got["w"].event == ""
+        for key in "vw":
+            last = {m: b or "" for k, m, b, o in sorted(rows, key=lambda r: r[3]) if k == key}
+            text = json.dumps({m: last.get(m, "") for m in prompts.modules_of()}, ensure_ascii=False)
+            assert got[key].hash == hashlib.sha256(text.encode()).hexdigest()[:16]
     with pytest.raises(ValueError):
-        prompts.assemble(modules, "other")
-    assert prompts.first_source([("db", lambda: 1 / 0), ("cache", lambda: None), ("files", lambda: modules)]) == ("files", modules)
-    with pytest.raises(LookupError):
-        prompts.first_source([("db", dict)])
+        prompts.modules_of("other")
 
 
 def test_runs_are_saved_and_listed(spark, tmp_path):
