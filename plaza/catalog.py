@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import schema
-from .functions import cards, html, replies, text, urls
+from .functions import card_table, cards, html, replies, text, urls
 from .operators import collection, gate, judge, prescreen, search, sequence, store
 from .plans import migrations
 from .registry import QUERIES, SQL, query
@@ -290,13 +290,20 @@ def _replies(v: Views) -> DataFrame:
 
 @query("""select doc_id, doc_id % 8 <> 3 as is_object, case when doc_id % 8 in (0, 1, 2, 7) then true when doc_id % 8 = 6 then false end as is_relevant,
 case when doc_id % 8 in (0, 1, 2, 4) then '有利' when doc_id % 8 = 6 then '中立' end as platform_stance, case when doc_id % 8 < 3 then 0.8 end::double as confidence,
+case doc_id % 8 when 5 then 'wrong_type' when 6 then 'out_of_range' end as confidence_error, case when doc_id % 8 = 5 then 'wrong_type' end as stance_error,
 case when doc_id % 8 < 3 then 3 end::bigint as n, case when doc_id % 8 < 3 then 's' end as summary from documents""")
 def parse_reply(v: Views) -> DataFrame:
     r = F.col("r")
-    return _replies(v).select("doc_id", r.isNotNull().alias("is_object"), replies.require_bool(r, "is_relevant").alias("is_relevant"), replies.require_choice(r, "platform_stance", PLATFORM_STANCES).alias("platform_stance"), replies.optional_float(r, "stance_confidence").alias("confidence"), replies.whole_number(r, "n").alias("n"), replies.optional_str(r, "ai_summary").alias("summary"))
+    return _replies(v).select("doc_id", r.isNotNull().alias("is_object"), replies.require_bool(r, "is_relevant").alias("is_relevant"), replies.require_choice(r, "platform_stance", PLATFORM_STANCES).alias("platform_stance"), replies.optional_float(r, "stance_confidence")["value"].alias("confidence"), replies.optional_float(r, "stance_confidence")["error"].alias("confidence_error"), replies.whole_number(r, "n").alias("n"), replies.optional_str(r, "ai_summary")["value"].alias("summary"), replies.optional_str(r, "platform_stance")["error"].alias("stance_error"))
 
 
-@query()
+#: How SQL resolves the entities of these pages, and what it cuts out before it splits them at tags.
+_UNESCAPED = "replace(replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')"
+_STRIPPED = "regexp_replace(regexp_replace(html, '(?s)<script.*?</script>', '<s>', 'g'), '(?s)<style.*?</style>', '<s>', 'g')"
+_BLANKS = "chr(9) || chr(10) || chr(13) || ' '"
+
+
+@query(f"select page_id, array_to_string(list_filter(list_transform(string_split_regex({_STRIPPED}, '<[^>]*>'), lambda x: trim({_UNESCAPED.format('x')}, {_BLANKS})), lambda x: x <> ''), chr(10)) as text from pages")
 def html_to_text(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", html.html_to_text("html").alias("text"))
 
@@ -569,11 +576,23 @@ def search_card(v: Views) -> DataFrame:
     return v.table("pages").select(cards.card_fate(link["href"]).alias("fate")).groupBy("fate").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"select page_id, nullif(trim({_UNESCAPED.format("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")}, {_BLANKS}), '') as heading from pages")
 def page_heading(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", cards.css_pick(F.col("html"), cards.Selector("h1"), cards.Selector("title"))["text"].alias("heading"))
 
 
+#: A search card of the raw pages: an entry of their menus.
+_MENU = card_table.Cards(card="nav li", link="a[href]")
+_LINK = '<li><a href="([^"]*)">([^<]*)</a>'
+
+
+@query(f"""select page_id, ord::integer as ord, {_UNESCAPED.format("href")} as href, {_UNESCAPED.format("title")} as title, 'not_content' as fate
+from (select page_id, unnest(regexp_extract_all(html, '{_LINK}', 1)) as href, unnest(regexp_extract_all(html, '{_LINK}', 2)) as title, unnest(range(len(regexp_extract_all(html, '{_LINK}')))) as ord from pages)""")
+def page_cards(v: Views) -> DataFrame:
+    """The menus of all raw pages as search cards; none of their links is one of the site's contents."""
+    return card_table.cards(v.table("pages").select("page_id", "html"), _MENU).select("page_id", "ord", "href", "title", "fate")
+
+
 @query("select content_id from v_content where content_text is null and content_id % 3 <> 0")
 def body_present(v: Views) -> DataFrame:
     return schema.body_missing(_star(v)["fact_content"]).select("content_id")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..ddl import columns
 from .cards import VOID
+from .css import group
 from .html import html_to_text
 from .text import parse_count, parse_datetime
 from .urls import QA_SITE, Site, normalize_url, once
@@ -20,7 +21,7 @@ from .urls import QA_SITE, Site, normalize_url, once
 # Where the site's pages have what.
 STATE_ID = "js-initialData"
 ENTITIES = {"question": "questions", "answer": "answers", "article": "articles", "thought": "pins", "comment": "comments"}
-BODY_CLASSES = ("Post-RichText", "RichText")
+TITLE, BODY = group("[itemprop='headline'], .Post-Title, .QuestionHeader-title, h1"), group("[itemprop='text'], .Post-RichText, .RichText")
 AUTHOR_NAME, AUTHOR_LINK, PUBLISHED, ACTION = "AuthorInfo-name", "UserLink-link", "ContentItem-time", "ContentItem-action"
 COMMENT_BODY, COMMENT_ID, ANSWER_ID = "CommentContent", "data-id", "name"
 VOTE_WORD, COMMENT_WORD, PEOPLE, ANSWER = "赞同", "评论", "/people/", "/answer/"
@@ -198,9 +199,10 @@ def read_item(scope: Node, base: str) -> tuple:
     button = scope.first(lambda n: n.tag == "button" and VOTE_WORD in n.attrs.get("aria-label", ""))
     told = next((t for n in scope.walk() if n.has(ACTION) and COMMENT_WORD in (t := n.text(" ") or "")), None)
     text = lambda n: n.text() if n else None
+    told_text = lambda n: n.text() or (n.attrs.get("content") or "").strip() or None if n else None
     return (
-        own_id, next((m for m in metas if ANSWER in m), None), urljoin(base, mine[0]) if mine else None, text(scope.first(_of_class("QuestionHeader-title"), lambda n: n.tag == "h1")),
-        text(scope.first(lambda n: n.attrs.get("itemprop") == "text" or _of_class(*BODY_CLASSES)(n))), text(scope.first(_of_class(AUTHOR_NAME))),
+        own_id, next((m for m in metas if ANSWER in m), None), urljoin(base, mine[0]) if mine else None, told_text(TITLE.first(scope)),
+        text(BODY.first(scope)), text(scope.first(_of_class(AUTHOR_NAME))),
         _href(scope.first(lambda n: n.has(AUTHOR_LINK) and n.inside(_attr("itemprop", "author"))), base),
         _meta(scope, "upvoteCount"), button.text(" ") if button else None, button.attrs.get("aria-label") if button else None, _meta(scope, "commentCount"), told, _meta(scope, "datePublished", "dateCreated"), text(scope.first(_of_class(PUBLISHED))),
     )

@@ -23,6 +23,11 @@ def _field(reply: Column, key: str) -> tuple[Column, Column]:
     return v, F.schema_of_variant(v)
 
 
+def _absent(v: Column, kind: Column) -> Column:
+    """Missing, or null."""
+    return v.isNull() | (kind == "VOID")
+
+
 def require_bool(reply: Column, key: str) -> Column:
     """Exactly true or false, else null (an error)."""
     v, kind = _field(reply, key)
@@ -37,16 +42,19 @@ def require_choice(reply: Column, key: str, choices: tuple[str, ...]) -> Column:
 
 
 def optional_str(reply: Column, key: str, size: int = 500) -> Column:
-    """Trimmed and cut to size; null if missing, blank or no string."""
+    """struct<value, error>: trimmed and cut to size, null if missing or blank; ``wrong_type`` if it is there and no string."""
     v, kind = _field(reply, key)
-    return F.when(kind == "STRING", F.nullif(F.left(F.trim(F.try_variant_get(v, "$", "string")), F.lit(size)), F.lit("")))
+    text = F.when(kind == "STRING", F.nullif(F.left(F.trim(F.try_variant_get(v, "$", "string")), F.lit(size)), F.lit("")))
+    return F.struct(text.alias("value"), F.when(~_absent(v, kind) & (kind != "STRING"), "wrong_type").alias("error"))
 
 
-def optional_float(reply: Column, key: str) -> Column:
-    """A number from 0 to 1; null if missing or anything else (nothing is clamped)."""
+def optional_float(reply: Column, key: str, low: float = 0.0, high: float = 1.0) -> Column:
+    """struct<value, error>: a number, null if missing; ``wrong_type`` or ``out_of_range`` (nothing is clamped) if it is there and none from low to high."""
     v, kind = _field(reply, key)
     x = F.try_variant_get(v, "$", "double")
-    return F.when((kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL"), F.when(x.between(0, 1), x))
+    number = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+    inside = F.coalesce(x.between(low, high), F.lit(False))
+    return F.struct(F.when(number & inside, x).alias("value"), F.when(_absent(v, kind), None).when(~number, "wrong_type").when(~inside, "out_of_range").alias("error"))
 
 
 def whole_number(reply: Column, key: str) -> Column:

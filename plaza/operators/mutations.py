@@ -65,15 +65,17 @@ def overwrite_event_stance(bridge: DataFrame, changes: DataFrame, events: DataFr
 
 
 def claim_questions(questions: DataFrame, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(next version, (platform_qid, question_id) of all claimed): a question is made once; the fields of one that exists are never changed.
+    """(next version, (ord, platform_qid, question_id) of the claims that came first): a question is made once; the fields of one that exists are never changed.
 
-    claims(ord, platform_qid, and columns of questions); a new id continues the table's, in order of the claims.
+    claims(ord, platform_qid, and columns of questions). A claim is before any judgment: what it
+    says of relevance isn't taken, both fields are null until they are set. A claim that isn't in
+    the second table came second. A new id continues the table's, in order of the claims.
     """
-    first = claims.groupBy("platform_qid").agg(F.min("ord").alias("ord"), F.min_by(F.struct(*[c for c in claims.columns if c not in ("ord", "platform_qid")]), "ord").alias("c")).select("ord", "platform_qid", "c.*")
+    kept = [c for c in claims.columns if c not in ("ord", "platform_qid", "is_relevant", "relevant_checked_at")]
+    first = claims.groupBy("platform_qid").agg(F.min("ord").alias("ord"), F.min_by(F.struct(*kept), "ord").alias("c")).select("ord", "platform_qid", "c.*")
     fresh = store.with_ids(first.join(questions, "platform_qid", "left_anti"), questions, "question_id", "ord")
     rows = fresh.select(*((F.col(c) if c in fresh.columns else F.lit(None)).cast(questions.schema[c].dataType).alias(c) for c in questions.columns))
-    after = questions.unionByName(rows)
-    return after, after.join(claims.select("platform_qid").distinct(), "platform_qid", "left_semi").select("platform_qid", "question_id")
+    return questions.unionByName(rows), fresh.select("ord", "platform_qid", "question_id")
 
 
 def content_and_analysis(admitted: DataFrame, content: tuple[str, ...], analysis: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:

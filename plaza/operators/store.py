@@ -67,42 +67,65 @@ def content_id(url: Column) -> Column:
     return F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
 
 
+class Conflict(Exception):
+    """Another writer has made the version that was to be made."""
+
+
 class Store:
     """Versioned tables under a root that driver and executors share.
 
-    A version is a folder of Parquet and a mark, a file of a rising number that names the
-    folder. Marks are renamed into place and never replaced, the greatest is the current one:
-    a reader always finds a whole version, and a crash before the rename leaves the last one.
+    A version is a folder of Parquet and a mark, a small file that has the version's number for
+    its name and the folder's name in it. A mark is made only if there is none of its number, so of
+    two writers that read the same version one gets an error and must read again. The greatest
+    mark is the current one. A mark without content is of a writer that died, and doesn't count.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self.seen: dict[str, int] = {}
 
     def _path(self, *parts: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.root, *parts)))
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def marks(self, table: str) -> list[str]:
-        """The marks of a table's versions, oldest first."""
+    def marks(self, table: str) -> list[int]:
+        """The numbers of a table's marks, oldest first."""
         path, fs = self._path(table, "marks")
-        return sorted(f.getPath().getName() for f in fs.listStatus(path) if not f.getPath().getName().startswith(".")) if fs.exists(path) else []
+        return sorted(int(f.getPath().getName()) for f in fs.listStatus(path) if f.getPath().getName().isdigit()) if fs.exists(path) else []
+
+    def _folder(self, table: str, number: int) -> str | None:
+        path, fs = self._path(table, "marks", f"{number:012d}")
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode() or None
+        finally:
+            stream.close()
 
     def version(self, table: str) -> str | None:
-        names = self.marks(table)
-        return names[-1].split("-", 1)[1] if names else None
+        """The folder of the current version."""
+        return next((v for n in reversed(self.marks(table)) if (v := self._folder(table, n))), None)
 
     def read(self, table: str, schema: T.StructType) -> DataFrame:
-        """The current version; an empty table if there is none."""
-        now = self.version(table)
+        """The current version; an empty table if there is none. The next commit follows it."""
+        marks = self.marks(table)
+        self.seen[table] = marks[-1] if marks else 0
+        now = next((v for n in reversed(marks) if (v := self._folder(table, n))), None)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/{now}") if now else self.spark.createDataFrame([], schema)
 
     def commit(self, table: str, rows: DataFrame) -> str:
-        """Writes the next version, then its mark."""
+        """Writes the version after the one that was read, then its mark; if there is one meanwhile, Conflict."""
+        marks = self.marks(table)
+        number = self.seen.get(table, marks[-1] if marks else 0) + 1
         name = f"v_{uuid.uuid4().hex}"
         rows.write.parquet(f"{self.root}/{table}/{name}")
-        number = len(self.marks(table)) + 1
-        fresh, fs = self._path(table, "marks", f".{name}")
-        fs.create(fresh, True).close()
-        if not fs.rename(fresh, self._path(table, "marks", f"{number:012d}-{name}")[0]):
-            raise OSError(f"can't mark the version of {table}")
+        path, fs = self._path(table, "marks", f"{number:012d}")
+        try:
+            stream = fs.create(path, False)
+        except Exception as e:
+            if fs.exists(path):
+                raise Conflict(f"{table} has a version {number} by another writer") from e
+            raise
+        stream.write(bytearray(name.encode()))
+        stream.close()
+        self.seen[table] = number
         return name

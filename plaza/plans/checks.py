@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import gate, judge, store
+from ..operators import gate, judge
 from ..operators.sequence import keep_first
 
 
@@ -80,15 +80,22 @@ def insert_contents(batch: DataFrame, contents: DataFrame) -> DataFrame:
 
 
 def replay(bodies: DataFrame, questions: DataFrame, rules: list[tuple[str, bool, str, str]], fallback: tuple[bool, str, str]) -> DataFrame:
-    """A run judged again by the rule judge, from claim to gate: bodies(ord, url, content_type, platform_qid, title, text) with disposition, stance and risk.
+    """A run judged again by the rule judge, without the gate: bodies(file, ord, url, content_type, platform_id, platform_qid, title, text) with fate and judgment.
 
-    Questions(platform_qid, title) are claimed once and judged by their title, bodies by title and
-    text; the first body of a url counts.
+    questions(ord, platform_qid, title) are claimed once and judged by each row's title, one after
+    another, so the last one's judgment stays. fate: unbuildable (a question among the bodies,
+    or no id or address), inserted (the first buildable row of a url), duplicate. What could be
+    built is judged by title and text, duplicates too.
     """
-    claimed = keep_first(questions.withColumn("__at", F.col("title")), ["platform_qid"], ["__at"]).drop("__at")
-    judged_q = claimed.select(store.content_id(F.col("platform_qid")).alias("question_id"), judge.rule_judge(F.col("title"), rules, fallback)["is_relevant"].alias("is_relevant"))
-    first = keep_first(bodies, ["url"], ["ord"]).withColumn("question_id", F.when(F.col("platform_qid").isNotNull(), store.content_id(F.col("platform_qid"))))
-    verdict = judge.rule_judge(F.concat_ws("\n", "title", "text"), rules, fallback)
-    judged = first.select("url", verdict.alias("v")).select("url", "v.*")
-    out = gate.content_disposition(first, judged.select("url", "is_relevant", "platform_stance"), judged_q.where("is_relevant"), judged_q)
-    return out.join(judged.select("url", "risk_level"), "url", "left")
+    judged_q = questions.groupBy("platform_qid").agg(F.max_by(judge.rule_judge(F.col("title"), rules, fallback)["is_relevant"], "ord").alias("question_relevant"))
+    known = gate.buildable(bodies)
+    first = keep_first(known.where("reject_reason is null"), ["url"], ["ord"]).select("ord", F.lit(True).alias("__first"))
+    fate = F.when(F.col("reject_reason").isNotNull(), "unbuildable").when(F.col("__first"), "inserted").otherwise("duplicate")
+    verdict = F.when(F.col("reject_reason").isNull(), judge.rule_judge(F.concat_ws("\n", "title", "text"), rules, fallback))
+    rows = known.join(first, "ord", "left").withColumn("fate", fate).withColumn("v", verdict).select(*bodies.columns, "fate", "v.*")
+    return rows.join(judged_q, "platform_qid", "left")
+
+
+def replay_stats(replayed: DataFrame) -> DataFrame:
+    """(file, rows, unbuildable, inserted, judged, duplicates)."""
+    return replayed.groupBy("file").agg(F.count("*").alias("rows"), F.count_if(F.col("fate") == "unbuildable").alias("unbuildable"), F.count_if(F.col("fate") == "inserted").alias("inserted"), F.count_if(F.col("fate") != "unbuildable").alias("judged"), F.count_if(F.col("fate") == "duplicate").alias("duplicates"))

@@ -214,12 +214,12 @@ def overwrite_event_stance(v: Views) -> DataFrame:
     return mutations.overwrite_event_stance(now, changes, v.events).select("content_id", "event_id", "stance", "event_version", "analyzed_by")
 
 
-@query("""select question_id, 'q' || question_id as platform_qid, 'old' as title from v_question
-union all select 49 + row_number() over (order by first), qid, 't' || first from (select 'q' || (doc_id * 7 % 90) as qid, min(doc_id) as first from documents group by 1) where qid not in (select 'q' || question_id from v_question)""")
+@query("""select question_id, 'q' || question_id as platform_qid, 'old' as title, is_relevant from v_question
+union all select 49 + row_number() over (order by first), qid, 't' || first, null from (select 'q' || (doc_id * 7 % 90) as qid, min(doc_id) as first from documents group by 1) where qid not in (select 'q' || question_id from v_question)""")
 def claim_question(v: Views) -> DataFrame:
-    now = v.questions.select("question_id", F.concat(F.lit("q"), F.col("question_id")).alias("platform_qid"), F.lit("old").alias("title"))
+    now = v.questions.select("question_id", F.concat(F.lit("q"), F.col("question_id")).alias("platform_qid"), F.lit("old").alias("title"), "is_relevant")
     i = F.col("doc_id")
-    claims = v.table("documents").select(i.alias("ord"), F.concat(F.lit("q"), i * 7 % 90).alias("platform_qid"), F.concat(F.lit("t"), i).alias("title"))
+    claims = v.table("documents").select(i.alias("ord"), F.concat(F.lit("q"), i * 7 % 90).alias("platform_qid"), F.concat(F.lit("t"), i).alias("title"), F.lit(True).alias("is_relevant"))
     return mutations.claim_questions(now, claims)[0]
 
 
@@ -355,10 +355,29 @@ def insert_contents(v: Views) -> DataFrame:
 RULES = [("idiot", True, "抹黑", "高风险"), ("nation", True, "中立", "中风险"), ("tion", False, "不相关", "低风险")]
 
 
-@query("""select cast(c.content_id as varchar) as url, case when contains(body, 'idiot') or contains(body, 'nation') then 'kept' when c.content_id % 4 not in (0, 3) then 'dropped_irrelevant' when c.content_id % 50 % 2 = 0 then 'kept_by_parent' else 'dropped_irrelevant' end as disposition,
-case when contains(body, 'idiot') then '高风险' when contains(body, 'nation') then '中风险' else '低风险' end as risk_level from (select *, coalesce(title, '') || chr(10) || coalesce(content_text, '') as body from v_content) c""")
-def replay(v: Views) -> DataFrame:
+_REPLAYED = """r as (select content_id as ord, 'f' || (content_id % 2) as file, 'u' || (content_id % 700) as url, case when content_id % 13 = 0 then 'question' else content_type end as content_type, 'q' || question_id as platform_qid, coalesce(title, '') || chr(10) || coalesce(content_text, '') as body from v_content),
+q as (select 'q' || question_id as platform_qid, arg_max(text, doc_id) as title from (select doc_id, text, doc_id % 50 as question_id from documents where doc_id % 4 in (0, 3)) group by 1),
+f as (select *, case when content_type = 'question' then 'unbuildable' when row_number() over (partition by url, content_type = 'question' order by ord) = 1 then 'inserted' else 'duplicate' end as fate from r)"""
+
+
+def _replayed(v: Views) -> DataFrame:
+    """All contents as two files of bodies, a question among them at times; every content of a question brings a title for it."""
+    i = F.col("content_id")
     qid = F.when(F.col("question_id").isNotNull(), F.concat(F.lit("q"), F.col("question_id")))
-    bodies = v.content.select(F.col("content_id").alias("ord"), F.col("content_id").cast("string").alias("url"), "content_type", qid.alias("platform_qid"), "title", F.col("content_text").alias("text"))
-    questions = v.questions.select(F.concat(F.lit("q"), F.col("question_id")).alias("platform_qid"), F.when(F.col("question_id") % 2 == 0, "the nation").otherwise("none").alias("title"))
-    return checks.replay(bodies, questions, RULES, (False, "不相关", "低风险")).select("url", "disposition", "risk_level")
+    kind = F.when(i % 13 == 0, "question").otherwise(F.col("content_type"))
+    bodies = v.content.select(i.alias("ord"), F.concat(F.lit("f"), i % 2).alias("file"), F.concat(F.lit("u"), i % 700).alias("url"), kind.alias("content_type"), "platform_id", qid.alias("platform_qid"), "title", F.col("content_text").alias("text"))
+    d = F.col("doc_id")
+    questions = v.table("documents").where((d % 4).isin(0, 3)).select(d.alias("ord"), F.concat(F.lit("q"), d % 50).alias("platform_qid"), F.col("text").alias("title"))
+    return checks.replay(bodies, questions, RULES, (False, "不相关", "低风险"))
+
+
+@query(f""", {_REPLAYED} select ord, url, fate, case when fate <> 'unbuildable' then case when contains(body, 'idiot') then '高风险' when contains(body, 'nation') then '中风险' else '低风险' end end as risk_level,
+case when title is not null then contains(title, 'idiot') or contains(title, 'nation') end as question_relevant from f left join q using (platform_qid)""")
+def replay(v: Views) -> DataFrame:
+    return _replayed(v).select("ord", "url", "fate", "risk_level", "question_relevant")
+
+
+@query(f""", {_REPLAYED} select file, count(*) as rows, count(*) filter (where fate = 'unbuildable') as unbuildable, count(*) filter (where fate = 'inserted') as inserted, count(*) filter (where fate <> 'unbuildable') as judged,
+count(*) filter (where fate = 'duplicate') as duplicates from f group by file""")
+def replay_stats(v: Views) -> DataFrame:
+    return checks.replay_stats(_replayed(v))

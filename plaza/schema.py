@@ -52,9 +52,9 @@ TABLES = {
 
 
 def enum_violations(df: DataFrame, allowed: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Rows with a value outside its domain (null is allowed), and the first such column as ``violated``."""
-    bad = F.coalesce(*(F.when(F.col(c).isNotNull() & ~F.col(c).isin(*v), F.lit(c)) for c, v in allowed.items()))
-    return df.withColumn("violated", bad).where("violated is not null")
+    """Rows with a value outside its domain (null is allowed), one for each such column as ``violated``."""
+    bad = F.array(*(F.when(F.col(c).isNotNull() & ~F.col(c).isin(*v), F.lit(c)) for c, v in allowed.items()))
+    return df.withColumn("violated", F.explode(F.filter(bad, lambda c: c.isNotNull())))
 
 
 def duplicate_keys(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -16,7 +16,8 @@ from ..ddl import columns
 from .jsonl import SAMPLES, append_log
 
 STATE = columns("run_id string, mode string, status string, cursor map<string,string>, note string")
-MIGRATION = re.compile(r"^([0-9]{4})_[A-Za-z0-9_]+\.sql$")
+#: A number of four digits and a name in small letters; with capitals the order would depend on the file system.
+MIGRATION = re.compile(r"[0-9]{4}(_[0-9a-z]*)+[.]sql")
 
 
 def _file(spark: SparkSession, path: str):
@@ -168,7 +169,7 @@ def discover_migrations(spark: SparkSession, folder: str) -> DataFrame:
 
     p, fs = _file(spark, folder)
     names = sorted(f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().endswith(".sql"))
-    if bad := [n for n in names if not MIGRATION.match(n)]:
+    if bad := [n for n in names if not MIGRATION.fullmatch(n) or n[5:] == ".sql"]:
         raise ValueError(f"no migration names: {bad}")
     if len({n[:4] for n in names}) < len(names):
         raise ValueError("a number comes twice")

@@ -50,21 +50,22 @@ class Views:
 
     @property
     def events(self) -> DataFrame:
-        return self.table("benchmark").where("item_id < 10").select(F.col("item_id").alias("event_id"), F.concat(F.lit("event-"), F.col("item_id")).alias("name"), (1 + F.col("item_id") % 3).alias("version"))
+        return self.table("benchmark").select(F.col("item_id").alias("event_id"), F.concat(F.lit("event-"), F.col("item_id")).alias("name"), (1 + F.col("item_id") % 3).alias("version"))
 
     @property
     def bridge(self) -> DataFrame:
-        """A document is on the two events whose id completes its own to a multiple of five."""
-        d = self.table("documents").select("doc_id", F.explode(F.sequence((5 - F.col("doc_id") % 5) % 5, F.lit(9), F.lit(5))).alias("event_id"))
+        """A document is on the event of its own number and on the fifth after it, both counted around all events."""
+        n = self.events.agg(F.count("*").alias("n"))  # one row
+        d = self.table("documents").crossJoin(F.broadcast(n)).where("n > 0").select("doc_id", F.explode(F.array(F.col("doc_id") % F.col("n"), (F.col("doc_id") + 5) % F.col("n"))).alias("event_id"))
         which = F.element_at(F.array(*map(F.lit, ("正向", "反向", "中立"))), ((F.col("doc_id") + F.col("event_id")) % 3 + 1).cast("int"))
-        rows = d.select(F.col("doc_id").alias("content_id"), "event_id", F.when(F.col("doc_id") % 11 != 0, which).alias("stance"), (1 + F.col("doc_id") % 3).alias("event_version"))
-        return rows.join(F.broadcast(self.events.select("event_id")), "event_id", "left_semi").select("content_id", "event_id", "stance", "event_version")
+        return d.select(F.col("doc_id").alias("content_id"), "event_id", F.when(F.col("doc_id") % 11 != 0, which).alias("stance"), (1 + F.col("doc_id") % 3).alias("event_version"))
 
     @property
     def questions(self) -> DataFrame:
-        k = F.col("id")
+        """The questions of the contents."""
+        k = F.col("question_id")
         first = F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(hours=k)
-        return self.spark.range(50).select(k.alias("question_id"), F.when(k % 7 != 0, k % 3 != 0).alias("is_relevant"), (k % 2 == 0).alias("follow_up_done"), first.alias("first_seen_at"))
+        return self.content.where(k.isNotNull()).select(k).distinct().select(k, F.when(k % 7 != 0, k % 3 != 0).alias("is_relevant"), (k % 2 == 0).alias("follow_up_done"), first.alias("first_seen_at"))
 
     @property
     def evidence(self) -> DataFrame:
@@ -91,11 +92,11 @@ v_analysis as (
 v_author as (
   select author_id, 'u' || author_id as platform_user_id, min(source) as nickname, author_id % 5 = 0 as is_watched
   from (select distinct source, try_cast(regexp_extract(source, '([0-9]+)', 1) as bigint) as author_id from documents where source is not null) where author_id % 7 <> 6 group by author_id),
-v_event as (select item_id as event_id, 'event-' || cast(item_id as varchar) as name, 1 + item_id % 3 as version from benchmark where item_id < 10),
+v_event as (select item_id as event_id, 'event-' || cast(item_id as varchar) as name, 1 + item_id % 3 as version from benchmark),
 v_bridge as (
   select doc_id as content_id, event_id, case when doc_id % 11 <> 0 then case (doc_id + event_id) % 3 when 0 then '正向' when 1 then '反向' else '中立' end end as stance, 1 + doc_id % 3 as event_version
-  from documents, v_event where (doc_id + event_id) % 5 = 0),
+  from (select doc_id, unnest([doc_id % n, (doc_id + 5) % n]) as event_id from documents, (select count(*) as n from benchmark))),
 v_question as (
-  select i as question_id, case when i % 7 <> 0 then i % 3 <> 0 end as is_relevant, i % 2 = 0 as follow_up_done, timestamp '2024-01-01' + interval 1 hour * i as first_seen_at from range(50) t(i)),
+  select i as question_id, case when i % 7 <> 0 then i % 3 <> 0 end as is_relevant, i % 2 = 0 as follow_up_done, timestamp '2024-01-01' + interval 1 hour * i as first_seen_at from (select distinct question_id as i from v_content where question_id is not null)),
 v_evidence as (select doc_id as evidence_id, doc_id % 5 as content_id, timestamp '2024-01-01' + interval 1 minute * (doc_id % 60) as filed_at from labels where toxic = 1)
 """

@@ -279,3 +279,23 @@ def test_numbers_are_a_permutation_whatever_the_partitions(spark):
     finally:
         for k, value in before.items():
             spark.conf.set(k, value)
+
+
+def test_of_two_writers_of_a_version_one_must_read_again(spark, tmp_path):
+    schema = T.StructType.fromDDL("k int")
+    one_, two = store.Store(spark, f"file://{tmp_path}"), store.Store(spark, f"file://{tmp_path}")
+    rows = lambda *ks: spark.createDataFrame([(k,) for k in ks], schema)
+    read = lambda s: sorted(r.k for r in s.read("t", schema).collect())
+    one_.commit("t", rows(1))
+    assert read(one_) == read(two) == [1]
+    one_.commit("t", rows(1, 2))
+    with pytest.raises(store.Conflict):
+        two.commit("t", rows(1, 3))
+    assert read(two) == [1, 2]
+    two.commit("t", rows(1, 2, 3))
+    # old marks may go; numbers go on, a mark of a writer that died doesn't count
+    (tmp_path / "t" / "marks" / "000000000001").unlink()
+    (tmp_path / "t" / "marks" / "000000000004").write_text("")
+    assert read(one_) == [1, 2, 3]
+    one_.commit("t", rows(9))
+    assert read(two) == [9] and two.marks("t")[-1] == 5

@@ -5,7 +5,8 @@ import json
 import random
 
 import pytest
-from plaza.functions import page, prompts
+from plaza import schema
+from plaza.functions import card_table, css, page, prompts, replies
 from plaza.operators import collection, judge, judgments, mutations, rounds
 from plaza.plans import checks, migrations
 from plaza.sources import jsonl, runs
@@ -191,3 +192,97 @@ def test_drift_is_shown_and_accepted_with_a_note(spark, tmp_path):
     for version, note in ((2, " "), (1, "n"), (3, "n")):
         with pytest.raises(ValueError):
             migrations.accept_drift(files, known, version, note)
+
+
+# --- results mended, each by the case that showed it ---
+
+
+def test_a_body_is_the_candidate_written_first(spark):
+    html = "<h1>h</h1><div class='RichText'>side box</div><div class='Post-RichText'>the body</div><meta itemprop='headline' content='told'>"
+    got = spark.createDataFrame([(html,)], "h string").select(page.item(F.col("h"))).first()[0]
+    assert (got.body, got.title) == ("the body", "told")
+
+
+def test_a_claim_leaves_relevance_open_and_tells_who_came_first(spark):
+    now = spark.createDataFrame([(3, "old", True)], "question_id long, platform_qid string, is_relevant boolean")
+    claims = spark.createDataFrame([(1, "b", True), (0, "a", True), (2, "a", False), (3, "old", False)], "ord int, platform_qid string, is_relevant boolean")
+    after, first = mutations.claim_questions(now, claims)
+    assert sorted(map(tuple, after.collect())) == [(3, "old", True), (4, "a", None), (5, "b", None)]
+    assert sorted(map(tuple, first.collect())) == [(0, "a", 4), (1, "b", 5)]
+
+
+def test_migration_names_in_capitals_are_refused(spark, tmp_path):
+    (tmp_path / "0001_ok_2.sql").write_text("x")
+    assert [r.version for r in runs.discover_migrations(spark, f"file://{tmp_path}").collect()] == [1]
+    for bad in ("0002_Foo.sql", "2_foo.sql", "0002.sql", "0002_.sql"):
+        (tmp_path / bad).write_text("x")
+        with pytest.raises(ValueError, match="migration names"):
+            runs.discover_migrations(spark, f"file://{tmp_path}")
+        (tmp_path / bad).unlink()
+
+
+def test_each_broken_column_of_a_row_counts(spark):
+    df = spark.createDataFrame([("x", "y"), ("a", None), ("x", "b")], "p string, q string")
+    got = schema.enum_violations(df, {"p": ("a",), "q": ("b",)})
+    assert sorted(map(tuple, got.groupBy("violated").count().collect())) == [("p", 2), ("q", 1)]
+
+
+def test_wrong_types_aren_t_missing_fields(spark):
+    rows = [('{"s": " t ", "f": 0.5}', ("t", None), (0.5, None)), ('{"s": null}', (None, None), (None, None)), ('{"s": " ", "f": 1}', (None, None), (1.0, None)), ('{"s": 3, "f": "0.5"}', (None, "wrong_type"), (None, "wrong_type")), ('{"s": [], "f": true}', (None, "wrong_type"), (None, "wrong_type")), ('{"f": 1.01}', (None, None), (None, "out_of_range"))]
+    df = spark.createDataFrame([(r[0],) for r in rows], "raw string").withColumn("r", replies.parse_reply(F.col("raw"))).select(replies.optional_str(F.col("r"), "s").alias("s"), replies.optional_float(F.col("r"), "f").alias("f"))
+    assert [(tuple(x.s), tuple(x.f)) for x in df.collect()] == [r[1:] for r in rows]
+
+
+def test_a_judgment_by_the_last_title_stays(spark):
+    questions = lambda titles: spark.createDataFrame([(i, "q", t) for i, t in enumerate(titles)], "ord int, platform_qid string, title string")
+    bodies = spark.createDataFrame([(0, "f", "u", "answer", "1", "q", None, "x"), (1, "f", "u", "answer", "2", "q", None, "x"), (2, "g", "", "answer", "3", None, None, "nation")], "ord int, file string, url string, content_type string, platform_id string, platform_qid string, title string, text string")
+    for titles, relevant in ((["a none", "z nation"], True), (["z nation", "a none"], False)):
+        got = checks.replay(bodies, questions(titles), [("nation", True, "s", "r")], (False, "s", "low")).orderBy("ord").collect()
+        assert [(r.fate, r.risk_level, r.question_relevant) for r in got] == [("inserted", "low", relevant), ("duplicate", "low", relevant), ("unbuildable", None, None)]
+
+
+# --- selectors and cards ---
+
+
+@pytest.mark.parametrize(
+    ("group", "found"),
+    [
+        ("i, b", ["B1", "B2"]), (".y, .x", ["A"]), ("#one .x", ["A"]), ("#one > .x", []), ("div > p.x", ["A"]), ("[data-k]", ["A", "B1"]), ("[data-k='2']", ["B1"]), ('b[data-k*="2"], b', ["B1"]), ("a[href^='/p/'], b", ["L"]), ("a[href$=x]", []),
+        ("nav li > a[href]", ["L", "M"]), ("*[data-k] b", []), ("", []), ("section div p b", ["B2"]), ("i", []),
+    ],
+)
+def test_css_groups(group, found):
+    html = "<section id='one'><div><p class='x z' data-k='1'>A</p><p><b>B2</b></p></div></section><b data-k='2'>B1</b><nav><ul><li><a href='/p/1'>L</a><li><a href='/q'>M</a></ul></nav>"
+    got = css.group(group).all(page.tree(html))
+    assert sorted(n.text() for n in got) == sorted(found)
+    assert (css.group(group).first(page.tree(html)) is None) == (not found)
+    for bad in ("> a", "a >", "a[", "a::x", "a:not(b)"):
+        with pytest.raises(ValueError, match="selector"):
+            css.group(bad)
+
+
+CARD = "<div class='ContentItem'><h2 class='ContentItem-title'>{link}</h2><div class='RichText'>excerpt</div><button aria-label='赞同 17 '></button><div class='ContentItem-action'>赞同 17   2.5 万 条评论 08-31</div></div>"
+
+
+def test_cards_are_rows_and_their_fates_add_up(spark):
+    search = "".join(CARD.format(link=x) for x in ("<a href='//zhuanlan.zhihu.com/p/5'>t</a>", "<a href='/question/1/answer/2'>u</a>", "<a name='x'>no</a>", "<a href='/people/w'>p</a>"))
+    pages = spark.createDataFrame([(1, search), (2, None), (3, "<p>none</p>")], "page_id int, html string")
+    got = card_table.cards(pages, "search").orderBy("page_id", "ord").collect()
+    assert [(r.page_id, r.ord, r.fate, r.content_type, r.platform_id, r.title) for r in got] == [(1, 0, "kept", "article", "5", "t"), (1, 1, "kept", "answer", "2", "u"), (1, 2, "no_link", None, None, None), (1, 3, "not_content", None, None, "p")]
+    assert (got[0].voteup_count, got[0].comment_count, got[0].text) == (17, 25_000, "excerpt")
+    assert {r.fate: r.n for r in card_table.fates(card_table.cards(pages, "search")).collect()} == {"kept": 2, "no_link": 1, "not_content": 1}
+
+    answer = "<div class='AnswerItem' name='9'>{}<span itemprop='author'><a class='UserLink-link' href='/people/w'><b class='AuthorInfo-name'>w</b></a></span><div class='RichText'>b <a href='/question/4/answer/44'>other</a></div></div>"
+    pages = spark.createDataFrame([(1, answer.format("<meta itemprop='url' content='https://www.zhihu.com/question/3/answer/9'>") + answer.format("<a href='/question/7/answer/9/'>me</a>") + answer.format("")), (2, "<div class='AnswerItem'>x</div>")], "page_id int, html string")
+    got = card_table.cards(pages, "answer", question_id=F.lit("5")).orderBy("page_id", "ord").collect()
+    assert [(r.fate, r.card_url) for r in got] == [("kept", f"https://www.zhihu.com/question/{q}/answer/9") for q in (3, 7, 5)] + [("no_address", None)]
+    assert (got[0].author_name, got[0].author_platform_id, got[0].author_url) == ("w", "w", "https://www.zhihu.com/people/w")
+
+    link = "<a href='/people/a'></a><a href='/people/a'>ann</a>"
+    comments = f"<div data-id='c1'>{link}<div class='CommentContent'>hi</div><div data-id='c2'>{link}<div class='CommentContent'>reply</div></div></div><div data-id='c3'><div class='CommentContent'>nobody</div></div><div data-id=''>{link}<div class='CommentContent'><img></div></div>"
+    got = card_table.cards(spark.createDataFrame([(comments,)], "html string"), "comment").orderBy("ord").collect()
+    assert [(r.fate, r.platform_id, r.text, r.author_name) for r in got] == [("kept", "c1", "hi", "ann"), ("no_author", None, "nobody", None), ("empty", None, None, "ann")]
+
+    pages = spark.createDataFrame([("https://zhuanlan.zhihu.com/p/8", "<meta itemprop='datePublished' content='2024-05-06T07:08:09Z'><h1 class='Post-Title'>T</h1><div class='Post-RichText'>whole</div>"), ("/people/x", "<p>")], "at string, html string")
+    got = card_table.cards(pages, "content", url="at").orderBy("fate").collect()
+    assert [(r.fate, r.platform_id, r.title, r.text, str(r.published_at)) for r in got] == [("kept", "8", "T", "whole", "2024-05-06 07:08:09"), ("not_content", None, None, None, "None")]
