@@ -298,7 +298,7 @@ def parse_reply(v: Views) -> DataFrame:
 
 
 #: How SQL resolves the entities of these pages, and what it cuts out before it splits them at tags.
-_UNESCAPED = "replace(replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&')"
+_UNESCAPED = "regexp_replace(replace(replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;?', '&', 'g')"
 _STRIPPED = "regexp_replace(regexp_replace(html, '(?s)<script.*?</script>', '<s>', 'g'), '(?s)<style.*?</style>', '<s>', 'g')"
 _BLANKS = "chr(9) || chr(10) || chr(13) || ' '"
 
@@ -308,9 +308,31 @@ def html_to_text(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", html.html_to_text("html").alias("text"))
 
 
-@query()
+#: Word similarity in SQL: all stretches of all texts that share enough trigrams with a keyword, by brute force.
+_SIMILAR = """, kw as (select distinct array_to_string(regexp_extract_all(text, '[^ ]+')[1:2], ' ') as keyword from benchmark),
+txt as (select content_id, lower(t) as t from (select content_id, collected_at, unnest([title, content_text, ai_summary]) as t from v_content join v_analysis using (content_id)) where t is not null and {since}),
+grams as (select *, flatten(list_transform(regexp_extract_all(t, '[\\pL\\pN]+'), lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))) as g from (select distinct * from txt)),
+own as (select keyword, list_distinct(flatten(list_transform(regexp_extract_all(lower(keyword), '[\\pL\\pN]+'), lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3))))) as a from kw),
+met as (select content_id, keyword, g, a, list_filter(range(1, len(g) + 1), lambda i: list_contains(a, g[i])) as h from grams, own where len(list_intersect(list_distinct(g), a)) >= 0.5 * len(a)),
+st as (select content_id, keyword, g, a, h, unnest(h) as s from met),
+se as (select content_id, keyword, a, s, e, g[s:e] as x from (select content_id, keyword, g, a, s, unnest(list_filter(h, lambda e: e >= s and e < s + 4 * len(a))) as e from st)),
+sc as (select content_id, keyword, round(max(len(list_intersect(list_distinct(x), a)) / (len(a) + len(list_distinct(x)) - len(list_intersect(list_distinct(x), a)))), 6) as score from se group by 1, 2) """
+
+
+def _keywords(v: Views) -> DataFrame:
+    """The first two words of each benchmark item."""
+    return v.table("benchmark").select(F.array_join(F.slice(F.regexp_extract_all("text", F.lit("([^ ]+)"), F.lit(1)), 1, 2), " ").alias("keyword"))
+
+
+@query(_SIMILAR.format(since="collected_at >= timestamp '2024-01-01 00:30:00'") + "select content_id, keyword, score from sc where score >= 0.5 order by score desc, content_id, keyword limit 50")
 def prescreen_topk(v: Views) -> DataFrame:
-    return prescreen.prescreen(v.content, v.analysis, ["the nation", "station"], ["title", "content_text", "ai_summary"], _ts("2024-01-01 00:30:00"), 0.5, 50)
+    return prescreen.prescreen(v.content, v.analysis, _keywords(v), ["title", "content_text", "ai_summary"], _ts("2024-01-01 00:30:00"), 0.5, 50)
+
+
+@query(_SIMILAR.format(since="true") + "select content_id, keyword, score from sc where score >= 0.5")
+def prescreen_all(v: Views) -> DataFrame:
+    """Every content and keyword that reach the threshold."""
+    return prescreen.prescreen(v.content, v.analysis, _keywords(v), ["title", "content_text", "ai_summary"], None, 0.5, None)
 
 
 # --- gate, sinks and checks ---

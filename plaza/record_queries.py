@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions import page, prompts
-from .operators import judgments, mutations, rounds, sequence
+from .operators import commands, judgments, mutations, rounds, sequence
 from .plans import checks
 from .registry import query
 from .views import Views
@@ -230,6 +230,45 @@ def content_then_analysis(v: Views) -> DataFrame:
     return contents.join(analyses, "content_id")
 
 
+#: A log of all kinds of commands from all documents, a third of them of one key; its fold in SQL applies them one after another.
+_OPS = ("claim", "patch", "mark", "replace", "bump", "upsert", "insert")
+_LOGGED = f""", l as (select doc_id as ord, ['claim', 'patch', 'mark', 'replace', 'bump', 'upsert', 'insert'][doc_id % 7 + 1] as op, case when doc_id % 3 = 0 then 'q1' else 'q' || (doc_id * 11 % 120) end as k,
+  case when doc_id % 4 <> 0 then 't' || doc_id end as title, case when doc_id % 5 <> 0 then doc_id % 2 = 0 end as rel from documents),
+c as (select 'q' || question_id as k, 'old' as title, is_relevant as rel, follow_up_done as done, 1 as seen from v_question),
+n as (select *, row_number() over (partition by k order by ord) as i from l),
+f as (select k, 0::bigint as i, true as there, title, rel, done, seen::bigint as seen, null::bigint as ord, null::varchar as op, false as won from c
+  union all select k, 0, false, null, null, null, null, null, null::varchar, false from (select distinct k from n where k not in (select k from c))),
+r as (select * from f union all
+  select k, n.i, there or n.op in ('claim', 'replace', 'upsert', 'insert'),
+    case when not there then case when n.op in ('claim', 'replace', 'upsert', 'insert') then n.title end when n.op = 'replace' then n.title when n.op in ('upsert', 'patch') then coalesce(n.title, r.title) else r.title end,
+    case when not there then case when n.op in ('replace', 'upsert', 'insert') then n.rel end when n.op in ('upsert', 'patch') then coalesce(n.rel, r.rel) else r.rel end,
+    case when there and n.op = 'mark' then true else done end,
+    case when there and n.op = 'bump' then coalesce(seen, 0) + 1 else seen end, n.ord, n.op, (not there and n.op in ('claim', 'replace', 'upsert', 'insert')) or (there and n.op = 'mark' and not coalesce(done, false))
+  from r join n using (k) where n.i = r.i + 1)"""
+
+
+def _command_log(v: Views) -> tuple[DataFrame, DataFrame]:
+    i = F.col("doc_id")
+    log = v.table("documents").select(
+        i.alias("ord"), F.element_at(F.array(*map(F.lit, _OPS)), (i % 7 + 1).cast("int")).alias("op"), F.when(i % 3 == 0, "q1").otherwise(F.concat(F.lit("q"), i * 11 % 120)).alias("platform_qid"),
+        F.when(i % 4 != 0, F.concat(F.lit("t"), i)).alias("title"), F.when(i % 5 != 0, i % 2 == 0).alias("is_relevant"),
+    )
+    now = v.questions.select(F.concat(F.lit("q"), "question_id").alias("platform_qid"), F.lit("old").alias("title"), "is_relevant", F.col("follow_up_done").alias("done"), F.lit(1).cast("long").alias("seen"))
+    return commands.apply_log(now, log, ["platform_qid"], keep=("is_relevant", "done", "seen"), flag="done", counter="seen", claimed_null=("is_relevant",))
+
+
+@query(_LOGGED + " select k as platform_qid, title, rel as is_relevant, done, seen from (select * from r qualify row_number() over (partition by k order by i desc) = 1) where there")
+def command_log(v: Views) -> DataFrame:
+    """A table after a log in which claims, inserts, patches, overwrites, marks and bumps interleave."""
+    return _command_log(v)[0]
+
+
+@query(_LOGGED + " select ord, k as platform_qid, op from r where won")
+def command_winners(v: Views) -> DataFrame:
+    """The commands of that log that made a row or set a flag."""
+    return _command_log(v)[1]
+
+
 # --- prompts and pages ---
 
 

@@ -76,7 +76,7 @@ class Views:
         return self.table("events")
 
 
-CTES = """with v_content as (
+CTES = """with recursive v_content as (
   select doc_id as content_id, case doc_id % 4 when 0 then 'answer' when 1 then 'article' when 2 then 'thought' else 'comment' end as content_type, cast(doc_id as varchar) as platform_id, 'https://example.org/c/' || doc_id as url,
     try_cast(regexp_extract(source, '([0-9]+)', 1) as bigint) as author_id,
     case when doc_id % 4 in (0, 3) then doc_id % 50 end as question_id, case when doc_id % 4 = 1 then substr(text, 1, 40) end as title,

@@ -1,10 +1,12 @@
 """Functions, stores, logs and streams on small rows."""
 
 import json
+import random
+import re
 
 import pytest
 from plaza.functions import html, similarity, text, urls
-from plaza.operators import judge, search, sequence, store
+from plaza.operators import judge, prescreen, search, sequence, store
 from plaza.sources import jsonl
 from plaza.streaming import ingest
 from pyspark.sql import Window
@@ -86,10 +88,58 @@ def test_parse_datetime(spark):
     assert not [(r.said, r.at, r.got) for r in got if r.at != r.got]
 
 
-def test_word_similarity_value_and_bounds():
-    assert similarity.word_similarity("word", "two words") == pytest.approx(0.8)
-    assert similarity.word_similarity("word", "") == 0
-    assert similarity.word_similarity("word", "word") == 1
+def grams_of(text):
+    return [f"  {w} "[i : i + 3] for w in re.findall(r"[^\W_]+", text.lower()) for i in range(len(w) + 1)]
+
+
+def plain_similarity(keyword, text):
+    """All stretches one by one."""
+    own, b = set(grams_of(keyword)), grams_of(text)
+    best = 0.0
+    for s in range(len(b)):
+        for e in range(s + 1, len(b) + 1):
+            common = len(own & set(b[s:e]))
+            best = max(best, common / (len(own) + len(set(b[s:e])) - common) if own else 0.0)
+    return round(best, 6)
+
+
+def test_word_similarity(spark):
+    r = random.Random(5)
+    words = lambda n, letters: " ".join("".join(r.choices(letters, k=r.randint(1, 5))) for _ in range(n))
+    rows = [("word", "two words"), ("word", ""), ("word", "word"), ("", "x"), (None, None), ("the nation", "the xx xx xx xx xx xx nation"), ("Größe 7", "größe-7, 日本"), ("ab", "ab " * 40)]
+    rows += [(words(2, "ab"), words(12, "abc")) for _ in range(120)] + [(words(1, "abcdefgh"), words(10, "abcdefgh")) for _ in range(40)]
+    got = spark.createDataFrame(rows, "k string, t string").select("k", "t", similarity.similarity(F.col("k"), F.col("t")).alias("s")).collect()
+    assert [r.s for r in got] == [pytest.approx(plain_similarity(k or "", t or "")) for k, t in rows]
+    assert got[0].s == 0.8 and got[2].s == 1
+
+
+def test_prescreen_meets_few_of_many_keywords(spark):
+    r = random.Random(6)
+    words = lambda n: " ".join("".join(r.choices("abcdefghijklmnop", k=r.randint(4, 9))) for _ in range(n))
+    texts = [words(12) for _ in range(60)]
+    keywords = [words(2) for _ in range(960)] + [" ".join(t.split()[3:5]) for t in texts[:40]]
+    content = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)] + [(98, "unjudged " + texts[0], None), (99, None, None)], "content_id long, title string, content_text string")
+    analysis = spark.createDataFrame([(i, None) for i in [*range(60), 99]], "content_id long, ai_summary string")
+    kw = spark.createDataFrame([(k,) for k in [*keywords, keywords[0], None, " ?"]], "keyword string")
+    fields = ["title", "content_text", "ai_summary"]
+    want = {(i, k): s for i, t in enumerate(texts) for k in set(keywords) if len(set(grams_of(k)) & set(grams_of(t))) >= 0.6 * len(set(grams_of(k))) and (s := plain_similarity(k, t)) >= 0.6}
+    got = prescreen.prescreen(content, analysis, kw, fields, threshold=0.6, limit=None)
+    assert {(x.content_id, x.keyword): x.score for x in got.collect()} == pytest.approx(want) and len(want) >= 40
+    top = prescreen.prescreen(content, analysis, kw, fields, threshold=0.6, limit=7).collect()
+    assert [(x.score, x.content_id, x.keyword) for x in top] == [(s, i, k) for s, i, k in sorted(((s, i, k) for (i, k), s in want.items()), key=lambda x: (-x[0], *x[1:]))[:7]]
+    # the join by postings of rare trigrams gives far fewer rows than contents x keywords
+    rows = content.join(analysis, "content_id").select("content_id", similarity.trigram_set(F.col("title")).alias("g")).select("content_id", F.explode("g").alias("gram"))
+    postings = prescreen.keyword_postings(kw, rows.groupBy("gram").agg(F.count("*").alias("n")), 0.6)
+    assert rows.join(postings, "gram").select("content_id", "keyword").distinct().count() < 0.1 * 60 * 1000
+    shuffled = prescreen.BROADCAST_ROWS
+    try:
+        prescreen.BROADCAST_ROWS = 10
+        again = prescreen.prescreen(content, analysis, kw, fields, threshold=0.6, limit=None)
+        assert "BroadcastExchange" not in again._jdf.queryExecution().sparkPlan().toString()
+        assert {(x.content_id, x.keyword): x.score for x in again.collect()} == pytest.approx(want)
+    finally:
+        prescreen.BROADCAST_ROWS = shuffled
+    assert prescreen.prescreen(content, analysis, kw.limit(0), fields).count() == prescreen.prescreen(content.limit(0), analysis, kw, fields).count() == 0
 
 
 def test_visible_text():
