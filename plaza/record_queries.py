@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions import page, prompts
-from .operators import commands, judgments, mutations, rounds, sequence
+from .operators import commands, ingest, judgments, mutations, rounds, sequence
 from .plans import checks
 from .registry import query
 from .views import Views
@@ -269,6 +269,48 @@ def command_winners(v: Views) -> DataFrame:
     return _command_log(v)[1]
 
 
+#: A batch of all contents against those that are judged already; a judgment for nine of ten, questions known but for every fourth.
+_BATCH = """, b0 as (select c.content_id as ord, 'u' || (c.content_id % 700) as url, content_type, c.content_id as platform_id, case when c.content_id % 6 = 0 then c.content_id - 7 end as parent, case when c.content_id % 5 <> 0 then 'a' || author_id end as author,
+  case when question_id is not null then 'q' || question_id end as qid, case when question_id % 4 <> 0 then question_id end as question_id, c.content_id % 3 <> 0 as snap, c.content_id % 10 <> 0 as judged, c.content_id % 2 = 0 as relevant from v_content c),
+there as (select distinct 'u' || (content_id % 700) as url from v_analysis),
+b as (select b0.*, q.is_relevant as q_relevant, q.question_id is not null as q_known from b0 left join v_question q on q.question_id = b0.question_id)"""
+
+
+def _ingest_tables(v: Views) -> dict[str, DataFrame]:
+    i = F.col("content_id")
+    batch = v.content.select(
+        i.alias("ord"), F.concat(F.lit("u"), i % 700).alias("url"), "content_type", i.cast("string").alias("platform_id"), F.when(i % 6 == 0, (i - 7).cast("string")).alias("parent_platform_id"),
+        F.when(i % 5 != 0, F.concat(F.lit("a"), "author_id")).alias("author_platform_id"), F.concat(F.lit("n"), i).alias("author_name"), F.lit(None).cast("string").alias("author_url"),
+        F.concat(F.lit("q"), "question_id").alias("question_platform_id"), F.when(i % 3 != 0, "s").alias("snapshot_path"),
+    )
+    contents = v.analysis.select(F.concat(F.lit("u"), F.col("content_id") % 700).alias("url")).distinct().select(F.col("url").alias("content_id"), "url", F.lit(None).cast("long").alias("author_id"), F.lit(None).cast("long").alias("question_id"), F.lit(None).cast("string").alias("parent_id"))
+    authors = v.authors.select("author_id", F.concat(F.lit("a"), "author_id").alias("platform_user_id"), "nickname", F.lit("p").alias("profile_url"))
+    questions = v.questions.where("question_id % 4 <> 0").select("question_id", F.concat(F.lit("q"), "question_id").alias("platform_qid"), "is_relevant")
+    judgments = batch.select("ord", "url").where("ord % 10 <> 0").select("url", (F.col("ord") % 2 == 0).alias("is_relevant"), F.when(F.col("ord") % 2 == 0, "有利").otherwise("不相关").alias("platform_stance"))
+    return {"batch": batch, "contents": contents, "authors": authors, "questions": questions, "judgments": judgments}
+
+
+@query(_BATCH + """, n as (select b.*, row_number() over (partition by url order by ord) = 1 and url not in (select url from there) as inserted from b)
+select count(*) filter (where n.inserted) as inserted, count(*) filter (where not n.inserted) as duplicates, count(*) filter (where n.parent is not null and p.ord is null) as dangling_parents,
+  count(*) filter (where not n.snap) as no_snapshot, count(*) filter (where n.author is null) as unresolved_authors, count(*) filter (where not n.q_known) as unresolved_questions
+from n left join n p on p.platform_id = n.parent and p.inserted and p.ord < n.ord""")
+def ingest_report(v: Views) -> DataFrame:
+    """What became of a batch, counted in the pass that resolves it."""
+    t = _ingest_tables(v)
+    report = ingest.ingest_contents(t["batch"], t["contents"], t["authors"], t["questions"]).report()
+    return v.spark.createDataFrame([tuple(report[c] for c in ingest.COUNTERS)], ", ".join(f"{c} long" for c in ingest.COUNTERS))
+
+
+@query(_BATCH + """, o as (select author as platform_user_id, arg_max('n' || ord, ord) as nickname, min(ord) as first from b where author is not null group by 1),
+k as (select author_id, 'a' || author_id as platform_user_id, nickname, 'p' as profile_url from v_author)
+select author_id, platform_user_id, coalesce(o.nickname, k.nickname) as nickname, case when o.platform_user_id is null then k.profile_url end as profile_url from k left join o using (platform_user_id)
+union all select (select max(author_id) from k) + row_number() over (order by first), platform_user_id, nickname, null from o where platform_user_id not in (select platform_user_id from k)""")
+def ingest_authors(v: Views) -> DataFrame:
+    """Authors after a batch: names as last given, new ones with ids in the order in which they came."""
+    t = _ingest_tables(v)
+    return ingest.upsert_authors(t["authors"], t["batch"])
+
+
 # --- prompts and pages ---
 
 

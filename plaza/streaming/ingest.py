@@ -8,31 +8,83 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ..operators.sequence import keep_first
+from ..shared import written
 
 
 def follow_log(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def ingest_new(stream: DataFrame, key: str, existing: Callable[[], DataFrame | None], sink: str, checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
-    """Writes rows whose key is neither in ``existing()`` nor earlier in their batch, the first by ``order``; a restarted query goes on where it stopped.
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
-    ``existing`` may read the sink: what a batch wrote itself, told by the column ``batch``, is
-    left out, so a batch that is replayed writes the same rows again. Only its key is read.
+
+class _FirstOnly(StatefulProcessor):
+    """Emits the first row of a key, once. Its state is only that the key is known."""
+
+    def __init__(self, order: list[str] | None) -> None:
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", T.StructType([T.StructField("known", T.BooleanType())]))
+
+    def handleInitialState(self, key: tuple, initial: pd.DataFrame, timers: object) -> None:  # noqa: N802
+        self.known.update((True,))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: object) -> Iterator[pd.DataFrame]:  # noqa: N802
+        if self.known.exists():
+            return
+        best = None
+        for part in rows:  # one batch of rows at a time: a hot key's are never all in memory
+            both = part if best is None else pd.concat([best, part])
+            best = (both.sort_values(self.order, kind="stable") if self.order else both).head(1)
+        if best is not None:
+            self.known.update((True,))
+            yield best
+
+    def close(self) -> None:
+        pass
+
+
+def ingest_new(stream: DataFrame, key: str, known: DataFrame | None, sink: str, checkpoint: str, order: list[str] | None = None) -> StreamingQuery:
+    """Writes rows whose key hasn't come before, the first by ``order`` of a batch; a restarted query goes on where it stopped.
+
+    The keys are state of the query, in the checkpoint. known(key) fills it before the first batch
+    (what a sink holds that was made in another way) and isn't read again: a later batch costs
+    what it brings, however large the sink is. The sink's own log makes a batch that is replayed
+    count once. Rows without a key aren't written.
     """
+    spark = stream.sparkSession
+    filled = known.where(F.col(key).isNotNull()).select(key).distinct().groupBy(key) if known is not None else None
+    fresh = stream.where(F.col(key).isNotNull()).groupBy(key).transformWithStateInPandas(_FirstOnly(order), stream.schema, "append", "none", filled)
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)  # a query keeps the settings it was started with
+    try:
+        return fresh.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+
+
+class Baseline:
+    """A table as it was at one stated moment, for all batches of a round: written once, read again only by ``renew``.
+
+    Rows that come to the table meanwhile are seen from the next renewal on, so all batches of a
+    round are compared with the same rows, whatever the round itself writes.
+    """
+
+    def __init__(self, table: Callable[[], DataFrame], columns: list[str]) -> None:
+        self.table, self.columns = table, columns
+        self.renew()
 
-    def write(batch: DataFrame, number: int) -> None:
-        fresh = keep_first(batch, [key], order) if order else batch.dropDuplicates([key])
-        known = existing()
-        if known is not None:
-            others = known.where(F.col("batch") != number) if "batch" in known.columns else known
-            fresh = fresh.join(others.select(key), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+    def renew(self) -> None:
+        self.rows = written(self.table().select(*self.columns).distinct(), "baseline")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def known(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+        """rows, a stream's too, with is_known: whether the baseline has their keys. Null keys aren't known."""
+        there = self.rows.select(*keys).distinct().withColumn("is_known", F.lit(True))
+        return rows.join(there, keys, "left").withColumn("is_known", F.coalesce("is_known", F.lit(False)))
 
 
 def early_stop(stream: DataFrame, key: str, position: str, known: str, length: int = 5) -> DataFrame:

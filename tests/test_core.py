@@ -1,8 +1,10 @@
 """Functions, stores, logs and streams on small rows."""
 
 import json
+import os
 import random
 import re
+import time
 
 import pytest
 from plaza.functions import html, similarity, text, urls
@@ -196,23 +198,110 @@ def test_stream_equals_batch(spark, tmp_path):
     rows = spark.createDataFrame([(f"u{i % 7}", "answer", i) for i in range(20)], "url string, content_type string, voteup_count int")
     schema = rows.schema
 
-    def known():
-        try:
-            return spark.read.parquet(sink)
-        except Exception:  # noqa: BLE001  nothing written yet
-            return None
-
-    for part in (rows.where("voteup_count < 10"), rows.where("voteup_count >= 10")):
+    known = spark.createDataFrame([("u6",), ("u6",), (None,)], "url string")
+    start = lambda k: ingest.ingest_new(ingest.follow_log(spark, str(log), schema), "url", k, sink, f"{tmp_path}/cp", ["voteup_count"])
+    for part in (rows.where("voteup_count < 10"), rows.where("voteup_count >= 10"), spark.createDataFrame([(None, "answer", 1), ("u1", "answer", -5), ("u9", "answer", 3), ("u9", "answer", 2)], schema)):
         part.write.mode("append").json(str(log))
-        ingest.ingest_new(ingest.follow_log(spark, str(log), schema), "url", known, sink, f"{tmp_path}/cp", ["voteup_count"]).awaitTermination()
-    want = sorted((f"u{i}", i) for i in range(7))
-    assert sorted((r.url, r.voteup_count) for r in spark.read.parquet(sink).collect()) == want
-    # a batch that is replayed writes its rows again
+        start(known).awaitTermination()
+    want = sorted([*((f"u{i}", i) for i in range(6)), ("u9", 2)])
+    read = lambda: sorted((r.url, r.voteup_count) for r in spark.read.parquet(sink).collect())
+    assert read() == want
+    # a batch that is replayed counts once
     commits = sorted((tmp_path / "cp" / "commits").glob("[0-9]*"))
     for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
         f.unlink(missing_ok=True)
-    ingest.ingest_new(ingest.follow_log(spark, str(log), schema), "url", known, sink, f"{tmp_path}/cp", ["voteup_count"]).awaitTermination()
-    assert sorted((r.url, r.voteup_count) for r in spark.read.parquet(sink).collect()) == want
+    start(known).awaitTermination()
+    assert read() == want
+    # what is known is read before the first batch only: a table that can't be read any more does no harm
+    broken = known.where(F.raise_error(F.lit("read again")).isNull())
+    spark.createDataFrame([("u10", "answer", 1), ("u2", "answer", 1)], schema).write.mode("append").json(str(log))
+    start(broken).awaitTermination()
+    assert read() == sorted([*want, ("u10", 1)])
+
+
+def test_a_baseline_is_read_once_a_round(spark, tmp_path):
+    table = f"file://{tmp_path}/t"
+    add = lambda *ks: spark.createDataFrame([(k, "x") for k in ks], "k int, x string").write.mode("append").parquet(table)
+    add(1, 1, 2)
+    base = ingest.Baseline(lambda: spark.read.parquet(table), ["k"])
+    rows = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    rows.write.json(str(tmp_path / "in"))
+    known = lambda: sorted(r.k for r in base.known(rows, ["k"]).where("is_known").collect())
+
+    def streamed(name):
+        stream = spark.readStream.schema("k int").json(str(tmp_path / "in"))
+        base.known(stream, ["k"]).writeStream.format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.k for r in spark.table(name).where("is_known").collect())
+
+    assert known() == streamed("round1") == [1, 2]
+    add(3)  # the table grows meanwhile
+    assert known() == streamed("round2") == [1, 2]
+    base.renew()
+    assert known() == streamed("round3") == [1, 2, 3]
+
+
+def test_lines_have_true_ordinals(spark, tmp_path):
+    run = f"file://{tmp_path}"
+    folder = tmp_path / "runs.jsonl"
+    folder.mkdir()
+    n = 0
+    for name in ("a.json", "b.json", "c.json"):
+        lines = []
+        for _ in range(500):
+            lines += [json.dumps({"at": str(n), "keyword": "k" * (n % 40), "kind": "search", "result_count": n})] + [""] * (n % 3 == 0)
+            n += 1
+        (folder / name).write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("2k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = jsonl.scan_ordered(spark, run, "runs").orderBy("ord").collect()
+            assert [(r.ord, r.row.result_count, r.fate) for r in got] == [(i, i, "kept") for i in range(n)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_requests_overlap_and_a_killed_run_goes_on(spark, tmp_path):
+    log = tmp_path / "asked"
+    log.mkdir()
+
+    def slow(t):
+        (log / f"{t}-{time.monotonic_ns()}").touch()
+        time.sleep(0.4)
+        return t.upper()
+
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(16)], "id int, t string").coalesce(1)
+    began = time.monotonic()
+    assert sorted(r.reply for r in judge.judge_each(rows, "id", "t", slow).collect()) == sorted(f"T{i}" for i in range(16))
+    assert time.monotonic() - began < 0.4 * 16 * 0.7  # eight at a time
+    table = f"file://{tmp_path}/judged"
+
+    def dies(t):
+        if t == "t7":
+            os._exit(1)
+        return slow(t)
+
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        judge.judge_into(rows, "id", "t", dies, table, waves=8)
+    done = spark.read.parquet(table).count()
+    for f in log.iterdir():
+        f.unlink()
+    fails = lambda t: 1 / 0 if t == "t3" else slow(t)
+    got = {r.id: (r.ok, r.reply) for r in judge.judge_into(rows, "id", "t", fails, table, waves=8).collect()}
+    t3_known = 3 not in {i for i, (ok, _) in got.items() if not ok}
+    assert len(got) == 16 and len(list(log.iterdir())) == 16 - done - (not t3_known)
+    again = {r.id: (r.ok, r.reply) for r in judge.judge_into(rows, "id", "t", str.upper, table, waves=8).collect()}
+    assert again == {i: (True, f"T{i}") for i in range(16)}
+
+
+def test_typed_answers_of_three_tasks(spark):
+    whole = '{"is_relevant": true, "ai_summary": " s ", "platform_stance": "有利", "stance_confidence": 0.5, "risk_level": "低风险", "stance": "正向", "confidence": 1, "more": 2}'
+    rows = [(whole,), (whole.replace("0.5", "1.5"),), (whole.replace("true", '"true"'),), ("no",), (whole.replace("正向", "x").replace('" s "', "3"),)]
+    got = spark.createDataFrame(rows, "raw string").select(*(judge.typed(F.col("raw"), t).alias(t) for t in judge.OUTPUTS)).collect()
+    assert tuple(got[0].content) == (True, "s", "有利", 0.5, "低风险", None, None) and tuple(got[0].question) == (True, None) and tuple(got[0].event) == (True, "正向", 1.0, None)
+    assert [r.content.error for r in got] == [None, "stance_confidence: out_of_range", "is_relevant: missing or wrong", "no object", "ai_summary: wrong_type"]
+    assert [r.question.error for r in got] == [None, None, "is_relevant: missing or wrong", "no object", None]
+    assert got[4].event.error == "stance: missing or wrong" and got[4].event.is_relevant is None
 
 
 def test_early_stop_stream_equals_batch(spark, tmp_path):
