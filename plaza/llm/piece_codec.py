@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -38,7 +39,7 @@ WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Ranks of pairs that are within a piece but none themselves, and of pairs that no merge joins.
 LATER, NEVER = np.int32(2**30), np.int32(2**30 + 1)
 #: Words that a task remembers; beyond it starts anew, which changes no result.
-MAX_WORDS = 200_000
+MAX_WORDS = 400_000
 #: Characters of new words that are merged together; a longer word is a part of its own.
 PART_CHARS = 1 << 20
 
@@ -168,9 +169,9 @@ class PieceModel:
             rank[hit] = rank[hit + 1]  # a border behind the pair is behind the merged symbol
             place, sym, rank, made = place[stay], sym[stay], rank[stay], made[stay]
             own = shift[hit]
-            before = own[own > 0] - 1
-            look = np.unique(np.concatenate([own, before[rank[before] != NEVER]]))
-            look = look[rank[look] != NEVER]
+            changed = np.zeros(len(sym), bool)
+            changed[own] = changed[own[own > 0] - 1] = True
+            (look,) = np.nonzero(changed & (rank != NEVER))
             at = self.pairs.find(sym[look], sym[np.minimum(look + 1, len(sym) - 1)])
             rank[look], made[look] = self.pairs.rank[at], self.pairs.made[at]
         return done[~gone], words[~gone]
@@ -270,7 +271,15 @@ class PieceModel:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Control pieces have none."""
-        parts = list(map(self.surface.__getitem__, ids))
+        return self._joined(ids, list(map(self.surface.__getitem__, ids)))
+
+    def decode_all(self, ids: np.ndarray, cuts: list[int]) -> list[str]:
+        """The texts of rows that lie one after another in ids, cut at cuts."""
+        flat = ids.tolist()
+        parts = list(map(self.surface.__getitem__, flat))
+        return [self._joined(flat[a:b], parts[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _joined(self, ids: list[int], parts: list[bytes]) -> str:
         for k, i in enumerate(ids):
             if self.kinds[i] != CONTROL:
                 if self.kinds[i] == NORMAL:
@@ -280,7 +289,7 @@ class PieceModel:
         try:
             return data.decode()
         except UnicodeDecodeError:
-            return re.sub("[\udc80-\udcff]", "�", data.decode(errors="surrogateescape"))
+            return re.sub("[\udc80-\udcff]", "\ufffd", data.decode(errors="surrogateescape"))
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"memo": {}}
@@ -325,7 +334,9 @@ def decode(rows: DataFrame, model: PieceModel, ids: str = "piece_ids", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            texts = [shared.value.decode(x or []) for x in part.column(ids).to_pylist()]
+            column = part.column(ids)
+            cuts = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))).tolist()
+            texts = shared.value.decode_all(column.flatten().to_numpy(zero_copy_only=False), cuts)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=names)
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(text, T.StringType())]))
