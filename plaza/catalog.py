@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import schema
 from .functions import card_table, cards, html, replies, text, urls
-from .operators import collection, gate, judge, prescreen, search, sequence, store
+from .operators import collection, gate, judge, lookups, prescreen, search, sequence, store
 from .plans import migrations
 from .registry import QUERIES, SQL, query
 from .schema import PLATFORM_STANCES
@@ -105,6 +105,20 @@ def point_lookups(v: Views) -> DataFrame:
     return v.content.where("content_id = 42")
 
 
+@query("""select c.content_id, a.author_id is not null as author_found, a.author_id, q.question_id, q.is_relevant, n.risk_level, n.stance_confidence, b.stance, b.event_id is not null as on_event
+from v_content c left join v_author a on a.platform_user_id = 'u' || c.author_id left join v_question q on q.question_id = c.question_id left join v_analysis n using (content_id)
+left join v_bridge b on b.content_id = c.content_id and b.event_id = c.content_id % (select count(*) from v_event)""")
+def look_ups(v: Views) -> DataFrame:
+    """Every content's author by platform id, question by id, analysis, and stance on one event."""
+    n = v.events.agg(F.count("*").alias("n"))  # one row
+    asked = v.content.crossJoin(F.broadcast(n)).select("content_id", F.concat(F.lit("u"), "author_id").alias("platform_user_id"), "question_id", (F.col("content_id") % F.col("n")).alias("event_id"))
+    out = lookups.look_up(asked, "author_id_for", v.authors).withColumns({"author_found": F.col("found"), "author_id": F.col("answer.author_id")})
+    out = lookups.look_up(out, "question_by_id", v.questions).withColumn("is_relevant", F.col("answer.is_relevant")).withColumn("question_id", F.col("answer.question_id"))
+    out = lookups.look_up(out, "analysis_for", v.analysis).withColumns({"risk_level": F.col("answer.risk_level"), "stance_confidence": F.col("answer.stance_confidence")})
+    out = lookups.look_up(out, "event_stance_of", v.bridge)
+    return out.select("content_id", "author_found", "author_id", "question_id", "is_relevant", "risk_level", "stance_confidence", F.col("answer.stance").alias("stance"), F.col("found").alias("on_event"))
+
+
 @query("select content_id, event_id from v_bridge b where content_id in (select content_id from v_analysis where risk_level = '高风险')")
 def existing_by_list(v: Views) -> DataFrame:
     return v.bridge.join(v.analysis.where("risk_level = '高风险'"), "content_id", "left_semi").select("content_id", "event_id")

@@ -392,7 +392,7 @@ def page_comments(v: Views) -> DataFrame:
     return v.table("pages").select("page_id", page.comments(html).alias("c")).select("page_id", F.size(c).cast("long").alias("n"), ids.alias("ids"), F.replace(c[0]["author_url"], F.lit("https://www.zhihu.com"), F.lit("")).alias("first_author"))
 
 
-@query()
+@query("""select page_id, nullif(trim(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '&quot;', chr(34), 'g'), '&lt;', '<', 'g'), '&amp;', '&', 'g')), '') as title, null::varchar as body, null::varchar as author_name from pages""")
 def page_items(v: Views) -> DataFrame:
     """The elements of a card, sought in all raw pages."""
     return v.table("pages").select("page_id", page.item(F.col("html")).alias("i")).select("page_id", "i.title", "i.body", "i.author_name")

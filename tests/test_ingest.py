@@ -2,7 +2,7 @@
 
 import pytest
 from plaza.ddl import columns
-from plaza.operators import ingest, store
+from plaza.operators import ingest, lookups, store
 from plaza.schema import TABLES
 from pyspark.sql import functions as F
 
@@ -73,3 +73,14 @@ def test_a_question_s_message(spark):
     rows = spark.createDataFrame([(" t ", " d "), ("t", " "), ("t", None), (" ", "d"), (None, "d")], "t string, d string")
     got = [r[0] for r in rows.select(ingest.question_message(F.col("t"), F.col("d"), ("T:", "D:"), "none")).collect()]
     assert got == ["T:t\nD:d", "T:t\nD:none", "T:t\nD:none", None, None]
+
+
+def test_look_ups_are_one_join(spark, tables):
+    asked = spark.createDataFrame([("q3", 1), ("q3", 2), ("q8", 3), (None, 4)], "platform_qid string, found int")
+    got = lookups.look_up(asked.withColumnRenamed("found", "n"), "question_id_for", tables["questions"]).orderBy("n").collect()
+    assert [(r.n, r.found, r.answer and r.answer.question_id) for r in got] == [(1, True, 3), (2, True, 3), (3, False, None), (4, False, None)]
+    rows = spark.createDataFrame([("c", "0.8")], "content_id string, stance_confidence string").withColumn("stance_confidence", F.col("stance_confidence").cast("decimal(3,2)"))
+    record = lookups.as_record(rows, "fact_analysis")
+    assert record.schema == TABLES["fact_analysis"].columns and record.first().stance_confidence == 0.8 and record.first().risk_level is None
+    with pytest.raises(ValueError, match="has no"):
+        lookups.as_record(rows.withColumn("more", F.lit(1)), "fact_analysis")
