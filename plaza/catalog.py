@@ -323,7 +323,7 @@ def html_to_text(v: Views) -> DataFrame:
 
 
 #: Word similarity in SQL: all stretches of all texts that share enough trigrams with a keyword, by brute force.
-_SIMILAR = """, kw as (select distinct array_to_string(regexp_extract_all(text, '[^ ]+')[1:2], ' ') as keyword from benchmark),
+_SIMILAR = """, kw as ({kw}),
 txt as (select content_id, lower(t) as t from (select content_id, collected_at, unnest([title, content_text, ai_summary]) as t from v_content join v_analysis using (content_id)) where t is not null and {since}),
 grams as (select *, flatten(list_transform(regexp_extract_all(t, '[\\pL\\pN]+'), lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))) as g from (select distinct * from txt)),
 own as (select keyword, list_distinct(flatten(list_transform(regexp_extract_all(lower(keyword), '[\\pL\\pN]+'), lambda w: list_transform(range(1, len(w) + 2), lambda i: substr('  ' || w || ' ', i, 3))))) as a from kw),
@@ -338,12 +338,12 @@ def _keywords(v: Views) -> DataFrame:
     return v.table("benchmark").select(F.array_join(F.slice(F.regexp_extract_all("text", F.lit("([^ ]+)"), F.lit(1)), 1, 2), " ").alias("keyword"))
 
 
-@query(_SIMILAR.format(since="collected_at >= timestamp '2024-01-01 00:30:00'") + "select content_id, keyword, score from sc where score >= 0.5 order by score desc, content_id, keyword limit 50")
+@query(_SIMILAR.format(kw="select unnest(['the nation', 'station']) as keyword", since="collected_at >= timestamp '2024-01-01 00:30:00'") + "select content_id, keyword, score from sc where score >= 0.5 order by score desc, content_id, keyword limit 50")
 def prescreen_topk(v: Views) -> DataFrame:
-    return prescreen.prescreen(v.content, v.analysis, _keywords(v), ["title", "content_text", "ai_summary"], _ts("2024-01-01 00:30:00"), 0.5, 50)
+    return prescreen.prescreen(v.content, v.analysis, ["the nation", "station"], ["title", "content_text", "ai_summary"], _ts("2024-01-01 00:30:00"), 0.5, 50)
 
 
-@query(_SIMILAR.format(since="true") + "select content_id, keyword, score from sc where score >= 0.5")
+@query(_SIMILAR.format(kw="select distinct array_to_string(regexp_extract_all(text, '[^ ]+')[1:2], ' ') as keyword from benchmark", since="true") + "select content_id, keyword, score from sc where score >= 0.5")
 def prescreen_all(v: Views) -> DataFrame:
     """Every content and keyword that reach the threshold."""
     return prescreen.prescreen(v.content, v.analysis, _keywords(v), ["title", "content_text", "ai_summary"], None, 0.5, None)
