@@ -230,6 +230,17 @@ def bounds(parts: int) -> np.ndarray:
     return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
 
 
+def part_of(names: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each 64-bit name; parts are ranges of names in ascending order."""
+    return (((names >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, begin, end) of each run of equal values."""
+    edge = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)]
+    yield from ((int(values[a]), a, z) for a, z in zip(edge, edge[1:]) if z > a)
+
+
 def bucket_of_id(key: str = "doc_id", of: int = 4) -> Column:
     """crc32 of the id as text, modulo ``of``; null for a null id."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % of

@@ -1,31 +1,35 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Tokens are words, lower-cased from A-Z, and one end token a document. The model is a bigram
-model with absolute discounting that backs off to an add-``ALPHA`` unigram model. As an
-automaton it has a root state and one for each history word; a state has an arc for each
-bigram of the training documents, weighted with its smoothed log-probability, and a failure
-arc to the root, weighted with the log of the mass left for all other words. A document is
-one walk from left to right that carries state and adds up weights. Nothing is cut: every
-word is a history and every pair of neighbours an arc, at every size of the input.
-
-Neither vocabulary nor pairs are ever in one place. Documents are laid in blocks of about
+Tokens are words, lower-cased from A-Z, and one end token a document. The model is a trigram
+model with absolute discounting that backs off to bigrams and to an add-``ALPHA`` unigram
+model. As an automaton it has a root state, one for each history word and one for each pair of
+neighbours; a state has an arc for each n-gram of the training documents that goes on from it,
+weighted with its smoothed log-probability, and a failure arc to the state of its history
+without the first word, weighted with the log of the mass left for all other words. A document
+is one walk from left to right that carries state and adds up weights, through up to two failure
+arcs a token. Nothing is cut: every word and pair is a history and every n-gram an arc, at
+every size of the input.
+
+Neither vocabulary nor n-grams are ever in one place. Documents are laid in blocks of about
 ``BLOCK_TOKENS`` where they are read (``encoded``: each token is the number of its word in the
-block). A block asks for each of its distinct words and pairs once, and tells how often it has
-them itself: one packed request to each of the parts in which words are dealt by 64-bit name.
-A part adds up what it was told and answers all who asked (``asked``, ``answered``), in the
-order of the request, so that answers need no names. The block then builds its automaton and
-walks its documents (``walked``). So a corpus is tokenised once, its pairs are shuffled once,
-as about six bytes for each block that has them, and a frequent word costs a part one entry
-a block. Words with a large share of all tokens (at most ``2 * HOT`` of them) have their pairs
-dealt to parts of their own by the second word's name.
-
-In a part, a pair is told apart by its first word's name and 48 bits of the second's.
+block). A block asks for each of its distinct words, pairs and triples once, and tells how often
+it has them itself: one packed request to each of the parts in which words are dealt by 64-bit
+name. Pairs lie with their first word, triples with their pair. A part adds up what it was told
+and answers all who asked (``_added``), in the order of the request, so that answers need no
+names. The block then builds the automaton of its own n-grams and walks its documents
+(``_walk``). So a corpus is tokenised once, its n-grams are shuffled once, as about six bytes
+for each block that has them, and a frequent word costs a part one entry a block. Words and pairs
+with a large share of all tokens (at most ``2 * HOT`` of each) have what goes on from them dealt
+to parts of their own by the name of the next word.
+
+In a part, an n-gram is told apart by a 64-bit name of its history and 48 bits of its last word's.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +39,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, bounds, mixed, packed, packed_count, packed_names, raw_texts, slices, stored, tidy, unpacked, unpacked_names
+from .common import bounded_batches, mixed, packed, packed_count, packed_names, part_of, raw_texts, runs, slices, stored, tidy, unpacked, unpacked_names
 
 ALPHA = 0.1
 DISCOUNT = 0.75
 #: Tokens of a block, about.
 BLOCK_TOKENS = 2_000_000
-#: Words and pairs that a part adds up, about: each block counts what it has once.
+#: Words, pairs and triples that a part adds up, about: each block counts what it has once.
 PART_ENTRIES = 3_000_000
-#: Words with more than one in HOT of all tokens are dealt out by the word after them, too.
+#: What goes on from words and pairs with more than one in HOT of all tokens is dealt out by the next word, too.
 HOT = 1000
+#: Tokens of a lane: a block's tokens are walked in lanes side by side, each from the state that the words before it lead to.
+LANE = 512
 #: The end token; no word is empty.
 END = b""
 
@@ -66,19 +72,71 @@ class Numbers(dict):
         return out
 
 
+class Block:
+    """A block's words and distinct pairs and triples in ascending order of names, and where its tokens find theirs."""
+
+    def __init__(self, lengths: np.ndarray, words: np.ndarray, tokens: np.ndarray) -> None:
+        self.lengths, self.words, self.tokens = lengths, words, tokens
+        ends = np.cumsum(lengths) - 1
+        inner = np.ones(len(tokens), bool)
+        inner[ends] = False
+        self.starts = ends + 1 - lengths
+        self.end = int(tokens[-1])
+        self.at = np.flatnonzero(inner)  # places of the pairs' first words
+        self.pairs, self.pair = np.unique(tokens[self.at] * len(words) + tokens[self.at + 1], return_inverse=True)
+        self.history, self.next = np.divmod(self.pairs, len(words))
+        two = np.flatnonzero(np.diff(self.at) == 1)
+        self.at3 = self.at[two]  # places of the triples' first words
+        triples, self.triple = np.unique(self.pair[two] * len(words) + tokens[self.at3 + 2], return_inverse=True)
+        self.state, self.last = np.divmod(triples, len(words))
+
+    @classmethod
+    def of(cls, row: dict) -> Block:
+        return cls(unpacked(row["lengths"]).astype(np.int64), unpacked_names(row["words"]), unpacked(row["tokens"]).astype(np.int64))
+
+    def has_hot_history(self, hot: Hot) -> np.ndarray:
+        """Of each pair, whether its first word is hot."""
+        return np.isin(self.words, hot.words)[self.history]
+
+    def hot_pairs(self, hot: Hot) -> np.ndarray:
+        """The place of each hot pair among the pairs, -1 if the block hasn't got it."""
+        out = np.full(len(hot.pairs), -1)
+        if len(out) and len(self.pairs):
+            words = np.minimum(np.searchsorted(self.words, hot.pairs), len(self.words) - 1)
+            codes = words[:, 0] * len(self.words) + words[:, 1]
+            place = np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)
+            here = (self.words[words] == hot.pairs).all(axis=1) & (self.pairs[place] == codes)
+            out[here] = place[here]
+        return out
+
+
+class Hot(NamedTuple):
+    """Hot words and pairs (rows of two) by name, in ascending order, and where the parts of each begin, words first."""
+
+    words: np.ndarray
+    pairs: np.ndarray
+    first: np.ndarray
+
+
+_HEAVY = pa.list_(pa.struct([("word", pa.int64()), ("after", pa.int64()), ("n", pa.int64())]))
+
+
 def _block(name: int, ids: list, train: list, numbers: Numbers, docs: list[np.ndarray], doc_type: pa.DataType) -> pa.RecordBatch:
     """One row: a block's documents, its words by name, and its tokens as places in the words."""
     names = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
     words, place = np.unique(names, return_inverse=True)
-    tokens = place[np.concatenate(docs)]
-    sums = np.bincount(tokens, minlength=len(words))
-    heavy = np.flatnonzero(sums * HOT > len(tokens))
-    pairs = len(np.unique(tokens[:-1] * len(words) + tokens[1:])) if len(tokens) > 1 else 0
+    b = Block(np.array([len(d) for d in docs]), words, place[np.concatenate(docs)])
+    signed = words.view(np.int64)
+    heavy = []
+    for n, first, after in ((np.bincount(b.tokens), np.arange(len(words)), None), (np.bincount(b.pair), b.history, b.next)):
+        most = np.flatnonzero(n * HOT > len(b.tokens))
+        seconds = [None] * len(most) if after is None else signed[after[most]].tolist()
+        heavy += [{"word": w, "after": x, "n": k} for w, x, k in zip(signed[first[most]].tolist(), seconds, n[most].tolist())]
     columns = [
-        pa.array([name], pa.int64()), pa.array([ids], pa.list_(doc_type)), pa.array([train], pa.list_(pa.bool_())), pa.array([packed(np.array([len(d) for d in docs]))], pa.binary()),
-        pa.array([packed_names(words)], pa.binary()), pa.array([packed(tokens)], pa.binary()), pa.array([len(words) + pairs], pa.int64()), pa.array([len(tokens)], pa.int64()),
-        pa.array([[{"word": w, "n": n} for w, n in zip(words[heavy].view(np.int64).tolist(), sums[heavy].tolist())]], pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))),
-    ]
+        pa.array([name], pa.int64()), pa.array([ids], pa.list_(doc_type)), pa.array([train], pa.list_(pa.bool_())), pa.array([packed(b.lengths)], pa.binary()),
+        pa.array([packed_names(words)], pa.binary()), pa.array([packed(b.tokens)], pa.binary()),
+        pa.array([len(words) + len(b.pairs) + len(b.state)], pa.int64()), pa.array([len(b.tokens)], pa.int64()), pa.array([heavy], _HEAVY),
+    ]
     return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "train", "lengths", "words", "tokens", "entries", "size", "heavy"])
 
 
@@ -107,124 +165,198 @@ def encoded(docs: DataFrame, training: Column, doc: str, text: str) -> DataFrame
 
     schema = T.StructType(
         [T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema[doc].dataType))]
-        + T.StructType.fromDDL("train array<boolean>, lengths binary, words binary, tokens binary, entries long, size long, heavy array<struct<word: long, n: long>>").fields
+        + T.StructType.fromDDL("train array<boolean>, lengths binary, words binary, tokens binary, entries long, size long, heavy array<struct<word: long, after: long, n: long>>").fields
     )
     return rows.mapInArrow(run, schema)
 
 
-class Block:
-    """A block's words and distinct pairs in ascending order of names, and where its tokens find theirs."""
-
-    def __init__(self, row: dict) -> None:
-        self.lengths = unpacked(row["lengths"]).astype(np.int64)
-        self.words = unpacked_names(row["words"])
-        self.tokens = unpacked(row["tokens"]).astype(np.int64)
-        ends = np.cumsum(self.lengths) - 1
-        inner = np.ones(len(self.tokens), bool)
-        inner[ends] = False
-        self.starts = ends + 1 - self.lengths
-        self.at = np.flatnonzero(inner)  # places of the pairs' histories
-        pairs, self.pair = np.unique(self.tokens[self.at] * len(self.words) + self.tokens[self.at + 1], return_inverse=True)
-        self.history, self.next = np.divmod(pairs, len(self.words))
-
-    def is_hot(self, hot: np.ndarray) -> np.ndarray:
-        """Of each pair, whether its history is among the hot words."""
-        return np.isin(self.words, hot)[self.history]
-
-
 # --- requests and answers ---
 
-_REQUEST = ["part", "block", "words", "word_n", "fan", "codes", "pair_n"]
+_PACKED = ["words", "word_n", "fan", "codes", "pair_n", "fan3", "codes3", "triple_n"]
 
 
-def _requests(row: dict, parts: int, hot: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
-    """What a block asks: (part, block, words, their numbers of training tokens, pairs of each word, codes of the pairs, their numbers in training).
+def _requests(row: dict, parts: int, hot: Hot) -> Iterator[tuple]:
+    """What a block asks: (part, block, words, their numbers of training tokens, pairs of each word, codes of the pairs, their numbers in training, and the last three of the triples).
 
-    Parts from first[j] on are those of the hot word j alone; their requests have pairs only.
+    Parts from hot.first[j] on are those of the hot word j alone, then those of the hot pairs;
+    requests to these have no words, or only triples.
     """
-    b = Block(row)
+    b = Block.of(row)
     own = np.repeat(np.array(row["train"], bool), b.lengths)
     word_n = np.bincount(b.tokens[own], minlength=len(b.words))
-    pair_n = np.bincount(b.pair[own[b.at]], minlength=len(b.history))
-    codes = b.words[b.next] >> np.uint64(16)
-    hot_pair = b.is_hot(hot)
-    history, rest_codes, rest_n = b.history[~hot_pair], codes[~hot_pair], pair_n[~hot_pair]
-    cut = np.concatenate([[0], np.searchsorted(b.words, bounds(parts)), [len(b.words)]])
-    edge = np.searchsorted(history, cut)
-    for part in range(parts):
-        a, z, p, q = cut[part], cut[part + 1], edge[part], edge[part + 1]
-        if z > a:
-            fan = np.bincount(history[p:q] - a, minlength=z - a)
-            yield part, row["block"], packed_names(b.words[a:z]), packed(word_n[a:z]), packed(fan), packed(rest_codes[p:q]), packed(rest_n[p:q])
-    for j, word in enumerate(hot):
+    pair_n = np.bincount(b.pair[own[b.at]], minlength=len(b.pairs))
+    triple_n = np.bincount(b.triple[own[b.at3]], minlength=len(b.state))
+    code = b.words >> np.uint64(16)
+    hot_history, hot_pair = b.has_hot_history(hot), np.zeros(len(b.pairs), bool)
+    place = b.hot_pairs(hot)
+    hot_pair[place[place >= 0]] = True
+
+    def pairs_of(mine: np.ndarray) -> tuple[np.ndarray, Callable[[int, int], tuple]]:
+        """The first words of these pairs, and what is asked of a range of them and of their triples; those of hot pairs aren't among them."""
+        kept = (mine & ~hot_pair)[b.state]
+        codes, numbers, fan = code[b.next[mine]], pair_n[mine], np.bincount(b.state[kept], minlength=len(b.pairs))[mine]
+        codes3, numbers3, edge = code[b.last[kept]], triple_n[kept], np.concatenate([[0], np.cumsum(fan)])
+        return b.history[mine], lambda p, q: (packed(codes[p:q]), packed(numbers[p:q]), packed(fan[p:q]), packed(codes3[edge[p] : edge[q]]), packed(numbers3[edge[p] : edge[q]]))
+
+    history, asked = pairs_of(~hot_history)
+    for part, a, z in runs(part_of(b.words, parts)):
+        p, q = np.searchsorted(history, [a, z])
+        fan = np.bincount(history[p:q] - a, minlength=z - a)
+        yield part, row["block"], packed_names(b.words[a:z]), packed(word_n[a:z]), packed(fan), *asked(p, q)
+    history, asked = pairs_of(hot_history)
+    after = b.words[b.next[hot_history]]
+    spans = np.diff(hot.first)
+    for j, word in enumerate(hot.words):
         at = np.searchsorted(b.words, word)
-        p, q = np.searchsorted(b.history, [at, at + 1]) if at < len(b.words) and b.words[at] == word else (0, 0)
-        if q > p:
-            inside = p + np.concatenate([[0], np.searchsorted(codes[p:q], bounds(int(first[j + 1] - first[j])) >> np.uint64(16)), [q - p]])
-            for s, (x, y) in enumerate(zip(inside[:-1], inside[1:])):
-                if y > x:
-                    yield int(first[j]) + s, row["block"], None, None, None, packed(codes[x:y]), packed(pair_n[x:y])
-
-
-def _added(table: pa.Table, hot_word: int) -> pa.Table:
-    """The answers of one part, of a hot word or none (-1), and in its first row the part's sums: distinct training words, training tokens, arcs."""
-    hot_part = hot_word >= 0
-    names = ("words", "word_n", "fan", "codes", "pair_n")
-    rows = list(zip(*(table[n].to_pylist() for n in names)))
-    codes, pair_n = (np.concatenate([unpacked(r[i]) for r in rows]) for i in (3, 4))
-    sizes = [packed_count(r[3]) for r in rows]
-    if hot_part:
-        word_sizes, inverse, c, t = [0] * len(rows), np.empty(0, np.int64), np.empty(0), np.empty(0)
-        keys = codes
-    else:
-        word_sizes = [packed_count(r[0]) for r in rows]
-        words, inverse = np.unique(np.concatenate([unpacked_names(r[0]) for r in rows]), return_inverse=True)
-        c = np.bincount(inverse, np.concatenate([unpacked(r[1]) for r in rows]), len(words))
-        owner = np.repeat(inverse, np.concatenate([unpacked(r[2]) for r in rows]).astype(np.int64))
-        keys = mixed(words[owner] * np.uint64(0x9E3779B97F4A7C15) + codes)
-    distinct, one, pair_inverse = np.unique(keys, return_index=True, return_inverse=True)
-    pair_c = np.bincount(pair_inverse, pair_n, len(distinct)) if len(distinct) else np.empty(0)
-    if not hot_part:
-        t = np.bincount(owner[one[pair_c > 0]], minlength=len(words))
-    a, p, out = 0, 0, []
-    for words_here, pairs_here in zip(word_sizes, sizes):
-        mine = inverse[a : a + words_here]
-        out.append((packed(c[mine]), packed(t[mine]), packed(pair_c[pair_inverse[p : p + pairs_here]])))
-        a, p = a + words_here, p + pairs_here
-    sums = [int((c > 0).sum()), int(c.sum()), int((pair_c > 0).sum())]
-    columns = {"block": table["block"], "part": table["part"], "hot": np.full(len(rows), hot_word, np.int64)}
-    columns |= {n: pa.array([o[i] for o in out], pa.binary()) for i, n in enumerate(("c", "t", "pair_c"))}
-    columns |= {n: pa.array([s] + [0] * (len(rows) - 1), pa.int64()) for n, s in zip(("v", "n", "arcs"), sums)}
-    return pa.table(columns)
-
-
-def _walk(row: dict, answers: list[dict], parts: int, hot: np.ndarray, hot_arcs: np.ndarray, v: int, n: int, alpha: float, discount: float) -> tuple[np.ndarray, ...]:
-    """(tokens, known tokens, base score, score) of each document of a block."""
-    b = Block(row)
-    answers = sorted(answers, key=lambda r: r["part"])
-    empty = [np.empty(0, np.uint64)]
-    plain, own = [r for r in answers if r["part"] < parts], [r for r in answers if r["part"] >= parts]
-    c, arcs = (np.concatenate([unpacked(r[k]) for r in plain] or empty).astype(float) for k in ("c", "t"))
-    hot_pair = b.is_hot(hot)
-    pair_c = np.empty(len(b.history))
-    pair_c[~hot_pair] = np.concatenate([unpacked(r["pair_c"]) for r in plain] or empty)
-    pair_c[hot_pair] = np.concatenate([unpacked(r["pair_c"]) for r in own] or empty)
-    here = np.isin(b.words, hot)
-    arcs[here] = hot_arcs[np.searchsorted(hot, b.words[here])]
-    # the automaton: the root's arcs, each state's failure arc, each state's own arcs
+        p, q = np.searchsorted(history, [at, at + 1]) if at < len(b.words) and b.words[at] == word else (0, 0)
+        for s, x, y in runs(part_of(after[p:q], int(spans[j]))):
+            yield int(hot.first[j]) + s, row["block"], None, None, None, *asked(p + x, p + y)
+    for j, at in enumerate(place, len(hot.words)):
+        p, q = np.searchsorted(b.state, [at, at + 1]) if at >= 0 else (0, 0)
+        for s, x, y in runs(part_of(b.words[b.last[p:q]], int(spans[j]))):
+            yield int(hot.first[j]) + s, row["block"], *[None] * 6, packed(code[b.last[p + x : p + y]]), packed(triple_n[p + x : p + y])
+
+
+def _joined(packs: list[bytes | None], read: Callable[[bytes], np.ndarray] = unpacked) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.uint64), *(read(x) for x in packs if x is not None)])
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, where each is first, the place of each key among them, and their sums of n."""
+    distinct, one, place = np.unique(keys, return_index=True, return_inverse=True)
+    return distinct, one, place, np.bincount(place, n, len(distinct))
+
+
+def _gone_on(names: np.ndarray, owner: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    return mixed(names[owner] * np.uint64(0x9E3779B97F4A7C15) + codes)
+
+
+def _added(table: pa.Table, hot: int, of_pair: bool) -> pa.Table:
+    """The answers of one part, of a hot history (a word or, of_pair, a pair) or none (-1), and in its first row the part's sums: distinct training words, training tokens, arcs of the hot history."""
+    packs = {n: table[n].to_pylist() for n in _PACKED}
+    words, inverse = np.unique(_joined(packs["words"], unpacked_names), return_inverse=True)
+    c = np.bincount(inverse, _joined(packs["word_n"]), len(words))
+    owner = np.repeat(inverse, _joined(packs["fan"]).astype(np.int64))
+    codes = _joined(packs["codes"])
+    pairs, one, pair, pair_c = _summed(codes if hot >= 0 else _gone_on(words, owner, codes), _joined(packs["pair_n"]))
+    t = np.bincount(owner[one[pair_c > 0]], minlength=len(words)) if hot < 0 else np.zeros(0)
+    owner = np.repeat(pair, _joined(packs["fan3"]).astype(np.int64))
+    codes = _joined(packs["codes3"])
+    _, one, triple, triple_c = _summed(codes if of_pair else _gone_on(pairs, owner, codes), _joined(packs["triple_n"]))
+    pair_t = np.zeros(0) if of_pair else np.bincount(owner[one[triple_c > 0]], minlength=len(pairs))
+    columns = {"block": table["block"], "part": table["part"], "hot": np.full(table.num_rows, hot, np.int64)}
+    for key, place, answers in (("words", inverse, {"c": c, "t": t}), ("codes", pair, {"pair_c": pair_c, "pair_t": pair_t}), ("codes3", triple, {"triple_c": triple_c})):
+        cut = np.cumsum([0 if x is None else packed_count(x) for x in packs[key]])[:-1]
+        columns |= {n: pa.array([packed(x[own]) for own in np.split(place, cut)], pa.binary()) for n, x in answers.items()}
+    sums = int((c > 0).sum()), int(c.sum()), int(((triple_c if of_pair else pair_c) > 0).sum())
+    return pa.table(columns | {n: pa.array([s] + [0] * (table.num_rows - 1), pa.int64()) for n, s in zip(("v", "n", "arcs"), sums)})
+
+
+# --- the automaton ---
+
+
+class Level:
+    """The states of histories of one length, numbered from first on, and their arcs in ascending order of state and word."""
+
+    def __init__(self, first: int, codes: np.ndarray, weight: np.ndarray, target: np.ndarray, failure: np.ndarray, suffix: np.ndarray) -> None:
+        self.first, self.codes, self.weight, self.target, self.failure, self.suffix = first, codes, weight, target, failure, suffix
+        self._told = np.append(codes, -1)
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        arc = np.searchsorted(self.codes, codes)
+        return arc, self._told[arc] == codes
+
+
+class Automaton:
+    """States: 0 the root, 1 + u that of the word u, 1 + words + p that of the training pair p. An end token leads to the root."""
+
+    def __init__(self, words: int, root: np.ndarray, begun: np.ndarray, levels: list[Level]) -> None:
+        self.words, self.root, self.begun, self.levels = words, root, begun, levels  # levels: the longest histories first
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The weights of the arcs that the words take from these states, failure arcs first, and the states that they lead to."""
+        state, weight, out, going = state.copy(), np.zeros(len(word)), np.zeros(len(word), np.int64), np.ones(len(word), bool)
+        for level in self.levels:
+            here = np.flatnonzero(going & (state >= level.first))
+            own = state[here] - level.first
+            arc, found = level.find(own * self.words + word[here])
+            hit, miss, arc, own = here[found], here[~found], arc[found], own[~found]
+            weight[hit] += level.weight[arc]
+            out[hit] = level.target[arc]
+            going[hit] = False
+            weight[miss] += level.failure[own]
+            state[miss] = level.suffix[own]
+        rest = np.flatnonzero(going)
+        weight[rest] += self.root[word[rest]]
+        out[rest] = self.begun[word[rest]]
+        return weight, out
+
+    def reached(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The states in which a walk is before these places; the last token is an end, so that a walk begins as it goes on after one."""
+        singles = self.levels[-1]
+        before = tokens[(at - 1) % len(tokens)]
+        arc, found = singles.find(tokens[(at - 2) % len(tokens)] * self.words + before)
+        out = self.begun[before]
+        out[found] = singles.target[arc[found]]
+        return out
+
+    def walk(self, tokens: np.ndarray) -> np.ndarray:
+        """The weight of each token's step."""
+        out = np.empty(len(tokens))
+        at = np.arange(0, len(tokens), LANE)
+        state = self.reached(tokens, at)
+        for _ in range(min(LANE, len(tokens))):
+            at = at[at < len(tokens)]
+            out[at], state = self.step(state[: len(at)], tokens[at])
+            at = at + 1
+        return out
+
+
+def _automaton(b: Block, c: np.ndarray, t: np.ndarray, pair_c: np.ndarray, pair_t: np.ndarray, triple_c: np.ndarray, v: int, n: int, alpha: float, discount: float) -> Automaton:
+    """The part of the model that a block's n-grams reach, from their counts and those of the arcs of their histories."""
     root = np.log10(c + alpha) - math.log10(n + alpha * (v + 1))
-    left = np.where(c > 0, discount * arcs / np.maximum(c, 1), 1.0)
-    with np.errstate(divide="ignore"):
-        failure = np.where(arcs > 0, np.log10(left), 0.0)
-        arc = np.log10(np.maximum(pair_c - discount, 0) / np.maximum(c[b.history], 1) + left[b.history] * 10.0 ** root[b.next])
-    weight = np.where(pair_c > 0, arc, failure[b.history] + root[b.next])
-    # a token leads to its own state whichever arc it took, so the steps of a walk are taken as arrays
-    alone = root[b.tokens]
-    steps = alone.copy()
-    steps[b.at + 1] = weight[b.pair]
+    begun = np.where((c > 0) & (np.arange(len(c)) != b.end), 1 + np.arange(len(c)), 0)
+    log = lambda mass: np.log10(np.where(mass > 0, mass, 1.0))
+    left = discount * t / np.maximum(c, 1)
+    seen = np.flatnonzero(pair_c > 0)
+    history, after, pair_c, pair_t = b.history[seen], b.next[seen], pair_c[seen], pair_t[seen]
+    pair_p = np.maximum(pair_c - discount, 0) / c[history] + left[history] * 10.0 ** root[after]
+    target = np.where(after == b.end, 0, 1 + len(c) + np.arange(len(seen)))
+    singles = Level(1, b.pairs[seen], np.log10(pair_p), target, log(left), np.zeros(len(c), np.int64))
+    left = discount * pair_t / pair_c
+    own = triple_c > 0
+    state, last, triple_c = np.searchsorted(seen, b.state[own]), b.last[own], triple_c[own]
+    shorter, _ = singles.find(after[state] * len(c) + last)  # a triple's last two words are a training pair, too
+    triple_p = np.maximum(triple_c - discount, 0) / pair_c[state] + left[state] * pair_p[shorter]
+    doubles = Level(1 + len(c), state * len(c) + last, np.log10(triple_p), target[shorter], log(left), 1 + after)
+    return Automaton(len(c), root, begun, [doubles, singles])
+
+
+def _walk(row: dict, answers: list[dict], parts: int, hot: Hot, arcs: np.ndarray, v: int, n: int, alpha: float, discount: float) -> tuple[np.ndarray, ...]:
+    """(tokens, known tokens, base score, score) of each document of a block; arcs are those of the hot histories."""
+    b = Block.of(row)
+    words = len(hot.words)
+    split = [parts, int(hot.first[words])]
+    told: list[list[dict]] = [[], [], []]
+    for r in sorted(answers, key=lambda r: r["part"]):
+        told[int(np.searchsorted(split, r["part"], "right"))].append(r)
+    of = lambda kind, name: _joined([r[name] for r in told[kind]]).astype(float)
+    c, t = of(0, "c"), of(0, "t")
+    here = np.isin(b.words, hot.words)
+    t[here] = arcs[:words][np.searchsorted(hot.words, b.words[here])]
+    hot_history, hot_pair, place = b.has_hot_history(hot), np.zeros(len(b.pairs), bool), b.hot_pairs(hot)
+    hot_pair[place[place >= 0]] = True
+    pair_c, pair_t, triple_c = np.empty(len(b.pairs)), np.empty(len(b.pairs)), np.empty(len(b.state))
+    for kind, mine in enumerate((~hot_history, hot_history)):
+        pair_c[mine], pair_t[mine] = of(kind, "pair_c"), of(kind, "pair_t")
+        triple_c[(mine & ~hot_pair)[b.state]] = of(kind, "triple_c")
+    pair_t[place[place >= 0]] = arcs[words:][place >= 0]
+    triple_c[hot_pair[b.state]] = of(2, "triple_c")
+    model = _automaton(b, c, t, pair_c, pair_t, triple_c, v, n, alpha, discount)
+    alone = model.root[b.tokens]
     ends = b.starts + b.lengths
     base = np.array([math.fsum(alone[x:y].tolist()) for x, y in zip(b.starts.tolist(), ends.tolist())])
-    return b.lengths, np.add.reduceat((c > 0)[b.tokens].astype(np.int64), b.starts), base, np.add.reduceat(steps, b.starts)
+    return b.lengths, np.add.reduceat((c > 0)[b.tokens].astype(np.int64), b.starts), base, np.add.reduceat(model.walk(b.tokens), b.starts)
 
 
 def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "text", alpha: float = ALPHA, discount: float = DISCOUNT) -> DataFrame:
@@ -241,36 +373,39 @@ def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "t
     blocks = stored(encoded(docs, training, doc, text), "blocks")
     entries, size = blocks.agg(F.sum("entries"), F.sum("size")).first()
     parts = max(1, math.ceil((entries or 0) / PART_ENTRIES))
-    heavy = blocks.select(F.explode("heavy").alias("h")).groupBy("h.word").agg(F.sum("h.n").alias("n")).where(F.col("n") * 2 * HOT > (size or 0)).collect()  # at most 2 * HOT
-    heavy = sorted((r.word % (1 << 64), r.n) for r in heavy)
-    hot = np.array([w for w, _ in heavy], np.uint64)
-    first = np.cumsum([parts, *(math.ceil(2 * parts * n / size) for _, n in heavy)])
+    heavy = blocks.select(F.explode("heavy").alias("h")).groupBy("h.word", "h.after").agg(F.sum("h.n").alias("n")).where(F.col("n") * 2 * HOT > (size or 0)).collect()  # at most 2 * HOT words and as many pairs
+    hot_words = sorted((r.word % (1 << 64), r.n) for r in heavy if r.after is None)
+    hot_pairs = sorted((r.word % (1 << 64), r.after % (1 << 64), r.n) for r in heavy if r.after is not None)
+    shares = [math.ceil(2 * parts * h[-1] / size) for h in hot_words + hot_pairs]
+    hot = Hot(np.array([h[0] for h in hot_words], np.uint64), np.array([h[:2] for h in hot_pairs], np.uint64).reshape(-1, 2), np.cumsum([parts, *shares]))
     names = ("block", "train", "lengths", "words", "tokens")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
         for batch in batches:
             for i in range(batch.num_rows):
-                asked = list(zip(*_requests({n: batch.column(n)[i].as_py() for n in names}, parts, hot, first)))
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(asked, kinds)], names=_REQUEST)
+                asked = zip(*_requests({n: batch.column(n)[i].as_py() for n in names}, parts, hot))
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(asked, [pa.int64()] * 2 + [pa.binary()] * len(_PACKED))], names=["part", "block", *_PACKED])
         tidy()
 
     def answer(key: tuple, table: pa.Table) -> pa.Table:
-        out = _added(table, int(np.searchsorted(first, key[0].as_py(), "right")) - 1)
+        own = int(np.searchsorted(hot.first, key[0].as_py(), "right")) - 1
+        out = _added(table, own, own >= len(hot.words))
         tidy()
         return out
 
-    asked = blocks.select(*names).mapInArrow(ask, "part long, block long, words binary, word_n binary, fan binary, codes binary, pair_n binary")
-    answers = stored(asked.groupBy("part").applyInArrow(answer, "block long, part long, hot long, c binary, t binary, pair_c binary, v long, n long, arcs long"), "answers")
+    told = ("c", "t", "pair_c", "pair_t", "triple_c")
+    binary = lambda columns: ", ".join(f"{x} binary" for x in columns)
+    asked = blocks.select(*names).mapInArrow(ask, f"part long, block long, {binary(_PACKED)}")
+    answers = stored(asked.groupBy("part").applyInArrow(answer, f"block long, part long, hot long, {binary(told)}, v long, n long, arcs long"), "answers")
     totals = answers.agg(F.sum("v"), F.sum("n")).first()
     v, n = totals[0] or 0, totals[1] or 0
-    hot_arcs = np.zeros(len(hot))
-    for r in answers.where("hot >= 0").groupBy("hot").agg(F.sum("arcs").alias("arcs")).collect():  # as many rows as hot words
-        hot_arcs[r.hot] = r.arcs
+    arcs = np.zeros(len(shares))
+    for r in answers.where("hot >= 0").groupBy("hot").agg(F.sum("arcs").alias("arcs")).collect():  # as many rows as hot words and pairs
+        arcs[r.hot] = r.arcs
 
     def walk_block(key: tuple, block: pa.Table, answered: pa.Table) -> pa.Table:
         row = {k: block[k][0].as_py() for k in names}
-        lengths, known, base, total = _walk(row, answered.select(["part", "c", "t", "pair_c"]).to_pylist(), parts, hot, hot_arcs, v, n, alpha, discount)
+        lengths, known, base, total = _walk(row, answered.select(["part", *told]).to_pylist(), parts, hot, arcs, v, n, alpha, discount)
         out = pa.table({
             "doc_id": block["ids"].combine_chunks().flatten(), "train": block["train"].combine_chunks().flatten(), "n_tokens": lengths, "n_known": known,
             "train_tokens": np.full(len(lengths), n, np.int64), "base_score": base, "score": total,
@@ -279,4 +414,4 @@ def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "t
         return out
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
-    return blocks.select(*names, "ids").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk_block, schema)
+    return blocks.select(*names, "ids").groupBy("block").cogroup(answers.select("block", "part", *told).groupBy("block")).applyInArrow(walk_block, schema)

@@ -529,22 +529,25 @@ def brute_lm(rows, discount=lm_score.DISCOUNT, alpha=lm_score.ALPHA):
         if train:
             w = toks(t)
             c.update(w)
-            for h, x in zip(w, w[1:]):
-                arcs[h][x] += 1
+            for order in (1, 2):
+                for k in range(len(w) - order):
+                    arcs[tuple(w[k : k + order])][w[k + order]] += 1
     n, v = sum(c.values()), len(c)
-    uni = lambda w: (c[w] + alpha) / (n + alpha * (v + 1))
 
     def prob(h, w):
+        if not h:
+            return (c[w] + alpha) / (n + alpha * (v + 1))
         if h not in arcs:
-            return uni(w)
-        return max(0, arcs[h][w] - discount if w in arcs[h] else 0) / c[h] + discount * len(arcs[h]) / c[h] * uni(w)
+            return prob(h[1:], w)
+        own, total = arcs[h], sum(arcs[h].values())
+        return max(0, own.get(w, 0) - discount) / total + discount * len(own) / total * prob(h[1:], w)
 
     out = {}
     for i, t, _ in rows:
         w = toks(t)
-        out[i] = (len(w), sum(x in c for x in w), n, sum(math.log10(uni(x)) for x in w), sum(math.log10(prob(h, x)) for h, x in zip([None, *w], w)))
+        out[i] = (len(w), sum(x in c for x in w), n, sum(math.log10(prob((), x)) for x in w), sum(math.log10(prob(tuple(w[max(0, k - 2) : k]), x)) for k, x in enumerate(w)))
     # proper in every state: known words and one unknown sum to 1
-    for h in [None, *list(arcs)[:5]]:
+    for h in [(), *list(arcs)[:5]]:
         assert abs(sum(prob(h, w) for w in list(c)) + prob(h, object()) - 1) < 1e-9
     return out
 
@@ -563,6 +566,7 @@ def test_lm_score_equals_brute_force(spark, size, table, request):
 
 @pytest.mark.parametrize("hot", [1, 20, 1000])
 def test_lm_score_in_many_blocks_and_parts(spark, small, table, monkeypatch, hot):
+    monkeypatch.setattr(lm_score, "LANE", 37)
     monkeypatch.setattr(lm_score, "BLOCK_TOKENS", 3000)
     monkeypatch.setattr(lm_score, "PART_ENTRIES", 2500)
     monkeypatch.setattr(lm_score, "HOT", hot)
@@ -574,6 +578,20 @@ def test_lm_score_in_many_blocks_and_parts(spark, small, table, monkeypatch, hot
     assert all(got[i].base_score == pytest.approx(w[3], rel=1e-9) and got[i].score == pytest.approx(w[4], rel=1e-9) for i, w in want.items())
 
 
+def test_lm_score_falls_through_two_failure_arcs(spark):
+    rows = [(i, "a b c d", True) for i in range(3)] + [(4, "x a b e", True), (5, "b f", True), (10, "a b f", False), (11, "a b x", False)]
+    got = by_id(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string, t boolean"), F.col("t")))
+    d, alpha, n, v = lm_score.DISCOUNT, lm_score.ALPHA, 23, 8
+    root = lambda count: (count + alpha) / (n + alpha * (v + 1))
+    begin = root(4) * ((4 - d) / 4 + d / 4 * root(5))  # "a b"
+    # "a b" was followed by c and e, "b" by c, e and f: f is one failure arc away, x two
+    one = begin * (d * 2 / 4) * ((1 - d) / 5 + d * 3 / 5 * root(1))
+    two = begin * (d * 2 / 4) * (d * 3 / 5) * root(1)
+    # the end: "b f" is a state and has it, "b x" is none, and "x" hasn't
+    assert got[10].score == pytest.approx(math.log10(one * (1 - d + d * (1 - d + d * root(5)))), rel=1e-12)
+    assert got[11].score == pytest.approx(math.log10(two * d * root(5)), rel=1e-12)
+
+
 def test_lm_score_counts_rare_pairs_at_any_size(spark):
     rows = [(i, " ".join(f"f{k % 500}" for k in range(1500)), True) for i in range(140)] + [(140 + i, "a rare pair of words f1", True) for i in range(2)] + [(200, "a rare pair of f1", False)]
     want = brute_lm(rows)
