@@ -22,7 +22,8 @@ for each block that has them, and a frequent word costs a part one entry a block
 with a large share of all tokens (at most ``2 * HOT`` of each) have what goes on from them dealt
 to parts of their own by the name of the next word.
 
-In a part, an n-gram is told apart by a 64-bit name of its history and 48 bits of its last word's.
+In a part, an n-gram is told apart by a 64-bit name of its history and bits of its last word's: 48 of a
+pair's, 40 of a triple's, whose history has fewer words after it.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ DISCOUNT = 0.75
 #: Tokens of a block, about.
 BLOCK_TOKENS = 2_000_000
 #: Words, pairs and triples that a part adds up, about: each block counts what it has once.
-PART_ENTRIES = 3_000_000
+PART_ENTRIES = 2_000_000
 #: What goes on from words and pairs with more than one in HOT of all tokens is dealt out by the next word, too.
 HOT = 1000
 #: Tokens of a lane: a block's tokens are walked in lanes side by side, each from the state that the words before it lead to.
@@ -72,50 +73,61 @@ class Numbers(dict):
         return out
 
 
+class Hot(NamedTuple):
+    """Names of the hot words in ascending order, hot pairs as two places among them, likewise (a word of a hot pair is hot), and where the parts of each begin, words first."""
+
+    words: np.ndarray
+    pairs: np.ndarray
+    first: np.ndarray
+
+    def places(self, names: np.ndarray) -> np.ndarray:
+        """Of each hot word, its place among these names, or -1."""
+        at = np.minimum(np.searchsorted(names, self.words), len(names) - 1)
+        return np.where(names[at] == self.words, at, -1)
+
+
 class Block:
-    """A block's words and distinct pairs and triples in ascending order of names, and where its tokens find theirs."""
+    """A block's distinct pairs and triples in ascending order; words are numbers below ``words``.
 
-    def __init__(self, lengths: np.ndarray, words: np.ndarray, tokens: np.ndarray) -> None:
+    pair_n and triple_n tell how often it has them, or with ``own`` how many of these begin at its tokens.
+    """
+
+    def __init__(self, lengths: np.ndarray, words: int, tokens: np.ndarray, own: np.ndarray | None = None) -> None:
         self.lengths, self.words, self.tokens = lengths, words, tokens
         ends = np.cumsum(lengths) - 1
         inner = np.ones(len(tokens), bool)
         inner[ends] = False
-        self.starts = ends + 1 - lengths
-        self.end = int(tokens[-1])
-        self.at = np.flatnonzero(inner)  # places of the pairs' first words
-        self.pairs, self.pair = np.unique(tokens[self.at] * len(words) + tokens[self.at + 1], return_inverse=True)
-        self.history, self.next = np.divmod(self.pairs, len(words))
-        two = np.flatnonzero(np.diff(self.at) == 1)
-        self.at3 = self.at[two]  # places of the triples' first words
-        triples, self.triple = np.unique(self.pair[two] * len(words) + tokens[self.at3 + 2], return_inverse=True)
-        self.state, self.last = np.divmod(triples, len(words))
+        self.starts, self.end = ends + 1 - lengths, int(tokens[-1])
+        own = inner if own is None else own
+        at = np.flatnonzero(inner)  # places of the pairs' first words
+        self.pairs, pair = np.unique(tokens[at] * words + tokens[at + 1], return_inverse=True)
+        self.pair_n = np.bincount(pair[own[at]], minlength=len(self.pairs))
+        self.history, self.next = np.divmod(self.pairs, words)
+        two = np.flatnonzero(np.diff(at) == 1)
+        codes, mine = pair[two] * words + tokens[at[two] + 2], own[at[two]]
+        del pair, at, two
+        triples = np.unique(codes)
+        told, n = np.unique(codes[mine], return_counts=True)
+        self.triple_n = np.zeros(len(triples), np.int64)
+        self.triple_n[np.searchsorted(triples, told)] = n
+        self.state, self.last = np.divmod(triples, words)
 
     @classmethod
-    def of(cls, row: dict) -> Block:
-        return cls(unpacked(row["lengths"]).astype(np.int64), unpacked_names(row["words"]), unpacked(row["tokens"]).astype(np.int64))
-
-    def has_hot_history(self, hot: Hot) -> np.ndarray:
-        """Of each pair, whether its first word is hot."""
-        return np.isin(self.words, hot.words)[self.history]
-
-    def hot_pairs(self, hot: Hot) -> np.ndarray:
-        """The place of each hot pair among the pairs, -1 if the block hasn't got it."""
-        out = np.full(len(hot.pairs), -1)
-        if len(out) and len(self.pairs):
-            words = np.minimum(np.searchsorted(self.words, hot.pairs), len(self.words) - 1)
-            codes = words[:, 0] * len(self.words) + words[:, 1]
-            place = np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)
-            here = (self.words[words] == hot.pairs).all(axis=1) & (self.pairs[place] == codes)
-            out[here] = place[here]
-        return out
-
-
-class Hot(NamedTuple):
-    """Hot words and pairs (rows of two) by name, in ascending order, and where the parts of each begin, words first."""
-
-    words: np.ndarray
-    pairs: np.ndarray
-    first: np.ndarray
+    def of(cls, row: dict, words: int, own: np.ndarray | None = None) -> Block:
+        return cls(unpacked(row["lengths"]).astype(np.int64), words, unpacked(row["tokens"]).astype(np.int64), own)
+
+    def hot(self, hot: Hot, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each pair, whether its first word is hot and whether itself is, and the place of each hot pair among the pairs or -1; at has the places of the hot words."""
+        words, pairs, place = np.zeros(self.words, bool), np.zeros(len(self.pairs), bool), np.full(len(hot.pairs), -1)
+        words[at[at >= 0]] = True
+        if len(place) and len(self.pairs):
+            first, second = at[hot.pairs].T
+            codes = first * self.words + second
+            found = np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)
+            here = (first >= 0) & (second >= 0) & (self.pairs[found] == codes)
+            place[here] = found[here]
+            pairs[found[here]] = True
+        return words[self.history], pairs, place
 
 
 _HEAVY = pa.list_(pa.struct([("word", pa.int64()), ("after", pa.int64()), ("n", pa.int64())]))
@@ -125,10 +137,10 @@ def _block(name: int, ids: list, train: list, numbers: Numbers, docs: list[np.nd
     """One row: a block's documents, its words by name, and its tokens as places in the words."""
     names = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
     words, place = np.unique(names, return_inverse=True)
-    b = Block(np.array([len(d) for d in docs]), words, place[np.concatenate(docs)])
+    b = Block(np.array([len(d) for d in docs]), len(words), place[np.concatenate(docs)])
     signed = words.view(np.int64)
     heavy = []
-    for n, first, after in ((np.bincount(b.tokens), np.arange(len(words)), None), (np.bincount(b.pair), b.history, b.next)):
+    for n, first, after in ((np.bincount(b.tokens), np.arange(len(words)), None), (b.pair_n, b.history, b.next)):
         most = np.flatnonzero(n * HOT > len(b.tokens))
         seconds = [None] * len(most) if after is None else signed[after[most]].tolist()
         heavy += [{"word": w, "after": x, "n": k} for w, x, k in zip(signed[first[most]].tolist(), seconds, n[most].tolist())]
@@ -181,40 +193,37 @@ def _requests(row: dict, parts: int, hot: Hot) -> Iterator[tuple]:
     Parts from hot.first[j] on are those of the hot word j alone, then those of the hot pairs;
     requests to these have no words, or only triples.
     """
-    b = Block.of(row)
-    own = np.repeat(np.array(row["train"], bool), b.lengths)
-    word_n = np.bincount(b.tokens[own], minlength=len(b.words))
-    pair_n = np.bincount(b.pair[own[b.at]], minlength=len(b.pairs))
-    triple_n = np.bincount(b.triple[own[b.at3]], minlength=len(b.state))
-    code = b.words >> np.uint64(16)
-    hot_history, hot_pair = b.has_hot_history(hot), np.zeros(len(b.pairs), bool)
-    place = b.hot_pairs(hot)
-    hot_pair[place[place >= 0]] = True
+    words, lengths = unpacked_names(row["words"]), unpacked(row["lengths"]).astype(np.int64)
+    own = np.repeat(np.array(row["train"], bool), lengths)
+    b = Block.of(row, len(words), own)
+    word_n = np.bincount(b.tokens[own], minlength=len(words))
+    code, code3 = words >> np.uint64(16), words >> np.uint64(24)
+    hot_at = hot.places(words)
+    hot_history, hot_pair, place = b.hot(hot, hot_at)
 
     def pairs_of(mine: np.ndarray) -> tuple[np.ndarray, Callable[[int, int], tuple]]:
         """The first words of these pairs, and what is asked of a range of them and of their triples; those of hot pairs aren't among them."""
         kept = (mine & ~hot_pair)[b.state]
-        codes, numbers, fan = code[b.next[mine]], pair_n[mine], np.bincount(b.state[kept], minlength=len(b.pairs))[mine]
-        codes3, numbers3, edge = code[b.last[kept]], triple_n[kept], np.concatenate([[0], np.cumsum(fan)])
+        codes, numbers, fan = code[b.next[mine]], b.pair_n[mine], np.bincount(b.state[kept], minlength=len(b.pairs))[mine]
+        codes3, numbers3, edge = code3[b.last[kept]], b.triple_n[kept], np.concatenate([[0], np.cumsum(fan)])
         return b.history[mine], lambda p, q: (packed(codes[p:q]), packed(numbers[p:q]), packed(fan[p:q]), packed(codes3[edge[p] : edge[q]]), packed(numbers3[edge[p] : edge[q]]))
 
     history, asked = pairs_of(~hot_history)
-    for part, a, z in runs(part_of(b.words, parts)):
+    for part, a, z in runs(part_of(words, parts)):
         p, q = np.searchsorted(history, [a, z])
         fan = np.bincount(history[p:q] - a, minlength=z - a)
-        yield part, row["block"], packed_names(b.words[a:z]), packed(word_n[a:z]), packed(fan), *asked(p, q)
+        yield part, row["block"], packed_names(words[a:z]), packed(word_n[a:z]), packed(fan), *asked(p, q)
     history, asked = pairs_of(hot_history)
-    after = b.words[b.next[hot_history]]
+    after = words[b.next[hot_history]]
     spans = np.diff(hot.first)
-    for j, word in enumerate(hot.words):
-        at = np.searchsorted(b.words, word)
-        p, q = np.searchsorted(history, [at, at + 1]) if at < len(b.words) and b.words[at] == word else (0, 0)
+    for j, at in enumerate(hot_at):
+        p, q = np.searchsorted(history, [at, at + 1]) if at >= 0 else (0, 0)
         for s, x, y in runs(part_of(after[p:q], int(spans[j]))):
             yield int(hot.first[j]) + s, row["block"], None, None, None, *asked(p + x, p + y)
     for j, at in enumerate(place, len(hot.words)):
         p, q = np.searchsorted(b.state, [at, at + 1]) if at >= 0 else (0, 0)
-        for s, x, y in runs(part_of(b.words[b.last[p:q]], int(spans[j]))):
-            yield int(hot.first[j]) + s, row["block"], *[None] * 6, packed(code[b.last[p + x : p + y]]), packed(triple_n[p + x : p + y])
+        for s, x, y in runs(part_of(words[b.last[p:q]], int(spans[j]))):
+            yield int(hot.first[j]) + s, row["block"], *[None] * 6, packed(code3[b.last[p + x : p + y]]), packed(b.triple_n[p + x : p + y])
 
 
 def _joined(packs: list[bytes | None], read: Callable[[bytes], np.ndarray] = unpacked) -> np.ndarray:
@@ -334,18 +343,15 @@ def _automaton(b: Block, c: np.ndarray, t: np.ndarray, pair_c: np.ndarray, pair_
 
 def _walk(row: dict, answers: list[dict], parts: int, hot: Hot, arcs: np.ndarray, v: int, n: int, alpha: float, discount: float) -> tuple[np.ndarray, ...]:
     """(tokens, known tokens, base score, score) of each document of a block; arcs are those of the hot histories."""
-    b = Block.of(row)
-    words = len(hot.words)
+    b, hot_at, words = Block.of(row, row["words"]), np.array(row["hot"], np.int64), len(hot.words)
     split = [parts, int(hot.first[words])]
     told: list[list[dict]] = [[], [], []]
     for r in sorted(answers, key=lambda r: r["part"]):
         told[int(np.searchsorted(split, r["part"], "right"))].append(r)
     of = lambda kind, name: _joined([r[name] for r in told[kind]]).astype(float)
     c, t = of(0, "c"), of(0, "t")
-    here = np.isin(b.words, hot.words)
-    t[here] = arcs[:words][np.searchsorted(hot.words, b.words[here])]
-    hot_history, hot_pair, place = b.has_hot_history(hot), np.zeros(len(b.pairs), bool), b.hot_pairs(hot)
-    hot_pair[place[place >= 0]] = True
+    t[hot_at[hot_at >= 0]] = arcs[:words][hot_at >= 0]
+    hot_history, hot_pair, place = b.hot(hot, hot_at)
     pair_c, pair_t, triple_c = np.empty(len(b.pairs)), np.empty(len(b.pairs)), np.empty(len(b.state))
     for kind, mine in enumerate((~hot_history, hot_history)):
         pair_c[mine], pair_t[mine] = of(kind, "pair_c"), of(kind, "pair_t")
@@ -377,7 +383,8 @@ def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "t
     hot_words = sorted((r.word % (1 << 64), r.n) for r in heavy if r.after is None)
     hot_pairs = sorted((r.word % (1 << 64), r.after % (1 << 64), r.n) for r in heavy if r.after is not None)
     shares = [math.ceil(2 * parts * h[-1] / size) for h in hot_words + hot_pairs]
-    hot = Hot(np.array([h[0] for h in hot_words], np.uint64), np.array([h[:2] for h in hot_pairs], np.uint64).reshape(-1, 2), np.cumsum([parts, *shares]))
+    hot_names = np.array([h[0] for h in hot_words], np.uint64)
+    hot = Hot(hot_names, np.searchsorted(hot_names, np.array([h[:2] for h in hot_pairs], np.uint64).reshape(-1, 2)), np.cumsum([parts, *shares]))
     names = ("block", "train", "lengths", "words", "tokens")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -403,8 +410,18 @@ def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "t
     for r in answers.where("hot >= 0").groupBy("hot").agg(F.sum("arcs").alias("arcs")).collect():  # as many rows as hot words and pairs
         arcs[r.hot] = r.arcs
 
+    bare = ("block", "ids", "train", "lengths", "tokens")
+
+    def without_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks as a walk needs them: the number of their words and the places of the hot ones."""
+        for batch in batches:
+            words = [unpacked_names(x) for x in batch.column("words").to_pylist()]
+            columns = [*(batch.column(n) for n in bare), pa.array([len(w) for w in words], pa.int64()), pa.array([hot.places(w).tolist() for w in words], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*bare, "words", "hot"])
+        tidy()
+
     def walk_block(key: tuple, block: pa.Table, answered: pa.Table) -> pa.Table:
-        row = {k: block[k][0].as_py() for k in names}
+        row = {k: block[k][0].as_py() for k in ("lengths", "tokens", "words", "hot")}
         lengths, known, base, total = _walk(row, answered.select(["part", *told]).to_pylist(), parts, hot, arcs, v, n, alpha, discount)
         out = pa.table({
             "doc_id": block["ids"].combine_chunks().flatten(), "train": block["train"].combine_chunks().flatten(), "n_tokens": lengths, "n_known": known,
@@ -414,4 +431,5 @@ def score(docs: DataFrame, training: Column, doc: str = "doc_id", text: str = "t
         return out
 
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc].dataType), *T.StructType.fromDDL("train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
-    return blocks.select(*names, "ids").groupBy("block").cogroup(answers.select("block", "part", *told).groupBy("block")).applyInArrow(walk_block, schema)
+    placed = blocks.select(*bare, "words").mapInArrow(without_names, T.StructType([*blocks.select(*bare).schema.fields, *T.StructType.fromDDL("words long, hot array<long>").fields]))
+    return placed.groupBy("block").cogroup(answers.select("block", "part", *told).groupBy("block")).applyInArrow(walk_block, schema)
