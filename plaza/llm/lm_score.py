@@ -89,7 +89,7 @@ class Hot(NamedTuple):
 class Block:
     """A block's distinct pairs and triples in ascending order; words are numbers below ``words``.
 
-    pair_n and triple_n tell how often it has them, or with ``own`` how many of these begin at its tokens.
+    pair_n tells how often it has them, or with ``own`` how many of these begin at its tokens; so does triple_n, which is told with ``own`` only.
     """
 
     def __init__(self, lengths: np.ndarray, words: int, tokens: np.ndarray, own: np.ndarray | None = None) -> None:
@@ -98,18 +98,18 @@ class Block:
         inner = np.ones(len(tokens), bool)
         inner[ends] = False
         self.starts, self.end = ends + 1 - lengths, int(tokens[-1])
-        own = inner if own is None else own
         at = np.flatnonzero(inner)  # places of the pairs' first words
         self.pairs, pair = np.unique(tokens[at] * words + tokens[at + 1], return_inverse=True)
-        self.pair_n = np.bincount(pair[own[at]], minlength=len(self.pairs))
+        self.pair_n = np.bincount(pair if own is None else pair[own[at]], minlength=len(self.pairs))
         self.history, self.next = np.divmod(self.pairs, words)
         two = np.flatnonzero(np.diff(at) == 1)
-        codes, mine = pair[two] * words + tokens[at[two] + 2], own[at[two]]
-        del pair, at, two
+        codes = pair[two] * words + tokens[at[two] + 2]
         triples = np.unique(codes)
-        told, n = np.unique(codes[mine], return_counts=True)
-        self.triple_n = np.zeros(len(triples), np.int64)
-        self.triple_n[np.searchsorted(triples, told)] = n
+        if own is not None:
+            told, n = np.unique(codes[own[at[two]]], return_counts=True)
+            self.triple_n = np.zeros(len(triples), np.int64)
+            self.triple_n[np.searchsorted(triples, told)] = n
+        del pair, at, two, codes
         self.state, self.last = np.divmod(triples, words)
 
     @classmethod
