@@ -272,7 +272,9 @@ class Level:
         self._told = np.append(codes, -1)
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        arc = np.searchsorted(self.codes, codes)
+        order = np.argsort(codes)  # neighbours are looked up one after another
+        arc = np.empty(len(codes), np.int64)
+        arc[order] = np.searchsorted(self.codes, codes[order])
         return arc, self._told[arc] == codes
 
 
