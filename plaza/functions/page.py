@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -208,12 +210,23 @@ def read_item(scope: Node, base: str) -> tuple:
     )
 
 
-def item(html: Column, platform_id: Column | None = None, site: Site = QA_SITE) -> Column:
-    """ITEM of a page or card. With an id: of the card of that id, where the page has cards; null if none of them is it (another card never stands in)."""
+_REFERENCE = re.compile("&(#[0-9]+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)?")
+
+
+def closed_references(page: str) -> str:
+    """A page of whose character references only those that end with a semicolon are left; the ampersands of others stand for themselves."""
+    return _REFERENCE.sub(lambda m: m[0] if m[1] and (m[1][0] == "#" or m[1] in html5) else f"&amp;{m[1] or ''}", page)
+
+
+def item(html: Column, platform_id: Column | None = None, site: Site = QA_SITE, unclosed: bool = True) -> Column:
+    """ITEM of a page or card. With an id: of the card of that id, where the page has cards; null if none of them is it (another card never stands in).
+
+    A character reference without its semicolon is read as browsers do, or left as it is (not unclosed).
+    """
     base = f"https://{site.home}"
 
     def read(page: str | None, wanted: str | None) -> tuple:
-        scope = tree(page)
+        scope = tree(page if unclosed or not page else closed_references(page))
         cards = [n for n in scope.walk() if ANSWER_ID in n.attrs and n.has("AnswerItem")]
         if wanted and cards:
             scope = next((holder(n) for n in cards if n.attrs[ANSWER_ID] == wanted), None)

@@ -286,3 +286,19 @@ def test_cards_are_rows_and_their_fates_add_up(spark):
     pages = spark.createDataFrame([("https://zhuanlan.zhihu.com/p/8", "<meta itemprop='datePublished' content='2024-05-06T07:08:09Z'><h1 class='Post-Title'>T</h1><div class='Post-RichText'>whole</div>"), ("/people/x", "<p>")], "at string, html string")
     got = card_table.cards(pages, "content", url="at").orderBy("fate").collect()
     assert [(r.fate, r.platform_id, r.title, r.text, str(r.published_at)) for r in got] == [("kept", "8", "T", "whole", "2024-05-06 07:08:09"), ("not_content", None, None, None, "None")]
+
+
+def test_page_items_and_sql_on_cut_references(spark, tmp_path):
+    import duckdb
+    from plaza import catalog
+
+    titles = ["a&amp;b &amp", "&amp", "x&am", "y&", "&quot;z&quot", "&amp;lt; &lt", "&&amp;&amp", None, "plain", "&ampx; &amp;amp;", "&nosuch; &lt;b&gt"]
+    rows = [(i, f"<html><body><h1 class='t'>{t}</h1><p>&amp</p></body></html>" if t is not None else None) for i, t in enumerate(titles)]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    sql = catalog.SQL["page_items"]
+    want = con.execute(sql[sql.index("select page_id, nullif") :]).fetchall()
+    got = [tuple(r) for r in catalog.QUERIES["page_items"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert spark.createDataFrame(rows, "page_id long, html string").where("page_id = 0").select(page.item(F.col("html"))["title"]).first()[0] == "a&b &"  # the operator, as browsers
