@@ -394,6 +394,23 @@ def test_numbering_by_ranges(spark):
     assert sequence.numbered(rows.limit(0), ["k"], "n").count() == 0
 
 
+def test_prescreen_reach(spark):
+    text = " ".join(["of"] * 12 + ["to"] * 12 + ["ined"] * 12)  # "ined. of" is met from the last of on: over four times its trigrams
+    content = spark.createDataFrame([(1, text), (2, "ined of")], "content_id long, title string")
+    analysis = content.select("content_id", F.lit("").alias("ai_summary"))
+
+    def score(reach):
+        return {r.content_id: r.score for r in prescreen.prescreen(content, analysis, ["Ined. Of"], ["title", "ai_summary"], limit=None, reach=reach).collect()}
+
+    def plain(reach):
+        own, g = set(grams_of("Ined. Of")), grams_of(text)
+        ends = lambda s: range(s + 1, min(len(g), s + reach * len(own)) + 1)
+        return max(len(own & set(g[s:e])) / len(own | set(g[s:e])) for s in range(len(g)) for e in ends(s))
+
+    assert plain(4) < plain(len(text)) and score(4) == {1: pytest.approx(plain(4), abs=1e-6), 2: 1.0}
+    assert score(None) == {1: pytest.approx(plain(len(text)), abs=1e-6), 2: 1.0}
+
+
 def test_prescreen_wants_a_judgment(spark):
     from plaza.operators import prescreen
 
