@@ -44,23 +44,25 @@ class TrieCounter:
         self.longest = max(map(len, pieces), default=1)
         # a byte costs more than any piece, so that a character is only spelled out if it must be
         self.byte = min(pieces.values(), default=0.0) - 10.0
+        # all ends of pieces, those that are no piece with a score that never wins: where text isn't one, no longer piece ends
+        self.ends = dict.fromkeys((p[i:] for p in pieces for i in range(1, len(p))), -math.inf) | pieces
         self.clear()
 
     def clear(self) -> None:
-        # per node: children by character, score and number of tokens of the prefix
-        self.children: list[dict[str, int]] = [{}]
+        # children by node and character; per node: score and number of tokens of the prefix
+        self.children: dict[int, int] = {}
         self.score = [0.0]
         self.tokens = [0]
 
-    def _step(self, tail: str, scores: list[float], counts: list[int]) -> tuple[float, int]:
-        """Score and count of a prefix that ends in ``tail``; scores[-k] belongs to the prefix without its last k characters."""
-        best, n = -math.inf, 0
-        for k in range(len(tail), 0, -1):
-            own = self.pieces.get(tail[-k:])
-            if own is not None and scores[-k] + own > best:
-                best, n = scores[-k] + own, counts[-k] + 1
-        if tail[-1] not in self.pieces:
-            spelled = len(tail[-1].encode("utf-8", "replace"))
+    def _step(self, word: str, i: int, scores: list[float], counts: list[int]) -> tuple[float, int]:
+        """Score and count of the first i characters; scores[-k] belongs to the prefix without its last k characters."""
+        best, n, k, get = -math.inf, 0, 1, self.ends.get
+        while k <= i and (own := get(word[i - k : i])) is not None:
+            if (score := scores[-k] + own) >= best:
+                best, n = score, counts[-k] + 1
+            k += 1
+        if word[i - 1] not in self.pieces:
+            spelled = len(word[i - 1].encode("utf-8", "replace"))
             if scores[-1] + spelled * self.byte > best:
                 best, n = scores[-1] + spelled * self.byte, counts[-1] + spelled
         return best, n
@@ -72,25 +74,25 @@ class TrieCounter:
     def _insert(self, word: str) -> int:
         if len(self.score) + len(word) > MAX_NODES:
             self.clear()
+        children, known, tokens = self.children, self.score, self.tokens
         scores, counts, node = [0.0], [0], 0
         for i, c in enumerate(word, 1):
-            child = self.children[node].get(c)
+            key = node << 21 | ord(c)
+            child = children.get(key)
             if child is None:
-                child = len(self.score)
-                score, n = self._step(word[max(0, i - self.longest) : i], scores, counts)
-                self.children[node][c] = child
-                self.children.append({})
-                self.score.append(score)
-                self.tokens.append(n)
+                children[key] = child = len(known)
+                score, n = self._step(word, i, scores, counts)
+                known.append(score)
+                tokens.append(n)
             node = child
-            scores.append(self.score[node])
-            counts.append(self.tokens[node])
-        return self.tokens[node]
+            scores.append(known[node])
+            counts.append(tokens[node])
+        return tokens[node]
 
     def _long(self, word: str) -> int:
         scores, counts = [0.0], [0]
         for i in range(1, len(word) + 1):
-            score, n = self._step(word[max(0, i - self.longest) : i], scores, counts)
+            score, n = self._step(word, i, scores, counts)
             scores.append(score)
             counts.append(n)
             if len(scores) > 2 * self.longest:

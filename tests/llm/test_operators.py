@@ -68,6 +68,25 @@ def test_token_counts_share_prefixes_and_survive_clearing(monkeypatch):
     assert [tight.count(w) for w in words * 2] == [plain(w) for w in words * 2]
 
 
+def test_token_counts_look_no_further_than_pieces_end():
+    class Probed(dict):
+        n = 0
+
+        def get(self, key, default=None):
+            Probed.n += 1
+            return super().get(key, default)
+
+    pieces = {"a": -1.0, "b": -1.5, "abcdefghijklmnop": -2.0, "op": -2.5}
+    counter = token_counts.TrieCounter(pieces)
+    for name in ("pieces", "ends"):
+        if hasattr(counter, name):
+            setattr(counter, name, Probed(getattr(counter, name)))
+    words = ["▁" + "ab" * 60, "▁" + "xb" * 60, "▁" + "ab" * 300]
+    assert [counter.count(w) for w in words] == [3 + 120, 3 + 120, 3 + 600]
+    assert Probed.n <= 2.5 * sum(map(len, words))  # the longest piece has 16 characters
+    assert counter.count("abcdefghijklmnop") == 1 and counter.count("bcdefghijklmnop") == 1 + 12 + 1
+
+
 def test_token_counts_of_odd_rows(odd, empty):
     pieces = {token_counts.MARK: -3.0, "x": -2.0, "the": -2.5, token_counts.MARK + "the": -2.2}
     got = token_counts.count_tokens(odd, pieces).collect()
