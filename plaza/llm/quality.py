@@ -1,8 +1,8 @@
 """Quality rules by importance of hashed n-grams.
 
 Uni- and bigrams of a text's tokens (letters and digits; runs of other characters) are hashed
-to ``BUCKETS``. Two multinomials over the buckets are fitted: one to trusted documents (a
-bounded sample), one to all documents. A text's score is its log-likelihood ratio divided by
+to ``BUCKETS``. Two multinomials over the buckets are fitted: one to all trusted documents,
+one to all documents. A text's score is its log-likelihood ratio divided by
 its number of n-grams; texts under the threshold go, always the same ones. Plain counting
 rules come first.
 
@@ -17,7 +17,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -26,16 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, mixed, raw_texts, slices, stored, windows, with_columns, word_hashes
+from .common import GONE_SLOTS, bounded_batches, discard, mixed, raw_texts, slices, stored, windows, with_columns, word_hashes
 
 BUCKETS = 1 << 16
-#: Trusted documents that are used at most: those with the least hash of their id.
-TRUSTED_ROWS = 4000
 SMOOTHING = 1.0
 #: Least mean log-likelihood ratio of a document that is kept, where there are no labels to fit it to.
 THRESHOLD = -0.5
-#: Toxic documents, and clean documents for the thresholds, that are used at most: those with the least hash of their id.
-TOXIC_ROWS, CLEAN_ROWS = 4000, 4000
 #: Share of the clean documents that each threshold keeps.
 KEEP_CLEAN = 0.99
 #: Standard errors by which a bucket's share of toxic documents is above its share of trusted ones.
@@ -79,10 +76,51 @@ def bucket_counts(docs: DataFrame, text: str = "text", once: bool = False) -> np
     return out
 
 
-def trusted_sample(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", rows: int = TRUSTED_ROWS) -> DataFrame:
-    """The documents of the ``rows`` trusted ids with the least hash; null ids don't count."""
-    ids = trusted.select(F.col(key).alias("__key")).where("__key is not null").distinct().orderBy(F.xxhash64("__key"), "__key").limit(rows)
-    return docs.join(F.broadcast(ids), docs[key] == F.col("__key"), "left_semi")  # at most ``rows`` ids
+def labelled(docs: DataFrame, classes: dict[str, DataFrame], key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(text, and whether its id is in each of the classes), for the rows of docs that are in any; null ids don't count.
+
+    Of all other texts only those are shuffled that share one of the broadcast slots, at most GONE_SLOTS, with a labelled id.
+    """
+    each = [ids.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"), *(F.lit(n == c).alias(c) for c in classes)) for n, ids in classes.items()]
+    ids = reduce(DataFrame.unionByName, each).groupBy("__key").agg(*(F.bool_or(c).alias(c) for c in classes))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(GONE_SLOTS)).cast("int")
+    may = docs.select(docs[key].alias("__id"), docs[text].alias("__text")).withColumn("__at", slot("__id"))
+    may = may.join(F.broadcast(ids.select(slot("__key").alias("__at")).distinct()), "__at", "left_semi")
+    return may.join(ids, F.col("__id") == F.col("__key")).select(F.col("__text").alias(text), *classes)
+
+
+_SIGN = np.int64(0x7FFF_FFFF_FFFF_FFFF)
+
+
+def order_statistics(values: DataFrame, ranks: dict[str, Callable[[int], int]]) -> dict[str, float]:
+    """Of each double column that ranks names, the value at the place, from 0, that its function tells for the number of rows; none for an empty table.
+
+    Exact: the bits of the place's value are found in four counts of all rows by 16 bits, so that no more than 65,536
+    counts a column are looked at, however many rows there are.
+    """
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for j, column in enumerate(batch.columns):
+                bits = column.to_numpy(zero_copy_only=False).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(bits), j, np.int32)), pa.array(np.where(bits < 0, bits ^ _SIGN, bits))], names=["column", "key"])
+
+    kept = stored(values.select(*ranks).mapInArrow(keys, "column int, key long"), "keys")
+    found: dict[int, tuple[int, int]] = {}  # of each column: the upper bits of the value sought, and its place among the rows that have them
+    for shift in (48, 32, 16, 0):
+        own = reduce(lambda x, y: x | y, ((F.col("column") == j) & (F.shiftright("key", shift + 16) == upper) for j, (upper, _) in found.items()), F.lit(shift == 48))
+        counts = kept.where(own).groupBy("column", F.shiftright("key", shift).alias("bits")).agg(F.count("*").alias("n")).orderBy("column", "bits").toArrow()  # at most 65,536 rows a column
+        columns, bits, n = (counts[c].to_numpy() for c in ("column", "bits", "n"))
+        for j, rank in enumerate(ranks.values()):
+            mine = columns == j
+            if mine.any():
+                place = found[j][1] if j in found else rank(int(n[mine].sum()))
+                ends = np.cumsum(n[mine])
+                at = int(np.searchsorted(ends, place, "right"))
+                found[j] = int(bits[mine][at]), place - int(ends[at] - n[mine][at])
+    discard(kept)
+    back = lambda key: float((np.int64(key) ^ _SIGN if key < 0 else np.int64(key)).view(np.float64))
+    return {name: back(found[j][0]) for j, name in enumerate(ranks) if j in found}
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
@@ -116,20 +154,19 @@ class Model(NamedTuple):
 
 
 def fit(docs: DataFrame, trusted: DataFrame, toxic: DataFrame, clean: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
-    """The model of labelled documents, given by their ids.
+    """The model of all labelled documents, given by their ids.
 
     trusted and clean are clean documents and share none; the thresholds come from clean
     alone. Without clean documents THRESHOLD holds and nothing is toxic.
     """
-    samples = {"trusted": trusted_sample(docs, trusted, key), "toxic": trusted_sample(docs, toxic, key, TOXIC_ROWS), "clean": trusted_sample(docs, clean, key, CLEAN_ROWS)}
-    of = {n: stored(x.select(text), n) for n, x in samples.items()}
+    known = stored(labelled(docs, {"trusted": trusted, "toxic": toxic, "clean": clean}, key, text), "labelled")
+    of = {n: known.where(n).select(text) for n in ("trusted", "toxic", "clean")}
     ratios = log_ratios(bucket_counts(of["trusted"], text), bucket_counts(docs, text))
     weights = toxic_weights(bucket_counts(of["toxic"], text, True), of["toxic"].count(), bucket_counts(of["trusted"], text, True), of["trusted"].count())
-    judged = judge(of["clean"], ratios, text, toxic=weights).where("not base_failed").select("quality_score", "quality_toxicity").toArrow()  # a number a document of the bounded sample
-    if not judged.num_rows:
-        return Model(ratios, THRESHOLD, weights, math.inf)
-    score, toxicity = (judged[n].to_numpy() for n in ("quality_score", "quality_toxicity"))
-    return Model(ratios, float(np.quantile(score, 1 - KEEP_CLEAN, method="lower")), weights, float(np.quantile(toxicity, KEEP_CLEAN, method="higher")))
+    judged = judge(of["clean"], ratios, text, toxic=weights).where("not base_failed")
+    cut = order_statistics(judged, {"quality_score": lambda n: math.floor((1 - KEEP_CLEAN) * (n - 1)), "quality_toxicity": lambda n: math.ceil(KEEP_CLEAN * (n - 1))})
+    discard(known)
+    return Model(ratios, cut.get("quality_score", THRESHOLD), weights, cut.get("quality_toxicity", math.inf))
 
 
 def base_rules(raw: bytes) -> tuple[int, int, int, int, int]:

@@ -462,6 +462,33 @@ def test_quality_verdicts_equal_plain_sums(spark, small, table):
             assert got[i].kept == (not brute_base(docs[i])[-1] and want > threshold)
 
 
+def test_quality_learns_from_all_labelled(spark):
+    n = 4300  # of each class; a bounded sample had 4,000
+    r = np.random.default_rng(3)
+    kinds = ("trusted", "toxic", "clean", "other")
+    texts = [" ".join(f"{'ab'[k == 1]}{w}" for w in r.zipf(1.3, 52) % 3000) for k in range(4) for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string").repartition(4)
+    ids = [spark.range(k * n, (k + 1) * n).withColumnRenamed("id", "doc_id") for k in range(3)]
+    m = quality.fit(docs, ids[0].union(ids[0]).union(spark.sql("select cast(null as long)")), ids[1], ids[2])
+    grams = {k: [quality.ngram_buckets(t.encode()) for t in texts[i * n : (i + 1) * n]] for i, k in enumerate(kinds)}
+    count = lambda g, once=False: np.bincount(np.concatenate([np.unique(x) if once else x for x in g]), minlength=quality.BUCKETS).astype(float)
+    ratios = quality.log_ratios(count(grams["trusted"]), sum(count(g) for g in grams.values()))
+    weights = quality.toxic_weights(count(grams["toxic"], True), n, count(grams["trusted"], True), n)
+    assert (m.ratios == ratios).all() and (m.toxic == weights).all() and weights.any()
+    ok = [g for g, t in zip(grams["clean"], texts[2 * n :]) if not brute_base(t)[-1]]
+    assert len(ok) > 4000
+    assert m.threshold == np.quantile([quality.mean_weight(g, ratios) for g in ok], 1 - quality.KEEP_CLEAN, method="lower")
+    assert m.toxic_threshold == np.quantile([quality.mean_weight(g, weights) for g in ok], quality.KEEP_CLEAN, method="higher")
+
+
+def test_order_statistics(spark):
+    rows = [(x, -x) for x in [*np.random.default_rng(1).normal(size=300).tolist(), 0.0, -0.0, 1e300, -1e300, 5e-324, 2.5, 2.5, 2.5]]
+    df = spark.createDataFrame(rows, "a double, b double")
+    for place in (0, 1, 150, 151, 152, 153, 300, 306, 307):
+        assert quality.order_statistics(df, {"a": lambda n: place, "b": lambda n: n - 1 - place}) == {"a": sorted(x for x, _ in rows)[place], "b": -sorted(x for x, _ in rows)[place]}
+    assert quality.order_statistics(df.limit(0), {"a": lambda n: 0}) == {}
+
+
 def test_quality_odd_rows(odd, empty):
     got = quality.judge(odd, np.zeros(quality.BUCKETS, np.float32)).collect()
     assert len(got) == odd.count() and all(tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) == brute_base(r.text) for r in got)
