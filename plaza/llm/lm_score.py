@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, mixed, packed, packed_count, packed_names, part_of, raw_texts, runs, slices, stored, tidy, unpacked, unpacked_names
+from .common import bounded_batches, distinct, mixed, packed, packed_count, packed_names, part_of, raw_texts, runs, slices, stored, tidy, unpacked, unpacked_names
 
 ALPHA = 0.1
 DISCOUNT = 0.75
@@ -52,6 +52,8 @@ PART_ENTRIES = 2_000_000
 HOT = 1000
 #: Tokens of a lane: a block's tokens are walked in lanes side by side, each from the state that the words before it lead to.
 LANE = 512
+#: Arcs that are looked up at a time while the automaton is built.
+FOUND = 1 << 18
 #: The end token; no word is empty.
 END = b""
 
@@ -101,16 +103,16 @@ class Block:
         at = np.flatnonzero(inner)  # places of the pairs' first words
         self.pairs, pair = np.unique(tokens[at] * words + tokens[at + 1], return_inverse=True)
         self.pair_n = np.bincount(pair if own is None else pair[own[at]], minlength=len(self.pairs))
-        self.history, self.next = np.divmod(self.pairs, words)
+        self.history, self.next = (x.astype(np.int32) for x in np.divmod(self.pairs, words))  # half the memory; a block has fewer than 2^31
         two = np.flatnonzero(np.diff(at) == 1)
         codes = pair[two] * words + tokens[at[two] + 2]
-        triples = np.unique(codes)
+        triples = distinct(codes)
         if own is not None:
             told, n = np.unique(codes[own[at[two]]], return_counts=True)
             self.triple_n = np.zeros(len(triples), np.int64)
             self.triple_n[np.searchsorted(triples, told)] = n
         del pair, at, two, codes
-        self.state, self.last = np.divmod(triples, words)
+        self.state, self.last = (x.astype(np.int32) for x in np.divmod(triples, words))
 
     @classmethod
     def of(cls, row: dict, words: int, own: np.ndarray | None = None) -> Block:
@@ -164,7 +166,7 @@ def encoded(docs: DataFrame, training: Column, doc: str, text: str) -> DataFrame
             kind = part.column(0).type
             for key, own, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), raw_texts(part.column(2))):
                 tokens = tokens_of(raw)
-                found.append(np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens)))
+                found.append(np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens)))
                 ids.append(key)
                 train.append(own)
                 size += len(tokens)
@@ -174,6 +176,8 @@ def encoded(docs: DataFrame, training: Column, doc: str, text: str) -> DataFrame
                     numbers, found, ids, train = Numbers(), [], [], []
         if found:
             yield _block(first + made, ids, train, numbers, found, kind)
+        del numbers, found, ids, train
+        tidy()  # once more: the last block came after the slices
 
     schema = T.StructType(
         [T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema[doc].dataType))]
@@ -210,18 +214,18 @@ def _requests(row: dict, parts: int, hot: Hot) -> Iterator[tuple]:
 
     history, asked = pairs_of(~hot_history)
     for part, a, z in runs(part_of(words, parts)):
-        p, q = np.searchsorted(history, [a, z])
+        p, q = np.searchsorted(history, np.array([a, z], history.dtype))
         fan = np.bincount(history[p:q] - a, minlength=z - a)
         yield part, row["block"], packed_names(words[a:z]), packed(word_n[a:z]), packed(fan), *asked(p, q)
     history, asked = pairs_of(hot_history)
     after = words[b.next[hot_history]]
     spans = np.diff(hot.first)
     for j, at in enumerate(hot_at):
-        p, q = np.searchsorted(history, [at, at + 1]) if at >= 0 else (0, 0)
+        p, q = np.searchsorted(history, np.array([at, at + 1], history.dtype)) if at >= 0 else (0, 0)
         for s, x, y in runs(part_of(after[p:q], int(spans[j]))):
             yield int(hot.first[j]) + s, row["block"], None, None, None, *asked(p + x, p + y)
     for j, at in enumerate(place, len(hot.words)):
-        p, q = np.searchsorted(b.state, [at, at + 1]) if at >= 0 else (0, 0)
+        p, q = np.searchsorted(b.state, np.array([at, at + 1], b.state.dtype)) if at >= 0 else (0, 0)
         for s, x, y in runs(part_of(words[b.last[p:q]], int(spans[j]))):
             yield int(hot.first[j]) + s, row["block"], *[None] * 6, packed(code3[b.last[p + x : p + y]]), packed(b.triple_n[p + x : p + y])
 
@@ -232,8 +236,8 @@ def _joined(packs: list[bytes | None], read: Callable[[bytes], np.ndarray] = unp
 
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, where each is first, the place of each key among them, and their sums of n."""
-    distinct, one, place = np.unique(keys, return_index=True, return_inverse=True)
-    return distinct, one, place, np.bincount(place, n, len(distinct))
+    names, one, place = np.unique(keys, return_index=True, return_inverse=True)
+    return names, one, place, np.bincount(place, n, len(names))
 
 
 def _gone_on(names: np.ndarray, owner: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -268,8 +272,9 @@ class Level:
     """The states of histories of one length, numbered from first on, and their arcs in ascending order of state and word."""
 
     def __init__(self, first: int, codes: np.ndarray, weight: np.ndarray, target: np.ndarray, failure: np.ndarray, suffix: np.ndarray) -> None:
-        self.first, self.codes, self.weight, self.target, self.failure, self.suffix = first, codes, weight, target, failure, suffix
+        self.first, self.weight, self.target, self.failure, self.suffix = first, weight, target, failure, suffix
         self._told = np.append(codes, -1)
+        self.codes = self._told[:-1]
 
     def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(codes)  # neighbours are looked up one after another
@@ -323,23 +328,28 @@ class Automaton:
         return out
 
 
-def _automaton(b: Block, c: np.ndarray, t: np.ndarray, pair_c: np.ndarray, pair_t: np.ndarray, triple_c: np.ndarray, v: int, n: int, alpha: float, discount: float) -> Automaton:
-    """The part of the model that a block's n-grams reach, from their counts and those of the arcs of their histories."""
+def _automaton(b: Block, c: np.ndarray, t: np.ndarray, counts: dict[str, np.ndarray], v: int, n: int, alpha: float, discount: float) -> Automaton:
+    """The part of the model that a block's n-grams reach, from their counts and those of the arcs of their histories; counts is emptied, so that little lies in memory twice."""
     root = np.log10(c + alpha) - math.log10(n + alpha * (v + 1))
     begun = np.where((c > 0) & (np.arange(len(c)) != b.end), 1 + np.arange(len(c)), 0)
     log = lambda mass: np.log10(np.where(mass > 0, mass, 1.0))
     left = discount * t / np.maximum(c, 1)
+    pair_c, pair_t, triple_c = (counts.pop(k) for k in ("pair_c", "pair_t", "triple_c"))
     seen = np.flatnonzero(pair_c > 0)
     history, after, pair_c, pair_t = b.history[seen], b.next[seen], pair_c[seen], pair_t[seen]
     pair_p = np.maximum(pair_c - discount, 0) / c[history] + left[history] * 10.0 ** root[after]
-    target = np.where(after == b.end, 0, 1 + len(c) + np.arange(len(seen)))
-    singles = Level(1, b.pairs[seen], np.log10(pair_p), target, log(left), np.zeros(len(c), np.int64))
+    target = np.where(after == b.end, 0, 1 + len(c) + np.arange(len(seen))).astype(np.int32)
+    singles = Level(1, b.pairs[seen], np.log10(pair_p), target, log(left), np.zeros(len(c), np.int32))
     left = discount * pair_t / pair_c
+    del history, pair_t
     own = triple_c > 0
-    state, last, triple_c = np.searchsorted(seen, b.state[own]), b.last[own], triple_c[own]
-    shorter, _ = singles.find(after[state] * len(c) + last)  # a triple's last two words are a training pair, too
+    state, last, triple_c = np.searchsorted(seen, b.state[own]).astype(np.int32), b.last[own], triple_c[own]
+    del own, seen
+    spans = [slice(i, i + FOUND) for i in range(0, len(state), FOUND)]
+    shorter = np.concatenate([np.empty(0, np.int32), *(singles.find(after[state[s]].astype(np.int64) * len(c) + last[s])[0].astype(np.int32) for s in spans)])  # a triple's last two words are a training pair, too
     triple_p = np.maximum(triple_c - discount, 0) / pair_c[state] + left[state] * pair_p[shorter]
-    doubles = Level(1 + len(c), state * len(c) + last, np.log10(triple_p), target[shorter], log(left), 1 + after)
+    del triple_c, pair_c, pair_p
+    doubles = Level(1 + len(c), state.astype(np.int64) * len(c) + last, np.log10(triple_p, out=triple_p), target[shorter], log(left), 1 + after)
     return Automaton(len(c), root, begun, [doubles, singles])
 
 
@@ -354,13 +364,15 @@ def _walk(row: dict, answers: list[dict], parts: int, hot: Hot, arcs: np.ndarray
     c, t = of(0, "c"), of(0, "t")
     t[hot_at[hot_at >= 0]] = arcs[:words][hot_at >= 0]
     hot_history, hot_pair, place = b.hot(hot, hot_at)
-    pair_c, pair_t, triple_c = np.empty(len(b.pairs)), np.empty(len(b.pairs)), np.empty(len(b.state))
+    counts = {"pair_c": np.empty(len(b.pairs)), "pair_t": np.empty(len(b.pairs)), "triple_c": np.empty(len(b.state))}
     for kind, mine in enumerate((~hot_history, hot_history)):
-        pair_c[mine], pair_t[mine] = of(kind, "pair_c"), of(kind, "pair_t")
-        triple_c[(mine & ~hot_pair)[b.state]] = of(kind, "triple_c")
-    pair_t[place[place >= 0]] = arcs[words:][place >= 0]
-    triple_c[hot_pair[b.state]] = of(2, "triple_c")
-    model = _automaton(b, c, t, pair_c, pair_t, triple_c, v, n, alpha, discount)
+        for name in ("pair_c", "pair_t"):
+            counts[name][mine] = of(kind, name)
+        counts["triple_c"][(mine & ~hot_pair)[b.state]] = of(kind, "triple_c")
+    counts["pair_t"][place[place >= 0]] = arcs[words:][place >= 0]
+    counts["triple_c"][hot_pair[b.state]] = of(2, "triple_c")
+    del told, b.pair_n  # what isn't read again would lie beside the automaton
+    model = _automaton(b, c, t, counts, v, n, alpha, discount)
     alone = model.root[b.tokens]
     ends = b.starts + b.lengths
     base = np.array([math.fsum(alone[x:y].tolist()) for x, y in zip(b.starts.tolist(), ends.tolist())])

@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plaza.llm import asking, chat_format, common, components, decontaminate, jaccard_join, language_id, lm_score, mixing, pii, quality, queries, substring_dedup, token_counts
 from pyspark.sql import functions as F
@@ -652,6 +654,26 @@ def test_lm_score_packed_numbers(values):
     assert lm_score.unpacked_names(lm_score.packed_names(np.sort(np.array(values, np.uint64)))).tolist() == sorted(values)
 
 
+def test_lm_score_walk_takes_little_memory_a_token():
+    rng = np.random.default_rng(7)
+    numbers, train = lm_score.Numbers(), [i % 10 != 0 for i in range(600)]
+    docs = [np.array([numbers[b"%d" % x] for x in rng.zipf(1.3, 500).clip(max=20000) % 5000] + [numbers[lm_score.END]]) for _ in train]
+    row = lm_score._block(0, list(range(600)), train, numbers, docs, pa.int64()).to_pylist()[0]
+    hot = lm_score.Hot(np.empty(0, np.uint64), np.empty((0, 2), np.int64), np.array([2]))
+    asked = defaultdict(list)
+    for own in lm_score._requests(row, 2, hot):
+        asked[own[0]].append(own)
+    kinds = dict.fromkeys(("part", "block"), pa.int64()) | dict.fromkeys(lm_score._PACKED, pa.binary())
+    answers = [r for rows in asked.values() for r in lm_score._added(pa.table({n: pa.array(c, k) for (n, k), c in zip(kinds.items(), zip(*rows))}), -1, False).to_pylist()]
+    words = len(lm_score.unpacked_names(row["words"]))
+    block = {"lengths": row["lengths"], "tokens": row["tokens"], "words": words, "hot": []}
+    tracemalloc.start()
+    out = lm_score._walk(block, answers, 2, hot, np.empty(0), sum(a["v"] for a in answers), sum(a["n"] for a in answers), 0.1, 0.75)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out[0].sum() == row["size"] and peak < 44 * (row["size"] + row["entries"] - words)
+
+
 def test_lm_score_odd_rows(odd, empty):
     got = lm_score.score(odd, F.lit(True)).collect()
     assert len(got) == odd.count() and all(r.n_tokens == 1 for r in got if r.doc_id in (3, 4, 5))
