@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .asking import answered, together
-from .common import bounded_batches, discard, lists, packed, packed_names, raw_texts, slices, spread_join, stored, tidy, unpacked, unpacked_names, windows, without_rows, word_hashes
+from .common import bounded_batches, discard, distinct, lists, packed, packed_names, raw_texts, slices, spread_join, stored, tidy, unpacked, unpacked_names, windows, without_rows, word_hashes
 from .components import components
 
 WORDS = 5
@@ -62,7 +62,7 @@ def shingles_of(raw: bytes, words: int = WORDS) -> np.ndarray:
     w = raw.lower().split()
     if not w:
         return np.empty(0, np.uint64)
-    return np.unique(windows(word_hashes(w), min(words, len(w))))
+    return distinct(windows(word_hashes(w), min(words, len(w))))
 
 
 def _needed(n: int, percent: int) -> int:
@@ -115,6 +115,8 @@ def sketched(docs: DataFrame, doc: str, text: str, words: int, percent: int) ->
                     name, size, held = name + 1, 0, []
         if held:
             yield _block(name, held, id_type)
+        del held
+        tidy()  # once more: the last block came after the slices
 
     schema = T.StructType(
         [T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(docs.schema[doc].dataType))]
@@ -205,7 +207,7 @@ class Tree:
             z = min(a + LEAF, len(side))
             own, spare = np.zeros(bits, bool), 0
             for s in side.tokens[a:z]:
-                on = np.unique(s % bits)
+                on = distinct(s % bits)
                 own[on] = True
                 spare = max(spare, len(s) - len(on))
             rows.append((a, z, int(side.sizes[a:z].min()), int(side.sizes[a:z].max()), np.packbits(own).view(np.uint64), spare))
@@ -254,7 +256,7 @@ def traverse(a: Tree, b: Tree, same: bool, percent: int) -> Iterator[tuple[int,
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray], place: np.ndarray) -> np.ndarray:
     """Exact intersection sizes of all sets of a with all of b, through the tokens of a. place has -1 for each token, before and after."""
-    own = np.unique(np.concatenate(a))
+    own = distinct(np.concatenate(a))
     place[own] = np.arange(len(own))
     out = np.zeros((len(a), len(b)), np.float32)
     rows = [(np.repeat(np.arange(len(x)), [len(s) for s in x]), place[np.concatenate(x)]) for x in (a, b)]

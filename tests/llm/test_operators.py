@@ -2,10 +2,14 @@
 
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -654,6 +658,31 @@ def test_lm_score_packed_numbers(values):
     assert lm_score.unpacked_names(lm_score.packed_names(np.sort(np.array(values, np.uint64)))).tolist() == sorted(values)
 
 
+SHINGLES_OF_A_MILLION_WORDS = """
+import resource
+from plaza.llm import jaccard_join
+raw = b" ".join(b"%d" % i for i in range(1_000_000))
+hashes = jaccard_join.word_hashes(raw.split())
+jaccard_join.windows(hashes, 5)
+jaccard_join.word_hashes = lambda words: hashes
+most = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+before = most()
+jaccard_join.shingles_of(raw)
+print((most() - before) // 1024)
+"""
+
+
+def test_jaccard_shingles_take_little_memory_beside_the_words():
+    out = subprocess.run([sys.executable, "-c", SHINGLES_OF_A_MILLION_WORDS], capture_output=True, text=True, check=True, env=os.environ | {"PYTHONPATH": str(Path(jaccard_join.__file__).parents[2])})
+    assert int(out.stdout) < 12  # MB; 24 when they were hashed
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_distinct_values(n):
+    values = np.random.default_rng(n).integers(0, 1 << 64, n, np.uint64)[np.arange(2 * n) % max(n, 1)]
+    assert common.distinct(values).tolist() == sorted(set(values.tolist()))
+
+
 def test_lm_score_walk_takes_little_memory_a_token():
     rng = np.random.default_rng(7)
     numbers, train = lm_score.Numbers(), [i % 10 != 0 for i in range(600)]
